@@ -33,7 +33,7 @@ def last_part(x, sep: str = "_") -> Column:
 
 
 def contains_text(needle, haystack) -> Column:
-    return F.locate(_c(needle), _c(haystack)) > 0
+    return F.contains(_c(haystack), _c(needle))
 
 
 def blank_to(x, fallback) -> Column:

@@ -225,7 +225,7 @@ def settlement(
         return truncated(F.col(amount) * rate).alias(amount)
 
     zero = F.lit(0)
-    return signed.na.drop("any", ["contract_code", "channel", "country"]).select(
+    return signed.na.drop("any", subset=["contract_code", "channel", "country"]).select(
         F.col("channel").alias("offer_id"),
         F.lit(OFFER_TYPE).alias("offer_type"),
         "adv_id", "contract_code", "payee_code", "supplier_id",

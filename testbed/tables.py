@@ -171,6 +171,18 @@ FROM part""",
         ("region",),
         "SELECT CONCAT('ch', CAST(r_regionkey AS STRING)) AS short_name, CASE WHEN r_regionkey = 3 THEN NULL ELSE CONCAT('A', CAST(r_regionkey AS STRING)) END AS adv_id, CAST(r_regionkey % 3 AS STRING) AS channel_type FROM region",
     ),
+    "contract_advertisers": (
+        ("region",),
+        "SELECT CONCAT(CASE WHEN r_regionkey = 2 THEN 'B' ELSE 'A' END, CAST(r_regionkey AS STRING)) AS adv_id, CONCAT('C', CAST(r_regionkey AS STRING)) AS contract_code FROM region",
+    ),
+    "contract_customers": (
+        ("region",),
+        "SELECT CONCAT('C', CAST(r_regionkey AS STRING)) AS contract_code, CASE WHEN r_regionkey = 4 THEN '' WHEN r_regionkey % 2 = 0 THEN 'CNY' ELSE 'USD' END AS adv_currency FROM region",
+    ),
+    "contract_channels": (
+        ("customer",),
+        "SELECT CONCAT('K', CAST(c_custkey AS STRING)) AS payee_code, CASE WHEN c_custkey % 5 = 0 THEN '' ELSE CONCAT('S', CAST(c_custkey AS STRING)) END AS supplier_id, CASE WHEN c_custkey % 5 = 0 THEN '' WHEN c_custkey % 2 = 0 THEN 'CNY' ELSE 'USD' END AS payout_currency FROM customer",
+    ),
     "countries": (("nation",), "SELECT n_nationkey AS id, {country:n_nationkey} AS short_name FROM nation"),
     "placements": (
         ("supplier",),
