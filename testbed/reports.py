@@ -5,6 +5,8 @@ from __future__ import annotations
 from datetime import datetime
 
 from adtally.plans import alarms, counters, dims, feeds, money as money_plans, rates, rollups, traffic
+from adtally.session import scratch_path
+from adtally.sources import contracts
 from testbed.registry import big, half_even, half_up, money, query, share, sum_units, units
 from testbed.tables import Testbed
 
@@ -213,10 +215,38 @@ FROM amounts a JOIN contract_advertisers ad ON a.adv_id = ad.adv_id
 LEFT JOIN contract_customers cu ON ad.contract_code = cu.contract_code LEFT JOIN contract_channels ch ON a.payee_code = ch.payee_code"""
 
 
-def settlement_rows(t: Testbed):
-    return money_plans.settlement(
-        _allocation(t), t("contract_advertisers"), t("contract_customers"), t("contract_channels")
+def _feed(t: Testbed, name: str, document: str) -> str:
+    """Write one JSON document per row of a contract table; returns the folder."""
+    path = scratch_path(t.spark, name)
+    t(name).selectExpr(f"to_json({document}) AS value").write.text(path)
+    return path
+
+
+def contract_feeds(t: Testbed):
+    advertisers = _feed(
+        t, "contract_advertisers", "named_struct('data', array(named_struct('code', adv_id, 'contractCode', contract_code)))"
+    )
+    customers = _feed(
+        t,
+        "contract_customers",
+        "named_struct('code', contract_code, 'data', if(adv_currency = '', NULL,"
+        " named_struct('customerContractRes', named_struct('currency', adv_currency))))",
+    )
+    channels = _feed(
+        t,
+        "contract_channels",
+        "named_struct('code', payee_code, 'data', named_struct('contractList', if(supplier_id = '', array(),"
+        " array(named_struct('channelContractRes', named_struct('code', supplier_id, 'currency', payout_currency))))))",
     )
+    return (
+        contracts.read_advertisers(t.spark, advertisers),
+        contracts.read_customer_contracts(t.spark, customers),
+        contracts.read_channel_contracts(t.spark, channels),
+    )
+
+
+def settlement_rows(t: Testbed):
+    return money_plans.settlement(_allocation(t), *contract_feeds(t))
 
 
 query("settlement_export", SETTLE_TABLES, SETTLE_SQL)(settlement_rows)

@@ -233,18 +233,23 @@ class Testbed:
 
     __test__ = False
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, given: dict[str, DataFrame] | None = None):
         self.spark = pin_settings(spark)
         self.sf_dir = sf_dir.rstrip("/")
+        self.given = given or {}
         self.table = functools.cache(self._table)
 
     def __call__(self, name: str) -> DataFrame:
         return self.table(name)
 
     def _table(self, name: str) -> DataFrame:
+        if name in self.given:
+            return self.given[name]
         if name not in TABLES:
             return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         deps, text = TABLES[name]
+        if name == "ad_log" and "events" in self.given:
+            text = text.replace("user_id, ts,", "user_id, CAST(ts AS TIMESTAMP) AS ts,", 1)
         rendered = _render(text, SPARK)
         views = {d: self.table(d) for d in deps}
         for dep in deps:
