@@ -92,12 +92,24 @@ def allocate(
         {"conversion_all": F.sum("conversion")},
     ).select("slot", *share_keys, ratio("conversion", "conversion_all").alias("rate"))
 
+    # The totals see each base row once per publisher row of its slot and country. That
+    # repeat is a count, so totals need no pass over the joined rows.
+    place = ["day", "slot", "country"]
+    by_place = rollup(base, [*place, "offer_id"], payout_u=F.sum("payout_u"))
+    repeats = rollup(pub, place, repeat=F.count("*"))
+    repeated = attach_total(by_place, repeats, place).withColumn(
+        "payout_u", F.col("payout_u") * F.coalesce("repeat", F.lit(1))
+    )
+    offer_totals = rollup(repeated, ["day", "offer_id"], offer_payout_u=F.sum("payout_u"))
+    place_totals = rollup(repeated, place, slot_payout_u=F.sum("payout_u")).join(pub, place, "left")
+
     # an offer or a slot may hold most base rows, so the coarse sides are attached in slices
-    joined = attach_total(base.drop("conversion"), unpaid, unpaid_keys).na.fill({"offer_cost_u": 0})
-    joined = attach_total(joined, pub, ["day", "slot", "country"]).na.fill({"re_real_revenue": 0.0})
-    joined = join_defaults(joined, shares, ["slot", *share_keys], "left", {"rate": 0.0})
-    totals = partition_total(joined, ["day", "offer_id"], {"offer_payout_u": F.sum("payout_u")})
-    totals = partition_total(totals, ["day", "slot", "country"], {"slot_payout_u": F.sum("payout_u")})
+    joined = attach_total(base.drop("conversion"), unpaid, unpaid_keys)
+    joined = attach_total(joined, place_totals, place)
+    joined = attach_total(joined, offer_totals, ["day", "offer_id"])
+    joined = joined.join(shares, ["slot", *share_keys], "left").na.fill(
+        {"offer_cost_u": 0, "re_real_revenue": 0.0, "rate": 0.0}
+    )
 
     payout, cost = from_units("payout_u"), from_units("cost_u")
     shared = F.col("rate") > 0
@@ -112,7 +124,7 @@ def allocate(
     # a slot without any payout has nothing to spread: its cost is 0
     spread = F.coalesce(payout * ratio("re_real_revenue", from_units("slot_payout_u")), F.lit(0.0))
     return (
-        totals.where(rules.country_code("country", exact=2))
+        joined.where(rules.country_code("country", exact=2))
         .select(
             *BASE_KEYS,
             revenue.alias("revenue"),

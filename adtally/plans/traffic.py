@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from adtally.functions import rules
-from adtally.functions.numbers import count_where, from_units, half_even, to_units
+from adtally.functions.numbers import from_units, half_even, to_units
 from adtally.functions.slots import day_of
 from adtally.functions.text import first_usable, usable
 from adtally.operators.filters import between_slots
@@ -44,33 +44,28 @@ def click_sources(stream: DataFrame, routed: DataFrame, synced: DataFrame) -> Da
     return union_all(a, b.withColumn("imp", zero), c.withColumn("imp", zero), missing={"pkg": "", "platform": ""})
 
 
-def _sides(stream, routed, synced, conversions, rejects, grain, first, last):
-    """The three aggregated sides at their own grain, keyed by (period, offer, country)."""
-    period = _period(grain).alias("period")
-    clicks = (
-        between_slots(click_sources(stream, routed, synced), first, last)
-        .groupBy(period, "offer", "country", "channel")
-        .agg(
-            F.max("pkg").alias("pkg"),
-            F.max("platform").alias("platform"),
-            F.sum("click").alias("click"),
-            F.sum("imp").alias("imp"),
-        )
-    )
+def _event_rows(conversions: DataFrame, rejects: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Conversion and reject logs with the report's column names and measures per row."""
     labels = [F.col("offer_id").alias("offer"), "country", "channel", F.col("offer_pkg").alias("pkg"), "platform"]
-    convs = (
-        between_slots(conversions, first, last)
-        .where(rules.non_empty("offer_pkg", "offer_id"))
-        .groupBy(period, *labels)
-        .agg(
-            count_where(F.col("event_type") == rules.INSTALL).alias("install"),
-            count_where(F.col("event_type") == rules.EVENT).alias("conv"),
-            F.sum(to_units("payout")).alias("revenue"),
-            F.sum(to_units("cost")).alias("cost"),
-        )
+
+    def is_type(code: str) -> Column:
+        return F.when(F.col("event_type") == code, 1).otherwise(0).cast("long")
+
+    convs = conversions.where(rules.non_empty("offer_pkg", "offer_id")).select(
+        "time_slot", *labels,
+        is_type(rules.INSTALL).alias("install"), is_type(rules.EVENT).alias("conv"),
+        to_units("payout").alias("revenue"), to_units("cost").alias("cost"),
     )
-    rejected = between_slots(rejects, first, last).groupBy(period, *labels).agg(F.count("*").alias("reject"))
-    return clicks, convs, rejected
+    return convs, rejects.select("time_slot", *labels, F.lit(1).cast("long").alias("reject"))
+
+
+def _per_key(rows: DataFrame, grain: str, first: str | None, last: str | None) -> DataFrame:
+    """Measures summed per period and all labels. Only sums and plain keys, so the raw log
+    goes through hash aggregation and is combined before the shuffle without a sort."""
+    keys = ["offer", "country", *LABELS]
+    measures = [c for c in rows.columns if c not in (*keys, "time_slot")]
+    dated = between_slots(rows, first, last).withColumn("period", _period(grain))
+    return dated.groupBy("period", *keys).agg(*[F.sum(m).alias(m) for m in measures])
 
 
 def _finish(rows: DataFrame) -> DataFrame:
@@ -92,30 +87,32 @@ def traffic_report(
 
     Sides meet on (period, offer, country) and every measure is counted once. Labels are
     the first usable one (two characters or more) of click, conversion and reject side.
-    The sides are unioned with zeros and aggregated, so there is no join to skew.
+    All five logs are unioned with zeros and summed per label first, then merged per key:
+    two shuffles of aggregates, and no join that a hot key could skew.
     """
-    clicks, convs, rejected = _sides(stream, routed, synced, conversions, rejects, grain, first, last)
+    convs, rejected = _event_rows(conversions, rejects)
+    clicks = click_sources(stream, routed, synced).withColumnsRenamed({"click": "click_all", "imp": "impression"})
     zero = F.lit(0).cast("long")
-    names = {"click": "click_all", "imp": "impression"}
 
-    def side(df: DataFrame, tag: str) -> DataFrame:
-        own = {names.get(c, c): F.col(c) for c in df.columns}
+    def side(df: DataFrame, order: int) -> DataFrame:
         return df.select(
-            "period",
-            *[F.coalesce(usable(k), F.lit("")).alias(k) for k in ("offer", "country")],
-            *[(usable(c) if tag == t else F.lit(None).cast("string")).alias(f"{t}_{c}")
-              for t in ("click", "conv", "rej") for c in LABELS],
-            *[F.coalesce(own.get(m, zero), zero).alias(m) for m in MEASURES],
+            "time_slot", "offer", "country", *LABELS, F.lit(order).alias("side"),
+            *[F.col(m) if m in df.columns else zero.alias(m) for m in MEASURES],
         )
 
-    rows = union_all(side(clicks, "click"), side(convs, "conv"), side(rejected, "rej"))
-    merged = rows.groupBy("period", "offer", "country").agg(
-        *[F.max(f"{t}_{c}").alias(f"{t}_{c}") for t in ("click", "conv", "rej") for c in LABELS],
+    rows = union_all(side(clicks, 0), side(convs, 1), side(rejected, 2))
+    dated = between_slots(rows, first, last).withColumn("period", _period(grain))
+    keys = ["period", *[F.coalesce(usable(k), F.lit("")).alias(k) for k in ("offer", "country")]]
+    summed = dated.groupBy(*keys, "side", *[usable(c).alias(c) for c in LABELS]).agg(
+        *[F.sum(m).alias(m) for m in MEASURES]
+    )
+    best = {(c, n): F.max(F.when(F.col("side") == n, F.col(c))) for c in LABELS for n in range(3)}
+    merged = summed.groupBy("period", "offer", "country").agg(
+        *[F.coalesce(*[best[c, n] for n in range(3)], F.lit("")).alias(c) for c in LABELS],
         *[F.sum(m).alias(m) for m in MEASURES],
     )
     return merged.select(
-        "period", "country", "offer",
-        *[F.coalesce(f"click_{c}", f"conv_{c}", f"rej_{c}", F.lit("")).alias(c) for c in LABELS],
+        *REPORT_KEYS,
         *[half_even(from_units(m), 2).alias(m) if m in ("revenue", "cost") else F.col(m) for m in MEASURES],
     )
 
@@ -139,7 +136,12 @@ def traffic_report_fanned(
     takes its labels from them, that is where each pair is a result row.
     Reject-only rows have no labels in this form.
     """
-    clicks, convs, rejected = _sides(stream, routed, synced, conversions, rejects, grain, first, last)
+    convs, rejected = [_per_key(d, grain, first, last) for d in _event_rows(conversions, rejects)]
+    clicks = (
+        _per_key(click_sources(stream, routed, synced), grain, first, last)
+        .groupBy("period", "offer", "country", "channel")
+        .agg(*[F.max(c).alias(c) for c in ("pkg", "platform")], *[F.sum(m).alias(m) for m in ("click", "imp")])
+    )
     keys = ["period", "offer", "country"]
     rej = rejected.groupBy(*keys).agg(F.count("*").alias("rej_rows"), F.sum("reject").alias("rej_sum"))
     conv_sums = ["install", "conv", "revenue", "cost"]

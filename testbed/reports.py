@@ -66,19 +66,19 @@ GROUP BY 1, 2, 3, 4, 5, 6"""
 
 def _clean_sql(period: str) -> str:
     def ok(c: str) -> str:
-        return f"CASE WHEN LENGTH({c}) > 1 THEN {c} ELSE '' END"
+        return f"CASE WHEN LENGTH({c}) > 1 THEN {c} END"
 
     def best(c: str) -> str:
-        return f"COALESCE({', '.join(f'''NULLIF({t}.{c}, '')''' for t in 'cvr')}, '')"
+        return f"COALESCE(c.{c}, v.{c}, r.{c}, '')"
 
-    def side(table: str, sums: str) -> str:
-        labels = ", ".join(f"MAX({ok(c)}) AS {c}" for c in ("channel", "pkg", "platform"))
-        return f"SELECT period, {ok('offer_id')} AS offer, {ok('country')} AS country, {labels}, {sums} FROM {table} GROUP BY 1, 2, 3"
+    def side(rows: str, sums: str, pkg: str = "offer_pkg") -> str:
+        return f"""SELECT {period} AS period, COALESCE({ok('offer_id')}, '') AS offer, COALESCE({ok('country')}, '') AS country,
+  MAX({ok('channel')}) AS channel, MAX({ok(pkg)}) AS pkg, MAX({ok('platform')}) AS platform, {sums} FROM {rows} GROUP BY 1, 2, 3"""
 
-    return f"""{_sides(period)}
-, c AS ({side('click_tb', 'SUM(click) AS click, SUM(imp) AS imp')}),
-v AS ({side('conv_tb', 'SUM(install) AS install, SUM(conv) AS conv, SUM(revenue) AS revenue, SUM(cost) AS cost')}),
-r AS ({side('rej_tb', 'SUM(reject) AS reject')}),
+    installs = "SUM(CASE WHEN event_type = '1' THEN 1 ELSE 0 END) AS install, SUM(CASE WHEN event_type = '2' THEN 1 ELSE 0 END) AS conv"
+    return f""", c AS ({side(f'({_CLICK_UNION}) u', 'SUM(click) AS click, SUM(imp) AS imp', 'pkg')}),
+v AS ({side("(SELECT * FROM conversion_events WHERE offer_pkg <> '' AND offer_id <> '') x", f"{installs}, {sum_units('payout')} AS revenue, {sum_units('cost')} AS cost")}),
+r AS ({side('rejected', 'COUNT(*) AS reject')}),
 k AS (SELECT period, offer, country FROM c UNION SELECT period, offer, country FROM v UNION SELECT period, offer, country FROM r)
 SELECT k.period, k.country, k.offer, {best('channel')} AS channel, {best('pkg')} AS pkg, {best('platform')} AS platform, {_TRAFFIC_SUMS}
 FROM k LEFT JOIN c USING (period, offer, country) LEFT JOIN v USING (period, offer, country) LEFT JOIN r USING (period, offer, country)
