@@ -63,8 +63,8 @@ def allocate(
 
     ``publisher`` is the output of ``publisher_revenue``. Several rows for one slot and
     country repeat the conversion row and weigh in the totals, as the joins define it.
-    Totals are taken before the country filter. The conversion log is scanned once: the
-    base sums are written, and the four side inputs are aggregates of the base.
+    Totals are taken before the country filter. The conversion log and the publisher
+    log are scanned once: their sums are written, and all side inputs come from the sums.
     """
     base = rollup(
         between_slots(conversions, first, last).withColumn("day", day_of("time_slot")),
@@ -82,7 +82,9 @@ def allocate(
         .groupBy(*unpaid_keys)
         .agg(F.sum("offer_cost_u").alias("offer_cost_u"))
     )
-    pub = publisher.select(compact_day("day").alias("day"), "slot", "country", "re_real_revenue")
+    pub = materialize(
+        publisher.select(compact_day("day").alias("day"), "slot", "country", "re_real_revenue"), "publisher"
+    )
 
     share_keys = ["day", "country", "offer_id", "platform", "offer_pkg", "channel"]
     unpaid_shares = base.where((F.col("adtype") == rules.SHARE_ADTYPE) & (F.col("payout_u") == 0))
