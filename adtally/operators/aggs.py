@@ -44,8 +44,8 @@ def top_n_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
 
 
 def partition_total(df: DataFrame, keys: Sequence[str], totals: Mapping[str, Column]) -> DataFrame:
-    """``agg OVER (PARTITION BY keys)`` as an aggregate joined back in salted slices, so a
-    key holding a third of the rows is never collected into one task."""
+    """``agg OVER (PARTITION BY keys)`` as an aggregate joined back: unlike a window, a key
+    holding a third of the rows is never collected and sorted in one task."""
     sums = df.groupBy(*keys).agg(*[t.alias(n) for n, t in totals.items()])
     return attach_total(df, sums, keys)
 

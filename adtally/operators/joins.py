@@ -2,13 +2,15 @@
 
 Three rules hold everywhere:
 
-* Logs are aggregated before they meet anything, with map-side partial aggregation, so
-  a hot key is combined on every executor before the shuffle.
-* Two sides that share the full grain are not joined at all: ``merge_sums`` unions them
-  and aggregates once. That is one shuffle instead of three, has no sort, and replaces
-  the full outer join, which adaptive execution cannot split when a key is hot.
-* No broadcast is forced. Spark broadcasts a dimension when its measured size is below
-  ``spark.sql.autoBroadcastJoinThreshold`` and shuffles it beyond that.
+* Logs are aggregated before they meet anything. The partial aggregate runs in the scan's
+  own stage, so a hot key is combined on every executor before the shuffle.
+* Sides that share the full grain are aggregated on the join keys and then joined. The join
+  reuses the aggregates' partitioning, so it adds no shuffle, and every key is one row per
+  side, so it cannot skew, not even as a full outer join.
+* No broadcast is forced on data whose size is not known to be one row. Spark broadcasts a
+  side when its measured size is below ``spark.sql.autoBroadcastJoinThreshold``, and beyond
+  that shuffles it; a partition swollen by a hot key is then split by the adaptive skew join
+  (see ``session.SETTINGS``).
 """
 
 from __future__ import annotations
@@ -16,56 +18,20 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-SALTS = 16
 
-
-def _any_null(keys: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-
-
-def merge_sums(
-    left: DataFrame,
-    right: DataFrame,
-    keys: Sequence[str],
-    how: str = "full",
-    null_keys_match: bool = False,
-) -> DataFrame:
+def merge_sums(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "full") -> DataFrame:
     """Join two logs on their common grain while summing every measure.
 
     ``left`` and ``right`` carry the keys plus distinct measure columns and need not be
-    aggregated. A measure is NULL where its side has no row, as after an outer join.
-    Rows with a NULL key never match the other side unless ``null_keys_match``.
+    aggregated. A measure is NULL where its side has no row; NULL keys match nothing.
     """
-    left_sums = [c for c in left.columns if c not in keys]
-    right_sums = [c for c in right.columns if c not in keys]
-
-    def side(df: DataFrame, own: Sequence[str], other: DataFrame, missing: Sequence[str], tag: int):
-        types = {f.name: f.dataType for f in other.schema.fields}
-        return df.select(
-            *keys,
-            *own,
-            *[F.lit(None).cast(types[c]).alias(c) for c in missing],
-            F.lit(tag).alias("_side"),
-        )
-
-    both = side(left, left_sums, right, right_sums, 1).unionByName(
-        side(right, right_sums, left, left_sums, 2)
-    )
-    group = [F.col(k) for k in keys]
-    if not null_keys_match:
-        group.append(F.when(_any_null(keys), F.col("_side")).alias("_lone"))
-    merged = both.groupBy(*group).agg(
-        F.min("_side").alias("_first"),
-        F.max("_side").alias("_last"),
-        *[F.sum(c).alias(c) for c in [*left_sums, *right_sums]],
-    )
-    if how in ("left", "inner"):
-        merged = merged.where(F.col("_first") == 1)
-    if how in ("right", "inner"):
-        merged = merged.where(F.col("_last") == 2)
-    return merged.select(*keys, *left_sums, *right_sums)
+
+    def summed(df: DataFrame) -> DataFrame:
+        return df.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in df.columns if c not in keys])
+
+    return summed(left).join(summed(right), list(keys), how)
 
 
 def join_defaults(
@@ -84,23 +50,21 @@ def full_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFra
     return left.join(right, list(keys), "full")
 
 
-def attach_total(df: DataFrame, totals: DataFrame, keys: Sequence[str], salts: int = SALTS) -> DataFrame:
+def attach_total(df: DataFrame, totals: DataFrame, keys: Sequence[str], salts: int = 1) -> DataFrame:
     """Left join per-key totals (or a few rows per key) onto rows whose key may be hot.
 
-    The rows of a key are spread over ``salts`` tasks by a hash of the whole row and
-    the totals are repeated once per salt, so no task receives a whole hot key. NULL keys
-    form a group of their own, as they do in a window.
+    NULL keys form a group of their own, as they do in a window. Small totals are broadcast
+    by Spark's size check and the rows stay where they are; otherwise the adaptive skew join
+    splits a hot key's rows over tasks. ``salts`` spreads every key over that many tasks by
+    a hash of the row instead, for sessions that run without adaptive execution.
     """
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int"))
-    copies = totals.withColumnsRenamed({k: f"_t_{k}" for k in keys}).withColumn(
-        "_t_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    )
-    match = reduce(
-        lambda a, b: a & b,
-        [F.col(k).eqNullSafe(F.col(f"_t_{k}")) for k in keys],
-        F.col("_salt") == F.col("_t_salt"),
-    )
-    return salted.join(copies, match, "left").drop("_salt", "_t_salt", *[f"_t_{k}" for k in keys])
+    match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_t_{k}")) for k in keys])
+    side = totals.withColumnsRenamed({k: f"_t_{k}" for k in keys})
+    if salts > 1:
+        df = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int"))
+        side = side.withColumn("_t_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        match = match & (F.col("_salt") == F.col("_t_salt"))
+    return df.join(side, match, "left").drop("_salt", "_t_salt", *[f"_t_{k}" for k in keys])
 
 
 def enrich(df: DataFrame, *dims: tuple[DataFrame, Sequence[str]]) -> DataFrame:

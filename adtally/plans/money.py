@@ -105,11 +105,10 @@ def allocate(
     offer_totals = rollup(repeated, ["day", "offer_id"], offer_payout_u=F.sum("payout_u"))
     place_totals = rollup(repeated, place, slot_payout_u=F.sum("payout_u")).join(pub, place, "left")
 
-    # an offer or a slot may hold most base rows, so the coarse sides are attached in slices
-    joined = attach_total(base.drop("conversion"), unpaid, unpaid_keys)
-    joined = attach_total(joined, place_totals, place)
-    joined = attach_total(joined, offer_totals, ["day", "offer_id"])
-    joined = joined.join(shares, ["slot", *share_keys], "left").na.fill(
+    # the publisher rows come last, because they repeat base rows
+    joined = attach_total(base.drop("conversion"), offer_totals, ["day", "offer_id"])
+    joined = attach_total(joined, unpaid, unpaid_keys).join(shares, ["slot", *share_keys], "left")
+    joined = attach_total(joined, place_totals, place).na.fill(
         {"offer_cost_u": 0, "re_real_revenue": 0.0, "rate": 0.0}
     )
 

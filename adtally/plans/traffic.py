@@ -21,27 +21,32 @@ def _period(grain: str) -> Column:
     return F.col("time_slot") if grain == "hour" else day_of("time_slot")
 
 
-def click_sources(stream: DataFrame, routed: DataFrame, synced: DataFrame) -> DataFrame:
-    """UNION ALL of the three click logs, aligned with empty labels and zero measures.
+def click_sources(stream: DataFrame, routed: DataFrame, synced: DataFrame) -> list[DataFrame]:
+    """The three click logs with the report's column names.
 
     Stream rows carry counters, routed rows are one click each, synced rows carry clicks.
+    Only stream rows have a package and a platform.
     """
     common = rules.non_empty("country", "channel") & rules.without_token("offer_pkg")
     a = stream.where(common & rules.non_empty("offer_id")).select(
         "time_slot", F.col("offer_id").alias("offer"), "country", "channel",
         F.col("offer_pkg").alias("pkg"), "platform",
-        F.col("clk_count").alias("click"), F.col("imp_count").alias("imp"),
+        F.col("clk_count").alias("click_all"), F.col("imp_count").alias("impression"),
     )
     b = routed.where(common & (F.col("click_through") == rules.CLICKED_THROUGH)).select(
         "time_slot", rules.routed_offer().alias("offer"), "country", "channel",
-        F.lit(1).cast("long").alias("click"),
+        F.lit(1).cast("long").alias("click_all"),
     )
     c = synced.where(common).select(
         "time_slot", F.col("offer_id").alias("offer"), "country", "channel",
-        F.col("clk_count").alias("click"),
+        F.col("clk_count").alias("click_all"),
     )
-    zero = F.lit(0).cast("long")
-    return union_all(a, b.withColumn("imp", zero), c.withColumn("imp", zero), missing={"pkg": "", "platform": ""})
+    return [a, b, c]
+
+
+def click_union(stream: DataFrame, routed: DataFrame, synced: DataFrame) -> DataFrame:
+    """UNION ALL of the click logs, aligned with empty labels and zero impressions."""
+    return union_all(*click_sources(stream, routed, synced), missing={"pkg": "", "platform": "", "impression": 0})
 
 
 def _event_rows(conversions: DataFrame, rejects: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -60,10 +65,13 @@ def _event_rows(conversions: DataFrame, rejects: DataFrame) -> tuple[DataFrame,
 
 
 def _per_key(rows: DataFrame, grain: str, first: str | None, last: str | None) -> DataFrame:
-    """Measures summed per period and all labels. Only sums and plain keys, so the raw log
-    goes through hash aggregation and is combined before the shuffle without a sort."""
-    keys = ["offer", "country", *LABELS]
-    measures = [c for c in rows.columns if c not in (*keys, "time_slot")]
+    """Measures summed per period and all labels of one log.
+
+    Only sums and plain keys, so the raw log is hash aggregated in its scan stage and
+    combined before the shuffle without a sort.
+    """
+    keys = [c for c in ("offer", "country", *LABELS) if c in rows.columns]
+    measures = [c for c in rows.columns if c in MEASURES]
     dated = between_slots(rows, first, last).withColumn("period", _period(grain))
     return dated.groupBy("period", *keys).agg(*[F.sum(m).alias(m) for m in measures])
 
@@ -87,25 +95,23 @@ def traffic_report(
 
     Sides meet on (period, offer, country) and every measure is counted once. Labels are
     the first usable one (two characters or more) of click, conversion and reject side.
-    All five logs are unioned with zeros and summed per label first, then merged per key:
-    two shuffles of aggregates, and no join that a hot key could skew.
+    Each log is summed on its own first; the sums are unioned with zeros and merged per key
+    in one aggregation, so there is no join that a hot key could skew.
     """
-    convs, rejected = _event_rows(conversions, rejects)
-    clicks = click_sources(stream, routed, synced).withColumnsRenamed({"click": "click_all", "imp": "impression"})
-    zero = F.lit(0).cast("long")
-
-    def side(df: DataFrame, order: int) -> DataFrame:
+    def side(order: int, log: DataFrame) -> DataFrame:
+        df = _per_key(log, grain, first, last)
+        text, zero = F.lit(None).cast("string"), F.lit(0).cast("long")
         return df.select(
-            "time_slot", "offer", "country", *LABELS, F.lit(order).alias("side"),
+            "period",
+            *[F.coalesce(usable(k), F.lit("")).alias(k) for k in ("offer", "country")],
+            *[(usable(c) if c in df.columns else text).alias(c) for c in LABELS],
             *[F.col(m) if m in df.columns else zero.alias(m) for m in MEASURES],
+            F.lit(order).alias("side"),
         )
 
-    rows = union_all(side(clicks, 0), side(convs, 1), side(rejected, 2))
-    dated = between_slots(rows, first, last).withColumn("period", _period(grain))
-    keys = ["period", *[F.coalesce(usable(k), F.lit("")).alias(k) for k in ("offer", "country")]]
-    summed = dated.groupBy(*keys, "side", *[usable(c).alias(c) for c in LABELS]).agg(
-        *[F.sum(m).alias(m) for m in MEASURES]
-    )
+    clicks = [side(0, log) for log in click_sources(stream, routed, synced)]
+    others = [side(n, log) for n, log in enumerate(_event_rows(conversions, rejects), start=1)]
+    summed = union_all(*clicks, *others)
     best = {(c, n): F.max(F.when(F.col("side") == n, F.col(c))) for c in LABELS for n in range(3)}
     merged = summed.groupBy("period", "offer", "country").agg(
         *[F.coalesce(*[best[c, n] for n in range(3)], F.lit("")).alias(c) for c in LABELS],
@@ -137,10 +143,14 @@ def traffic_report_fanned(
     Reject-only rows have no labels in this form.
     """
     convs, rejected = [_per_key(d, grain, first, last) for d in _event_rows(conversions, rejects)]
+    summed = [_per_key(d, grain, first, last) for d in click_sources(stream, routed, synced)]
     clicks = (
-        _per_key(click_sources(stream, routed, synced), grain, first, last)
+        union_all(*summed, missing={"pkg": "", "platform": "", "impression": 0})
         .groupBy("period", "offer", "country", "channel")
-        .agg(*[F.max(c).alias(c) for c in ("pkg", "platform")], *[F.sum(m).alias(m) for m in ("click", "imp")])
+        .agg(
+            *[F.max(c).alias(c) for c in ("pkg", "platform")],
+            *[F.sum(m).alias(m) for m in ("click_all", "impression")],
+        )
     )
     keys = ["period", "offer", "country"]
     rej = rejected.groupBy(*keys).agg(F.count("*").alias("rej_rows"), F.sum("reject").alias("rej_sum"))
@@ -181,7 +191,7 @@ def traffic_report_fanned(
         )
 
     repeated = F.coalesce("repeat", F.lit(1))
-    clicked = {"click_all": F.col("click") * repeated, "impression": F.col("imp") * repeated}
+    clicked = {m: F.col(m) * repeated for m in ("click_all", "impression")}
     converted = {m: F.col(m) for m in [*conv_sums, "reject"]}
     blank = F.lit("")
     rows = union_all(

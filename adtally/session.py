@@ -13,7 +13,11 @@ SETTINGS = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # split partitions swollen by a hot key, even where that costs an extra shuffle later
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # hash instead of sort-merge only where every measured partition is this small
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 

@@ -15,7 +15,7 @@ from adtally.sources import partner_csv, tables as source
 from adtally.streaming import counters as streams
 from testbed.registry import big, half_even, half_up, money, query, sum_units
 from testbed.reports import (
-    DAY, SETTLE_SQL, SETTLE_TABLES, TRAFFIC_TABLES, _sides as traffic_sides, _top, _TOP, settlement_rows,
+    DAY, SETTLE_SQL, SETTLE_TABLES, TRAFFIC_TABLES, _top, _TOP, settlement_rows,
 )
 from testbed.tables import Testbed
 
@@ -186,15 +186,14 @@ query(
         *[t(n).select(slots.day_of("time_slot").alias("day"), "channel", "offer") for n in ("impressions", "conversions")]
     )
 )
-query("click_union", TRAFFIC_TABLES[:3], f"""{traffic_sides(DAY).split(', click_tb')[0]}
-SELECT {DAY} AS day, COUNT(*) AS n, {big('SUM(click)')} AS click, {big('SUM(imp)')} AS imp, MAX(pkg) AS pkg FROM (
+query("click_union", TRAFFIC_TABLES[:3], f"""SELECT {DAY} AS day, COUNT(*) AS n, {big('SUM(click)')} AS click, {big('SUM(imp)')} AS imp, MAX(pkg) AS pkg FROM (
   SELECT time_slot, offer_pkg AS pkg, clk_count AS click, imp_count AS imp FROM stream
   WHERE offer_id <> '' AND country <> '' AND channel <> '' AND offer_pkg NOT LIKE '%lazada%'
   UNION ALL SELECT time_slot, '', 1, 0 FROM routed WHERE click_through = '1' AND country <> '' AND channel <> '' AND offer_pkg NOT LIKE '%lazada%'
   UNION ALL SELECT time_slot, '', clk_count, 0 FROM synced WHERE country <> '' AND channel <> '' AND offer_pkg NOT LIKE '%lazada%') u GROUP BY 1""")(
     lambda t: aggs.rollup(
-        traffic.click_sources(*[t(n) for n in TRAFFIC_TABLES[:3]]).withColumn("day", slots.day_of("time_slot")),
-        ["day"], n=F.count("*"), click=F.sum("click"), imp=F.sum("imp"), pkg=F.max("pkg"),
+        traffic.click_union(*[t(n) for n in TRAFFIC_TABLES[:3]]).withColumn("day", slots.day_of("time_slot")),
+        ["day"], n=F.count("*"), click=F.sum("click_all"), imp=F.sum("impression"), pkg=F.max("pkg"),
     )
 )
 query(

@@ -58,17 +58,15 @@ def test_logs_are_combined_before_the_shuffle(plans):
         assert "HashAggregate" in deepest and "SortAggregate" not in deepest, name
 
 
-def test_full_joins_became_one_shuffle(spark):
-    schema = "time_slot string, channel string, offer string, platform string, country string, pkg string, count long, payout double"
-    a, b = spark.createDataFrame([], schema), spark.createDataFrame([], schema).repartition(3)
-    p = plan(rollups.day_platform_report(a.repartition(3), b))
-    assert "Join" not in p
-    assert len(re.findall(r"Exchange hashpartitioning", p)) == 1
+def test_common_grain_join_adds_no_shuffle(plans):
+    """One exchange per log, below its aggregate; the join reuses the partitioning."""
+    for name in ("day_platform_report", "offer_conv_click", "imp_click"):
+        assert len(re.findall(r"Exchange hashpartitioning", plans[name])) == 2, name
 
 
-def test_traffic_report_needs_two_shuffles(plans):
+def test_traffic_report_shuffles_each_log_once(plans):
     for name in ("hour_report", "day_report_all"):
-        assert len(re.findall(r"Exchange hashpartitioning", plans[name])) == 2
+        assert len(re.findall(r"Exchange hashpartitioning", plans[name])) == 6
         assert "Join" not in plans[name]
 
 
@@ -89,16 +87,27 @@ def test_kind_filter_reaches_the_reader(plans):
     assert "EqualTo(event_type,view)" in pushed
 
 
-def test_hot_key_is_salted(spark):
+def test_hot_key_is_split(spark):
+    """Beyond the broadcast threshold the adaptive skew join splits the hot key's rows."""
     from adtally.operators.aggs import partition_total
 
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "0",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
-        df = spark.range(1000).select(F.lit("hot").alias("k"), F.col("id").alias("v")).repartition(4)
+        key = F.when(F.col("id") % 3 > 0, F.lit("hot")).otherwise(F.col("id").cast("string"))
+        df = spark.range(0, 60_000, 1, 8).select(key.alias("k"), F.col("id").alias("v"))
         out = partition_total(df, ["k"], {"t": F.sum("v")})
-        p = plan(out)
-        assert re.search(r"Exchange hashpartitioning\(_salt", p)
-        assert {r.t for r in out.collect()} == {499500}
+        rows = out.where("k = 'hot'").groupBy("k", "t").count().collect()
+        assert [(r["t"], r["count"]) for r in rows] == [(sum(i for i in range(60_000) if i % 3), 40_000)]
+        out.collect()
+        assert re.search(r"AQEShuffleRead .*skewed", plan(out))
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
