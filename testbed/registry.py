@@ -19,7 +19,7 @@ def query(name: str, tables: tuple[str, ...] = (), sql: str | None = None):
     def wrap(fn: Callable[[Testbed], DataFrame]):
         if name in QUERIES:
             raise ValueError(f"query {name} registered twice")
-        QUERIES[name] = lambda spark, sf_dir: fn(Testbed(spark, sf_dir))
+        QUERIES[name] = lambda spark, sf_dir: fn(Testbed.of(spark, sf_dir))
         if sql is not None:
             head = duck_with(*tables) if tables else ""
             ORACLES[name] = f"{head}\n{sql}" if head else sql

@@ -228,6 +228,13 @@ def duck_with(*names: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({_render(TABLES[n][1], DUCK)})" for n in _chain(names))
 
 
+_INSTANCES: dict[tuple[str, int, str], Testbed] = {}
+
+
+def _key(spark: SparkSession, sf_dir: str) -> tuple[str, int, str]:
+    return spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/")
+
+
 class Testbed:
     """Lazily built source tables: ``tb("impressions")``."""
 
@@ -239,6 +246,15 @@ class Testbed:
         self.given = given or {}
         self.table = functools.cache(self._table)
 
+    @classmethod
+    def of(cls, spark: SparkSession, sf_dir: str) -> Testbed:
+        """One instance per session and folder: queries share the table plans (not data)."""
+        key = _key(spark, sf_dir)
+        if key not in _INSTANCES:
+            _INSTANCES[key] = cls(spark, sf_dir)
+        pin_settings(spark)
+        return _INSTANCES[key]
+
     def __call__(self, name: str) -> DataFrame:
         return self.table(name)
 
