@@ -41,8 +41,16 @@ def append(df: DataFrame, table: str) -> None:
     _conformed(df, table).write.insertInto(table, overwrite=False)
 
 
-def replace_partition(df: DataFrame, table: str) -> None:
-    """Replace exactly the partitions present in ``df``; a rerun leaves the same table.
+def drop_partitions(spark: SparkSession, table: str, column: str, values: Sequence[str]) -> None:
+    for value in values:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({column}='{value}')")
+
+
+def replace_partition(df: DataFrame, table: str, covers: Sequence[str] = ()) -> None:
+    """Replace the partitions present in ``df``; a rerun leaves the same table.
+
+    ``covers`` names the partitions the run is responsible for. One that has no rows any
+    more is emptied too, which an overwrite of present partitions would not do.
 
     Rows are rebalanced by partition key first: few files per partition, and a partition
     that holds most rows is split over several tasks.
@@ -50,6 +58,8 @@ def replace_partition(df: DataFrame, table: str) -> None:
     spark = df.sparkSession
     keys = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
     rows = _conformed(df, table)
+    if covers:
+        drop_partitions(spark, table, keys[0], covers)
     with _overwrite_mode(spark, "dynamic"):
         rows.hint("rebalance", *keys).write.insertInto(table, overwrite=True)
 
@@ -64,8 +74,7 @@ def expire(spark: SparkSession, table: str, column: str, prefix: str) -> list[st
     """Drop the partitions whose key starts with ``prefix``; a metadata operation."""
     names = [r.partition for r in spark.sql(f"SHOW PARTITIONS {table}").toLocalIterator()]
     doomed = [n.split("=", 1)[1] for n in names if n.startswith(f"{column}={prefix}")]
-    for value in doomed:
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({column}='{value}')")
+    drop_partitions(spark, table, column, doomed)
     return doomed
 
 

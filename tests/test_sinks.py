@@ -41,6 +41,12 @@ def test_replace_touches_only_its_partitions_and_reruns(spark, rows, table):
     assert cols(spark, table) == [("2024010100", "a", 1), ("2024010101", "c", 3), ("2024010102", "d", 4)]
 
 
+def test_a_covered_partition_without_rows_is_emptied(spark, rows, table):
+    tables.replace_partition(rows(SLOTS, ("2024010100", "a", 1), ("2024010101", "b", 2)), table)
+    tables.replace_partition(rows(SLOTS, *[]), table, covers=["2024010101"])
+    assert cols(spark, table) == [("2024010100", "a", 1)]
+
+
 def test_refresh_replaces_everything(spark, rows, table):
     tables.append(rows(SLOTS, ("2024010100", "a", 1)), table)
     tables.refresh(rows(SLOTS, ("2024010200", "z", 9)), table)
