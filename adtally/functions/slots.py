@@ -5,7 +5,7 @@ Buckets stay strings: they are partition keys and compare correctly as text.
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, functions as F
 
@@ -63,6 +63,13 @@ def as_date(slot) -> Column:
     return F.to_date(day_of(slot), DAY)
 
 
+def instant(as_of: datetime) -> Column:
+    """A UTC instant as a timestamp, whatever the time zone of the driver process is."""
+    if as_of.tzinfo is not None:
+        as_of = as_of.astimezone(timezone.utc).replace(tzinfo=None)
+    return F.lit(as_of.isoformat(sep=" ")).cast("timestamp")
+
+
 # --- job parameters: plain Python, always from an explicit instant -----------------
 
 

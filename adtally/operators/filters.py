@@ -9,7 +9,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from adtally.functions import rules
-from adtally.functions.slots import MINUTE_SLOT, day_bounds, event_day
+from adtally.functions.slots import MINUTE_SLOT, day_bounds, event_day, instant
 
 
 def at_slot(df: DataFrame, slot: str, col: str = "time_slot") -> DataFrame:
@@ -48,7 +48,7 @@ def scan_day(df: DataFrame, col: str, day: str) -> DataFrame:
 
 def last_minutes(df: DataFrame, as_of: datetime, minutes: int, ts: str = "utctime") -> DataFrame:
     """Look-back by instant, so it also works in the first minutes of an hour."""
-    end = F.lit(as_of)
+    end = instant(as_of)
     return df.where(F.col(ts) >= end - F.make_dt_interval(mins=F.lit(minutes))).where(F.col(ts) < end)
 
 

@@ -98,24 +98,26 @@ def traffic_report(
     Each log is summed on its own first; the sums are unioned with zeros and merged per key
     in one aggregation, so there is no join that a hot key could skew.
     """
-    def side(order: int, log: DataFrame) -> DataFrame:
+    def side(rank: int, log: DataFrame) -> DataFrame:
+        """A label is led by the rank of its side, so the largest one is the best side's."""
         df = _per_key(log, grain, first, last)
         text, zero = F.lit(None).cast("string"), F.lit(0).cast("long")
         return df.select(
             "period",
             *[F.coalesce(usable(k), F.lit("")).alias(k) for k in ("offer", "country")],
-            *[(usable(c) if c in df.columns else text).alias(c) for c in LABELS],
+            *[(F.concat(F.lit(str(rank)), usable(c)) if c in df.columns else text).alias(c) for c in LABELS],
             *[F.col(m) if m in df.columns else zero.alias(m) for m in MEASURES],
-            F.lit(order).alias("side"),
         )
 
-    clicks = [side(0, log) for log in click_sources(stream, routed, synced)]
-    others = [side(n, log) for n, log in enumerate(_event_rows(conversions, rejects), start=1)]
-    summed = union_all(*clicks, *others)
-    best = {(c, n): F.max(F.when(F.col("side") == n, F.col(c))) for c in LABELS for n in range(3)}
-    merged = summed.groupBy("period", "offer", "country").agg(
-        *[F.coalesce(*[best[c, n] for n in range(3)], F.lit("")).alias(c) for c in LABELS],
-        *[F.sum(m).alias(m) for m in MEASURES],
+    clicks = [side(2, log) for log in click_sources(stream, routed, synced)]
+    convs, rejected = _event_rows(conversions, rejects)
+    merged = (
+        union_all(*clicks, side(1, convs), side(0, rejected))
+        .groupBy("period", "offer", "country")
+        .agg(
+            *[F.coalesce(F.substr(F.max(c), F.lit(2)), F.lit("")).alias(c) for c in LABELS],
+            *[F.sum(m).alias(m) for m in MEASURES],
+        )
     )
     return merged.select(
         *REPORT_KEYS,

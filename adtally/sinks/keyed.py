@@ -23,19 +23,42 @@ def merged(current: DataFrame, updates: DataFrame, keys: Sequence[str], order: S
     return first_by(both, keys, [F.col("_age"), *order]).drop("_age")
 
 
-def replace_rows(spark: SparkSession, updates: DataFrame, path: str, keys: Sequence[str], order: Sequence[Column] = ()) -> None:
+def replace_rows(
+    spark: SparkSession,
+    updates: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    order: Sequence[Column] = (),
+    partition_by: str | None = None,
+) -> None:
     """Replace rows by (compound) key in the parquet snapshot at ``path``.
 
-    The merged snapshot is staged in the shared folder first, because a path cannot be
+    With ``partition_by`` (one of the keys) only the partitions that have updates are read,
+    by dynamic partition pruning, and rewritten, so the cost follows the update and not the
+    history. The merged rows are staged in the shared folder first, because a path cannot be
     overwritten while it is being read; the staged copy also survives a failed overwrite.
     """
-    staged = materialize(merged(spark.read.parquet(path), updates, keys, order), "snapshot")
-    staged.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
-
-
-def upsert_kv(spark: SparkSession, updates: DataFrame, path: str, order: Sequence[Column] = ()) -> None:
-    """Insert-or-update on ``key``."""
-    replace_rows(spark, updates, path, ["key"], order)
+    current = spark.read.schema(updates.schema).parquet(path)
+    if partition_by:
+        current = current.join(updates.select(partition_by).distinct(), partition_by, "left_semi")
+    staged = materialize(merged(current, updates, keys, order), "snapshot")
+    writer = staged.write.mode("overwrite")
+    if partition_by:
+        writer.option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(path)
+    else:
+        writer.option("partitionOverwriteMode", "static").parquet(path)
+
+
+def upsert_kv(
+    spark: SparkSession,
+    updates: DataFrame,
+    path: str,
+    order: Sequence[Column] = (),
+    partition_by: str | None = None,
+) -> None:
+    """Insert-or-update on ``key``, per partition if the snapshot is partitioned."""
+    keys = ["key"] if partition_by is None else [partition_by, "key"]
+    replace_rows(spark, updates, path, keys, order, partition_by)
 
 
 def snapshot_kv(df: DataFrame, value: Column, *key_parts) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from adtally.functions import rules
 from adtally.functions.numbers import count_where, from_units, to_units
-from adtally.functions.slots import MINUTE_SLOT, SLOT
+from adtally.functions.slots import DAY, MINUTE_SLOT, SLOT
 from adtally.functions.text import pack
 from adtally.sinks.keyed import upsert_kv
 from adtally.sinks.tables import replace_partition
@@ -61,11 +61,14 @@ def pacing_windows(stream: DataFrame, late_by: str = "5 minutes") -> DataFrame:
 
 
 def daily_clicks(stream: DataFrame, late_by: str = "1 day") -> DataFrame:
-    """Click-throughs of the day so far, as key/value; use with update mode."""
+    """Click-throughs of the day so far, as day, key and value; use with update mode."""
     clicks = stream.where(F.col("click_through") == rules.CLICKED_THROUGH)
     sums = tumbling(clicks, "created", DAILY, ["routed_offer", "slot"], late_by, value=F.count("*"))
-    day = F.date_format("bucket", "yyyyMMdd")
-    return sums.select(pack(day, "routed_offer", "slot").alias("key"), F.col("value").cast("string").alias("value"))
+    return sums.select(
+        F.date_format("bucket", DAY).alias("day"),
+        pack("routed_offer", "slot").alias("key"),
+        F.col("value").cast("string").alias("value"),
+    )
 
 
 def run_closed_windows(windows: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
@@ -80,11 +83,12 @@ def run_closed_windows(windows: DataFrame, table: str, checkpoint: str) -> Strea
 
 
 def run_cumulative(counters: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Update mode: changed counters overwrite their stored value."""
+    """Update mode: changed counters overwrite their stored value. The snapshot is partitioned
+    by day, so a batch rewrites the days it touches and leaves the history alone."""
     return (
         counters.writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda batch, _: upsert_kv(batch.sparkSession, batch, path))
+        .foreachBatch(lambda batch, _: upsert_kv(batch.sparkSession, batch, path, partition_by="day"))
         .trigger(availableNow=True)
         .start()
     )

@@ -64,7 +64,7 @@ query(
     ("ad_log",),
     f"""SELECT event_id, SUBSTRING(time_slot, 1, 8) AS day, SUBSTRING(time_slot, 9, 2) AS hour, {_hour_earlier} AS hour_earlier,
   strftime(strptime(time_slot, '%Y%m%d%H') - INTERVAL 14 DAY, '%Y%m%d%H') AS fortnight_earlier, iso_day,
-  REPLACE(iso_day, '-', '') AS compact_day, strftime(ts, '%Y%m%d%H%M') AS minute_slot, CAST(strptime(day, '%Y%m%d') AS DATE) AS as_date,
+  REPLACE(iso_day, '-', '') AS compact_day, strftime(ts, '%Y%m%d%H%M') AS minute_slot, CAST(CAST(strptime(day, '%Y%m%d') AS DATE) AS VARCHAR) AS as_date,
   CAST(EXTRACT(hour FROM ts) AS INTEGER) AS hour_number, LOWER(platform) AS lowered, channel || '_' || offer AS packed,
   SPLIT_PART(channel || '_' || offer, '_', 2) AS second_part, SPLIT_PART(channel, '_', 2) AS absent_part,
   SPLIT_PART(channel || '_' || offer, '_', 1) AS first_part, SPLIT_PART(channel || '_' || offer, '_', -1) AS last_part,
@@ -87,7 +87,7 @@ FROM ad_log""",
         slots.iso_day("day").alias("iso_day"),
         slots.compact_day("iso_day").alias("compact_day"),
         slots.minute_slot("ts").alias("minute_slot"),
-        slots.as_date("time_slot").alias("as_date"),
+        slots.as_date("time_slot").cast("string").alias("as_date"),
         F.hour("ts").alias("hour_number"),
         F.lower("platform").alias("lowered"),
         text.pack("channel", "offer").alias("packed"),
@@ -379,14 +379,14 @@ def _snapshot(t: Testbed) -> DataFrame:
 @query(
     "csv_export",
     ("af_installs",),
-    "SELECT id, channel, offer, site, install_time, strftime(install_time, '%Y%m%d%H') AS time_slot FROM af_installs",
+    "SELECT id, channel, offer, site, strftime(install_time, '%Y-%m-%d %H:%M:%S.%f') AS install_time, strftime(install_time, '%Y%m%d%H') AS time_slot FROM af_installs",
 )
 def _csv(t: Testbed) -> DataFrame:
     path = scratch_path(t.spark, "csv")
     rows = feeds.install_day(t("af_installs")).withColumn("install_time", F.date_format("install_time", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
     files.export_csv(rows, path)
-    schema = "id long, channel string, offer string, site string, install_time timestamp_ntz, time_slot string"
-    return t.spark.read.schema(schema).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(path)
+    schema = "id long, channel string, offer string, site string, install_time string, time_slot string"
+    return t.spark.read.schema(schema).csv(path)
 
 
 @query("tsv_export", ("impressions",), "SELECT time_slot, slot, country, CAST(SUM(count) AS BIGINT) AS c FROM impressions WHERE visible = '0' GROUP BY ALL")
@@ -509,11 +509,12 @@ WHERE {_closed(5, '5 MINUTE', "event_type <> '1' AND adtype NOT IN ('19', '38')"
 @query(
     "stream_daily_clicks",
     ("routed",),
-    f"SELECT {DAY} || '_' || routed_offer || '_' || slot AS key, CAST(COUNT(*) AS VARCHAR) AS value FROM routed WHERE click_through = '1' GROUP BY 1",
+    f"SELECT {DAY} AS day, routed_offer || '_' || slot AS key, CAST(COUNT(*) AS VARCHAR) AS value FROM routed WHERE click_through = '1' GROUP BY 1, 2",
 )
 def _daily(t: Testbed) -> DataFrame:
     path = scratch_path(t.spark, "daily")
     counts = streams.daily_clicks(_streamed(t)("routed"))
-    t.spark.createDataFrame([], counts.schema).write.parquet(path)
+    empty = t.spark.createDataFrame([], counts.schema)
+    empty.write.partitionBy("day").parquet(path)
     streams.run_cumulative(counts, path, scratch_path(t.spark, "stream")).awaitTermination()
-    return t.spark.read.parquet(path)
+    return t.spark.read.schema(empty.schema).parquet(path).select("day", "key", "value")

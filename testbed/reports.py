@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.sql import functions as F
+
 from adtally.plans import alarms, counters, dims, feeds, money as money_plans, rates, rollups, traffic
 from adtally.session import scratch_path
 from adtally.sources import contracts
@@ -437,14 +439,16 @@ _slot_rollup("slot_conversions", "conversions", "", rollups.slot_conversions, f"
 query(
     "offer_conv_click",
     ("impressions", "conversions"),
-    f"""SELECT ta.offer, ta.platform, ta.country, ta.date, ta.pkg, ta.count, ta.revenue, tb.click FROM (
+    f"""SELECT ta.offer, ta.platform, ta.country, CAST(ta.date AS VARCHAR) AS date, ta.pkg, ta.count, ta.revenue, tb.click FROM (
   SELECT channel || '_' || offer AS offer, platform, country, CAST(strptime({DAY}, '%Y%m%d') AS DATE) AS date, pkg,
     {big('SUM(count)')} AS count, {money('payout')} AS revenue FROM conversions WHERE pkg <> '' GROUP BY 1, 2, 3, 4, 5) ta
 LEFT JOIN (
   SELECT channel || '_' || offer AS offer, platform, country, CAST(strptime({DAY}, '%Y%m%d') AS DATE) AS date, pkg,
     {big('SUM(count)')} AS click FROM impressions WHERE pkg <> '' GROUP BY 1, 2, 3, 4, 5) tb
 ON ta.offer = tb.offer AND ta.country = tb.country AND ta.platform = tb.platform AND ta.pkg = tb.pkg AND ta.date = tb.date""",
-)(lambda t: rollups.offer_conv_click(t("conversions"), t("impressions")))
+)(
+    lambda t: rollups.offer_conv_click(t("conversions"), t("impressions")).withColumn("date", F.col("date").cast("string"))
+)
 
 query(
     "offer_share",
@@ -536,8 +540,8 @@ query(
 query(
     "cvr_install_day",
     ("af_installs",),
-    "SELECT id, channel, offer, site, install_time, strftime(install_time, '%Y%m%d%H') AS time_slot FROM af_installs",
-)(lambda t: feeds.install_day(t("af_installs")))
+    "SELECT id, channel, offer, site, strftime(install_time, '%Y-%m-%d %H:%M:%S.%f') AS install_time, strftime(install_time, '%Y%m%d%H') AS time_slot FROM af_installs",
+)(lambda t: feeds.install_day(t("af_installs")).withColumn("install_time", F.date_format("install_time", "yyyy-MM-dd HH:mm:ss.SSSSSS")))
 query(
     "af_report_normalize",
     ("af_report",),

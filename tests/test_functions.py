@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import math
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
@@ -32,6 +32,12 @@ def test_day_formats(spark):
     assert (r.i, r.c, str(r.d)) == ("2024-02-29", "20240229", "2024-02-29")
 
 
+def test_instant_is_utc(spark):
+    cet = timezone(timedelta(hours=1))
+    r = one(spark, a=slots.slot_of(slots.instant(datetime(2024, 1, 1, 10, 5))), b=slots.slot_of(slots.instant(datetime(2024, 1, 1, 0, 30, tzinfo=cet))))
+    assert tuple(r) == ("2024010110", "2023123123")
+
+
 def test_job_parameters():
     at = datetime(2024, 1, 1, 0, 10)
     assert slots.slot_before(at) == "2023123123"

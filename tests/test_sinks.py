@@ -82,6 +82,16 @@ def test_kv_upsert_is_idempotent_and_ordered(spark, rows, tmp_path):
         assert got(spark.read.parquet(path)) == [("a", "1"), ("b", "9"), ("c", "3")]
 
 
+def test_partitioned_upsert_leaves_other_days_alone(spark, rows, tmp_path):
+    path, schema = tmp_path / "kv", "day string, key string, value string"
+    rows(schema, ("d1", "a", "1"), ("d2", "a", "2"), ("d2", "b", "3")).write.partitionBy("day").parquet(str(path))
+    untouched = sorted(p.name for p in (path / "day=d1").iterdir())
+    keyed.upsert_kv(spark, rows(schema, ("d2", "a", "9"), ("d3", "a", "7")), str(path), partition_by="day")
+    out = spark.read.schema(schema).parquet(str(path)).select("day", "key", "value")
+    assert got(out) == [("d1", "a", "1"), ("d2", "a", "9"), ("d2", "b", "3"), ("d3", "a", "7")]
+    assert sorted(p.name for p in (path / "day=d1").iterdir()) == untouched
+
+
 def test_update_may_set_null_over_a_stored_value(spark, rows):
     out = keyed.merged(rows("key string, value string", ("a", "1")), rows("key string, value string", ("a", None)), ["key"])
     assert got(out) == [("a", None)]

@@ -65,12 +65,14 @@ def test_daily_counters_accumulate_over_batches(spark, arriving, tmp_path):
         CLICKS,
         [(at(0), "r1", "s1", "1"), (at(1), "r1", "s1", "0")],
         [(at(2), "r1", "s1", "1"), (at(3), "r2", "s1", "1")],
+        [(at(24 * 60), "r1", "s1", "1")],
     )
     counts = streams.daily_clicks(read(spark, CLICKS, path))
-    target = str(tmp_path / "kv")
-    spark.createDataFrame([], counts.schema).write.parquet(target)
-    streams.run_cumulative(counts, target, str(tmp_path / "cp")).awaitTermination()
-    assert got(spark.read.parquet(target)) == [("20240101_r1_s1", "2"), ("20240101_r2_s1", "1")]
+    target = tmp_path / "kv"
+    spark.createDataFrame([], counts.schema).write.partitionBy("day").parquet(str(target))
+    streams.run_cumulative(counts, str(target), str(tmp_path / "cp")).awaitTermination()
+    out = spark.read.schema(counts.schema).parquet(str(target)).select("day", "key", "value")
+    assert got(out) == [("20240101", "r1_s1", "2"), ("20240101", "r2_s1", "1"), ("20240102", "r1_s1", "1")]
 
 
 @pytest.mark.parametrize("windows, minutes", [(streams.install_windows, 10), (streams.pacing_windows, 5)])
