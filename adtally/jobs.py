@@ -106,7 +106,7 @@ def day_report_all(run: Run) -> None:
 
 @job
 def publisher_revenue(run: Run) -> None:
-    rows = money.publisher_revenue(*run.several("publisher_log", "countries", "placements"), day=run.iso(1))
+    rows = money.publisher_revenue(*run.several("publisher_log", "countries", "placements"), day=run.iso(1), ranked=False)
     run.load(rows, "publisher_revenue", "day", [run.iso(1)])
 
 

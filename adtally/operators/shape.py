@@ -19,14 +19,16 @@ def conform(df: DataFrame, schema: StructType, blank_strings: bool = False) -> D
     """Select and cast to a target schema, in its order.
 
     Missing text stays NULL; ``blank_strings`` turns it into '' for targets that have
-    no NULL. Dates accept both ``yyyyMMdd`` and ``yyyy-MM-dd`` text.
+    no NULL. Dates accept both ``yyyyMMdd`` and ``yyyy-MM-dd`` text; other text raises, as a
+    bad number does.
     """
     source = {f.name: f.dataType for f in df.schema.fields}
     out = []
     for field in schema.fields:
         col = F.col(field.name)
         if isinstance(field.dataType, DateType) and isinstance(source[field.name], StringType):
-            col = F.coalesce(F.try_to_date(col, "yyyy-MM-dd"), F.try_to_date(col, "yyyyMMdd"))
+            compact = F.length(col) == 8
+            col = F.when(compact, F.to_date(col, "yyyyMMdd")).otherwise(F.to_date(col, "yyyy-MM-dd"))
         elif isinstance(field.dataType, StringType):
             col = col.cast("string")
             if blank_strings:

@@ -30,11 +30,12 @@ BASE_KEYS = ["day", "slot", "country", "offer_id", "platform", "adtype", "offer_
 
 
 def publisher_revenue(
-    reporting: DataFrame, countries: DataFrame, placements: DataFrame, day: str | None = None
+    reporting: DataFrame, countries: DataFrame, placements: DataFrame, day: str | None = None, ranked: bool = True
 ) -> DataFrame:
     """Publisher revenue per day, slot and country, largest first.
 
     ``reporting`` is (day, placement_id, country_id, re_real_revenue) with an ISO day.
+    Pass ``ranked=False`` to feed another report, which spares the global sort.
     """
     rows = reporting if day is None else reporting.where(F.col("day") == day)
     sums = rollup(rows, ["day", "placement_id", "country_id"], re_real_revenue=sum_money("re_real_revenue"))
@@ -43,7 +44,8 @@ def publisher_revenue(
         F.col("id").alias("placement_id"), slot_or_id("slot_str", "id").alias("slot")
     )
     named = enrich(sums, (country, ["country_id"]), (placement, ["placement_id"]))
-    return named.select("day", "slot", "country", "re_real_revenue").orderBy(F.desc("re_real_revenue"))
+    out = named.select("day", "slot", "country", "re_real_revenue")
+    return out.orderBy(F.desc("re_real_revenue")) if ranked else out
 
 
 def owner_dimension(placements: DataFrame, apps: DataFrame, users: DataFrame) -> DataFrame:

@@ -149,8 +149,8 @@ alloc_report AS (
 ALLOC_TABLES = ("conversion_events", *PUBLISHER_TABLES, "apps", "users", "networks")
 
 
-def _publisher(t: Testbed):
-    return money_plans.publisher_revenue(*[t(n) for n in PUBLISHER_TABLES])
+def _publisher(t: Testbed, ranked: bool = False):
+    return money_plans.publisher_revenue(*[t(n) for n in PUBLISHER_TABLES], ranked=ranked)
 
 
 def _allocation(t: Testbed):
@@ -159,7 +159,9 @@ def _allocation(t: Testbed):
     )
 
 
-query("publisher_revenue", PUBLISHER_TABLES, f"{_PUB} SELECT * FROM pub")(_publisher)
+query("publisher_revenue", PUBLISHER_TABLES, f"{_PUB} SELECT * FROM pub")(
+    lambda t: _publisher(t, ranked=True)
+)
 query("allocate_revenue_cost", ALLOC_TABLES, f"{_OWNED} SELECT * FROM alloc_report")(_allocation)
 
 

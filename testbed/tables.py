@@ -29,7 +29,7 @@ SELECT event_id, user_id, ts, {slot:ts} AS time_slot, {day:ts} AS day, {iso:ts}
   CAST(100 + event_id % 37 AS STRING) AS slot,
   CAST(event_id % 11 AS STRING) AS site,
   {country:user_id} AS country,
-  CASE user_id % 3 WHEN 0 THEN 'ios' WHEN 1 THEN 'iOS' ELSE 'Android' END AS platform,
+  CASE (user_id + event_id) % 3 WHEN 0 THEN 'ios' WHEN 1 THEN 'iOS' ELSE 'Android' END AS platform,
   CASE event_id % 8 WHEN 0 THEN '3' WHEN 1 THEN '8' WHEN 2 THEN '19' WHEN 3 THEN '38' WHEN 4 THEN '39'
     WHEN 5 THEN '16' WHEN 6 THEN '12' ELSE '0' END AS adtype,
   CASE user_id % 25 WHEN 7 THEN 'com.lazada.android' WHEN 8 THEN 'com.alibaba.aliexpresshd'

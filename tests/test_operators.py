@@ -168,6 +168,11 @@ def test_conform_raises_on_a_number_that_is_none(rows):
         shape.conform(rows("n string", ("nan_text",)), StructType.fromDDL("n long")).collect()
 
 
+def test_conform_raises_on_a_bad_date(rows):
+    with pytest.raises(Exception, match="PARSE|CAST_INVALID|DATETIME"):
+        shape.conform(rows("d string", ("2024/01/02",)), StructType.fromDDL("d date")).collect()
+
+
 def test_shape_helpers(rows):
     df = rows("`sum(x)` long, `a-b` string", (1, "q"))
     assert shape.sanitize_names(df).columns == ["sum_x_", "a_b"]
