@@ -4,7 +4,7 @@ A job takes its inputs by table name, its time from ``as_of`` and writes below `
 Report tables live in the catalog with their files under ``root``; key/value snapshots are
 parquet folders. Every load replaces what it wrote before, so a rerun changes nothing.
 
-    spark-submit -m adtally.jobs hour_report --as-of 2024-01-15T11:10 --root /data/reports
+    spark-submit adtally/jobs.py hour_report --as-of 2024-01-15T11:10 --root /data/reports
 """
 
 from __future__ import annotations

@@ -20,14 +20,23 @@ SETTINGS = {
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
+# What a cluster run starts from; adaptive execution merges shuffle partitions that turn out small.
+CLUSTER_SETTINGS = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8000",
+    "spark.sql.files.maxPartitionBytes": "256m",
+}
 
 
 def build_session(app: str = "adtally", master: str | None = None, **extra: str) -> SparkSession:
-    """A session with the settings the reports rely on; ``extra`` keys use ``__`` for dots."""
+    """A session with the settings the reports rely on; ``extra`` keys use ``__`` for dots.
+
+    Without ``master`` the cluster that submitted the job decides it.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master).config("spark.ui.enabled", "false")
-    for key, value in SETTINGS.items():
+    settings = SETTINGS if master else {**CLUSTER_SETTINGS, **SETTINGS}
+    for key, value in settings.items():
         builder = builder.config(key, value)
     for key, value in extra.items():
         builder = builder.config(key.replace("__", "."), value)

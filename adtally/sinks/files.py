@@ -26,11 +26,13 @@ def settlement_lines(df: DataFrame) -> DataFrame:
     return df.select(F.concat_ws(FIELD_MARK, *fields).alias("value"))
 
 
-def export_settlement(df: DataFrame, path: str) -> None:
-    """Gzip text parts, written in parallel; a reader concatenates the parts."""
+def export_settlement(df: DataFrame, path: str, lines_per_file: int = 2_000_000) -> None:
+    """Gzip text parts, written in parallel; a reader concatenates the parts. Parts are
+    bounded, so that checksumming one fits in a task."""
     (
         settlement_lines(df)
         .write.mode("overwrite")
+        .option("maxRecordsPerFile", lines_per_file)
         .option("lineSep", LINE_MARK)
         .option("compression", "gzip")
         .text(path)
