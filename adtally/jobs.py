@@ -4,7 +4,7 @@ A job takes its inputs by table name, its time from ``as_of`` and writes below `
 Report tables live in the catalog with their files under ``root``; key/value snapshots are
 parquet folders. Every load replaces what it wrote before, so a rerun changes nothing.
 
-    spark-submit adtally/jobs.py hour_report --as-of 2024-01-15T11:10 --root /data/reports
+    spark-submit --py-files adtally.zip run_job.py hour_report --as-of 2024-01-15T11:10 --root /data/reports
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from adtally.functions import slots
 from adtally.plans import alarms, counters, dims, feeds, money, rates, rollups, traffic
-from adtally.session import build_session
+from adtally.session import build_session, materialize
 from adtally.sinks import files, keyed, tables as sink
 from adtally.sources import contracts, partner_csv
 
@@ -324,14 +324,20 @@ def day_platform_report(run: Run) -> None:
 
 @job
 def slot_rollups(run: Run) -> None:
-    """Six rollups over the seven trailing days."""
+    """Six rollups over the seven trailing days, with one scan per log."""
     since = f"{slots.day_before(run.as_of, 7)}00"
-    for report, source in (
-        (rollups.slot_requests, "requests"), (rollups.slot_listed_requests, "requests"),
-        (rollups.slot_impressions, "impressions"), (rollups.slot_clicks, "clicks"),
-        (rollups.slot_all_clicks, "impressions"), (rollups.slot_conversions, "conversions"),
-    ):
-        run.refresh(report(run.table(source), since), report.__name__)
+    requests = materialize(rollups.request_rollups(run.table("requests"), since), "requests")
+    impressions = materialize(rollups.impression_rollups(run.table("impressions"), since), "impressions")
+    outputs = {
+        "slot_requests": rollups.part_of(requests, "visible"),
+        "slot_listed_requests": rollups.part_of(requests, "listed"),
+        "slot_impressions": rollups.part_of(impressions, "shown"),
+        "slot_all_clicks": rollups.part_of(impressions, "hidden"),
+        "slot_clicks": rollups.slot_clicks(run.table("clicks"), since),
+        "slot_conversions": rollups.slot_conversions(run.table("conversions"), since),
+    }
+    for name, rows in outputs.items():
+        run.refresh(rows, name)
 
 
 def _alarm(report: Callable[..., DataFrame], name: str, *inputs: str) -> None:

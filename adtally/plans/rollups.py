@@ -41,6 +41,39 @@ def slot_impressions(impressions: DataFrame, since: str | None = None) -> DataFr
     return _slot_rollup(impressions, since, shown)
 
 
+def _sum_where(test: Column, x: str) -> Column:
+    """NULL where no row passes, so that absent groups can be told from zero."""
+    return F.sum(F.when(test, F.col(x)))
+
+
+def request_rollups(requests: DataFrame, since: str | None = None) -> DataFrame:
+    """Both request rollups from one scan; a pair is NULL where it has no rows."""
+    visible, listed = F.col("visible") == "1", F.col("adtype") == REQUEST_ADTYPE
+    return rollup(
+        between_slots(requests, since, None).where(visible | listed), SLOT_KEYS,
+        visible_c=_sum_where(visible, "count"), visible_filled=_sum_where(visible, "filled"),
+        listed_c=_sum_where(listed, "count"), listed_filled=_sum_where(listed, "filled"),
+    )
+
+
+def impression_rollups(impressions: DataFrame, since: str | None = None) -> DataFrame:
+    """Shown impressions and hidden ones (all clicks) from one scan; NULL where no rows."""
+    shown = (F.col("visible") == "1") & (F.col("adtype") != HIDDEN_ADTYPE)
+    hidden = F.col("visible") == "0"
+    return rollup(
+        between_slots(impressions, since, None).where(shown | hidden), SLOT_KEYS,
+        shown_c=_sum_where(shown, "count"), hidden_c=_sum_where(hidden, "count"),
+    )
+
+
+def part_of(both: DataFrame, prefix: str) -> DataFrame:
+    """One rollup of a pair, under its own column names."""
+    own = [c for c in both.columns if c.startswith(f"{prefix}_")]
+    return both.where(F.col(f"{prefix}_c").isNotNull()).select(
+        *SLOT_KEYS, *[F.col(c).alias(c.removeprefix(f"{prefix}_")) for c in own]
+    )
+
+
 def slot_clicks(clicks: DataFrame, since: str | None = None) -> DataFrame:
     return _slot_rollup(clicks, since)
 

@@ -438,6 +438,27 @@ _slot_rollup("slot_clicks", "clicks", "", rollups.slot_clicks)
 _slot_rollup("slot_all_clicks", "impressions", "WHERE visible = '0'", rollups.slot_all_clicks)
 _slot_rollup("slot_conversions", "conversions", "", rollups.slot_conversions, f", {money('payout')} AS p")
 
+_VISIBLE, _REQUEST, _SHOWN, _HIDDEN = "visible = '1'", "adtype = '3'", "visible = '1' AND adtype <> '12'", "visible = '0'"
+
+
+def _sum_where(test: str, x: str) -> str:
+    return f"CAST(SUM({x}) FILTER (WHERE {test}) AS BIGINT)"
+
+
+query(
+    "request_rollups",
+    ("requests",),
+    f"""SELECT {_SLOT}, {_sum_where(_VISIBLE, 'count')} AS visible_c, {_sum_where(_VISIBLE, 'filled')} AS visible_filled,
+  {_sum_where(_REQUEST, 'count')} AS listed_c, {_sum_where(_REQUEST, 'filled')} AS listed_filled
+FROM requests WHERE {_VISIBLE} OR {_REQUEST} GROUP BY ALL""",
+)(lambda t: rollups.request_rollups(t("requests")))
+query(
+    "impression_rollups",
+    ("impressions",),
+    f"""SELECT {_SLOT}, {_sum_where(_SHOWN, 'count')} AS shown_c, {_sum_where(_HIDDEN, 'count')} AS hidden_c
+FROM impressions WHERE ({_SHOWN}) OR {_HIDDEN} GROUP BY ALL""",
+)(lambda t: rollups.impression_rollups(t("impressions")))
+
 query(
     "offer_conv_click",
     ("impressions", "conversions"),

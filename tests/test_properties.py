@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from adtally.functions import rules
-from adtally.plans import feeds
+from adtally.plans import feeds, rollups
 from testbed import QUERIES
 from testbed.tables import Testbed
 
@@ -64,3 +64,18 @@ def test_hour_report_rolls_up_to_the_day_report(spark):
     sums = [F.sum(c).alias(c) for c in ("click_all", "impression", "install", "conv", "reject")]
     a, b = hour.agg(*sums), day.agg(*sums)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+@pytest.mark.parametrize(
+    "pair, prefix, single",
+    [
+        ("request_rollups", "visible", "slot_requests"),
+        ("request_rollups", "listed", "slot_listed_requests"),
+        ("impression_rollups", "shown", "slot_impressions"),
+        ("impression_rollups", "hidden", "slot_all_clicks"),
+    ],
+)
+def test_one_scan_pairs_equal_their_rollups(spark, pair, prefix, single):
+    a, b = rollups.part_of(QUERIES[pair](spark, SF), prefix), QUERIES[single](spark, SF)
+    assert a.columns == b.columns
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
