@@ -370,7 +370,7 @@ def clear_counters(run: Run) -> None:
 
 def main(argv: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="Run scheduled reports.")
-    parser.add_argument("jobs", nargs="+", choices=sorted(JOBS), help="jobs, in order")
+    parser.add_argument("jobs", nargs="+", choices=sorted(JOBS), metavar="JOB", help=", ".join(sorted(JOBS)))
     parser.add_argument("--as-of", required=True, type=datetime.fromisoformat, help="UTC instant of the run")
     parser.add_argument("--root", required=True, help="folder of report files")
     parser.add_argument("--database", default=None, help="catalog database of the input tables")
