@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import functools
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -50,23 +51,25 @@ def pin_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
-@functools.cache
-def _local_fallback() -> str:
-    return tempfile.mkdtemp(prefix="adtally-")
+def shared_dir(spark: SparkSession) -> str:
+    """The folder every executor can reach: ``spark.checkpoint.dir``, or what ``setCheckpointDir`` was given."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not configured:
+        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+    return configured
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach: ``spark.checkpoint.dir``.
+def use_scratch(spark: SparkSession) -> SparkSession:
+    """For a session on one machine whose owner set no checkpoint folder, as tests do: a temporary one, deleted at exit.
 
-    Only a local master may fall back to a machine-local folder; a cluster without
-    the setting is refused instead of writing where other executors cannot read.
+    Library code never calls this; a cluster without the setting stays refused by ``shared_dir``.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    return _local_fallback()
+    context = spark.sparkContext
+    if not spark.conf.get("spark.checkpoint.dir", None) and not context.getCheckpointDir() and context.master.startswith("local["):
+        folder = tempfile.mkdtemp(prefix="adtally-")
+        context.setCheckpointDir(folder)
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return spark
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -84,3 +87,9 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder in whatever store holds it."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)

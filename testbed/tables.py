@@ -11,7 +11,7 @@ import functools
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adtally.session import pin_settings
+from adtally.session import pin_settings, use_scratch
 
 SPARK = {"slot": "date_format({0}, 'yyyyMMddHH')", "day": "date_format({0}, 'yyyyMMdd')", "iso": "date_format({0}, 'yyyy-MM-dd')"}
 DUCK = {"slot": "strftime({0}, '%Y%m%d%H')", "day": "strftime({0}, '%Y%m%d')", "iso": "strftime({0}, '%Y-%m-%d')"}
@@ -241,7 +241,7 @@ class Testbed:
     __test__ = False
 
     def __init__(self, spark: SparkSession, sf_dir: str, given: dict[str, DataFrame] | None = None):
-        self.spark = pin_settings(spark)
+        self.spark = pin_settings(use_scratch(spark))
         self.sf_dir = sf_dir.rstrip("/")
         self.given = given or {}
         self.table = functools.cache(self._table)

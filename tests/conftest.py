@@ -16,6 +16,7 @@ def spark(tmp_path_factory):
         "tests", "local[8]", spark__sql__shuffle__partitions="4", spark__driver__memory="8g",
         spark__ui__showConsoleProgress="false",
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
