@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adtally.llm import decontaminate, packing
+from adtally.llm import decontaminate, line_dedup, packing, quality, warc
 from adtally.llm.common import tuned
 from adtally.session import use_scratch
 
@@ -41,6 +41,21 @@ def op4(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     return decontaminate.contamination(documents, benchmark, window=10, shingle=3)
 
 
+@query("op5_line_dedup", "documents", sql=line_dedup.LINE_SQL.format(ratio=0.1, min_pages=3))
+def op5(documents: DataFrame) -> DataFrame:
+    return line_dedup.line_report(documents, site="source", ratio=0.1, min_pages=3)
+
+
+@query("op6_warc_revisits", "pages", sql=warc.REVISIT_SQL)
+def op6(pages: DataFrame) -> DataFrame:
+    return warc.deduplicate(pages, least=100)
+
+
 @query("op9_best_fit_packing", "documents")
 def op9(documents: DataFrame) -> DataFrame:
     return packing.pack(documents, word_tokenizer(), capacity=4096, end_id=1)
+
+
+@query("op10_quality_classifier", "documents", "labels")
+def op10(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    return quality.graded(documents, labels, max_positive=12_000, max_unlabelled=12_000)
