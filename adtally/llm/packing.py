@@ -145,7 +145,8 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 1)
     plan = spark.sparkContext.broadcast(best_fit_plan(histogram, capacity))
     earlier = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     before = counts.select("length", "task", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    ranked = cut.join(before, ["length", "task"]).select(
+    # the counts grow with the number of tasks, so they are shuffled, whatever their compressed size suggests
+    ranked = cut.join(before.hint("merge"), ["length", "task"]).select(
         "doc_id", "piece", "start", "length", "ids_crc32", (F.col("rank") + F.col("before")).alias("rank")
     )
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adtally.llm import decontaminate, line_dedup, packing, quality, warc
+from adtally.llm import decontaminate, jaccard_join, line_dedup, packing, quality, warc
 from adtally.llm.common import tuned
 from adtally.session import use_scratch
 
@@ -36,6 +36,11 @@ def word_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@query("op3_ngram_jaccard_join", "documents", sql=jaccard_join.JACCARD_SQL)
+def op3(documents: DataFrame) -> DataFrame:
+    return jaccard_join.similar_documents(documents, shingle=5, percent=80)
+
+
 @query("op4_benchmark_decontamination", "documents", "benchmark")
 def op4(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     return decontaminate.contamination(documents, benchmark, window=10, shingle=3)
