@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adtally.llm import decontaminate, jaccard_join, line_dedup, packing, quality, warc
+from adtally.llm import decontaminate, embedding_dedup, jaccard_join, line_dedup, packing, quality, warc
 from adtally.llm.common import tuned
 from adtally.session import use_scratch
 
@@ -56,6 +56,11 @@ def op6(pages: DataFrame) -> DataFrame:
     return warc.deduplicate(pages, least=100)
 
 
+@query("op8_embedding_near_dedup", "embeddings", sql=embedding_dedup.COSINE_SQL)
+def op8(embeddings: DataFrame) -> DataFrame:
+    return embedding_dedup.near_duplicates(embeddings, threshold=0.9)
+
+
 @query("op9_best_fit_packing", "documents")
 def op9(documents: DataFrame) -> DataFrame:
     return packing.pack(documents, word_tokenizer(), capacity=4096, end_id=1)
