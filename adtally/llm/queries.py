@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from adtally.llm import decontaminate, embedding_dedup, jaccard_join, line_dedup, packing, quality, warc
+from adtally.llm import decontaminate, embedding_dedup, jaccard_join, line_dedup, packing, quality, token_counts, warc
 from adtally.llm.common import tuned
 from adtally.session import use_scratch
 
@@ -36,6 +37,23 @@ def word_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def sample_edits(documents: DataFrame) -> DataFrame:
+    """Three edits for every document, at places that follow from its id: a replacement, an insertion and a deletion."""
+    n = F.char_length(F.coalesce("text", F.lit("")))
+
+    def edit(k: int, length: int, replacement: str | None):
+        start = F.pmod(F.xxhash64("doc_id", F.lit(k)), n.cast("long") + 1)
+        return F.struct(F.lit(k).alias("edit_id"), start.alias("start"), F.lit(length).alias("length"), F.lit(replacement).cast("string").alias("replacement"))
+
+    three = F.array(edit(1, 12, "An edited passage,"), edit(2, 0, " some inserted words"), edit(3, 40, None))
+    return documents.select("doc_id", F.explode(three).alias("e")).select("doc_id", "e.*")
+
+
+@query("op1_edit_aware_token_counts", "documents")
+def op1(documents: DataFrame) -> DataFrame:
+    return token_counts.counted_with_edits(documents, sample_edits(documents), word_tokenizer())
+
+
 @query("op3_ngram_jaccard_join", "documents", sql=jaccard_join.JACCARD_SQL)
 def op3(documents: DataFrame) -> DataFrame:
     return jaccard_join.similar_documents(documents, shingle=5, percent=80)
