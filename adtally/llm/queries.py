@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adtally.llm import decontaminate, embedding_dedup, jaccard_join, line_dedup, packing, quality, token_counts, warc
+from adtally.llm import decontaminate, embedding_dedup, jaccard_join, licenses, line_dedup, packing, quality, token_counts, warc
 from adtally.llm.common import tuned
 from adtally.session import use_scratch
 
@@ -74,6 +74,23 @@ def op6(pages: DataFrame) -> DataFrame:
     return warc.deduplicate(pages, least=100)
 
 
+def file_paths(documents: DataFrame) -> DataFrame:
+    """The documents as files: ``source/lang/block/``, some of them licence files of a block or of the language's folder."""
+    place = F.concat_ws("/", "source", "lang")
+    block = F.concat_ws("/", place, F.expr("cast(doc_id div 64 as string)"))
+    path = (
+        F.when(F.col("doc_id") % 128 == 0, F.concat(place, F.lit("/LICENSE")))
+        .when(F.col("doc_id") % 8 == 0, F.concat(block, F.lit("/LICENSE")))
+        .otherwise(F.concat(block, F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt")))
+    )
+    return documents.select("doc_id", path.alias("path"), "text")
+
+
+@query("op7_license_scan", "documents", sql=licenses.LICENCE_SQL)
+def op7(documents: DataFrame) -> DataFrame:
+    return licenses.scan(file_paths(documents), threshold=0.8)
+
+
 @query("op8_embedding_near_dedup", "embeddings", sql=embedding_dedup.COSINE_SQL)
 def op8(embeddings: DataFrame) -> DataFrame:
     return embedding_dedup.near_duplicates(embeddings, threshold=0.9)
