@@ -37,7 +37,10 @@ PIECE = T.StructType(
 )
 
 
-def pieces(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 1) -> DataFrame:
+IDS = T.StructField("ids", T.ArrayType(T.LongType()))
+
+
+def pieces(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 1, with_ids: bool = False) -> DataFrame:
     """Documents as runs of at most ``capacity`` ids, the closing id included; only longer documents are cut."""
     docs = docs.select("doc_id", "text")
 
@@ -45,21 +48,24 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int =
         tokens = WordTokenizer.of(tokenizer)
         task, seen, end = TaskContext.get().partitionId(), defaultdict(int), np.array([end_id], np.uint32)
         for batch in (part for whole in batches for part in W.slices(whole)):
-            rows = []
+            rows, runs = [], []
             for k, ids in enumerate(tokens.ids(batch.column("text"))):
                 ids = np.concatenate([ids, end])
                 for number, low in enumerate(range(0, len(ids), capacity)):
                     part = ids[low : low + capacity]
                     rows.append((k, number, low, len(part), zlib.crc32(part.astype("<u4", copy=False)), seen[len(part)]))
                     seen[len(part)] += 1
+                    runs.append(part)
             row, number, start, length, crc, rank = np.array(rows, np.int64).reshape(-1, 6).T
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").take(pa.array(row)), pa.array(number, pa.int32()), pa.array(start), pa.array(length),
-                 pa.array(crc), pa.array(np.full(len(row), task), pa.int32()), pa.array(rank)],
-                ["doc_id", *PIECE.names],
+                 pa.array(crc), pa.array(np.full(len(row), task), pa.int32()), pa.array(rank),
+                 *([pa.array([r.astype(np.int64) for r in runs], pa.list_(pa.int64()))] if with_ids else [])],
+                schema.names,
             )
 
-    return docs.mapInArrow(cut, T.StructType([docs.schema["doc_id"], *PIECE.fields]))
+    schema = T.StructType([docs.schema["doc_id"], *PIECE.fields, *([IDS] if with_ids else [])])
+    return docs.mapInArrow(cut, schema)
 
 
 class Tightest:
@@ -131,23 +137,24 @@ def _give_back(rooms, tree, room: int, first: int, number: int) -> None:
         tree.set(room, True)
 
 
-def pack(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 1) -> DataFrame:
-    """One row per piece with its sequence and its place there.
+def pack(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 1, with_ids: bool = False) -> DataFrame:
+    """One row per piece with its sequence and its place there, and with its ids on request.
 
     ``docs`` holds ``doc_id, text``; ``tokenizer`` is the path of a ``word_bpe`` file on the executors.
     """
     spark = docs.sparkSession
     stages = Stages(spark, "pack")
-    cut = stages.write(pieces(docs, tokenizer, capacity, end_id), "pieces")
+    cut = stages.write(pieces(docs, tokenizer, capacity, end_id, with_ids), "pieces")
     counts = stages.write(cut.groupBy("length", "task").agg(F.count("*").alias("n")), "counts")
     # at most `capacity` rows
     histogram = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     plan = spark.sparkContext.broadcast(best_fit_plan(histogram, capacity))
     earlier = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     before = counts.select("length", "task", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    kept = ["doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else [])]
     # the counts grow with the number of tasks, so they are shuffled, whatever their compressed size suggests
     ranked = cut.join(before.hint("merge"), ["length", "task"]).select(
-        "doc_id", "piece", "start", "length", "ids_crc32", (F.col("rank") + F.col("before")).alias("rank")
+        *kept, (F.col("rank") + F.col("before")).alias("rank")
     )
 
     def place(batches):
@@ -167,11 +174,9 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 1)
                 at[own] = begin[int(n)] + np.searchsorted(firsts, rank[own], "right") - 1
             _, first_rank, first_bin, per, offset = table[at].T
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("doc_id", "piece", "start", "length", "ids_crc32")),
-                 pa.array(first_bin + (rank - first_rank) // per), pa.array(offset + (rank - first_rank) % per * length)],
-                ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
+                [*(batch.column(c) for c in kept), pa.array(first_bin + (rank - first_rank) // per), pa.array(offset + (rank - first_rank) % per * length)],
+                [*kept, "sequence_id", "offset"],
             )
 
-    out = ranked.select("doc_id", "piece", "start", "length", "ids_crc32")
-    schema = T.StructType([*out.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
+    schema = T.StructType([*ranked.select(*kept).schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
     return ranked.mapInArrow(place, schema)
