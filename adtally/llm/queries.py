@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adtally.llm import decontaminate, embedding_dedup, jaccard_join, licenses, line_dedup, packing, quality, token_counts, warc
+from adtally.llm import decontaminate, embedding_dedup, jaccard_join, licenses, line_dedup, packing, quality, suffix_dedup, token_counts, warc
 from adtally.llm.common import tuned
 from adtally.session import use_scratch
 
@@ -54,6 +54,11 @@ def op1(documents: DataFrame) -> DataFrame:
     return token_counts.counted_with_edits(documents, sample_edits(documents), word_tokenizer())
 
 
+@query("op2_suffix_dedup", "documents", sql=suffix_dedup.REPEAT_SQL)
+def op2(documents: DataFrame) -> DataFrame:
+    return suffix_dedup.repeat_report(documents, length=50)
+
+
 @query("op3_ngram_jaccard_join", "documents", sql=jaccard_join.JACCARD_SQL)
 def op3(documents: DataFrame) -> DataFrame:
     return jaccard_join.similar_documents(documents, shingle=5, percent=80)
