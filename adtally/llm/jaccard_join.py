@@ -7,12 +7,13 @@ shingles alone. Pairs that meet pass a length filter, a positional filter (how m
 the two places still allow) and a suffix filter (how much the sizes of eight parts of both
 sets allow) and are then verified once, on whole sets.
 
-* Order: document frequencies are summed over all documents in a table of ``CELLS`` cells, one
-  per shingle hash modulo its size. Shingles are ordered by (cell count, hash). Any total
-  order gives the same pairs; the table has a fixed size, so it can be broadcast.
+* Order: document frequencies are summed over all documents in a table with a cell per shingle hash
+  modulo its size. Shingles are ordered by (cell count, hash). Any total order gives the same
+  pairs; the table has at most 2 ** 24 cells (64 MB) whatever the input, so it can be broadcast.
 * Equal sets are one class from the start; only the classes are joined.
-* A shingle shared by at most ``SMALL`` classes gives all their pairs. In a larger group every
-  class meets a few hubs first, those that have the shingle earliest; components follow from the
+* The classes that share a shingle are filtered pair by pair in memory if they are at most ``PAIRED``.
+  If what passes is in proportion to their number, those pairs are verified. In a group that is
+  larger, or as dense as near copies are, every class meets a few hubs first, those that have the shingle earliest; components follow from the
   links found, and only groups that still hold several components get new hubs, twice as many in
   each round, until all members of a group are connected or each has been a hub. So a
   group of near copies costs a few comparisons per member, and no link between two
@@ -39,10 +40,12 @@ from adtally.llm import words as W
 from adtally.llm.common import Stages, tasks_for
 from adtally.llm.components import components
 
-CELLS = 1 << 20
 PARTS = 64
+CELL_BITS = (16, 24)
 SMALL = 8
+PAIRED = 512
 FIRST_HUBS = 2
+FEW_PAIRS = 4
 GROUP_ROWS = 200_000
 PAIRS_PER_TASK = 2_000
 CUTS = 8
@@ -85,15 +88,20 @@ def needed(size: np.ndarray, percent: int) -> np.ndarray:
     return -(-size * percent // 100)
 
 
-def described(docs: DataFrame, shingle: int) -> DataFrame:
+def cells_for(n_bytes: int) -> int:
+    """Size of the frequency table: about a cell per hundred shingles, within fixed bounds."""
+    return 1 << min(max(int(n_bytes // 768).bit_length(), CELL_BITS[0]), CELL_BITS[1])
+
+
+def described(docs: DataFrame, shingle: int, size: int) -> DataFrame:
     """``doc_id, n, digest`` per document, and per task partial document frequencies as ``part, cells``."""
-    step = CELLS // PARTS
+    step = size // PARTS
 
     def run(batches):
-        cells = np.zeros(CELLS, np.uint32)
+        cells = np.zeros(size, np.uint32)
         for batch in (part for whole in batches for part in W.slices(whole)):
             sets = Sets(batch.column("text"), shingle)
-            cells += np.bincount(sets.hashes & np.uint64(CELLS - 1), minlength=CELLS).astype(np.uint32)
+            cells += np.bincount(sets.hashes & np.uint64(size - 1), minlength=size).astype(np.uint32)
             n, nothing = batch.num_rows, pa.nulls(batch.num_rows, pa.int32())
             digests = [sets.digest(k) for k in range(n)]
             yield _columns(
@@ -121,8 +129,8 @@ def _columns(*values) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(list(values[:-1]), values[-1])
 
 
-def frequencies(rows: DataFrame) -> np.ndarray:
-    """The summed table; ``CELLS`` numbers whatever the input."""
+def frequencies(rows: DataFrame, size: int) -> np.ndarray:
+    """The summed table of ``size`` numbers."""
 
     def add(batches):
         sums: dict[int, np.ndarray] = {}
@@ -134,7 +142,7 @@ def frequencies(rows: DataFrame) -> np.ndarray:
         yield _columns(pa.array(parts, pa.int32()), pa.array([sums[p].tobytes() for p in parts], pa.binary()), ["part", "cells"])
 
     summed = rows.where("part is not null").select("part", "cells").repartition(PARTS, "part").mapInArrow(add, "part int, cells binary")
-    out = np.zeros(CELLS, np.int64)
+    out = np.zeros(size, np.int64)
     for row in summed.collect():
         own = np.frombuffer(row.cells, np.int64)
         out[row.part * len(own) : (row.part + 1) * len(own)] = own
@@ -149,6 +157,7 @@ def prefix_tuples(docs: DataFrame, shingle: int, percent: int, cells, buckets: i
 
     def run(batches):
         count, seen = cells.value, set()
+        usual = 2 * float(count.mean())  # what unrelated shingles add to a cell
         for batch in (part for whole in batches for part in W.slices(whole, limit=4 * W.SLICE_BYTES)):
             sets = Sets(batch.column("text"), shingle)
             n = sets.sizes
@@ -159,7 +168,7 @@ def prefix_tuples(docs: DataFrame, shingle: int, percent: int, cells, buckets: i
                 if digest is not None and digest not in seen:
                     fresh[k] = True
                     seen.add(digest)
-            rarity = count[sets.hashes & np.uint64(CELLS - 1)]
+            rarity = count[sets.hashes & np.uint64(len(count) - 1)]
             order = np.argsort((sets.owner.astype(np.int64) << 32) | rarity, kind="stable")
             token, doc, rare = sets.hashes[order], sets.owner[order], rarity[order]
             place = np.arange(len(token)) - sets.begin[doc]
@@ -170,7 +179,7 @@ def prefix_tuples(docs: DataFrame, shingle: int, percent: int, cells, buckets: i
                 np.bincount(sets.owner * CUTS + (sets.hashes >> np.uint64(61)).astype(np.int64), minlength=len(n) * CUTS), 65535
             ).reshape(-1, CUTS).astype(np.uint16)
             # a group that may be too large for one task is spread over several
-            salts = np.maximum(rare // GROUP_ROWS, 0).astype(np.uint64)
+            salts = (np.maximum(rare - usual, 0) // GROUP_ROWS).astype(np.uint64)
             salt = np.where(salts > 0, key[doc].astype(np.uint64) % (salts + np.uint64(1)), np.uint64(0))
             bucket = (W.mixed(token + salt) % np.uint64(buckets)).astype(np.int64) * 2 + (salts > 0)
             order = np.argsort(bucket, kind="stable")
@@ -230,19 +239,44 @@ def similar_enough(na, nb, pa_, pb, cuts_a, cuts_b, percent: int) -> np.ndarray:
     return good & (bound >= least)
 
 
-def _pairs(m: Members) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs of rows, which rows belong to groups with more members than were paired, and their ranks."""
+def _pairs(m: Members, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of rows that pass the filters, which rows belong to groups with more such pairs than these, and the rows' ranks."""
     edges = np.flatnonzero(np.concatenate([[True], m.token[1:] != m.token[:-1], [True]])) if len(m.token) else np.zeros(1, np.int64)
     size = np.diff(edges)
     rank = np.arange(len(m.token)) - np.repeat(edges[:-1], size)
-    of = np.repeat(size, size)
-    big = of > SMALL
+    dense = np.repeat(size > SMALL, size)
     left, right = [], []
+
+    def passing(a, b):
+        da, db = m.doc[a], m.doc[b]
+        good = similar_enough(m.n[da], m.n[db], m.place[a], m.place[b], m.cuts[da], m.cuts[db], percent)
+        left.append(a[good])
+        right.append(b[good])
+
+    for k in np.flatnonzero((size > SMALL) & (size <= PAIRED)):
+        own = np.arange(edges[k], edges[k + 1])
+        # rows are tried in order of size, against those within the length bound
+        own = own[np.argsort(m.n[m.doc[own]], kind="stable")]
+        n = m.n[m.doc[own]]
+        reach = np.searchsorted(n, 100 * n // percent, "right") - np.arange(len(own)) - 1
+        a = np.repeat(np.arange(len(own)), reach)
+        b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(reach) - reach, reach)
+        passing(own[a], own[b])
+        if len(left[-1]) <= FEW_PAIRS * len(own):
+            dense[own] = False
+        else:
+            left.pop()
+            right.pop()
     for hub in range(SMALL - 1):
-        later = np.flatnonzero((rank > hub) & (~big | (hub < FIRST_HUBS)))
-        left.append(later - rank[later] + hub)
-        right.append(later)
-    return np.concatenate(left), np.concatenate(right), big, rank
+        later = np.flatnonzero((rank > hub) & (np.repeat(size <= SMALL, size) | dense & (hub < FIRST_HUBS)))
+        passing(later - rank[later] + hub, later)
+    return np.concatenate(left), np.concatenate(right), dense, rank
+
+
+def _unique_pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    order = np.lexsort((b, a))
+    pairs = np.stack([a[order], b[order]])
+    return pairs[:, np.append(True, (pairs[:, 1:] != pairs[:, :-1]).any(axis=0))] if len(a) else pairs
 
 
 _PAIR = "a long, b long"
@@ -265,16 +299,14 @@ def candidates(tuples: DataFrame, buckets: int, percent: int) -> DataFrame:
 
     def bucket(rows, salted):
         m = Members(rows)
-        a, b, big, rank = _pairs(m)
+        a, b, big, rank = _pairs(m, percent)
         if salted:  # part of a group: pairs come in later rounds
             a, b = a[:0], b[:0]
             token, place, doc = (np.concatenate(x) for x in zip((m.token, m.place, m.doc), m.single, strict=True))
             hub = np.zeros(len(token), bool)
         else:
             token, place, doc, hub = m.token[big], m.place[big], m.doc[big], rank[big] < FIRST_HUBS
-        da, db = m.doc[a], m.doc[b]
-        good = similar_enough(m.n[da], m.n[db], m.place[a], m.place[b], m.cuts[da], m.cuts[db], percent)
-        pairs = np.unique(np.stack([m.key[da[good]], m.key[db[good]]]), axis=1)
+        pairs = _unique_pairs(m.key[m.doc[a]], m.key[m.doc[b]])
         yield _columns(pa.array(pairs[0]), pa.array(pairs[1]), *(pa.nulls(pairs.shape[1], t) for t in _REST), _FOUND)
         yield _columns(
             pa.nulls(len(token), pa.int64()), pa.nulls(len(token), pa.int64()), pa.array(token.view(np.int64)), pa.array(place),
@@ -370,8 +402,9 @@ def similar_documents(docs: DataFrame, shingle: int = 5, percent: int = 80) -> D
     spark = docs.sparkSession
     stages = Stages(spark, "jaccard")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = stages.write(described(docs, shingle), "described")
-    cells = spark.sparkContext.broadcast(frequencies(rows))
+    size = cells_for(docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0])
+    rows = stages.write(described(docs, shingle, size), "described")
+    cells = spark.sparkContext.broadcast(frequencies(rows, size))
     rows = rows.where("part is null").select("doc_id", "n", "digest", "key")
     shingles = rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     # a class: documents with the same set, under the least id
@@ -388,13 +421,14 @@ def similar_documents(docs: DataFrame, shingle: int = 5, percent: int = 80) -> D
         once = both.groupBy(F.least("ra", "rb"), F.greatest("ra", "rb")).agg(F.min(F.struct("ra", "rb")).alias("p"))
         return once.select(F.col("p.ra").alias("a"), F.col("p.rb").alias("b"))
 
-    links, hubs = None, 1
+    comps, hubs = None, 1
     pairs = done = stages.write(ids(met.where("token is null").select("a", "b")), "pairs")
     groups = met.where("token is not null").select("token", "place", "n", "key", "cuts", "hub")
     while True:
         fresh = stages.write(verified(docs, pairs, shingle, percent), "links")
-        links = fresh if links is None else links.union(fresh)
-        comps = stages.write(components(links, stages), "components")
+        if comps is None or not fresh.isEmpty():
+            stars = fresh if comps is None else fresh.union(comps.select(F.col("node").alias("a"), F.col("component").alias("b")))
+            comps = components(stars, stages)
         reps = named.join(comps, F.col("rep") == F.col("node"), "left").select(
             F.col("key").alias("node"), F.coalesce("component", "rep").alias("component")
         )
