@@ -196,6 +196,8 @@ def train(docs: DataFrame, labels: DataFrame, max_positive: int = 12_000, max_un
     rows = sample.where("positive or other").mapInArrow(featurise, "x array<double>, positive boolean, other boolean").toArrow()
     x = np.array(rows["x"].combine_chunks().flatten()).reshape(-1, FEATURES)
     positive, unlabelled = x[rows["positive"].to_numpy()], x[rows["other"].to_numpy()]
+    if not len(positive) or not len(unlabelled):
+        return fit(positive, unlabelled, 0.5)
     if n_good and n_bad:
         return fit(positive, unlabelled, float(np.clip(n_good / (n_good + n_bad), 0.02, 0.98)))
     first = fit(positive, unlabelled, 0.5)
