@@ -93,36 +93,18 @@ def traffic_report(
 ) -> DataFrame:
     """One row per period, country, offer, channel, package and platform.
 
-    Sides meet on (period, offer, country) and every measure is counted once. Labels are
-    the first usable one (two characters or more) of click, conversion and reject side.
-    Each log is summed on its own first; the sums are unioned with zeros and merged per key
-    in one aggregation, so there is no join that a hot key could skew.
+    Every measure is counted once, at the labels of its own log row; a label shorter than
+    two characters counts as none, and routed and synced clicks have no package or platform.
+    Each log is summed on its own first; the sums are unioned with zeros and added up per key
+    in one hash aggregation, so there is no join that a hot key could skew.
     """
-    def side(rank: int, log: DataFrame) -> DataFrame:
-        """A label is led by the rank of its side, so the largest one is the best side's."""
-        df = _per_key(log, grain, first, last)
-        text, zero = F.lit(None).cast("string"), F.lit(0).cast("long")
-        return df.select(
-            "period",
-            *[F.coalesce(usable(k), F.lit("")).alias(k) for k in ("offer", "country")],
-            *[(F.concat(F.lit(str(rank)), usable(c)) if c in df.columns else text).alias(c) for c in LABELS],
-            *[F.col(m) if m in df.columns else zero.alias(m) for m in MEASURES],
-        )
+    def side(log: DataFrame) -> DataFrame:
+        df, zero = _per_key(log, grain, first, last), F.lit(0).cast("long")
+        keys = [(F.coalesce(usable(c), F.lit("")) if c in df.columns else F.lit("")).alias(c) for c in REPORT_KEYS[1:]]
+        return df.select("period", *keys, *[(F.col(m) if m in df.columns else zero).alias(m) for m in MEASURES])
 
-    clicks = [side(2, log) for log in click_sources(stream, routed, synced)]
-    convs, rejected = _event_rows(conversions, rejects)
-    merged = (
-        union_all(*clicks, side(1, convs), side(0, rejected))
-        .groupBy("period", "offer", "country")
-        .agg(
-            *[F.coalesce(F.substr(F.max(c), F.lit(2)), F.lit("")).alias(c) for c in LABELS],
-            *[F.sum(m).alias(m) for m in MEASURES],
-        )
-    )
-    return merged.select(
-        *REPORT_KEYS,
-        *[half_even(from_units(m), 2).alias(m) if m in ("revenue", "cost") else F.col(m) for m in MEASURES],
-    )
+    logs = [*click_sources(stream, routed, synced), *_event_rows(conversions, rejects)]
+    return _finish(union_all(*[side(log) for log in logs]))
 
 
 def traffic_report_fanned(
@@ -140,8 +122,9 @@ def traffic_report_fanned(
     Every click row pairs with every conversion row, and every conversion row with every
     reject row, so measures repeat. The repeats are computed from row counts: reject rows
     shrink to (count, sum) per key, and click rows that bring all their labels meet only
-    the per-key conversion sums. A click row meets single conversion rows just where it
-    takes its labels from them, that is where each pair is a result row.
+    the per-key conversion sums. A click row that lacks a package or platform but has a
+    channel meets conversions summed per package and platform, as their channels do not
+    show; only one without a channel meets single conversion rows.
     Reject-only rows have no labels in this form.
     """
     convs, rejected = [_per_key(d, grain, first, last) for d in _event_rows(conversions, rejects)]
@@ -170,10 +153,19 @@ def traffic_report_fanned(
     convs = materialize(convs, "convs")
     per_key = convs.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ["repeat", *conv_sums, "reject"]])
 
-    complete = usable("channel").isNotNull() & usable("pkg").isNotNull() & usable("platform").isNotNull()
+    has_channel = usable("channel").isNotNull()
+    complete = has_channel & usable("pkg").isNotNull() & usable("platform").isNotNull()
     full_rows = clicks.where(complete).join(per_key, keys, "left")
-    open_rows = clicks.where(~complete).join(
-        convs.withColumnsRenamed({c: f"conv_{c}" for c in LABELS}), keys, "left"
+
+    def by(labels: list[str]) -> DataFrame:
+        """Conversions summed over the labels that the click brings."""
+        sums = convs.groupBy(*keys, *labels).agg(*[F.sum(c).alias(c) for c in ["repeat", *conv_sums, "reject"]])
+        missing = {f"conv_{c}": F.lit("") for c in LABELS if c not in labels}
+        return sums.withColumnsRenamed({c: f"conv_{c}" for c in labels}).withColumns(missing)
+
+    open_rows = union_all(
+        clicks.where(~complete & has_channel).join(by(["pkg", "platform"]), keys, "left"),
+        clicks.where(~has_channel).join(by(LABELS), keys, "left"),
     )
     conv_only = convs.join(clicks.select(*keys).distinct(), keys, "left_anti")
     # a reject key without conversions stands alone, whether or not the key has clicks

@@ -35,12 +35,17 @@ def units(x: str) -> str:
     return f"CAST(ROUND(({x}) * 1e9) AS BIGINT)"
 
 
+def exact(x: str) -> str:
+    """Sum of doubles as decimals, so that it does not depend on their order."""
+    return f"SUM(CAST({x} AS DECIMAL(28, 9)))"
+
+
 def sum_units(x: str) -> str:
-    return f"CAST(SUM({units(x)}) AS BIGINT)"
+    return f"CAST({exact(x)} * 1000000000 AS BIGINT)"
 
 
 def money(x: str) -> str:
-    return f"({sum_units(x)} / 1e9)"
+    return f"CAST({exact(x)} AS DOUBLE)"
 
 
 def big(x: str) -> str:
@@ -48,8 +53,7 @@ def big(x: str) -> str:
 
 
 def half_even(x: str, digits: int = 0) -> str:
-    y = f"(({x}) * 1e{digits})"
-    return f"(CASE WHEN ABS({y} - TRUNC({y})) = 0.5 THEN 2 * ROUND({y} / 2) ELSE ROUND({y}) END / 1e{digits})"
+    return f"round_even(CAST({x} AS DOUBLE), {digits})"
 
 
 def half_up(x: str, digits: int = 0) -> str:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from adtally.plans import alarms, counters, dims, feeds, money as money_plans, rates, rollups, traffic
 from adtally.session import scratch_path
 from adtally.sources import contracts
-from testbed.registry import big, half_even, half_up, money, query, share, sum_units, units
+from testbed.registry import big, exact, half_even, half_up, money, query, share, sum_units, units
 from testbed.tables import Testbed
 
 AS_OF = datetime(2024, 1, 31)
@@ -19,72 +19,77 @@ DAY = "SUBSTRING(time_slot, 1, 8)"
 # --- clicks, conversions and rejects ------------------------------------------------
 
 TRAFFIC_TABLES = ("stream", "routed", "synced", "conversion_events", "rejected")
-_CLICK_UNION = """
-  SELECT time_slot, offer_id, country, channel, offer_pkg AS pkg, platform, clk_count AS click, imp_count AS imp
-  FROM stream WHERE offer_id <> '' AND country <> '' AND channel <> '' AND offer_pkg NOT LIKE '%lazada%'
-  UNION ALL
-  SELECT time_slot, CASE WHEN adtype = '39' THEN SPLIT_PART(offer_id, '_', 2) ELSE offer_id END, country, channel, '', '', 1, 0
-  FROM routed WHERE click_through = '1' AND country <> '' AND channel <> '' AND offer_pkg NOT LIKE '%lazada%'
-  UNION ALL
-  SELECT time_slot, offer_id, country, channel, '', '', clk_count, 0
-  FROM synced WHERE country <> '' AND channel <> '' AND offer_pkg NOT LIKE '%lazada%'"""
-
-
-def _sides(period: str) -> str:
-    return f""", click_tb AS (
-  SELECT {period} AS period, offer_id, country, channel, MAX(pkg) AS pkg, MAX(platform) AS platform, SUM(click) AS click, SUM(imp) AS imp
-  FROM ({_CLICK_UNION}) u GROUP BY ALL),
-conv_tb AS (
-  SELECT {period} AS period, offer_id, country, channel, offer_pkg AS pkg, platform,
-    SUM(CASE WHEN event_type = '1' THEN 1 ELSE 0 END) AS install, SUM(CASE WHEN event_type = '2' THEN 1 ELSE 0 END) AS conv,
-    {sum_units('payout')} AS revenue, {sum_units('cost')} AS cost
-  FROM conversion_events WHERE offer_pkg <> '' AND offer_id <> '' GROUP BY ALL),
-rej_tb AS (
-  SELECT {period} AS period, offer_id, country, channel, offer_pkg AS pkg, platform, COUNT(*) AS reject FROM rejected GROUP BY ALL)"""
-
-
-_TRAFFIC_SUMS = f"""
-  {big('COALESCE(SUM(click), 0)')} AS click_all, {big('COALESCE(SUM(imp), 0)')} AS impression,
+_CLEAN = "country <> '' AND channel <> '' AND offer_pkg NOT LIKE '%lazada%'"
+
+
+def _rows_sql(period: str) -> str:
+    """Every log row with the report's keys and measures."""
+    conv = "FROM conversion_events WHERE offer_pkg <> '' AND offer_id <> ''"
+    return f""", click_rows AS (
+  SELECT {period} AS period, offer_id AS offer, country, channel, offer_pkg AS pkg, platform, clk_count AS clicks, imp_count AS shown
+  FROM stream WHERE {_CLEAN} AND offer_id <> ''
+  UNION ALL BY NAME
+  SELECT {period} AS period, CASE WHEN adtype = '39' THEN SPLIT_PART(offer_id, '_', 2) ELSE offer_id END AS offer, country, channel,
+    '' AS pkg, '' AS platform, 1 AS clicks, 0 AS shown FROM routed WHERE {_CLEAN} AND click_through = '1'
+  UNION ALL BY NAME
+  SELECT {period} AS period, offer_id AS offer, country, channel, '' AS pkg, '' AS platform, clk_count AS clicks, 0 AS shown FROM synced WHERE {_CLEAN}
+),
+conv_rows AS (
+  SELECT {period} AS period, offer_id AS offer, country, channel, offer_pkg AS pkg, platform, CAST(event_type = '1' AS INT) AS install,
+    CAST(event_type = '2' AS INT) AS conv, CAST(payout AS DECIMAL(28, 9)) AS payout, CAST(cost AS DECIMAL(28, 9)) AS cost {conv}
+),
+reject_rows AS (SELECT {period} AS period, offer_id AS offer, country, channel, offer_pkg AS pkg, platform FROM rejected)"""
+
+
+_LABELS = ("country", "offer", "channel", "pkg", "platform")
+_SUMMED = f"""{big('COALESCE(SUM(clicks), 0)')} AS click_all, {big('COALESCE(SUM(shown), 0)')} AS impression,
   {big('COALESCE(SUM(install), 0)')} AS install, {big('COALESCE(SUM(conv), 0)')} AS conv, {big('COALESCE(SUM(reject), 0)')} AS reject,
-  {half_even('CAST(COALESCE(SUM(revenue), 0) AS BIGINT) / 1e9', 2)} AS revenue,
-  {half_even('CAST(COALESCE(SUM(cost), 0) AS BIGINT) / 1e9', 2)} AS cost"""
+  {half_even('COALESCE(SUM(payout), 0)', 2)} AS revenue, {half_even('COALESCE(SUM(cost), 0)', 2)} AS cost"""
 
 
-def _fanned_sql(period: str) -> str:
-    def pick(c: str) -> str:
-        return (
-            f"CASE WHEN LENGTH(c.{c}) > 1 THEN c.{c} WHEN LENGTH(v.{c}) > 1 THEN v.{c} "
-            f"WHEN LENGTH(r.{c}) > 1 THEN COALESCE(v.{c}, '') ELSE '' END"
-        )
-
-    return f"""{_sides(period)}
-SELECT COALESCE(c.period, v.period, r.period) AS period, {pick('country')} AS country, {pick('offer_id')} AS offer,
-  {pick('channel')} AS channel, {pick('pkg')} AS pkg, {pick('platform')} AS platform, {_TRAFFIC_SUMS}
-FROM click_tb c
-FULL JOIN conv_tb v ON c.period = v.period AND c.offer_id = v.offer_id AND c.country = v.country
-FULL JOIN rej_tb r ON v.period = r.period AND v.offer_id = r.offer_id AND v.country = r.country
-GROUP BY 1, 2, 3, 4, 5, 6"""
+def _label(c: str) -> str:
+    return f"CASE WHEN LENGTH({c}) >= 2 THEN {c} ELSE '' END"
 
 
 def _clean_sql(period: str) -> str:
-    def ok(c: str) -> str:
-        return f"CASE WHEN LENGTH({c}) > 1 THEN {c} END"
-
-    def best(c: str) -> str:
-        return f"COALESCE(c.{c}, v.{c}, r.{c}, '')"
+    """All rows under their own labels, then one grouping."""
+    labels = ", ".join(f"{_label(c)} AS {c}" for c in _LABELS)
+    return f"""{_rows_sql(period)},
+every_row AS (
+  SELECT * FROM click_rows UNION ALL BY NAME SELECT * FROM conv_rows UNION ALL BY NAME SELECT *, 1 AS reject FROM reject_rows)
+SELECT period, {labels}, {_SUMMED} FROM every_row GROUP BY 1, 2, 3, 4, 5, 6"""
 
-    def side(rows: str, sums: str, pkg: str = "offer_pkg") -> str:
-        return f"""SELECT {period} AS period, COALESCE({ok('offer_id')}, '') AS offer, COALESCE({ok('country')}, '') AS country,
-  MAX({ok('channel')}) AS channel, MAX({ok(pkg)}) AS pkg, MAX({ok('platform')}) AS platform, {sums} FROM {rows} GROUP BY 1, 2, 3"""
 
-    installs = "SUM(CASE WHEN event_type = '1' THEN 1 ELSE 0 END) AS install, SUM(CASE WHEN event_type = '2' THEN 1 ELSE 0 END) AS conv"
-    return f""", c AS ({side(f'({_CLICK_UNION}) u', 'SUM(click) AS click, SUM(imp) AS imp', 'pkg')}),
-v AS ({side("(SELECT * FROM conversion_events WHERE offer_pkg <> '' AND offer_id <> '') x", f"{installs}, {sum_units('payout')} AS revenue, {sum_units('cost')} AS cost")}),
-r AS ({side('rejected', 'COUNT(*) AS reject')}),
-k AS (SELECT period, offer, country FROM c UNION SELECT period, offer, country FROM v UNION SELECT period, offer, country FROM r)
-SELECT k.period, k.country, k.offer, {best('channel')} AS channel, {best('pkg')} AS pkg, {best('platform')} AS platform, {_TRAFFIC_SUMS}
-FROM k LEFT JOIN c USING (period, offer, country) LEFT JOIN v USING (period, offer, country) LEFT JOIN r USING (period, offer, country)
-GROUP BY 1, 2, 3, 4, 5, 6"""
+def _fanned_sql(period: str) -> str:
+    """Row sets by what meets at a (period, offer, country): each click line, conversion line and reject line once per
+    partner line. Rejects only multiply, so a key's reject lines are a number and a sum."""
+    at = "period, offer, country"
+    shown = ", ".join(_LABELS)
+
+    def either(c: str) -> str:
+        return f"COALESCE(NULLIF({_label('c.' + c)}, ''), {_label('v.' + c)}) AS {c}"
+
+    return f"""{_rows_sql(period)},
+c AS (SELECT {at}, channel, MAX(pkg) AS pkg, MAX(platform) AS platform, SUM(clicks) AS clicks, SUM(shown) AS shown FROM click_rows GROUP BY {at}, channel),
+v0 AS (SELECT {at}, channel, pkg, platform, SUM(install) AS install, SUM(conv) AS conv, SUM(payout) AS payout, SUM(cost) AS cost FROM conv_rows GROUP BY ALL),
+r AS (SELECT {at}, COUNT(*) AS lines, SUM(n) AS reject FROM (SELECT {at}, channel, pkg, platform, COUNT(*) AS n FROM reject_rows GROUP BY ALL) GROUP BY {at}),
+v AS (
+  SELECT v0.{at.replace(', ', ', v0.')}, channel, pkg, platform, COALESCE(lines, 1) AS lines, install * COALESCE(lines, 1) AS install,
+    conv * COALESCE(lines, 1) AS conv, payout * COALESCE(lines, 1) AS payout, cost * COALESCE(lines, 1) AS cost, COALESCE(r.reject, 0) AS reject
+  FROM v0 LEFT JOIN r ON v0.period = r.period AND v0.offer = r.offer AND v0.country = r.country),
+line AS (
+  SELECT c.period, {', '.join(either(x) for x in _LABELS)}, clicks * lines AS clicks, shown * lines AS shown, install, conv, payout, cost, reject
+  FROM c JOIN v ON c.period = v.period AND c.offer = v.offer AND c.country = v.country
+  UNION ALL BY NAME
+  SELECT period, {', '.join(f'{_label(x)} AS {x}' for x in _LABELS)}, clicks, shown FROM c
+  WHERE NOT EXISTS (FROM v WHERE c.period = v.period AND c.offer = v.offer AND c.country = v.country)
+  UNION ALL BY NAME
+  SELECT period, {', '.join(f'{_label(x)} AS {x}' for x in _LABELS)}, install, conv, payout, cost, reject FROM v
+  WHERE NOT EXISTS (FROM c WHERE c.period = v.period AND c.offer = v.offer AND c.country = v.country)
+  UNION ALL BY NAME
+  SELECT period, {', '.join(f"'' AS {x}" for x in _LABELS)}, reject FROM r
+  WHERE NOT EXISTS (FROM v WHERE r.period = v.period AND r.offer = v.offer AND r.country = v.country))
+SELECT period, {shown}, {_SUMMED} FROM line GROUP BY ALL"""
 
 
 def _traffic(name: str, fn, grain: str, sql: str) -> None:
@@ -104,40 +109,41 @@ _PUB = f""", pub AS (
     b.short_name AS country, a.re_real_revenue
   FROM (SELECT day, placement_id, country_id, {money('re_real_revenue')} AS re_real_revenue FROM publisher_log GROUP BY 1, 2, 3) a
   LEFT JOIN countries b ON a.country_id = b.id LEFT JOIN placements c ON a.placement_id = c.id)"""
+_PLACE = "day, slot, country"
+_UNIT = "day, country, offer_id, platform, offer_pkg, channel"
 _ALLOC = f"""{_PUB}
-, base AS (
-  SELECT {DAY} AS day, slot, country, offer_id, platform, adtype, offer_pkg, channel,
-    {sum_units('payout')} AS payout_u, {sum_units('cost')} AS cost_u
+, sums AS (
+  SELECT {DAY} AS day, slot, country, offer_id, platform, adtype, offer_pkg, channel, {exact('payout')} AS paid, {exact('cost')} AS spent, COUNT(*) AS n
   FROM conversion_events GROUP BY ALL),
-offer_tb AS (
-  SELECT day, channel, offer_id, country, CAST(SUM(offer_cost) AS BIGINT) AS offer_cost FROM (
-    SELECT {DAY} AS day, slot, channel, offer_id, country, {sum_units('cost')} AS offer_cost, {sum_units('payout')} AS pt
-    FROM conversion_events GROUP BY ALL) x WHERE pt = 0 GROUP BY ALL),
-b AS (
-  SELECT day, slot, country, offer_id, platform, offer_pkg, channel, conversion,
-    SUM(conversion) OVER (PARTITION BY day, country, offer_id, platform, offer_pkg, channel) AS conversion_all FROM (
-    SELECT {DAY} AS day, slot, country, offer_id, platform, offer_pkg, channel, COUNT(*) AS conversion, {sum_units('payout')} AS pt
-    FROM conversion_events WHERE adtype = '38' GROUP BY ALL) x WHERE pt = 0),
-j AS (
-  SELECT base.*, COALESCE(offer_tb.offer_cost, 0) AS offer_cost, COALESCE(pub.re_real_revenue, 0e0) AS re_real_revenue,
-    COALESCE(CAST(b.conversion AS DOUBLE) / CAST(b.conversion_all AS DOUBLE), 0e0) AS rate,
-    CAST(SUM(base.payout_u) OVER (PARTITION BY base.day, base.offer_id) AS BIGINT) / 1e9 AS payout_all_offer,
-    CAST(SUM(base.payout_u) OVER (PARTITION BY base.day, base.slot, base.country) AS BIGINT) / 1e9 AS payout_all_slot
-  FROM base
-  LEFT JOIN offer_tb ON base.day = offer_tb.day AND base.channel = offer_tb.channel AND base.country = offer_tb.country AND base.offer_id = offer_tb.offer_id
-  LEFT JOIN pub ON base.day = REPLACE(pub.day, '-', '') AND base.slot = pub.slot AND base.country = pub.country
-  LEFT JOIN b ON base.day = b.day AND base.slot = b.slot AND base.country = b.country AND base.offer_id = b.offer_id
-    AND base.platform = b.platform AND base.offer_pkg = b.offer_pkg AND base.channel = b.channel),
-alloc AS (
-  SELECT day, slot, country, offer_id, platform, adtype, offer_pkg, channel,
-    CASE WHEN rate > 0 THEN payout_all_offer * 0.2E0 * rate
-      WHEN adtype NOT IN ('39', '38', '19') AND re_real_revenue > 0 THEN payout_u / 1e9
-      WHEN adtype = '19' AND offer_cost > 0 THEN payout_u / 1e9 * 0.8E0 ELSE payout_u / 1e9 END AS revenue,
-    CASE WHEN rate > 0 THEN cost_u / 1e9
-      WHEN adtype NOT IN ('39', '38', '19') AND re_real_revenue > 0
-        THEN CASE WHEN payout_all_slot = 0 THEN 0e0 ELSE payout_u / 1e9 * (re_real_revenue / payout_all_slot) END
-      ELSE cost_u / 1e9 END AS cost
-  FROM j WHERE LENGTH(country) = 2)"""
+listed AS (SELECT REPLACE(day, '-', '') AS day, slot, country, re_real_revenue FROM pub),
+weights AS (SELECT {_PLACE}, COUNT(*) AS w FROM listed GROUP BY {_PLACE}),
+offer_paid AS (
+  SELECT day, offer_id, CAST(SUM(paid * COALESCE(w, 1)) AS DOUBLE) AS offer_total FROM sums LEFT JOIN weights USING ({_PLACE}) GROUP BY day, offer_id),
+place_paid AS (SELECT {_PLACE}, CAST(SUM(paid * COALESCE(w, 1)) AS DOUBLE) AS place_total FROM sums LEFT JOIN weights USING ({_PLACE}) GROUP BY {_PLACE}),
+free_places AS (SELECT day, channel, offer_id, country, slot, SUM(spent) AS spent FROM sums GROUP BY ALL HAVING SUM(paid) = 0),
+free_offers AS (SELECT day, channel, offer_id, country, SUM(spent) AS offer_cost FROM free_places GROUP BY ALL),
+free_shared AS (SELECT slot, {_UNIT}, SUM(n) AS n FROM sums WHERE adtype = '38' GROUP BY ALL HAVING SUM(paid) = 0),
+unit_totals AS (SELECT {_UNIT}, SUM(n) AS total FROM free_shared GROUP BY ALL),
+shares AS (SELECT s.*, CAST(n AS DOUBLE) / total AS rate FROM free_shared s JOIN unit_totals t USING ({_UNIT})),
+ruled AS (
+  SELECT sums.*, re_real_revenue, rate, offer_total, place_total, CAST(paid AS DOUBLE) AS p, CAST(spent AS DOUBLE) AS c, CASE
+    WHEN rate > 0 THEN 1
+    WHEN adtype NOT IN ('19', '38', '39') AND re_real_revenue > 0 THEN 2
+    WHEN adtype = '19' AND offer_cost > 0 THEN 3
+    ELSE 4 END AS rule
+  FROM sums
+  LEFT JOIN shares USING (slot, {_UNIT})
+  LEFT JOIN free_offers USING (day, channel, offer_id, country)
+  LEFT JOIN offer_paid USING (day, offer_id)
+  LEFT JOIN place_paid USING ({_PLACE})
+  LEFT JOIN listed USING ({_PLACE})
+  WHERE LENGTH(country) = 2),
+amounts_by_rule AS (
+  SELECT *, offer_total * 0.2e0 * rate AS revenue, c AS cost FROM ruled WHERE rule = 1
+  UNION ALL SELECT *, p AS revenue, CASE WHEN place_total = 0 THEN 0e0 ELSE p * (re_real_revenue / place_total) END AS cost FROM ruled WHERE rule = 2
+  UNION ALL SELECT *, p * 0.8e0 AS revenue, c AS cost FROM ruled WHERE rule = 3
+  UNION ALL SELECT *, p AS revenue, c AS cost FROM ruled WHERE rule = 4),
+alloc AS (SELECT day, slot, country, offer_id, platform, adtype, offer_pkg, channel, revenue, cost FROM amounts_by_rule)"""
 _OWNED = f"""{_ALLOC}
 , owners AS (
   SELECT CASE WHEN p.slot_str IS NULL OR p.slot_str = '' THEN CAST(p.id AS VARCHAR) ELSE p.slot_str END AS slot,

@@ -24,7 +24,8 @@ TABLES: dict[str, tuple[tuple[str, ...], str]] = {
         ("events",),
         """
 SELECT event_id, user_id, ts, {slot:ts} AS time_slot, {day:ts} AS day, {iso:ts} AS iso_day, event_type AS kind,
-  CONCAT('ch', CAST(user_id % 7 AS STRING)) AS channel,
+  CASE WHEN event_id % 101 = 7 THEN 'c' WHEN event_id % 103 = 5 THEN NULL
+    ELSE CONCAT('ch', CAST((user_id + CASE WHEN event_id % 5 = 0 THEN 1 + event_id % 3 ELSE 0 END) % 7 AS STRING)) END AS channel,
   CAST(user_id * 20 AS STRING) AS offer,
   CAST(100 + event_id % 37 AS STRING) AS slot,
   CAST(event_id % 11 AS STRING) AS site,
@@ -33,7 +34,8 @@ SELECT event_id, user_id, ts, {slot:ts} AS time_slot, {day:ts} AS day, {iso:ts}
   CASE event_id % 8 WHEN 0 THEN '3' WHEN 1 THEN '8' WHEN 2 THEN '19' WHEN 3 THEN '38' WHEN 4 THEN '39'
     WHEN 5 THEN '16' WHEN 6 THEN '12' ELSE '0' END AS adtype,
   CASE user_id % 25 WHEN 7 THEN 'com.lazada.android' WHEN 8 THEN 'com.alibaba.aliexpresshd'
-    WHEN 9 THEN 'com.dts.freefireth' WHEN 10 THEN '' ELSE CONCAT('com.app', CAST(user_id % 4 AS STRING)) END AS pkg,
+    WHEN 9 THEN 'com.dts.freefireth' WHEN 10 THEN '' ELSE CASE WHEN event_id % 97 = 3 THEN 'p' WHEN event_id % 89 = 4 THEN NULL
+      WHEN event_id % 6 = 1 THEN CONCAT('com.alt', CAST(event_id % 4 AS STRING)) ELSE CONCAT('com.app', CAST(user_id % 4 AS STRING)) END END AS pkg,
   CASE event_type WHEN 'signup' THEN '1' WHEN 'purchase' THEN '2' ELSE '0' END AS event_code,
   CAST(event_id % 2 AS STRING) AS visible,
   1 + event_id % 3 AS cnt,
@@ -91,7 +93,7 @@ FROM events""",
     ),
     "direct": (
         ("ad_log",),
-        "SELECT day AS pdate, ts AS update_time, channel AS pb_channel, CONCAT(channel, '-', site) AS pb_channel_id, offer, CAST(event_id AS STRING) AS clk_id FROM ad_log WHERE kind = 'purchase'",
+        "SELECT day AS pdate, ts AS update_time, channel AS pb_channel, CONCAT(COALESCE(channel, ''), '-', site) AS pb_channel_id, offer, CAST(event_id AS STRING) AS clk_id FROM ad_log WHERE kind = 'purchase'",
     ),
     "publisher_log": (
         ("ad_log",),
@@ -103,13 +105,13 @@ FROM events""",
     ),
     "af_report": (
         ("ad_log",),
-        "SELECT day AS date, channel AS agency, CONCAT(channel, '_', site) AS pid, offer AS campaign, cnt * 10 AS impression, cnt AS click, cnt * 0.5E0 AS ctr, cnt AS install, cnt * 0.25E0 AS cvr, cost, cost * 2.0E0 AS ecpi, cost * 4.0E0 AS roi, pkg, LOWER(platform) AS platform FROM ad_log WHERE kind = 'view'",
+        "SELECT day AS date, channel AS agency, CONCAT(COALESCE(channel, ''), '_', site) AS pid, offer AS campaign, cnt * 10 AS impression, cnt AS click, cnt * 0.5E0 AS ctr, cnt AS install, cnt * 0.25E0 AS cvr, cost, cost * 2.0E0 AS ecpi, cost * 4.0E0 AS roi, pkg, LOWER(platform) AS platform FROM ad_log WHERE kind = 'view'",
     ),
     "device_settings": (
         ("ad_log",),
         "SELECT iso_day AS day, CAST(1 + event_id % 3 AS STRING) AS platform, country, channel AS source, site AS label, slot AS slot_id, cnt AS device_count FROM ad_log",
     ),
-    "models": (("ad_log",), "SELECT CONCAT(country, '_', LOWER(platform), '_', pkg) AS key FROM ad_log"),
+    "models": (("ad_log",), "SELECT CONCAT(country, '_', LOWER(platform), '_', COALESCE(pkg, '')) AS key FROM ad_log"),
     "partner_lines": (
         ("ad_log",),
         """
@@ -117,7 +119,7 @@ SELECT CONCAT(CHR(34), iso_day, CHR(34), ',', country, ',', CASE WHEN platform =
   CAST(cnt * 10 AS STRING), ',', CAST(cnt AS STRING), ',', CAST(cnt % 2 AS STRING), ',', CAST(cnt * 0.5E0 AS STRING), ',', CAST(cnt * 0.25E0 AS STRING),
   CASE WHEN event_id % 10 = 0 THEN '' ELSE ',y' END) AS value,
   iso_day, country, platform, pkg, channel, cnt, event_id
-FROM ad_log""",
+FROM (SELECT iso_day, country, platform, COALESCE(pkg, '') AS pkg, COALESCE(channel, '') AS channel, cnt, event_id FROM ad_log) a""",
     ),
     "offers": (
         ("part",),
