@@ -70,6 +70,16 @@ def instant(as_of: datetime) -> Column:
     return F.lit(as_of.isoformat(sep=" ")).cast("timestamp")
 
 
+def day_start(day: str) -> Column:
+    """First instant of a ``yyyyMMdd`` day, as a literal."""
+    return F.lit(datetime.strptime(day, "%Y%m%d").isoformat(sep=" ")).cast("timestamp")
+
+
+def day_end(day: str) -> Column:
+    """First instant after a ``yyyyMMdd`` day, as a literal."""
+    return F.lit((datetime.strptime(day, "%Y%m%d") + timedelta(days=1)).isoformat(sep=" ")).cast("timestamp")
+
+
 # --- job parameters: plain Python, always from an explicit instant -----------------
 
 
@@ -90,3 +100,12 @@ def trailing_days(as_of: datetime, days: int) -> tuple[str, str]:
     """Bucket bounds of the ``days`` full days before ``as_of``."""
     first = (as_of - timedelta(days=days)).strftime("%Y%m%d")
     return f"{first}00", f"{day_before(as_of)}23"
+
+
+def buckets_between(first: str, last: str, grain: str = "hour") -> list[str]:
+    """All hour buckets, or all days, from one bucket to another."""
+    at, end = (datetime.strptime(x, "%Y%m%d%H") for x in (first, last))
+    step, form = (timedelta(hours=1), "%Y%m%d%H") if grain == "hour" else (timedelta(days=1), "%Y%m%d")
+    if grain != "hour":
+        at, end = at.replace(hour=0), end.replace(hour=0)
+    return [(at + k * step).strftime(form) for k in range(int((end - at) / step) + 1)]

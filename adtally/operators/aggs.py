@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
-from adtally.functions.slots import shift_slot
+from adtally.functions.slots import SLOT, shift_slot, slot_ts
 from adtally.operators.joins import attach_total
 
 
@@ -65,11 +66,31 @@ def share_of_total(
     return df.withColumn("_all", F.lit(1)).join(F.broadcast(total), "_all").drop("_all")
 
 
+def hour_spine(spark: SparkSession, logs: Sequence[DataFrame], first: str | None, last: str | None, slot: str = "time_slot") -> DataFrame:
+    """Every hour bucket from ``first`` to ``last``; an open end is the least or largest bucket of the logs.
+
+    Only one row of bounds leaves the logs.
+    """
+    if first is not None and last is not None:
+        bounds = spark.range(1).select(F.lit(first).alias("low"), F.lit(last).alias("high"))
+    else:
+        seen = [df.agg(F.min(slot).alias("low"), F.max(slot).alias("high")) for df in logs]
+        ends = reduce(lambda a, b: a.union(b), seen).agg(F.min("low").alias("low"), F.max("high").alias("high"))
+        bounds = ends.select(
+            (F.lit(first) if first is not None else F.col("low")).alias("low"), (F.lit(last) if last is not None else F.col("high")).alias("high")
+        )
+    hours = F.sequence(slot_ts("low"), slot_ts("high"), F.make_dt_interval(hours=F.lit(1)))
+    return bounds.where("low <= high").select(F.explode(hours).alias("at")).select(F.date_format("at", SLOT).alias(slot))
+
+
 def period_compare(
-    df: DataFrame, measure: Column, slot: str = "time_slot", offsets: Mapping[str, int] | None = None
+    df: DataFrame, measure: Column, slot: str = "time_slot", offsets: Mapping[str, int] | None = None,
+    hours: DataFrame | None = None,
 ) -> DataFrame:
     """Per hour bucket: its total and the totals ``offsets`` hours earlier.
 
+    With ``hours`` (one bucket per row) exactly those buckets come out, with a total of 0 where there is no row.
+
     One scan and one small re-aggregation: every hourly total is also sent to the
     buckets that look back to it, instead of scanning the log once per period.
     """
@@ -85,6 +106,8 @@ def period_compare(
         F.explode(F.array(entry("current", 0), *[entry(n, h) for n, h in offsets.items()])).alias("e")
     ).select("e.*")
     merged = sent.groupBy(slot).agg(*[F.sum(n).alias(n) for n in names])
+    if hours is not None:
+        return hours.join(merged, slot, "left").withColumn("current", F.coalesce("current", F.lit(0)))
     return merged.where(F.col("current").isNotNull())
 
 

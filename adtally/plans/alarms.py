@@ -1,9 +1,10 @@
 """Data-quality alarms as a table: one row per hour bucket and rule.
 
 Every bucket of the range is judged on closed hours, compared by instant, so buckets just
-after midnight are judged like any other. Columns: time_slot, alarm, rule, value,
-threshold, fired. A missing comparison period gives a NULL rate, which never fires; a
-missing payout, conversion or volume counts as 0.
+after midnight are judged like any other; without bounds the range is that of the logs. An hour
+without any row is judged like the others: its volume is 0 and its change -100 %. Columns:
+time_slot, alarm, rule, value, threshold, fired. A missing comparison period gives a NULL
+rate, which never fires; a missing payout, conversion or volume counts as 0.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from adtally.functions import rules
 from adtally.functions.numbers import pct_change, ratio, sum_money
 from adtally.functions.slots import slot_of
-from adtally.operators.aggs import period_compare, rollup, trailing_total
+from adtally.operators.aggs import hour_spine, period_compare, rollup, trailing_total
 from adtally.operators.filters import between_slots
 
 # Alarm thresholds.
@@ -100,19 +101,16 @@ def traffic_alarm(
 ) -> DataFrame:
     """Hour and day change of two click streams, the hour's payout, and conversions tracked
     in the last three hours."""
-    served = _renamed(rates(period_compare(impressions, F.sum("count")), False), "served")
-    async_rates = _renamed(
-        rates(period_compare(async_clicks.withColumn("time_slot", slot_of("created")), F.sum("count")), True),
-        "async",
-    )
+    asynchronous = async_clicks.withColumn("time_slot", slot_of("created"))
+    hours = hour_spine(impressions.sparkSession, [impressions, asynchronous, conversions], first, last)
+    served = _renamed(rates(period_compare(impressions, F.sum("count"), hours=hours), False), "served")
+    async_rates = _renamed(rates(period_compare(asynchronous, F.sum("count"), hours=hours), True), "async")
     payout = rollup(conversions, ["time_slot"], payout=sum_money("payout"))
     tracked = trailing_total(
         tracked_conversions(async_clicks, conversions), {"conv": F.sum(F.coalesce("conv", F.lit(0)))}, hours=3
     )
-    joined = (
-        served.join(async_rates, "time_slot", "full").join(payout, "time_slot", "left").join(tracked, "time_slot", "left")
-    )
-    judged = between_slots(joined, first, last).na.fill({"payout": 0.0, "conv": 0})
+    joined = served.join(async_rates, "time_slot").join(payout, "time_slot", "left").join(tracked, "time_slot", "left")
+    judged = joined.na.fill({"payout": 0.0, "conv": 0})
     return _table(
         judged,
         "traffic",
@@ -129,13 +127,14 @@ def stream_alarm(
     stream: DataFrame, conversions: DataFrame, first: str | None = None, last: str | None = None
 ) -> DataFrame:
     """Hour and day change of the stream clicks, and tracker conversions of the last six hours."""
-    clicks = _renamed(rates(period_compare(stream, F.sum("clk_count")), True), "stream")
+    hours = hour_spine(stream.sparkSession, [stream, conversions], first, last)
+    clicks = _renamed(rates(period_compare(stream, F.sum("clk_count"), hours=hours), True), "stream")
     tracked = trailing_total(
         conversions.where(F.col("attribute_provider") == TRACKER).withColumn("time_slot", F.col("attr_time")),
         {"conv": F.count("*")},
         hours=6,
     )
-    judged = between_slots(clicks.join(tracked, "time_slot", "left"), first, last).na.fill({"conv": 0})
+    judged = clicks.join(tracked, "time_slot", "left").na.fill({"conv": 0})
     return _table(
         judged,
         "stream",
@@ -147,9 +146,11 @@ def volume_alarm(
     clicks: DataFrame, impressions: DataFrame, first: str | None = None, last: str | None = None
 ) -> DataFrame:
     """Real clicks and impressions of one ad type below their hourly minimum."""
-    real = rollup(clicks, ["time_slot"], clicks=F.sum("count"))
-    shown = rollup(impressions.where(F.col("adtype") == VOLUME_ADTYPE), ["time_slot"], shown=F.sum("count"))
-    judged = between_slots(real.join(shown, "time_slot", "full"), first, last).na.fill(0, ["clicks", "shown"])
+    hours = hour_spine(clicks.sparkSession, [clicks, impressions], first, last)
+    real = rollup(between_slots(clicks, first, last), ["time_slot"], clicks=F.sum("count"))
+    wanted = between_slots(impressions, first, last).where(F.col("adtype") == VOLUME_ADTYPE)
+    shown = rollup(wanted, ["time_slot"], shown=F.sum("count"))
+    judged = hours.join(real, "time_slot", "left").join(shown, "time_slot", "left").na.fill(0, ["clicks", "shown"])
     return _table(
         judged,
         "volume",

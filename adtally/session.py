@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -72,9 +74,19 @@ def use_scratch(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unused location below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/adtally/{name}-{uuid.uuid4().hex}"
+    """A new, unused location below the shared folder, to be deleted by ``clear_scratch``."""
+    _SCRATCH.append(f"{shared_dir(spark).rstrip('/')}/adtally/{name}-{uuid.uuid4().hex}")
+    return _SCRATCH[-1]
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete everything this process wrote to scratch locations; call it when the job's results are stored."""
+    while _SCRATCH:
+        delete_path(spark, _SCRATCH.pop())
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -93,3 +105,38 @@ def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a file or folder in whatever store holds it."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@contextmanager
+def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``df`` computed in full and written to the shared folder, before anything it replaces is touched."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    try:
+        yield df.sparkSession.read.schema(df.schema).parquet(path)
+    finally:
+        delete_path(df.sparkSession, path)
+
+
+def replace_folder(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    """Write ``df`` beside ``path`` and swap the folders, so that ``path`` holds the old rows or the new ones.
+
+    The swap is two renames; if the second fails, the first is undone.
+    """
+    spark, mark = df.sparkSession, uuid.uuid4().hex
+    path = path.rstrip("/")
+    name = spark._jvm.org.apache.hadoop.fs.Path
+    new, old, live = name(f"{path}.new-{mark}"), name(f"{path}.old-{mark}"), name(path)
+    fs = live.getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        df.write.partitionBy(*partition_by).parquet(f"{path}.new-{mark}")
+        had = fs.exists(live)
+        if had and not fs.rename(live, old):
+            raise OSError(f"cannot move {path}")
+        if not fs.rename(new, live):
+            if had:
+                fs.rename(old, live)
+            raise OSError(f"cannot replace {path}")
+        fs.delete(old, True)
+    finally:
+        fs.delete(new, True)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from adtally.functions.text import pack
 from adtally.operators.aggs import first_by
-from adtally.session import materialize
+from adtally.session import replace_folder, staged
 
 
 def merged(current: DataFrame, updates: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
@@ -35,18 +35,17 @@ def replace_rows(
 
     With ``partition_by`` (one of the keys) only the partitions that have updates are read,
     by dynamic partition pruning, and rewritten, so the cost follows the update and not the
-    history. The merged rows are staged in the shared folder first, because a path cannot be
-    overwritten while it is being read; the staged copy also survives a failed overwrite.
+    history. The merged rows are computed and staged first, and partitions or the whole folder are
+    swapped when their files are complete, so a failed run leaves the old rows readable.
     """
     current = spark.read.schema(updates.schema).parquet(path)
     if partition_by:
         current = current.join(updates.select(partition_by).distinct(), partition_by, "left_semi")
-    staged = materialize(merged(current, updates, keys, order), "snapshot")
-    writer = staged.write.mode("overwrite")
-    if partition_by:
-        writer.option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(path)
-    else:
-        writer.option("partitionOverwriteMode", "static").parquet(path)
+    with staged(merged(current, updates, keys, order), "snapshot") as rows:
+        if partition_by:
+            rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(path)
+        else:
+            replace_folder(rows, path)
 
 
 def upsert_kv(

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from adtally.operators.shape import conform
+from adtally.session import delete_path, replace_folder, staged
 from adtally.sources.tables import target_schema
 
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
@@ -41,9 +42,29 @@ def append(df: DataFrame, table: str) -> None:
     _conformed(df, table).write.insertInto(table, overwrite=False)
 
 
+def _partition_keys(spark: SparkSession, table: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+
+
+def _spec(column: str, value: str) -> str:
+    quoted = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"PARTITION ({column}='{quoted}')"
+
+
 def drop_partitions(spark: SparkSession, table: str, column: str, values: Sequence[str]) -> None:
-    for value in values:
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({column}='{value}')")
+    """Remove partitions in one statement, and then their files, which an external table would keep."""
+    known = {r.partition.split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    doomed = sorted(known & set(values))
+    if not doomed:
+        return
+    folders = []
+    for value in doomed:
+        rows = spark.sql(f"DESCRIBE EXTENDED {table} {_spec(column, value)}").where("col_name = 'Location'").collect()
+        # the partition's own folder; the table's is listed, too, and folders of other layouts are left alone
+        folders += [r.data_type for r in rows if r.data_type.rstrip("/").rsplit("/", 1)[-1].startswith(f"{column}=")]
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(_spec(column, v) for v in doomed)}")
+    for folder in folders:
+        delete_path(spark, folder)
 
 
 def replace_partition(df: DataFrame, table: str, covers: Sequence[str] = ()) -> None:
@@ -52,27 +73,38 @@ def replace_partition(df: DataFrame, table: str, covers: Sequence[str] = ()) ->
     ``covers`` names the partitions the run is responsible for. One that has no rows any
     more is emptied too, which an overwrite of present partitions would not do.
 
-    Rows are rebalanced by partition key first: few files per partition, and a partition
-    that holds most rows is split over several tasks.
+    The rows are computed and staged before any partition changes, so a failing report
+    leaves the table as it was, and the overwrite swaps each partition when its files are
+    complete. Rows are rebalanced by partition key: few files per partition, and a partition that holds
+    most rows is split over several tasks.
     """
     spark = df.sparkSession
-    keys = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
-    rows = _conformed(df, table)
-    if covers:
-        drop_partitions(spark, table, keys[0], covers)
-    with _overwrite_mode(spark, "dynamic"):
+    keys = _partition_keys(spark, table)
+    with staged(_conformed(df, table), "load") as rows, _overwrite_mode(spark, "dynamic"):
         rows.hint("rebalance", *keys).write.insertInto(table, overwrite=True)
+        if covers:
+            # at most one value per covered partition
+            present = {r[0] for r in rows.where(F.col(keys[0]).cast("string").isin(list(covers))).select(F.col(keys[0]).cast("string")).distinct().collect()}
+            drop_partitions(spark, table, keys[0], [c for c in covers if c not in present])
 
 
 def refresh(df: DataFrame, table: str) -> None:
-    """Full replacement. ``df`` must not read ``table`` itself."""
-    with _overwrite_mode(df.sparkSession, "static"):
-        _conformed(df, table).write.insertInto(table, overwrite=True)
+    """Full replacement: the old rows stay until the new ones are written in full."""
+    spark = df.sparkSession
+    keys = _partition_keys(spark, table)
+    if keys:
+        before = {r.partition.split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+        replace_partition(df, table, covers=sorted(before))
+        return
+    place = spark.sql(f"DESCRIBE EXTENDED {table}").where("col_name = 'Location'").first().data_type
+    with staged(_conformed(df, table), "refresh") as rows:
+        replace_folder(rows, place)
+    spark.catalog.refreshTable(table)
 
 
 def expire(spark: SparkSession, table: str, column: str, prefix: str) -> list[str]:
-    """Drop the partitions whose key starts with ``prefix``; a metadata operation."""
-    names = [r.partition for r in spark.sql(f"SHOW PARTITIONS {table}").toLocalIterator()]
+    """Remove the partitions whose key starts with ``prefix``, catalog entries and files."""
+    names = [r.partition for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
     doomed = [n.split("=", 1)[1] for n in names if n.startswith(f"{column}={prefix}")]
     drop_partitions(spark, table, column, doomed)
     return doomed

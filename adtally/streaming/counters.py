@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from adtally.functions import rules
 from adtally.functions.numbers import count_where, from_units, to_units
-from adtally.functions.slots import DAY, MINUTE_SLOT, SLOT
+from adtally.functions.slots import DAY, MINUTE_SLOT, SLOT, buckets_between
 from adtally.functions.text import pack
 from adtally.sinks.keyed import upsert_kv
 from adtally.sinks.tables import replace_partition
@@ -72,7 +72,14 @@ def daily_clicks(stream: DataFrame, late_by: str = "1 day") -> DataFrame:
 
 
 def run_closed_windows(windows: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
-    """Append mode: each window arrives once, complete, and replaces its partition."""
+    """Append mode: each window arrives once, complete, and replaces its partition.
+
+    The table must be partitioned by the window: without that, each batch would replace what
+    earlier batches stored.
+    """
+    keys = [c.name for c in windows.sparkSession.catalog.listColumns(table) if c.isPartition]
+    if not set(keys) & {"time_slot", "minute_slot"}:
+        raise ValueError(f"{table} must be partitioned by the window (time_slot or minute_slot)")
     return (
         windows.writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
@@ -85,15 +92,26 @@ def run_closed_windows(windows: DataFrame, table: str, checkpoint: str) -> Strea
 def run_cumulative(counters: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Update mode: changed counters overwrite their stored value. The snapshot is partitioned
     by day, so a batch rewrites the days it touches and leaves the history alone."""
+
+    def store(batch: DataFrame, _: int) -> None:
+        batch = batch.persist()  # read for its days and for its rows
+        try:
+            upsert_kv(batch.sparkSession, batch, path, partition_by="day")
+        finally:
+            batch.unpersist()
+
     return (
         counters.writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda batch, _: upsert_kv(batch.sparkSession, batch, path, partition_by="day"))
+        .foreachBatch(store)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def recompute_trailing(report: Callable[[str, str], DataFrame], table: str, first: str, last: str) -> None:
-    """Late data: recompute a trailing bucket range and replace every partition in it."""
-    replace_partition(report(first, last), table)
+def recompute_trailing(report: Callable[[str, str], DataFrame], table: str, first: str, last: str, grain: str = "hour") -> None:
+    """Late data: recompute a trailing bucket range and replace every partition in it, also those left without rows.
+
+    ``grain`` is that of the table's partitions, ``hour`` or ``day``.
+    """
+    replace_partition(report(first, last), table, covers=buckets_between(first, last, grain))

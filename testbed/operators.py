@@ -299,7 +299,7 @@ def _replace(t: Testbed) -> DataFrame:
     sink.replace_partition(rows.withColumn("conv", F.col("conv") + 1), table)
     sink.replace_partition(rows, table)
     streams.recompute_trailing(
-        lambda first, last: rollups.offer_slot_conv(t("conversions"), first, last), table, "2024011500", "2024013023"
+        lambda first, last: rollups.offer_slot_conv(t("conversions"), first, last), table, "2024011500", "2024013023", grain="day",
     )
     return t.spark.table(table)
 
@@ -457,9 +457,19 @@ def _registered(t: Testbed) -> DataFrame:
 # --- streams ---------------------------------------------------------------------------------
 
 
+SLICES = 5
+
+
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    """All events as files that arrive one after the other, one per trigger, in time order."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    low, high = events.agg(F.min(F.col("ts").cast("timestamp")), F.max(F.col("ts").cast("timestamp"))).first()
+    path, step = scratch_path(spark, "arriving"), (high - low) / SLICES
+    at = F.col("ts").cast("timestamp")
+    for k in range(SLICES):
+        part = events.where((at >= F.lit(low + k * step)) & (at < F.lit(low + (k + 1) * step)) if k < SLICES - 1 else at >= F.lit(low + k * step))
+        part.coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
 def _streamed(t: Testbed) -> Testbed:
@@ -468,7 +478,7 @@ def _streamed(t: Testbed) -> Testbed:
 
 def _closed_windows(t: Testbed, windows: DataFrame, partition_by: str) -> DataFrame:
     empty = t.spark.createDataFrame([], windows.schema)
-    table = _table(t, empty, (partition_by,) if partition_by else ())
+    table = _table(t, empty, (partition_by,))
     streams.run_closed_windows(windows, table, scratch_path(t.spark, "stream")).awaitTermination()
     return t.spark.table(table)
 
@@ -497,13 +507,13 @@ query(
     ("conversion_events",),
     f"""SELECT strftime({_bucket(10)}, '%Y%m%d%H%M') AS minute_slot, offer_id, af_siteid, COUNT(*) AS install FROM conversion_events
 WHERE {_closed(10, '10 MINUTE', "event_type = '1'")} GROUP BY 1, 2, 3""",
-)(lambda t: _closed_windows(t, streams.install_windows(_streamed(t)("conversion_events")), ""))
+)(lambda t: _closed_windows(t, streams.install_windows(_streamed(t)("conversion_events")), "minute_slot"))
 query(
     "stream_pacing_windows",
     ("conversion_events",),
     f"""SELECT strftime({_bucket(5)}, '%Y%m%d%H%M') AS minute_slot, channel, offer_id, COUNT(*) AS conv FROM conversion_events
 WHERE {_closed(5, '5 MINUTE', "event_type <> '1' AND adtype NOT IN ('19', '38')")} GROUP BY 1, 2, 3""",
-)(lambda t: _closed_windows(t, streams.pacing_windows(_streamed(t)("conversion_events")), ""))
+)(lambda t: _closed_windows(t, streams.pacing_windows(_streamed(t)("conversion_events")), "minute_slot"))
 
 
 @query(

@@ -617,15 +617,22 @@ def _slot_plus(col: str, hours: str) -> str:
     return f"strftime(strptime({col}, '%Y%m%d%H') + {hours} * INTERVAL 1 HOUR, '%Y%m%d%H')"
 
 
+def _hours(*slots: str) -> str:
+    """Every hour from the least to the largest bucket of the given (column FROM table) pairs."""
+    seen = " UNION ALL ".join(f"SELECT {s}" for s in slots)
+    return f"""hours AS (SELECT strftime(h, '%Y%m%d%H') AS time_slot FROM (
+  SELECT UNNEST(generate_series(strptime(MIN(s), '%Y%m%d%H'), strptime(MAX(s), '%Y%m%d%H'), INTERVAL 1 HOUR)) AS h FROM ({seen}) AS x(s)))"""
+
+
 def _rates(name: str, table: str, slot: str, measure: str, zero: bool) -> str:
-    hour = (
-        "100e0 * 0 + (a.n - COALESCE(h.n, 0)) / COALESCE(h.n, 1) * 100e0" if zero else "(a.n - h.n) / h.n * 100e0"
-    )
+    now = "COALESCE(a.n, 0)"
+    hour = f"({now} - COALESCE(h.n, 0)) / COALESCE(h.n, 1) * 100e0" if zero else f"({now} - h.n) / h.n * 100e0"
     return f"""{name}_h AS (SELECT {slot} AS time_slot, CAST(SUM({measure}) AS DOUBLE) AS n FROM {table} GROUP BY 1),
 {name} AS (
-  SELECT a.time_slot, (a.n - d.n) / d.n * 100e0 AS day_rate, {hour} AS hour_rate FROM {name}_h a
-  LEFT JOIN {name}_h d ON a.time_slot = {_slot_plus('d.time_slot', '24')}
-  LEFT JOIN {name}_h h ON a.time_slot = {_slot_plus('h.time_slot', '1')})"""
+  SELECT s.time_slot, ({now} - d.n) / d.n * 100e0 AS day_rate, {hour} AS hour_rate FROM hours s
+  LEFT JOIN {name}_h a ON s.time_slot = a.time_slot
+  LEFT JOIN {name}_h d ON s.time_slot = {_slot_plus('d.time_slot', '24')}
+  LEFT JOIN {name}_h h ON s.time_slot = {_slot_plus('h.time_slot', '1')})"""
 
 
 def _rule(alarm: str, rule: str, value: str, threshold: float, fired: str) -> str:
@@ -643,7 +650,8 @@ def _drops(alarm: str, p: str) -> list[str]:
 
 
 _CREATED = "strftime(created, '%Y%m%d%H')"
-TRAFFIC_ALARM_SQL = f""", {_rates('served', 'impressions', 'time_slot', 'count', False)},
+TRAFFIC_ALARM_SQL = f""", {_hours('time_slot FROM impressions', _CREATED + ' FROM async_clicks', 'time_slot FROM conversions')},
+{_rates('served', 'impressions', 'time_slot', 'count', False)},
 {_rates('asy', 'async_clicks', _CREATED, 'count', True)},
 pay AS (SELECT time_slot, {money('payout')} AS payout FROM conversions GROUP BY 1),
 busy AS (SELECT {_CREATED} AS time_slot, offer, SUM(count) AS click FROM async_clicks WHERE pid = '' GROUP BY 1, 2 HAVING SUM(count) > 10000),
@@ -651,10 +659,10 @@ att AS (SELECT attr_hour AS time_slot, offer, SUM(count) AS conv FROM conversion
 th AS (SELECT busy.time_slot, SUM(COALESCE(att.conv, 0)) AS conv FROM busy LEFT JOIN att USING (time_slot, offer) GROUP BY 1),
 tracked AS (SELECT {_slot_plus('th.time_slot', 'g.i')} AS time_slot, SUM(conv) AS conv FROM th, (VALUES (0), (1), (2)) g(i) GROUP BY 1),
 judged AS (
-  SELECT COALESCE(s.time_slot, a.time_slot) AS time_slot, s.day_rate AS served_day, s.hour_rate AS served_hour,
+  SELECT s.time_slot, s.day_rate AS served_day, s.hour_rate AS served_hour,
     a.day_rate AS async_day, a.hour_rate AS async_hour, COALESCE(p.payout, 0) AS payout, COALESCE(t.conv, 0) AS conv
-  FROM served s FULL JOIN asy a ON s.time_slot = a.time_slot
-  LEFT JOIN pay p ON p.time_slot = COALESCE(s.time_slot, a.time_slot) LEFT JOIN tracked t ON t.time_slot = COALESCE(s.time_slot, a.time_slot)),
+  FROM served s JOIN asy a ON s.time_slot = a.time_slot
+  LEFT JOIN pay p ON p.time_slot = s.time_slot LEFT JOIN tracked t ON t.time_slot = s.time_slot),
 alerts AS ({' UNION ALL '.join([*_drops('traffic', 'async'), *_drops('traffic', 'served'),
     _rule('traffic', 'low_payout', 'payout', 100, 'payout <= 100'), _rule('traffic', 'no_conversion', 'conv', 0, 'conv = 0')])})"""
 
@@ -675,7 +683,8 @@ query(
 query(
     "stream_alarm",
     ("stream", "conversion_events"),
-    f""", {_rates('st', 'stream', 'time_slot', 'clk_count', True)},
+    f""", {_hours('time_slot FROM stream', 'time_slot FROM conversion_events')},
+{_rates('st', 'stream', 'time_slot', 'clk_count', True)},
 th AS (SELECT attr_time AS time_slot, COUNT(*) AS conv FROM conversion_events WHERE attribute_provider = 'Adjust' GROUP BY 1),
 tracked AS (SELECT {_slot_plus('th.time_slot', 'g.i')} AS time_slot, SUM(conv) AS conv FROM th, (VALUES (0), (1), (2), (3), (4), (5)) g(i) GROUP BY 1),
 judged AS (SELECT s.time_slot, s.day_rate AS stream_day, s.hour_rate AS stream_hour, COALESCE(t.conv, 0) AS conv
@@ -685,9 +694,11 @@ judged AS (SELECT s.time_slot, s.day_rate AS stream_day, s.hour_rate AS stream_h
 query(
     "volume_alarm",
     ("clicks", "impressions"),
-    f""", c AS (SELECT time_slot, SUM(count) AS clicks FROM clicks GROUP BY 1),
+    f""", {_hours('time_slot FROM clicks', 'time_slot FROM impressions')},
+c AS (SELECT time_slot, SUM(count) AS clicks FROM clicks GROUP BY 1),
 i AS (SELECT time_slot, SUM(count) AS shown FROM impressions WHERE adtype = '16' GROUP BY 1),
-judged AS (SELECT time_slot, COALESCE(clicks, 0) AS clicks, COALESCE(shown, 0) AS shown FROM c FULL JOIN i USING (time_slot))
+judged AS (
+  SELECT time_slot, COALESCE(clicks, 0) AS clicks, COALESCE(shown, 0) AS shown FROM hours LEFT JOIN c USING (time_slot) LEFT JOIN i USING (time_slot))
 {' UNION ALL '.join([_rule('volume', 'low_clicks', 'clicks', 100, 'clicks < 100'), _rule('volume', 'low_impressions', 'shown', 1000, 'shown < 1000')])}""",
 )(lambda t: alarms.volume_alarm(t("clicks"), t("impressions")))
 query(

@@ -98,18 +98,52 @@ def test_report_counts_every_measure_once(rows):
         rows(EVENTS, event(code="1", payout=0.0625), event(code="2", payout=0.0625), event(platform="Android", code="2", payout=1.0)),
         rows(REJECTS, (H, "US", "iOS", "com.a", "o1", "ch1"), (H, "BR", "iOS", "com.z", "o9", "ch9")),
     )
-    once = {(r.country, r.offer): r for r in traffic.traffic_report(*args).collect()}
-    r = once["US", "o1"]
-    assert (r.click_all, r.impression, r.install, r.conv, r.reject) == (18, 4, 1, 2, 1)
-    assert (r.revenue, r.cost) == (1.12, 1.5)  # 1.125 rounds to the even hundredth
-    z = once["BR", "o9"]
-    assert (z.channel, z.pkg, z.platform, z.reject, z.click_all) == ("ch9", "com.z", "iOS", 1, 0)
+    once = {
+        (r.country, r.offer, r.channel, r.pkg, r.platform): (r.click_all, r.impression, r.install, r.conv, r.reject, r.revenue, r.cost)
+        for r in traffic.traffic_report(*args).collect()
+    }
+    assert once == {
+        ("US", "o1", "ch1", "com.a", "iOS"): (10, 3, 1, 1, 1, 0.12, 1.0),  # 0.125 rounds to the even hundredth
+        ("US", "o1", "ch2", "com.a", "iOS"): (5, 1, 0, 0, 0, 0.0, 0.0),
+        ("US", "o1", "ch1", "", ""): (3, 0, 0, 0, 0, 0.0, 0.0),
+        ("US", "o1", "ch1", "com.a", "Android"): (0, 0, 0, 1, 0, 1.0, 0.5),
+        ("BR", "o9", "ch9", "com.z", "iOS"): (0, 0, 0, 0, 1, 0.0, 0.0),
+    }
     fanned = traffic.traffic_report_fanned(*args)
     f = {(x.country, x.offer, x.channel): x for x in fanned.collect()}
     assert (f["US", "o1", "ch1"].click_all, f["US", "o1", "ch2"].click_all) == (26, 10)
     assert ("", "", "") in f  # the reject-only row has no labels
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_measures_stay_at_their_labels(rows, seed):
+    rng = random.Random(seed)
+
+    def pick():
+        return rng.choice(["ch1", "ch2", "c", None]), rng.choice(["com.a", "com.b", "p", None]), rng.choice(["iOS", "Android"])
+
+    stream = [(H, "o1", "US", ch, pkg, pf, rng.randint(1, 9), 1) for ch, pkg, pf in (pick() for _ in range(15))]
+    convs = [event(channel=ch, pkg=pkg, platform=pf, code=rng.choice("12"), payout=float(rng.randint(1, 9))) for ch, pkg, pf in (pick() for _ in range(15))]
+    rejects = [(H, "US", pf, pkg, "o1", ch) for ch, pkg, pf in (pick() for _ in range(9))]
+    out = traffic.traffic_report(rows(STREAM, *stream), rows(ROUTED, *[]), rows(SYNCED, *[]), rows(EVENTS, *convs), rows(REJECTS, *rejects)).collect()
+
+    def shown(*labels):
+        return tuple(x if x and len(x) > 1 else "" for x in labels)
+
+    clicked = [(shown(r[3], r[4], r[5]), r[6]) for r in stream if r[3] and r[4] is not None]
+    paid = [(shown(e[2], e[5], e[7]), e[12]) for e in convs if e[5]]
+    refused = [(shown(r[5], r[3], r[2]), 1) for r in rejects]
+    assert {(r.channel, r.pkg, r.platform) for r in out} <= {k for k, _ in clicked + paid + refused}
+    for name, log in (("click_all", clicked), ("revenue", paid), ("reject", refused)):
+        for at, label in enumerate(("channel", "pkg", "platform")):
+            have, want = defaultdict(float), defaultdict(float)
+            for r in out:
+                have[r[label]] += r[name]
+            for k, n in log:
+                want[k[at]] += n
+            assert {k: v for k, v in have.items() if v} == dict(want)
+
+
 def test_day_grain_and_range(rows):
     stream = rows(STREAM, ("2024010100", "o1", "US", "ch1", "com.a", "iOS", 1, 0), ("2024010123", "o1", "US", "ch1", "com.a", "iOS", 2, 0),
                   ("2024010200", "o1", "US", "ch1", "com.a", "iOS", 4, 0))
@@ -394,7 +428,7 @@ def test_traffic_alarm_rules(rows):
 
 def test_stream_and_volume_alarms(rows):
     stream = rows("time_slot string, clk_count long", ("2024010100", 100), ("2024010200", 40))
-    convs = rows("attribute_provider string, attr_time string, payout double", ("Adjust", "2024010120", 1.5), ("Other", "2024010123", 1.0))
+    convs = rows("time_slot string, attribute_provider string, attr_time string, payout double", ("2024010121", "Adjust", "2024010120", 1.5), ("2024010200", "Other", "2024010123", 1.0))
     fired = {(r.time_slot, r.rule): (r.value, r.fired) for r in alarms.stream_alarm(stream, convs).collect()}
     assert fired["2024010200", "stream_deep_drop"] == (-60.0, True)
     assert fired["2024010200", "no_conversion"] == (1.0, False) and fired["2024010100", "no_conversion"] == (0.0, True)
@@ -404,6 +438,27 @@ def test_stream_and_volume_alarms(rows):
     assert got(alarms.tracker_totals(convs, "2024010100")) == [(1, 1.5)]
 
 
+def test_alarms_judge_hours_without_rows(rows):
+    counter = "time_slot string, adtype string, count long"
+    clicks, shown = rows(counter, ("2024010100", "3", 150), ("2024010103", "3", 150)), rows(counter, ("2024010101", "16", 2000))
+    out = {(r.time_slot, r.rule): (r.value, r.fired) for r in alarms.volume_alarm(clicks, shown).collect()}
+    assert len(out) == 8 and out["2024010102", "low_clicks"] == (0.0, True) and out["2024010102", "low_impressions"] == (0.0, True)
+    wide = alarms.volume_alarm(clicks, shown, "2024010102", "2024010105")
+    assert sorted({r.time_slot for r in wide.collect()}) == ["2024010102", "2024010103", "2024010104", "2024010105"]
+
+    stream = rows("time_slot string, clk_count long", ("2024010100", 100), ("2024010101", 90))
+    convs = rows("time_slot string, attribute_provider string, attr_time string", ("2024010203", "Adjust", "2024010203"))
+    dead = {(r.time_slot, r.rule): (r.value, r.fired) for r in alarms.stream_alarm(stream, convs).collect()}
+    assert dead["2024010200", "stream_deep_drop"] == (-100.0, True) and dead["2024010102", "no_conversion"][1]
+
+    imps = rows("time_slot string, count long", *[(f"202401{d:02d}{h:02d}", 100) for d in (1, 2) for h in range(24)])
+    asy = rows("created timestamp, offer string, pid string, count long", *[(datetime(2024, 1, 1, h), "o", "", 500) for h in range(24)])
+    pay = rows("time_slot string, attr_hour string, offer string, adtype string, count long, payout double", ("2024010110", "2024010110", "o", "19", 4, 500.0))
+    fired = {(r.time_slot, r.rule): r.fired for r in alarms.traffic_alarm(imps, asy, pay).collect()}
+    assert fired["2024010200", "async_drop"] and fired["2024010200", "async_deep_drop"] and fired["2024010212", "async_deep_drop"]
+    assert not fired["2024010212", "served_drop"]
+
+
 def test_partner_report_drops_null_keys(rows):
     lines = rows("date string, channel_type string, platform string, channel string, country string, pkg string, conversion long, revenue double, cost double, click long, install long",
                  ("d", "6", "1", "c", "US", "p", 1, 0.1, 0.2, 3, 0), ("d", "6", "1", "c", "US", "p", 1, 0.2, 0.2, 3, 0), ("d", "6", "1", None, "US", "p", 1, 9.0, 9.0, 9, 0))

@@ -7,7 +7,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from adtally.session import materialize, shared_dir
+from adtally.session import clear_scratch, materialize, replace_folder, shared_dir, use_scratch
 from adtally.sinks import files, keyed, tables
 from adtally.sources.tables import target_schema
 from tests.conftest import got
@@ -67,6 +67,79 @@ def test_expire_by_day_prefix(spark, rows, table):
     assert cols(spark, table) == [("2024010200", "c", 1)]
 
 
+def test_expired_files_are_gone(spark, rows, table, tmp_path):
+    tables.append(rows(SLOTS, ("2024010100", "a", 1), ("2024010200", "c", 1)), table)
+    tables.expire(spark, table, "time_slot", "20240101")
+    assert spark.read.parquet(str(tmp_path / table)).count() == 1
+
+
+def failing(spark, rows):
+    """Rows that fail while they are computed."""
+    return rows(SLOTS, ("2024010100", "new", 1), ("2024010101", "new", 2)).withColumn(
+        "n", F.when(F.col("n") == 2, F.raise_error(F.lit("report failed")).cast("long")).otherwise(F.col("n"))
+    )
+
+
+@pytest.mark.parametrize("load", ["partition", "refresh", "refresh_flat", "rows", "kv"])
+def test_a_failing_load_leaves_the_old_rows(spark, rows, tmp_path, load):
+    old, bad = rows(SLOTS, ("2024010100", "a", 1), ("2024010101", "b", 2)), failing(spark, rows)
+    name, path = f"kept_{load}", str(tmp_path / load)
+    if load in ("rows", "kv"):
+        old = old if load == "rows" else old.select(F.col("time_slot").alias("key"), "k")
+        bad = bad if load == "rows" else bad.select(F.col("time_slot").alias("key"), F.concat("k", F.col("n").cast("string")).alias("k"))
+        old.write.parquet(path)
+        with pytest.raises(Exception, match="report failed"):
+            keyed.replace_rows(spark, bad, path, ["time_slot"]) if load == "rows" else keyed.upsert_kv(spark, bad, path)
+        assert got(spark.read.parquet(path)) == got(old)
+        return
+    tables.create_table(old, name, ["time_slot"] if load != "refresh_flat" else (), path)
+    tables.append(old, name)
+    with pytest.raises(Exception, match="report failed"):
+        tables.replace_partition(bad, name, ["2024010100", "2024010101"]) if load == "partition" else tables.refresh(bad, name)
+    assert cols(spark, name) == got(old)
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_refresh_without_partitions_swaps_the_folder(spark, rows, tmp_path):
+    path = tmp_path / "flat"
+    tables.create_table(rows(SLOTS, ("x", "x", 1)), "flat", (), str(path))
+    for n in (1, 2):
+        tables.refresh(rows(SLOTS, ("2024010100", "a", n)), "flat")
+        assert cols(spark, "flat") == [("2024010100", "a", n)]
+    assert [p.name for p in tmp_path.iterdir() if p.name.startswith("flat")] == ["flat"]
+    spark.sql("DROP TABLE flat")
+
+
+def test_a_failed_swap_is_undone(spark, rows, tmp_path, monkeypatch):
+    path = str(tmp_path / "live")
+    rows("a long", (1,)).write.parquet(path)
+    with pytest.raises(Exception):
+        replace_folder(rows("a string", ("x",)).select(F.raise_error(F.lit("no"))), path)
+    assert got(spark.read.parquet(path)) == [(1,)] and [p.name for p in tmp_path.iterdir()] == ["live"]
+
+
+def test_scratch_is_cleared(spark, rows):
+    out = materialize(rows("a long", (1,)), "probe")
+    folder = Path(out.inputFiles()[0].removeprefix("file://").removeprefix("file:")).parent
+    assert folder.exists()
+    clear_scratch(spark)
+    assert not folder.exists()
+
+
+def test_no_scratch_without_a_setting():
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        conf = Conf()
+        sparkContext = type("C", (), {"getCheckpointDir": lambda self: None, "master": "yarn"})()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Session())
+    assert use_scratch(Session()).sparkContext.getCheckpointDir() is None
+
+
 def test_clear(spark, rows, table):
     tables.append(rows(SLOTS, ("2024010100", "a", 1)), table)
     tables.clear(spark, [table])

@@ -77,11 +77,15 @@ def test_daily_counters_accumulate_over_batches(spark, arriving, tmp_path):
 
 @pytest.mark.parametrize("windows, minutes", [(streams.install_windows, 10), (streams.pacing_windows, 5)])
 def test_look_back_windows(spark, arriving, tmp_path, windows, minutes):
-    rows = [event(code=c, ts=at(m)) for c in "12" for m in (0, 4, 6, 11)] + [event(code=c, ts=at(600)) for c in "12"]
-    path = arriving(EVENTS, rows)
+    rows = [event(code=c, ts=at(m)) for m in (0, 4, 6, 11) for c in "12"] + [event(code=c, ts=at(600)) for c in "12"]
+    path = arriving(EVENTS, rows[:3], rows[3:6], rows[6:8], [event(code=c, ts=at(60 + m)) for c in "12" for m in (0, 1)], rows[8:])
     df = windows(read(spark, EVENTS, path))
     name = f"look_back_{minutes}"
-    create_table(spark.createDataFrame([], df.schema), name, (), str(tmp_path / "t"))
+    create_table(spark.createDataFrame([], df.schema), f"{name}_flat", (), str(tmp_path / "f"))
+    with pytest.raises(ValueError, match="partitioned"):
+        streams.run_closed_windows(df, f"{name}_flat", str(tmp_path / "cpf"))
+    spark.sql(f"DROP TABLE {name}_flat")
+    create_table(spark.createDataFrame([], df.schema), name, ("minute_slot",), str(tmp_path / "t"))
     streams.run_closed_windows(df, name, str(tmp_path / "cp")).awaitTermination()
     code = "1" if minutes == 10 else "2"
     batch = (
@@ -92,3 +96,19 @@ def test_look_back_windows(spark, arriving, tmp_path, windows, minutes):
     measure = "install" if minutes == 10 else "conv"
     assert got(spark.table(name).select("minute_slot", measure)) == got(batch)
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_trailing_recompute_empties_slots_without_rows(spark, rows, tmp_path):
+    schema = "time_slot string, n long"
+    create_table(rows(schema, ("x", 1)), "trailing", ["time_slot"], str(tmp_path / "t"))
+    data = {"2024010100": 1, "2024010101": 2, "2024010102": 3}
+
+    def report(first, last):
+        return rows(schema, *[(k, v) for k, v in data.items() if first <= k <= last])
+
+    streams.recompute_trailing(report, "trailing", "2024010100", "2024010102")
+    del data["2024010101"]
+    data["2024010102"] = 4
+    streams.recompute_trailing(report, "trailing", "2024010101", "2024010102")
+    assert got(spark.table("trailing").select("time_slot", "n")) == [("2024010100", 1), ("2024010102", 4)]
+    spark.sql("DROP TABLE trailing")
