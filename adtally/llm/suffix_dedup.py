@@ -31,6 +31,7 @@ result; a NULL id counts as larger than any other; texts shorter than ``length``
 from __future__ import annotations
 
 import hashlib
+import itertools
 import tempfile
 from collections.abc import Iterator
 
@@ -183,7 +184,7 @@ def _settle(groups: int):
     """Shards of hashes in, positions of anchors in several documents out, by document group."""
 
     def run(batches):
-        for shard, blobs in _runs(batches):
+        for _, blobs in _runs(batches):
             ids, copies, docs, places, hashes, done, base = [], [], [], [], [], [], 0
             for blob in blobs:
                 i, c, d, p, low, high, s = unpack(blob, np.int64, np.int64, np.int32, np.int32, np.uint32, np.uint8, bool)
@@ -221,18 +222,11 @@ def _settle(groups: int):
     return both
 
 
-def _runs(batches) -> Iterator[tuple[int, list[bytes]]]:
-    """(group, its blobs) of rows sorted by group."""
-    now, blobs = None, []
-    for batch in batches:
-        for grp, body in zip(batch.column("grp").to_pylist(), batch.column("body").to_pylist(), strict=True):
-            if grp != now and blobs:
-                yield now, blobs
-                blobs = []
-            now = grp
-            blobs.append(body)
-    if blobs:
-        yield now, blobs
+def _runs(batches) -> Iterator[tuple[int, Iterator[bytes]]]:
+    """(group, its blobs) of rows sorted by group; the blobs are read as they come."""
+    rows = (r for b in batches for r in zip(b.column("grp").to_pylist(), b.column("body").to_pylist(), strict=True))
+    for grp, own in itertools.groupby(rows, key=lambda r: r[0]):
+        yield grp, (body for _, body in own)
 
 
 # --- 2. induced sorting --------------------------------------------------------------------
@@ -552,11 +546,11 @@ def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
 
     def met(blobs: DataFrame) -> DataFrame:
         given = blobs.select("grp", F.lit(0).alias("turn"), F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("copy"), "body")
-        return given.union(texts).repartition(groups, "grp").sortWithinPartitions("turn")
+        return given.union(texts).repartitionById(groups, "grp").sortWithinPartitions("turn")
 
-    dealt = docs.mapInArrow(_find(length, shards, groups), _BLOB).repartition(shards, "grp").sortWithinPartitions("grp")
+    dealt = docs.mapInArrow(_find(length, shards, groups), _BLOB).repartitionById(shards, "grp").sortWithinPartitions("grp")
     places = stages.write(dealt.mapInArrow(_settle(groups), _BLOB), "places")
-    contexts = met(places).mapInArrow(_contexts(length, shards), _BLOB).repartition(shards, "grp").sortWithinPartitions("grp")
+    contexts = met(places).mapInArrow(_contexts(length, shards), _BLOB).repartitionById(shards, "grp").sortWithinPartitions("grp")
     intervals = stages.write(contexts.mapInArrow(_intervals(length, groups), _BLOB), "intervals")
     return met(intervals).mapInArrow(_removed, "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary")
 
