@@ -14,7 +14,7 @@ sets allow) and are then verified once, on whole sets.
 * The classes that share a shingle are filtered pair by pair in memory if they are at most ``PAIRED``.
   If what passes is in proportion to their number, those pairs are verified. In a group that is
   larger, or as dense as near copies are, every class meets a few hubs first, those that have the shingle earliest; components follow from the
-  links found, and only groups that still hold several components get new hubs, twice as many in
+  links found, and only groups that still hold several components get new hubs, four times as many in
   each round, until all members of a group are connected or each has been a hub. So a
   group of near copies costs a few comparisons per member, and no link between two
   components is missed. Members of one component need no further comparison.
@@ -43,12 +43,13 @@ from adtally.llm.components import components
 PARTS = 64
 CELL_BITS = (16, 24)
 SMALL = 8
-PAIRED = 512
-FIRST_HUBS = 2
+PAIRED = 4096
+TRIED_AT_ONCE = 1 << 18
+FIRST_HUBS = 4
 FEW_PAIRS = 4
 GROUP_ROWS = 200_000
 PAIRS_PER_TASK = 2_000
-CUTS = 8
+CUTS = 32
 
 
 class Sets:
@@ -175,9 +176,8 @@ def prefix_tuples(docs: DataFrame, shingle: int, percent: int, cells, buckets: i
             use = fresh[doc] & (place < (n - needed(n, percent) + 1)[doc])
             token, doc, place, rare = token[use], doc[use], place[use].astype(np.int32), rare[use]
             key = np.array([_key(d) or 0 for d in digests], np.int64)
-            cuts = np.minimum(
-                np.bincount(sets.owner * CUTS + (sets.hashes >> np.uint64(61)).astype(np.int64), minlength=len(n) * CUTS), 65535
-            ).reshape(-1, CUTS).astype(np.uint16)
+            part = (sets.hashes >> np.uint64(64 - 5)).astype(np.int64)
+            cuts = np.minimum(np.bincount(sets.owner * CUTS + part, minlength=len(n) * CUTS), 255).reshape(-1, CUTS).astype(np.uint8)
             # a group that may be too large for one task is spread over several
             salts = (np.maximum(rare - usual, 0) // GROUP_ROWS).astype(np.uint64)
             salt = np.where(salts > 0, key[doc].astype(np.uint64) % (salts + np.uint64(1)), np.uint64(0))
@@ -211,7 +211,7 @@ class Members:
 
         shift = np.cumsum([0, *(len(r["key"]) // 8 for r in rows)])
         self.key, self.n = column("key", np.int64), column("n", np.int32).astype(np.int64)
-        self.cuts = column("cuts", np.uint16).reshape(-1, CUTS).astype(np.int64)
+        self.cuts = column("cuts", np.uint8).reshape(-1, CUTS)
         doc = column("doc", np.int32).astype(np.int64) + np.repeat(shift[:-1], [len(r["doc"]) // 4 for r in rows])
         token, place = column("token", np.uint64), column("place", np.int32).astype(np.int64)
         # rows of equal sets from other tasks go; then shingles that one set alone has
@@ -233,10 +233,11 @@ def similar_enough(na, nb, pa_, pb, cuts_a, cuts_b, percent: int) -> np.ndarray:
     least = -(-percent * (na + nb) // (100 + percent))
     most = np.minimum(pa_, pb) + 1 + np.minimum(na - pa_ - 1, nb - pb - 1)
     good = (100 * low >= percent * high) & (most >= least)
-    # eight parts by hash: what both can share in each (parts of 65535 and more bound nothing)
-    share = np.minimum(cuts_a, cuts_b)
-    bound = np.where((share >= 65535).any(axis=1), high, share.sum(axis=1))
-    return good & (bound >= least)
+    # both sets in parts by hash: what they can share in each (parts of 255 and more bound nothing)
+    at = np.flatnonzero(good)
+    share = np.minimum(cuts_a[at], cuts_b[at])
+    good[at] = (share.sum(axis=1, dtype=np.int64) >= least[at]) | (share == 255).any(axis=1)
+    return good
 
 
 def _pairs(m: Members, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -255,18 +256,22 @@ def _pairs(m: Members, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray
 
     for k in np.flatnonzero((size > SMALL) & (size <= PAIRED)):
         own = np.arange(edges[k], edges[k + 1])
-        # rows are tried in order of size, against those within the length bound
+        # rows are tried in order of size, against those within the length bound, until there are too many pairs
         own = own[np.argsort(m.n[m.doc[own]], kind="stable")]
         n = m.n[m.doc[own]]
         reach = np.searchsorted(n, 100 * n // percent, "right") - np.arange(len(own)) - 1
-        a = np.repeat(np.arange(len(own)), reach)
-        b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(reach) - reach, reach)
-        passing(own[a], own[b])
-        if len(left[-1]) <= FEW_PAIRS * len(own):
+        tried, found, kept, low = np.cumsum(reach), 0, len(left), 0
+        while low < len(own) and found <= FEW_PAIRS * len(own):
+            high = max(low + 1, int(np.searchsorted(tried, tried[low] - reach[low] + TRIED_AT_ONCE, "right")))
+            part = reach[low:high]
+            a = np.repeat(np.arange(low, high), part)
+            b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(part) - part, part)
+            passing(own[a], own[b])
+            found, low = found + len(left[-1]), high
+        if found <= FEW_PAIRS * len(own):
             dense[own] = False
         else:
-            left.pop()
-            right.pop()
+            del left[kept:], right[kept:]
     for hub in range(SMALL - 1):
         later = np.flatnonzero((rank > hub) & (np.repeat(size <= SMALL, size) | dense & (hub < FIRST_HUBS)))
         passing(later - rank[later] + hub, later)
@@ -310,11 +315,11 @@ def candidates(tuples: DataFrame, buckets: int, percent: int) -> DataFrame:
         yield _columns(pa.array(pairs[0]), pa.array(pairs[1]), *(pa.nulls(pairs.shape[1], t) for t in _REST), _FOUND)
         yield _columns(
             pa.nulls(len(token), pa.int64()), pa.nulls(len(token), pa.int64()), pa.array(token.view(np.int64)), pa.array(place),
-            pa.array(m.n[doc]), pa.array(m.key[doc]), pa.array([x.tobytes() for x in m.cuts[doc].astype(np.uint16)], pa.binary()), pa.array(hub), _FOUND,
+            pa.array(m.n[doc]), pa.array(m.key[doc]), pa.array([x.tobytes() for x in m.cuts[doc]], pa.binary()), pa.array(hub), _FOUND,
         )
 
     # the rows of one bucket are packed and of bounded size; sorting brings them together
-    dealt = tuples.repartition(buckets, "bucket").sortWithinPartitions("bucket", "salted")
+    dealt = tuples.repartitionById(buckets, "bucket").sortWithinPartitions("bucket", "salted")
     return dealt.mapInArrow(run, "a long, b long, token long, place long, n long, key long, cuts binary, hub boolean")
 
 
@@ -371,23 +376,28 @@ _SENT = pa.schema([("a", pa.int64()), ("salt", pa.int32()), ("member", pa.bool_(
 
 
 def _next_hubs(groups: DataFrame, comps: DataFrame, stages: Stages, hubs: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(pairs, groups that go on): new hubs of each large group that still holds several components."""
+    """(pairs, groups that go on): new hubs of each large group that still holds several components.
+
+    Of two members in different components at least one is outside the group's largest, so only such members become
+    hubs; a group is done when all of them have been.
+    """
     known = groups.drop("c").join(comps, F.col("key") == F.col("node"), "left").select(*groups.drop("c").columns, F.coalesce("component", "key").alias("c"))
     known = stages.write(known, "groups")
-    alive = known.groupBy("token").agg(
-        F.min("c").alias("c_low"), F.max("c").alias("c_high"), F.sum((~F.col("hub")).cast("long")).alias("left")
-    ).where("c_low != c_high and left > 0").select(F.col("token").alias("t"))
-    going = known.join(alive, F.col("token") == F.col("t"), "left_semi")
+    parts = known.groupBy("token", "c").agg(F.count("*").alias("n"), F.sum((~F.col("hub")).cast("long")).alias("left"))
+    tops = parts.groupBy("token").agg(F.max(F.struct("n", "c", "left")).alias("top"), F.sum("left").alias("left"))
+    alive = tops.where(F.col("left") > F.col("top.left")).select(F.col("token").alias("t"), F.col("top.c").alias("top"))
+    going = known.join(alive, F.col("token") == F.col("t")).drop("t")
     salt = F.pmod(F.xxhash64("key", F.lit(hubs)), F.lit(hubs))
     first = F.min(F.struct("place", "n", "key", "c", "cuts")).alias("h")
-    chosen = stages.write(going.where(~F.col("hub")).groupBy("token", salt.alias("salt")).agg(first).select(F.col("token").alias("t"), "h.*"), "hubs")
+    others = going.where(~F.col("hub") & (F.col("c") != F.col("top")))
+    chosen = stages.write(others.groupBy("token", salt.alias("salt")).agg(first).select(F.col("token").alias("t"), "h.*"), "hubs")
     h = chosen.select("t", *[F.col(c).alias(f"h_{c}") for c in ("place", "n", "key", "c", "cuts")])
     met = going.join(h, F.col("token") == F.col("t")).where("c != h_c")
 
     def keep(batches):
         for batch in batches:
             v = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("place", "n", "key", "h_place", "h_n", "h_key")}
-            cuts = [np.array([np.frombuffer(x.as_buffer(), np.uint16) for x in batch.column(c)], np.int64).reshape(-1, CUTS) for c in ("cuts", "h_cuts")]
+            cuts = [np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, CUTS) for c in ("cuts", "h_cuts")]
             good = similar_enough(v["n"], v["h_n"], v["place"], v["h_place"], *cuts, percent)
             yield _columns(pa.array(v["h_key"][good]), pa.array(v["key"][good]), ["a", "b"])
 
@@ -421,7 +431,7 @@ def similar_documents(docs: DataFrame, shingle: int = 5, percent: int = 80) -> D
         once = both.groupBy(F.least("ra", "rb"), F.greatest("ra", "rb")).agg(F.min(F.struct("ra", "rb")).alias("p"))
         return once.select(F.col("p.ra").alias("a"), F.col("p.rb").alias("b"))
 
-    comps, hubs = None, 1
+    comps, hubs = None, 4 * FIRST_HUBS
     pairs = done = stages.write(ids(met.where("token is null").select("a", "b")), "pairs")
     groups = met.where("token is not null").select("token", "place", "n", "key", "cuts", "hub")
     while True:
@@ -439,7 +449,7 @@ def similar_documents(docs: DataFrame, shingle: int = 5, percent: int = 80) -> D
         known = done.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
         new = ids(found)
         pairs = stages.write(new.join(known, (F.least("a", "b") == F.col("x")) & (F.greatest("a", "b") == F.col("y")), "left_anti"), "pairs")
-        done, hubs = done.union(pairs), 2 * hubs
+        done, hubs = done.union(pairs), 4 * hubs
     found = rows.join(classes.select(F.col("digest").alias("d"), "rep"), F.col("digest") == F.col("d"), "left")
     found = found.join(comps, F.col("rep") == F.col("node"), "left")
     return found.select(
