@@ -88,6 +88,16 @@ def day_bounds(day: str) -> tuple[str, str]:
     return f"{day}00", f"{day}23"
 
 
+def iso_text(day: str | None) -> str | None:
+    """``yyyyMMdd`` as ``yyyy-MM-dd``."""
+    return day and f"{day[:4]}-{day[4:6]}-{day[6:]}"
+
+
+def slot_instant(slot: str) -> datetime:
+    """First instant of an hour bucket."""
+    return datetime.strptime(slot, "%Y%m%d%H")
+
+
 def slot_before(as_of: datetime, hours: int = 1) -> str:
     return (as_of - timedelta(hours=hours)).strftime("%Y%m%d%H")
 

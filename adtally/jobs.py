@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from adtally.functions import slots
 from adtally.plans import alarms, counters, dims, feeds, money, rates, rollups, traffic
-from adtally.session import build_session, materialize
+from adtally.session import build_session, clear_scratch, materialize, replace_folder
 from adtally.sinks import files, keyed, tables as sink
 from adtally.sources import contracts, partner_csv
 
@@ -73,9 +73,8 @@ class Run:
         keyed.upsert_kv(self.spark, df, path, order)
 
     def replace_all(self, df: DataFrame, name: str) -> None:
-        """Key/value table emptied first: keys without a row disappear."""
-        one_per_key = keyed.merged(df.limit(0), df, ["key"])
-        one_per_key.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(self.path(name))
+        """Key/value table replaced as a whole: keys without a row disappear."""
+        replace_folder(keyed.merged(df.limit(0), df, ["key"]), self.path(name))
 
 
 JOBS: dict[str, Callable[[Run], None]] = {}
@@ -180,10 +179,12 @@ def realtime_cvr(run: Run) -> None:
 
 @job
 def cvr_by_offer(run: Run) -> None:
-    """Clicks to the previous hour, installs to the hour before it."""
+    """Clicks to the previous hour, installs to the hour before it, both of the previous hour's day."""
+    click, install = (slots.slot_before(run.as_of, n) for n in (1, 2))
+    day = click[:8]
     found = rates.cvr_by_hour(
-        *run.several("stream", "conversion_events"), run.today, run.today,
-        click_hour=slots.slot_before(run.as_of, 1)[8:], install_hour=slots.slot_before(run.as_of, 2)[8:],
+        *run.several("stream", "conversion_events"), day, day,
+        click_hour=click[8:], install_hour=install[8:] if install[:8] == day else "",
     )
     run.upsert(rates.cvr_pairs(found, run.table("offers")).select("key", "value"), "cvr_by_offer")
 
@@ -203,8 +204,9 @@ def target_pacing(run: Run) -> None:
 
 @job
 def cap_daily_counts(run: Run) -> None:
-    rows = counters.cap_daily_counts(*run.several("conversion_events", "offers"), run.today, run.today)
-    run.upsert(keyed.snapshot_kv(rows, F.col("count"), "key"), "cap_daily_counts", [-F.col("value").cast("long")])
+    """The day's installs per offer and slot, over all countries."""
+    rows = counters.cap_daily_counts(*run.several("conversion_events", "offers"), run.today, run.today, ranked=False)
+    run.upsert(keyed.snapshot_kv(rows.groupBy("key").agg(F.sum("count").alias("count")), F.col("count"), "key"), "cap_daily_counts")
 
 
 @job
@@ -352,7 +354,8 @@ def _alarm(report: Callable[..., DataFrame], name: str, *inputs: str) -> None:
 def _recent(df: DataFrame, as_of: datetime) -> DataFrame:
     if "time_slot" in df.columns:
         return df.where(F.col("time_slot").between(slots.slot_before(as_of, 48), slots.slot_before(as_of)))
-    return df.where(slots.slot_of("created").between(slots.slot_before(as_of, 48), slots.slot_before(as_of)))
+    first, end = (slots.instant(slots.slot_instant(slots.slot_before(as_of, n))) for n in (48, 0))
+    return df.where((F.col("created") >= first) & (F.col("created") < end))
 
 
 _alarm(alarms.traffic_alarm, "traffic_alarm", "impressions", "async_clicks", "conversions")
@@ -365,7 +368,7 @@ def clear_counters(run: Run) -> None:
     """Empty the counter snapshots, as at the start of a day."""
     for name in COUNTER_TABLES:
         empty = run.spark.createDataFrame([], run.spark.read.parquet(run.path(name)).schema)
-        empty.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(run.path(name))
+        replace_folder(empty, run.path(name))
 
 
 def main(argv: Sequence[str] | None = None) -> None:
@@ -378,7 +381,10 @@ def main(argv: Sequence[str] | None = None) -> None:
     spark = build_session("adtally " + " ".join(args.jobs))
     prefix = f"{args.database}." if args.database else ""
     for name in args.jobs:
-        JOBS[name](Run(spark, lambda t: spark.table(prefix + t), args.as_of, args.root))
+        try:
+            JOBS[name](Run(spark, lambda t: spark.table(prefix + t), args.as_of, args.root))
+        finally:
+            clear_scratch(spark)
 
 
 if __name__ == "__main__":

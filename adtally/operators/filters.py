@@ -9,7 +9,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from adtally.functions import rules
-from adtally.functions.slots import MINUTE_SLOT, day_bounds, event_day, instant
+from adtally.functions.slots import day_bounds, day_end, day_start, instant
 
 
 def at_slot(df: DataFrame, slot: str, col: str = "time_slot") -> DataFrame:
@@ -37,8 +37,17 @@ def like_day(df: DataFrame, day: str, col: str = "time_slot") -> DataFrame:
     return df.where(F.col(col).startswith(day))
 
 
+def between_days(df: DataFrame, first: str | None, last: str | None, ts: str = "utctime") -> DataFrame:
+    """Rows of a range of event days, as half-open bounds on the bare timestamp."""
+    if first is not None:
+        df = df.where(F.col(ts) >= day_start(first))
+    if last is not None:
+        df = df.where(F.col(ts) < day_end(last))
+    return df
+
+
 def on_event_day(df: DataFrame, day: str, ts: str = "utctime") -> DataFrame:
-    return df.where(event_day(ts) == day)
+    return between_days(df, day, day, ts)
 
 
 def scan_day(df: DataFrame, col: str, day: str) -> DataFrame:
@@ -57,8 +66,8 @@ def last_hours(df: DataFrame, as_of: datetime, hours: int, ts: str = "created")
 
 
 def since_minute(df: DataFrame, bucket: str, ts: str = "utctime") -> DataFrame:
-    """Look-back on the minute bucket text."""
-    return df.where(F.date_format(ts, MINUTE_SLOT) >= bucket)
+    """Look-back from a minute bucket."""
+    return df.where(F.col(ts) >= instant(datetime.strptime(bucket, "%Y%m%d%H%M")))
 
 
 def require(df: DataFrame, *cols: str) -> DataFrame:

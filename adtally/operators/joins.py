@@ -92,6 +92,13 @@ def flag_join(df: DataFrame, flags: DataFrame, keys: Sequence[str], flag: str, d
 
 
 def pair_single_rows(*rows: DataFrame) -> DataFrame:
-    """Put single-row aggregates side by side on a constant key; the first row survives."""
-    tagged = [r.withColumn("_one", F.lit("a")) for r in rows]
+    """Put single-row aggregates side by side on a constant key; the first row survives.
+
+    A frame with more rows is refused while it runs, instead of pairing all of them.
+    """
+    tagged = []
+    for r in rows:
+        whole = r.agg(F.collect_list(F.struct(*r.columns)).alias("_r"))
+        alone = F.when(F.size("_r") <= 1, F.col("_r")).otherwise(F.raise_error(F.lit("more than one row to put side by side")))
+        tagged.append(whole.select(F.lit("a").alias("_one"), F.inline_outer(alone)))
     return reduce(lambda a, b: a.join(b, "_one", "left"), tagged).drop("_one")

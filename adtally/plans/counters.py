@@ -12,7 +12,7 @@ from adtally.functions.numbers import half_even, truncated
 from adtally.functions.slots import day_of, event_day, hour_of, iso_day
 from adtally.functions.text import last_part, pack
 from adtally.operators.aggs import first_by, rollup, with_defaults
-from adtally.operators.filters import all_flags, between_slots, last_minutes, only, since as since_slot
+from adtally.operators.filters import all_flags, between_days, between_slots, last_minutes, only, since as since_slot
 from adtally.operators.joins import enrich, inner_join
 from adtally.plans.rates import offer_map
 
@@ -52,24 +52,23 @@ def target_pacing(conversions: DataFrame, offers: DataFrame, as_of: datetime, mi
 
 
 def cap_daily_counts(
-    conversions: DataFrame, offers: DataFrame, first_day: str | None = None, last_day: str | None = None
+    conversions: DataFrame, offers: DataFrame, first_day: str | None = None, last_day: str | None = None, ranked: bool = True
 ) -> DataFrame:
     """Installs of capped ad types per event day, with the internal offer, largest first.
-    Installs of unlisted offers stay, without a key."""
+    Installs of unlisted offers stay, without a key. ``ranked=False`` spares the global sort."""
     rows = (
-        only(conversions, "adtype", CAPPED_ADTYPES)
+        only(between_days(conversions, first_day, last_day), "adtype", CAPPED_ADTYPES)
         .where(F.col("event_type") == rules.INSTALL)
         .withColumns({"event_day": event_day("utctime"), "day": day_of("time_slot")})
     )
     counted = rollup(
-        between_slots(rows, first_day, last_day, "event_day"),
+        rows,
         ["event_day", "channel", "offer_id", "country", "slot", "day"],
         count=F.count("*"),
     )
     named = enrich(counted, (offer_map(offers), ["channel", "offer_id", "country"]))
-    return named.select(
-        "event_day", "offer", "slot", "count", pack("offer", "slot").alias("key")
-    ).orderBy(F.desc("count"))
+    out = named.select("event_day", "offer", "slot", "count", pack("offer", "slot").alias("key"))
+    return out.orderBy(F.desc("count")) if ranked else out
 
 
 def click_counters(

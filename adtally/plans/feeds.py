@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from adtally.functions import rules
 from adtally.functions.numbers import sum_money
-from adtally.functions.slots import compact_day, event_day, slot_of
+from adtally.functions.slots import compact_day, slot_of
 from adtally.functions.text import contains_text, first_part, part
 from adtally.operators.aggs import first_by, rollup, rollup_known_keys
-from adtally.operators.filters import between_slots, last_hours, last_minutes, scan_day
+from adtally.operators.filters import between_slots, last_hours, last_minutes, on_event_day, scan_day
 from adtally.operators.joins import drop_listed, flag_join
 
 # Ad types of the install feed and its cap status.
@@ -39,7 +39,7 @@ def capped_offers(conversions: DataFrame, caps: DataFrame, day: str | None = Non
     per offer before they meet it."""
     events = conversions.where(F.col("event_type") == rules.EVENT)
     if day is not None:
-        events = events.where(event_day("utctime") == day)
+        events = on_event_day(events, day)
     counted = rollup(events, ["offer_id"], event_num=F.count("*"))
     limits = rollup(caps, ["offer_id"], event_cap=F.max("event_cap"))
     return (
@@ -97,7 +97,7 @@ def forwarded_postbacks(
 
 def install_day(installs: DataFrame, day: str | None = None) -> DataFrame:
     """All columns plus the hour bucket of the install, for one day."""
-    rows = installs if day is None else installs.where(event_day("install_time") == day)
+    rows = installs if day is None else on_event_day(installs, day, "install_time")
     return rows.withColumn("time_slot", slot_of("install_time"))
 
 

@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from adtally.functions import rules
 from adtally.functions.numbers import half_even, half_up, hundredths, ratio, ratio_or_zero, short_decimal, zero_if_missing
-from adtally.functions.slots import compact_day, day_of, event_day, hour_of
+from adtally.functions.slots import compact_day, day_bounds, day_of, event_day, hour_of, iso_text
 from adtally.functions.text import last_part, pack
-from adtally.operators.filters import between_slots, only
+from adtally.operators.filters import between_days, between_slots, only
 from adtally.operators.joins import inner_join, merge_sums
 from adtally.operators.shape import union_all
 from adtally.sinks.keyed import update_from
@@ -37,6 +37,11 @@ def _scaled(df: DataFrame, keys: Sequence, clicks: Column, scale: float) -> Data
     return sums.select(*OFFER_KEYS, hundredths("clicks", scale).alias("click_h"))
 
 
+def _of_days(df: DataFrame, first_day: str | None, last_day: str | None) -> DataFrame:
+    """Hour buckets of a range of days, as bounds on the bare bucket."""
+    return between_slots(df, first_day and day_bounds(first_day)[0], last_day and day_bounds(last_day)[1])
+
+
 def realtime_cvr(
     stream: DataFrame,
     routed: DataFrame,
@@ -52,7 +57,7 @@ def realtime_cvr(
     country and channel, over four click logs. Each log is rounded before the sum."""
 
     def dated(df: DataFrame) -> DataFrame:
-        return between_slots(df.withColumn("day", day_of("time_slot")), first_day, last_day, "day")
+        return _of_days(df, first_day, last_day).withColumn("day", day_of("time_slot"))
 
     keyed = rules.non_empty("country", "channel")
     package = rules.without_token("offer_pkg")
@@ -71,7 +76,7 @@ def realtime_cvr(
         ),
         _scaled(dated(synced).where(keyed & package), OFFER_KEYS, F.sum("clk_count"), scale),
         _scaled(
-            between_slots(only(daily, "adtype", CLICK_ADTYPES).withColumn("day", day), first_day, last_day, "day"),
+            between_slots(only(daily, "adtype", CLICK_ADTYPES), iso_text(first_day), iso_text(last_day), "day").withColumn("day", day),
             OFFER_KEYS, F.sum("count"), daily_scale,
         ),
     )
@@ -104,17 +109,13 @@ def cvr_by_hour(
 ) -> DataFrame:
     """Clicks up to one hour of the day against installs up to another, per day and offer.
     Offers without clicks are left out; a click count that rounds to zero has rate 0."""
-    upto = stream.where(F.col("clk_count") > 0).where(hour_of("time_slot") <= click_hour)
-    clicks = _scaled(
-        between_slots(upto.withColumn("day", day_of("time_slot")), first_day, last_day, "day"),
-        OFFER_KEYS, F.sum("clk_count"), scale,
-    )
+    upto = _of_days(stream, first_day, last_day).where(F.col("clk_count") > 0).where(hour_of("time_slot") <= click_hour)
+    clicks = _scaled(upto.withColumn("day", day_of("time_slot")), OFFER_KEYS, F.sum("clk_count"), scale)
     installs = (
-        only(conversions, "adtype", HOURLY_INSTALL_ADTYPES)
+        only(between_days(conversions, first_day, last_day), "adtype", HOURLY_INSTALL_ADTYPES)
         .where(F.col("event_type") == rules.INSTALL)
         .where(F.date_format("utctime", "HH") <= install_hour)
         .withColumn("day", event_day("utctime"))
-        .transform(lambda d: between_slots(d, first_day, last_day, "day"))
         .select(*OFFER_KEYS, F.lit(1).cast("long").alias("conversion"))
     )
     click = F.col("click_h") / F.lit(100.0)

@@ -39,13 +39,22 @@ def export_settlement(df: DataFrame, path: str, lines_per_file: int = 2_000_000)
     )
 
 
-def export_manifest(spark: SparkSession, path: str, pattern: str = "*.gz") -> DataFrame:
-    """Name and MD5 of every exported file, computed where the file is read."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
+def export_manifest(spark: SparkSession, path: str, pattern: str = "*.gz", by_folder: bool = False) -> DataFrame:
+    """Name and MD5 of every exported file, computed where the file is read.
+
+    With ``by_folder`` a file goes by the name of its folder, as exports of one file per partition do.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", by_folder).load(path)
     return files.select(
-        F.element_at(F.split("path", "/"), -1).alias("file"), F.md5("content").alias("md5")
+        F.element_at(F.split("path", "/"), -2 if by_folder else -1).alias("file"), F.md5("content").alias("md5")
     )
 
 
+def export_daily_lines(lines: DataFrame, path: str) -> None:
+    """``day, value`` lines as one sorted text file per day."""
+    dealt = lines.repartition("day").sortWithinPartitions("day", "value")
+    dealt.write.mode("overwrite").partitionBy("day").text(path)
+
+
 def manifest_lines(manifest: DataFrame) -> DataFrame:
     return manifest.select(F.concat_ws(",", "file", "md5").alias("value"))

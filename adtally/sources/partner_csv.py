@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from adtally.functions.rules import platform_number_strict
 
@@ -21,14 +21,28 @@ POSITIONS = {
 MIN_FIELDS = 12
 
 
-def read_partner_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Parse partner lines: quotes are stripped, any line naming ``country`` is a header,
-    short lines are skipped. Every platform but Android becomes 2.
+def is_header(line: Column, any_line_naming_country: bool = False) -> Column:
+    """A header's first field is no day; the looser test takes every line that names ``country``, data or not."""
+    if any_line_naming_country:
+        return F.contains(line, F.lit("country"))
+    return ~F.rlike(F.replace(line, F.lit('"'), F.lit("")), F.lit("^[0-9]{4}-?[0-9]{2}-?[0-9]{2}"))
+
+
+def rejected_lines(spark: SparkSession, path: str, any_line_naming_country: bool = False) -> DataFrame:
+    """Number of header lines and of lines with too few fields, as one row."""
+    header = is_header(F.col("value"), any_line_naming_country)
+    short = ~header & (F.size(F.split("value", ",", -1)) < MIN_FIELDS)
+    return spark.read.text(path).agg(F.count_if(header).alias("headers"), F.count_if(short).alias("short_lines"))
+
+
+def read_partner_csv(spark: SparkSession, path: str, any_line_naming_country: bool = False) -> DataFrame:
+    """Parse partner lines: quotes are stripped, header lines and short lines are skipped
+    (``rejected_lines`` counts them). Every platform but Android becomes 2.
 
     Lines are read as text because the files quote without escaping and vary in width;
     the text source splits large files across tasks.
     """
-    lines = spark.read.text(path).where(~F.contains("value", F.lit("country")))
+    lines = spark.read.text(path).where(~is_header(F.col("value"), any_line_naming_country))
     fields = lines.select(F.split(F.replace("value", F.lit('"'), F.lit("")), ",", -1).alias("f"))
     wide = fields.where(F.size("f") >= MIN_FIELDS)
     text = {name: F.col("f")[i] for name, i in POSITIONS.items()}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -270,6 +271,63 @@ query(
 )(lambda t: source.scan_sanitized(t("impressions").groupBy("channel").agg(F.sum("count"), F.max("slot"))))
 
 
+# --- one bucket, one day, one list: bounds that cut, taken from the data ------------------------
+
+
+def _bound(t: Testbed, table: str, value) -> str:
+    return t(table).agg(value).first()[0]
+
+
+_LAST = "(SELECT MAX(time_slot) FROM conversion_events)"
+_LAST_DAY = "(SELECT SUBSTRING(MAX(time_slot), 1, 8) FROM conversion_events)"
+_LAST_TIME = "(SELECT MAX(utctime) FROM conversion_events)"
+_BOUNDED = {
+    "at_slot": f"time_slot = {_LAST}",
+    "in_day": f"SUBSTRING(time_slot, 1, 8) = {_LAST_DAY}",
+    "since": f"time_slot >= {_LAST_DAY} || '06'",
+    "like_day": f"time_slot LIKE {_LAST_DAY} || '%'",
+    "since_minute": f"strftime(utctime, '%Y%m%d%H%M') >= strftime({_LAST_TIME} - INTERVAL 90 MINUTE, '%Y%m%d%H%M')",
+    "on_event_day": f"strftime(utctime, '%Y%m%d') = {_LAST_DAY}",
+    "last_hours": f"utctime >= date_trunc('hour', {_LAST_TIME}) - INTERVAL 12 HOUR AND utctime < date_trunc('hour', {_LAST_TIME})",
+    "listed_adtypes": "adtype IN ('38', '39')",
+}
+
+
+@query(
+    "bounded_events",
+    ("conversion_events",),
+    " UNION ALL ".join(f"SELECT '{n}' AS bound, time_slot, utctime, channel, offer_id, payout FROM conversion_events WHERE {w}" for n, w in _BOUNDED.items()),
+)
+def _bounded(t: Testbed) -> DataFrame:
+    """The rows that each kind of bound keeps."""
+    events = t("conversion_events")
+    last, end = events.agg(F.max("time_slot"), F.max("utctime")).first()
+    day, hour = last[:8], end.replace(minute=0, second=0, microsecond=0)
+    kept = {
+        "at_slot": filters.at_slot(events, last),
+        "in_day": filters.in_day(events, day),
+        "since": filters.since(events, f"{day}06"),
+        "like_day": filters.like_day(events, day),
+        "since_minute": filters.since_minute(events, (end - timedelta(minutes=90)).strftime("%Y%m%d%H%M")),
+        "on_event_day": filters.on_event_day(events, day),
+        "last_hours": filters.last_hours(events, hour, 12, "utctime"),
+        "listed_adtypes": filters.only(events, "adtype", counters.CAPPED_ADTYPES),
+    }
+    return shape.union_all(
+        *[d.select(F.lit(n).alias("bound"), "time_slot", "utctime", "channel", "offer_id", "payout") for n, d in kept.items()], missing={}
+    )
+
+
+query(
+    "last_day_postbacks",
+    ("direct",),
+    "SELECT pb_channel, pb_channel_id, offer, strftime(update_time, '%Y%m%d%H') AS time_slot, clk_id FROM direct WHERE pdate = (SELECT MAX(pdate) FROM direct)",
+)(lambda t: feeds.forwarded_postbacks(t("direct"), pdate=_bound(t, "direct", F.max("pdate"))))
+query(
+    "one_busiest_slot",
+    ("impressions",),
+    "SELECT slot, CAST(SUM(count) AS BIGINT) AS shown FROM impressions GROUP BY slot ORDER BY 2 DESC, 1 LIMIT 1",
+)(lambda t: aggs.head1(aggs.rollup(t("impressions"), ["slot"], shown=F.sum("count")).orderBy(F.desc("shown"), "slot")))
 # --- loads and exports: written to the shared folder and read back ------------------------
 
 
@@ -322,13 +380,15 @@ def _expire(t: Testbed) -> DataFrame:
     return t.spark.table(table)
 
 
-@query("clear_tables", ("conversions",), "SELECT COUNT(*) - COUNT(*) AS n FROM conversions")
+@query("clear_tables", ("conversions",), SLOT_CONV_SQL)
 def _clear(t: Testbed) -> DataFrame:
+    """Two of three tables are emptied; what is left in all of them is the third."""
     rows = rollups.offer_slot_conv(t("conversions"))
-    table = _table(t, rows)
-    sink.append(rows, table)
-    sink.clear(t.spark, [table])
-    return t.spark.table(table).agg(F.count("*").alias("n"))
+    tables = [_table(t, rows), _table(t, rows), _table(t, rows, ("day",))]
+    for table in tables:
+        sink.append(rows, table)
+    sink.clear(t.spark, tables[1:])
+    return shape.union_all(*[t.spark.table(x) for x in tables], missing={})
 
 
 _COUNTS = f"SELECT {DAY} || '_' || routed_offer || '_' || slot AS key, CAST(COUNT(*) AS VARCHAR) AS value FROM routed WHERE click_through = '1' GROUP BY 1"
@@ -420,9 +480,18 @@ def _settle_lines(t: Testbed) -> DataFrame:
     return t.spark.read.option("lineSep", "\r\n").text(_settlement_file(t))
 
 
-@query("export_manifest")
+@query(
+    "export_manifest",
+    ("impressions",),
+    f"""SELECT 'day=' || day AS file, md5(string_agg(line, CHR(10) ORDER BY line) || CHR(10)) AS md5 FROM (
+  SELECT {DAY} AS day, time_slot || ',' || slot || ',' || country || ',' || CAST(CAST(SUM(count) AS BIGINT) AS VARCHAR) AS line
+  FROM impressions WHERE visible = '0' GROUP BY time_slot, slot, country) GROUP BY day""",
+)
 def _manifest(t: Testbed) -> DataFrame:
-    return files.export_manifest(t.spark, _settlement_file(t))
+    path = scratch_path(t.spark, "daily-lines")
+    line = F.concat_ws(",", "time_slot", "slot", "country", F.col("c").cast("string"))
+    files.export_daily_lines(rollups.slot_all_clicks(t("impressions")).select(slots.day_of("time_slot").alias("day"), line.alias("value")), path)
+    return files.export_manifest(t.spark, path, "*.txt", by_folder=True)
 
 
 @query(
@@ -449,7 +518,7 @@ def _registered(t: Testbed) -> DataFrame:
     path = scratch_path(t.spark, "direct")
     t("direct").hint("rebalance", "pdate").write.partitionBy("pdate").parquet(path)
     table = _table(t, t("direct"), ("pdate",))
-    for day in [f"202401{d:02d}" for d in range(1, 31)]:
+    for day in [r.pdate for r in t("direct").select("pdate").distinct().collect()]:
         source.add_partition(t.spark, table, "pdate", day, f"{path}/pdate={day}")
     return feeds.forwarded_postbacks(t.spark.table(table))
 

@@ -2,20 +2,30 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
+from adtally.functions import slots
 from adtally.plans import alarms, counters, dims, feeds, money as money_plans, rates, rollups, traffic
 from adtally.session import scratch_path
 from adtally.sources import contracts
 from testbed.registry import big, exact, half_even, half_up, money, query, share, sum_units, units
 from testbed.tables import Testbed
 
-AS_OF = datetime(2024, 1, 31)
-MONTH_MINUTES = 30 * 24 * 60
 DAY = "SUBSTRING(time_slot, 1, 8)"
 
+
+
+def whole_days(t: Testbed, table: str, ts: str) -> tuple[datetime, int]:
+    """The midnight after the last row, and the minutes back to the midnight before the first."""
+    low, high = t(table).agg(F.date_trunc("day", F.min(ts)), F.date_trunc("day", F.max(ts))).first()
+    end = high + timedelta(days=1)
+    return end, int((end - low).total_seconds()) // 60
+
+
+_MINUTES = "(SELECT date_diff('minute', date_trunc('day', MIN(utctime)), date_trunc('day', MAX(utctime)) + INTERVAL 1 DAY) FROM conversion_events)"
+
 # --- clicks, conversions and rejects ------------------------------------------------
 
 TRAFFIC_TABLES = ("stream", "routed", "synced", "conversion_events", "rejected")
@@ -92,12 +102,26 @@ line AS (
 SELECT period, {shown}, {_SUMMED} FROM line GROUP BY ALL"""
 
 
+def _both(slot: str) -> dict[str, str]:
+    return {"first": slot, "last": slot}
+
+
 def _traffic(name: str, fn, grain: str, sql: str) -> None:
     query(name, TRAFFIC_TABLES, sql)(lambda t: fn(*[t(n) for n in TRAFFIC_TABLES], grain=grain))
 
 
 _traffic("hour_report", traffic.traffic_report, "hour", _clean_sql("time_slot"))
 _traffic("hour_report_fanned", traffic.traffic_report_fanned, "hour", _fanned_sql("time_slot"))
+query(
+    "hour_report_one_hour", TRAFFIC_TABLES, f"{_clean_sql('time_slot')} HAVING period = (SELECT MAX(time_slot) FROM stream)"
+)(lambda t: traffic.traffic_report(*[t(n) for n in TRAFFIC_TABLES], **_both(t("stream").agg(F.max("time_slot")).first()[0])))
+query(
+    "day_report_one_day", TRAFFIC_TABLES, f"{_clean_sql(DAY)} HAVING period = (SELECT SUBSTRING(MAX(time_slot), 1, 8) FROM stream)"
+)(
+    lambda t: traffic.traffic_report(
+        *[t(n) for n in TRAFFIC_TABLES], "day", *slots.day_bounds(t("stream").agg(F.max("time_slot")).first()[0][:8])
+    )
+)
 _traffic("day_report_all", traffic.traffic_report, "day", _clean_sql(DAY))
 _traffic("day_report_all_fanned", traffic.traffic_report_fanned, "day", _fanned_sql(DAY))
 
@@ -186,7 +210,7 @@ query("profit_rollup", ALLOC_TABLES, _profit_sql("AND a.country NOT LIKE '%-%'")
 )
 query("profit_backfill", ALLOC_TABLES, _profit_sql(""))(
     lambda t: money_plans.profit_rollup(
-        _allocation(t), t("users"), t("networks"), "20231212", "20240130", hide_dashed_countries=False
+        _allocation(t), t("users"), t("networks"), *t("conversion_events").agg(F.min(F.expr(DAY)), F.max(F.expr(DAY))).first(), hide_dashed_countries=False
     )
 )
 query(
@@ -367,16 +391,29 @@ query(
     ("conversion_events", "offers"),
     f""", conv AS (
   SELECT channel, offer_id, COUNT(*) AS conv FROM conversion_events
-  WHERE utctime >= TIMESTAMP '2024-01-01' AND utctime < TIMESTAMP '2024-01-31' AND event_type <> '1' AND adtype NOT IN ('19', '38') GROUP BY 1, 2),
+  WHERE event_type <> '1' AND adtype NOT IN ('19', '38') GROUP BY 1, 2),
 active AS (
   SELECT id, channel, SPLIT_PART(adv_offer, '_', -1) AS offer_id, target_cvr FROM offers
   WHERE channel_type = 2 AND status = 1 AND adv_status = 1 AND cvr_status = 1 AND target_cvr > 0),
 rows AS (
-  SELECT a.channel || '_' || a.offer_id AS key, CAST(COALESCE({half_even('c.conv / a.target_cvr * 10000e0 / 43200e0')}, 0) AS BIGINT) AS value,
+  SELECT a.channel || '_' || a.offer_id AS key, CAST(COALESCE({half_even('c.conv / a.target_cvr * 10000e0 / ' + _MINUTES)}, 0) AS BIGINT) AS value,
     ROW_NUMBER() OVER (PARTITION BY a.channel, a.offer_id ORDER BY a.id DESC) AS rn
   FROM active a LEFT JOIN conv c ON a.channel = c.channel AND a.offer_id = c.offer_id)
 SELECT key, value FROM rows WHERE rn = 1""",
-)(lambda t: counters.target_pacing(t("conversion_events"), t("offers"), AS_OF, MONTH_MINUTES))
+)(lambda t: counters.target_pacing(t("conversion_events"), t("offers"), *whole_days(t, "conversion_events", "utctime")))
+query(
+    "target_pacing_hour",
+    ("conversion_events", "offers"),
+    f""", conv AS (
+  SELECT channel, offer_id, COUNT(*) AS conv FROM conversion_events
+  WHERE utctime >= (SELECT MAX(utctime) FROM conversion_events) - INTERVAL 60 MINUTE AND utctime < (SELECT MAX(utctime) FROM conversion_events)
+    AND event_type <> '1' AND adtype NOT IN ('19', '38') GROUP BY 1, 2),
+active AS (
+  SELECT channel, SPLIT_PART(adv_offer, '_', -1) AS offer_id, arg_max(target_cvr, id) AS target_cvr FROM offers
+  WHERE channel_type = 2 AND status = 1 AND adv_status = 1 AND cvr_status = 1 AND target_cvr > 0 GROUP BY 1, 2)
+SELECT a.channel || '_' || a.offer_id AS key, CAST(COALESCE({half_even('c.conv / a.target_cvr * 10000e0 / 60e0')}, 0) AS BIGINT) AS value
+FROM active a LEFT JOIN conv c ON a.channel = c.channel AND a.offer_id = c.offer_id""",
+)(lambda t: counters.target_pacing(t("conversion_events"), t("offers"), t("conversion_events").agg(F.max("utctime")).first()[0], 60))
 
 query(
     "cap_daily_cost",
@@ -394,6 +431,36 @@ query(
     f"SELECT {DAY} AS day, routed_offer || '_' || slot AS key, COUNT(*) AS value FROM routed WHERE click_through = '1' GROUP BY 1, 2",
 )(lambda t: counters.click_counters(t("routed"), slots=None))
 
+query(
+    "click_counters_listed",
+    ("routed",),
+    f"SELECT {DAY} AS day, routed_offer || '_' || slot AS key, COUNT(*) AS value FROM routed WHERE click_through = '1' AND slot IN ('62858868', '66725501') GROUP BY 1, 2",
+)(lambda t: counters.click_counters(t("routed")))
+query(
+    "slot_quota_listed",
+    ("impressions",),
+    f""", listed AS (SELECT UNNEST([{', '.join(f"'{x}'" for x in counters.QUOTA_SLOTS)}]) AS slot),
+shown AS (SELECT slot, SUM(count) AS c FROM impressions WHERE visible = '1' AND adtype <> '12'
+  AND time_slot >= (SELECT SUBSTRING(MAX(time_slot), 1, 6) || '1500' FROM impressions) GROUP BY slot)
+SELECT 'summer_' || l.slot AS key, CAST(TRUNC(COALESCE(s.c, 0) / 0.9E0) AS BIGINT) AS value FROM listed l LEFT JOIN shown s ON l.slot = s.slot""",
+)(
+    lambda t: counters.slot_quota(
+        t("impressions"), t.spark.createDataFrame([(x,) for x in counters.QUOTA_SLOTS], "slot string"),
+        since=t("impressions").agg(F.max("time_slot")).first()[0][:6] + "1500",
+    )
+)
+query(
+    "affiliate_caps_last_day",
+    ("conversions", "affiliates"),
+    """, conv AS (SELECT channel, offer, slot, CAST(SUM(count) AS BIGINT) AS conv FROM conversions
+  WHERE time_slot >= (SELECT SUBSTRING(MAX(time_slot), 1, 8) || '00' FROM conversions) GROUP BY ALL),
+aff AS (SELECT id, ssp_offer_id AS offer, channel, MIN(slot) AS slot FROM affiliates GROUP BY 1, 2, 3)
+SELECT id || '_cap' AS key, conv AS value FROM conv JOIN aff ON conv.offer = aff.offer AND conv.slot = aff.slot AND conv.channel = aff.channel""",
+)(
+    lambda t: counters.affiliate_cap_counters(
+        t("conversions"), t("affiliates"), since=t("conversions").agg(F.max("time_slot")).first()[0][:8] + "00"
+    )
+)
 query(
     "affiliate_revenue",
     ("conversions", "affiliates"),
@@ -519,6 +586,14 @@ tb AS (SELECT {DAY} AS date, platform, adtype, country, channel, offer, {big('SU
 SELECT date, platform, adtype, country, channel, offer, imp, click FROM ta LEFT JOIN tb USING (date, platform, adtype, country, channel, offer)""",
 )(lambda t: rollups.imp_click(t("impressions"), t("clicks"), channels=None))
 
+query(
+    "imp_click_listed",
+    ("impressions", "clicks"),
+    f""", ta AS (SELECT {DAY} AS date, platform, adtype, country, channel, offer, {big('SUM(count)')} AS imp FROM impressions
+  WHERE {_LISTED} AND channel IN ('huk', 'bin', 'rcm4', 'mbg', 'real') GROUP BY ALL),
+tb AS (SELECT {DAY} AS date, platform, adtype, country, channel, offer, {big('SUM(count)')} AS click FROM clicks WHERE {_LISTED} GROUP BY ALL)
+SELECT date, platform, adtype, country, channel, offer, imp, click FROM ta LEFT JOIN tb USING (date, platform, adtype, country, channel, offer)""",
+)(lambda t: rollups.imp_click(t("impressions"), t("clicks")))
 query(
     "offer_slot_conv",
     ("conversions",),
@@ -532,8 +607,7 @@ query(
     ("conversion_events", "offers", "event_caps"),
     """, inst AS (
   SELECT offer_id, af_siteid, COUNT(*) AS install FROM conversion_events
-  WHERE utctime >= TIMESTAMP '2024-01-01' AND utctime < TIMESTAMP '2024-01-31' AND event_type = '1'
-    AND adtype IN ('19', '38', '20', '40') AND offer_pkg <> 'com.dts.freefireth' GROUP BY 1, 2),
+  WHERE event_type = '1' AND adtype IN ('19', '38', '20', '40') AND offer_pkg <> 'com.dts.freefireth' GROUP BY 1, 2),
 black AS (SELECT DISTINCT adv_offer AS offer_id, UNNEST(STRING_SPLIT(site_black_value, ',')) AS af_siteid FROM offers WHERE site_black_value <> ''),
 over AS (
   SELECT e.offer_id FROM (SELECT offer_id, COUNT(*) AS n FROM conversion_events WHERE event_type = '2' GROUP BY 1) e
@@ -541,16 +615,16 @@ over AS (
 SELECT i.offer_id, i.af_siteid, i.install, CASE WHEN o.offer_id IS NULL THEN 1 ELSE 2 END AS status
 FROM inst i LEFT JOIN over o ON i.offer_id = o.offer_id
 WHERE NOT EXISTS (SELECT 1 FROM black b WHERE b.offer_id = i.offer_id AND b.af_siteid = i.af_siteid)""",
-)(lambda t: feeds.install_feed(t("conversion_events"), t("offers"), t("event_caps"), AS_OF, MONTH_MINUTES))
+)(lambda t: feeds.install_feed(t("conversion_events"), t("offers"), t("event_caps"), *whole_days(t, "conversion_events", "utctime")))
 
-_TOP = """, d AS (SELECT channel, offer, domain_tag, SUM(count) AS n FROM redirects
-  WHERE created >= TIMESTAMP '2024-01-01' AND created < TIMESTAMP '2024-01-31' GROUP BY 1, 2, 3),
+_TOP = """, d AS (SELECT channel, offer, domain_tag, SUM(count) AS n FROM redirects GROUP BY 1, 2, 3),
 top AS (SELECT channel, offer AS offer_id, domain_tag FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY channel, offer ORDER BY n DESC, domain_tag) AS rn FROM d) x WHERE rn = 1)"""
 
 
 def _top(t: Testbed):
-    return feeds.top_domains(t("redirects"), AS_OF, 30 * 24)
+    end, minutes = whole_days(t, "redirects", "created")
+    return feeds.top_domains(t("redirects"), end, minutes // 60)
 
 
 query("top_domains", ("redirects",), f"{_TOP} SELECT * FROM top")(_top)
@@ -565,7 +639,7 @@ query(
     "direct_conversion_append",
     ("direct",),
     "SELECT pb_channel, pb_channel_id, offer, strftime(update_time, '%Y%m%d%H') AS time_slot, clk_id FROM direct",
-)(lambda t: feeds.forwarded_postbacks(t("direct"), "2024010100", "2024013023"))
+)(lambda t: feeds.forwarded_postbacks(t("direct")))
 query(
     "cvr_install_day",
     ("af_installs",),
@@ -704,5 +778,5 @@ judged AS (
 query(
     "tracker_totals",
     ("conversion_events",),
-    f"SELECT COUNT(*) AS conv, {money('payout')} AS payout FROM conversion_events WHERE attribute_provider = 'Adjust' AND attr_time >= '2023123100'",
-)(lambda t: alarms.tracker_totals(t("conversion_events"), "2023123100"))
+    f"SELECT COUNT(*) AS conv, {money('payout')} AS payout FROM conversion_events WHERE attribute_provider = 'Adjust' AND attr_time >= (SELECT SUBSTRING(MAX(attr_time), 1, 8) || '00' FROM conversion_events)",
+)(lambda t: alarms.tracker_totals(t("conversion_events"), t("conversion_events").agg(F.max("attr_time")).first()[0][:8] + "00"))

@@ -12,6 +12,7 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 
 from adtally.session import pin_settings, use_scratch
+from adtally.sources.tables import scan_parquet
 
 SPARK = {"slot": "date_format({0}, 'yyyyMMddHH')", "day": "date_format({0}, 'yyyyMMdd')", "iso": "date_format({0}, 'yyyy-MM-dd')"}
 DUCK = {"slot": "strftime({0}, '%Y%m%d%H')", "day": "strftime({0}, '%Y%m%d')", "iso": "strftime({0}, '%Y-%m-%d')"}
@@ -24,10 +25,10 @@ TABLES: dict[str, tuple[tuple[str, ...], str]] = {
         ("events",),
         """
 SELECT event_id, user_id, ts, {slot:ts} AS time_slot, {day:ts} AS day, {iso:ts} AS iso_day, event_type AS kind,
-  CASE WHEN event_id % 101 = 7 THEN 'c' WHEN event_id % 103 = 5 THEN NULL
+  CASE WHEN event_id % 101 = 7 THEN 'c' WHEN event_id % 103 = 5 THEN NULL WHEN event_id % 59 = 6 THEN 'mbg'
     ELSE CONCAT('ch', CAST((user_id + CASE WHEN event_id % 5 = 0 THEN 1 + event_id % 3 ELSE 0 END) % 7 AS STRING)) END AS channel,
   CAST(user_id * 20 AS STRING) AS offer,
-  CAST(100 + event_id % 37 AS STRING) AS slot,
+  CASE event_id % 41 WHEN 1 THEN '62858868' WHEN 2 THEN '70403608' ELSE CAST(100 + event_id % 37 AS STRING) END AS slot,
   CAST(event_id % 11 AS STRING) AS site,
   {country:user_id} AS country,
   CASE (user_id + event_id) % 3 WHEN 0 THEN 'ios' WHEN 1 THEN 'iOS' ELSE 'Android' END AS platform,
@@ -264,7 +265,7 @@ class Testbed:
         if name in self.given:
             return self.given[name]
         if name not in TABLES:
-            return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            return scan_parquet(self.spark, f"{self.sf_dir}/{name}.parquet")
         deps, text = TABLES[name]
         if name == "ad_log" and "events" in self.given:
             text = text.replace("user_id, ts,", "user_id, CAST(ts AS TIMESTAMP) AS ts,", 1)
