@@ -7,7 +7,8 @@ lines; terms that no template has count as unseen (df 0), as they only lengthen
 A unit that shares only some terms C with a template has a cosine of at most the share of the
 template's length that lies in C. The most frequent terms are left out as long as that share
 stays below the threshold for every template; the others are anchors, and units without any
-anchor are passed over. Distinct units are scored once, however often they occur.
+anchor are passed over, and so are units in which terms outside the templates weigh too much
+for the threshold. Distinct units are scored once, however often they occur.
 
 A file without a licence of its own takes that of its nearest ancestor directory (its own
 directory first) that has a licence file with one. Directories are resolved once each, by a join
@@ -111,13 +112,26 @@ def _best(similarity: str = "similarity", licence: str = "licence") -> Column:
     return F.min(F.struct((-F.col(similarity)).alias("s"), F.col(licence).alias("licence")))
 
 
+def _reachable(unit: Column, model: Model, threshold: float) -> Column:
+    """Could this unit reach the threshold with any template? Its terms outside the templates count at least once each."""
+    words_ = terms(unit)
+    known = F.filter(words_, lambda w: F.array_contains(_array(list(model.idf)), w))
+    weight = F.map_from_arrays(_array(list(model.idf)), F.array(*map(F.lit, model.idf.values())))
+    squares = F.transform(
+        F.array_distinct(known), lambda w: F.pow(F.size(F.filter(known, lambda x: x == w)) * F.element_at(weight, w), F.lit(2.0))
+    )
+    own = F.aggregate(squares, F.lit(0.0), lambda total, x: total + x)
+    other = (F.size(words_) - F.size(known)) * F.lit(model.unseen**2)
+    return own >= F.lit(threshold**2 * (1 - 1e-9)) * (own + other)
+
+
 def own_licences(docs: DataFrame, threshold: float, stages: Stages, templates=TEMPLATES) -> DataFrame:
     """``key, licence, similarity`` of documents with a licence in one of their units. ``docs`` holds ``key, path, text``."""
     n, frequency = document_frequencies(docs, sorted({t for _, text in templates for t in words(text)}))
     model = Model(templates, n, frequency, threshold)
     anchored = lambda text: F.arrays_overlap(F.split(F.lower(text), "[^a-z0-9]+"), _array(model.anchors))
     whole = F.when(F.col("path").rlike(LICENCE_FILE), F.array("text")).otherwise(F.array().cast("array<string>"))
-    units = F.filter(F.concat(F.split("text", "\n"), whole), anchored)
+    units = F.filter(F.concat(F.split("text", "\n"), whole), lambda u: anchored(u) & _reachable(u, model, threshold))
     found = stages.write(docs.where("text is not null").select("key", F.explode(F.array_distinct(units)).alias("unit")), "units")
     scored = _scored(found.select("unit").distinct(), model, threshold).groupBy("unit").agg(_best().alias("b"))
     scored = stages.write(scored.select(F.col("unit").alias("u"), F.col("b.licence").alias("licence"), (-F.col("b.s")).alias("similarity")), "scored")
