@@ -172,7 +172,11 @@ _ARROW = pa.schema([
 
 def _spread(files: DataFrame) -> DataFrame:
     """A file list is tiny; deal it over enough tasks to read archives side by side."""
-    return files.select("file").repartition(max(1, min(files.count(), 20_000)), "file")
+    return files.select("file").repartition(_tasks(files), "file")
+
+
+def _tasks(files: DataFrame) -> int:
+    return max(1, min(files.count(), 20_000))
 
 
 def originals(headers: DataFrame, least: int = 100) -> DataFrame:
@@ -181,7 +185,8 @@ def originals(headers: DataFrame, least: int = 100) -> DataFrame:
     first = headers.where(F.col("payload_bytes") >= least).groupBy("payload_digest").agg(F.min(order).alias("first"))
     first = first.withColumnRenamed("payload_digest", "_digest")
     same = (F.col("payload_digest") == F.col("_digest")) & (F.col("payload_bytes") >= least)
-    return headers.join(first, same, "left").select(
+    # headers compress well, so that file sizes say little: never broadcast one side for them
+    return headers.join(first.hint("merge"), same, "left").select(
         *headers.columns, (F.col("first").isNotNull() & (F.col("first") != order)).alias("revisit"), F.col("first.b").alias("original")
     )
 
@@ -200,7 +205,8 @@ def resolve(files: DataFrame, folder: str, least: int = 100, date: str = DATE) -
             writer.add(_revisit(page, uri, date, digest, original) if revisit else _response(page, uri, date, payload, digest))
         return pa.Table.from_batches([writer.listed()])
 
-    return decided.groupBy("file").applyInArrow(rewrite, FILES)
+    # one task per archive, though its header rows are few
+    return decided.repartition(_tasks(files), "file").groupBy("file").applyInArrow(rewrite, FILES)
 
 
 def with_originals(headers: DataFrame, least: int = 100) -> DataFrame:
@@ -213,7 +219,7 @@ def with_originals(headers: DataFrame, least: int = 100) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", F.col("kind").alias("record_type"), F.lit(None).cast("long").alias("refers_to")
     )
     again = headers.where(F.col("kind") == "revisit").join(
-        full, (F.col("digest") == F.col("of")) & F.col("refers_to").eqNullSafe(F.col("full_page"))
+        full.hint("merge"), (F.col("digest") == F.col("of")) & F.col("refers_to").eqNullSafe(F.col("full_page"))
     )
     return own.unionByName(
         again.select("page_id", F.col("full_bytes").alias("payload_bytes"), F.col("of").alias("payload_digest"),
