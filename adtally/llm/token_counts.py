@@ -11,9 +11,9 @@ edit touches the segments it reaches or borders on. If it takes away the white s
 starts with, the segment is encoded together with the one before; otherwise each touched segment is
 encoded alone. Changes of leaves are added up along the path to the root.
 
-Segments and edits meet in one shuffle of segments by document, sorted by place, and pass by
-as a stream; a task holds one run of joined segments at a time. Edits are routed to segments
-through cells of fixed length, so many edits of one document spread over its segments.
+Edits are routed to segments through cells of fixed length, so many edits of one document spread
+over its segments. Texts travel compressed, once; each is followed by its touched segments in
+order, and they pass by as a stream: a task holds one text and one run of joined segments at a time.
 
 Defined cases: a NULL text is empty; ``start`` and ``length`` are clipped to the text, NULL
 values and edits of unknown documents change nothing, a NULL replacement deletes; of overlapping
@@ -27,6 +27,7 @@ from __future__ import annotations
 import re
 
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -54,11 +55,11 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("copy"), text.alias("text"))
 
 
-def segments(docs: DataFrame, tokenizer: str | None, size: int = SEGMENT) -> DataFrame:
-    """Segments of ``doc_id, text``: with a tokenizer their counts, without one their texts."""
+def segments(docs: DataFrame, tokenizer: str, size: int = SEGMENT) -> DataFrame:
+    """Segments of ``doc_id, text`` with their places and token counts."""
 
     def run(batches):
-        tokens = WordTokenizer.of(tokenizer) if tokenizer else None
+        tokens = WordTokenizer.of(tokenizer)
         for batch in (part for whole in batches for part in W.slices(whole)):
             row, seg, start, body = [], [], [], []
             for k, text in enumerate(batch.column("text").to_pylist()):
@@ -67,16 +68,26 @@ def segments(docs: DataFrame, tokenizer: str | None, size: int = SEGMENT) -> Dat
                 seg += range(len(starts))
                 start += starts
                 body += [text[a:b] for a, b in zip(starts, [*starts[1:], len(text)], strict=True)]
-            row, body = pa.array(row, pa.int64()), pa.array(body, pa.string())
-            last = pa.array(tokens.counts(body), pa.int64()) if tokens else body
+            row, counts = pa.array(row, pa.int64()), tokens.counts(pa.array(body, pa.string()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").take(row), batch.column("copy").take(row), pa.array(seg, pa.int64()), pa.array(start, pa.int64()),
-                 pa.array([len(x) for x in body.to_pylist()], pa.int64()), last],
-                ["doc_id", "copy", "seg", "start", "length", "n_tokens" if tokens else "text"],
+                 pa.array([len(x) for x in body], pa.int64()), pa.array(counts, pa.int64())],
+                ["doc_id", "copy", "seg", "start", "length", "n_tokens"],
             )
 
-    last = "n_tokens long" if tokenizer else "text string"
-    return _keyed(docs).mapInArrow(run, f"doc_id long, copy long, seg long, start long, length long, {last}")
+    return _keyed(docs).mapInArrow(run, "doc_id long, copy long, seg long, start long, length long, n_tokens long")
+
+
+def packed_texts(docs: DataFrame) -> DataFrame:
+    """``doc_id, copy, body``: the texts, compressed for the way to their edits."""
+
+    def run(batches):
+        press = zstandard.ZstdCompressor(level=1)
+        for batch in (part for whole in batches for part in W.slices(whole)):
+            body = [press.compress(text.encode()) for text in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("copy"), pa.array(body, pa.binary())], ["doc_id", "copy", "body"])
+
+    return _keyed(docs).mapInArrow(run, "doc_id long, copy long, body binary")
 
 
 def build(docs: DataFrame, tokenizer: str, stages: Stages) -> tuple[DataFrame, DataFrame]:
@@ -156,7 +167,7 @@ class _Run:
 def _reencode(tokenizer: str):
     def run(batches):
         tokens, now, done = WordTokenizer.of(tokenizer), None, []
-        last = None  # the text of the segment that was read last, until its edits arrive
+        text, starts = "", []  # of the document that was read last, whose touched segments follow
 
         def flushed():
             texts = pa.array([t for _, t, _ in done], pa.string())
@@ -176,9 +187,11 @@ def _reencode(tokenizer: str):
         for batch in batches:
             for row in batch.to_pylist():
                 if row["edits"] is None:
-                    last = row
+                    text = zstandard.ZstdDecompressor().decompress(row["body"]).decode()
+                    starts = [*cut(text), len(text)]
                     continue
-                row = {**row, "text": last["text"], "start": last["start"]}
+                low, high = starts[row["seg"]], starts[row["seg"] + 1]
+                row = {**row, "text": text[low:high], "start": low}
                 joined = now is not None and row["broken"] and now.key == (row["doc_id"], row["copy"]) and now.segs[-1] == row["seg"] - 1
                 if not joined:
                     close()
@@ -199,12 +212,11 @@ _CHANGED = T.StructType([T.StructField(c, T.LongType()) for c in ("doc_id", "cop
 def apply_edits(docs: DataFrame, leaves: DataFrame, nodes: DataFrame, edits: DataFrame, tokenizer: str, stages: Stages) -> tuple[DataFrame, DataFrame]:
     """(changed leaves, updated nodes). ``edits`` holds ``doc_id, edit_id, start, length, replacement``."""
     touched = stages.write(_touched(edits, leaves), "touched")
-    texts = segments(docs, None)
     kind = "array<struct<low: long, high: long, edit_id: string, replacement: string>>"
-    both = texts.select(*KEY, "seg", "start", "text", F.lit(None).cast(kind).alias("edits"), F.lit(False).alias("broken"), F.lit(0).alias("turn")).union(
-        touched.select(*KEY, "seg", F.lit(None).cast("long"), F.lit(None).cast("string"), "edits", "broken", F.lit(1))
+    both = packed_texts(docs).select(*KEY, F.lit(-1).cast("long").alias("seg"), "body", F.lit(None).cast(kind).alias("edits"), F.lit(False).alias("broken")).union(
+        touched.select(*KEY, "seg", F.lit(None).cast("binary"), "edits", "broken")
     )
-    merged = both.repartition(*KEY).sortWithinPartitions(*KEY, "seg", "turn").drop("turn")
+    merged = both.repartition(*KEY).sortWithinPartitions(*KEY, "seg")
     changed = stages.write(merged.mapInArrow(_reencode(tokenizer), _CHANGED), "changed")
     before = leaves.select(*KEY, "seg", F.col("n_tokens").alias("old"))
     delta = changed.join(before, [*KEY, "seg"]).select(*KEY, "seg", (F.col("n_tokens") - F.col("old")).alias("delta"))
