@@ -78,12 +78,8 @@ def allocate(
     base = materialize(base, "allocation-base")
 
     unpaid_keys = ["day", "channel", "offer_id", "country"]
-    unpaid = (
-        rollup(base, ["slot", *unpaid_keys], offer_cost_u=F.sum("cost_u"), paid_u=F.sum("payout_u"))
-        .where("paid_u = 0")
-        .groupBy(*unpaid_keys)
-        .agg(F.sum("offer_cost_u").alias("offer_cost_u"))
-    )
+    by_slot = rollup(base, ["slot", *unpaid_keys], spent_u=F.sum("cost_u"), paid_u=F.sum("payout_u"))
+    units = rollup(by_slot, unpaid_keys, offer_cost_u=F.sum(F.when(F.col("paid_u") == 0, F.col("spent_u"))))
     pub = materialize(
         publisher.select(compact_day("day").alias("day"), "slot", "country", "re_real_revenue"), "publisher"
     )
@@ -108,8 +104,9 @@ def allocate(
     place_totals = rollup(repeated, place, slot_payout_u=F.sum("payout_u")).join(pub, place, "left")
 
     # the publisher rows come last, because they repeat base rows
-    joined = attach_total(base.drop("conversion"), offer_totals, ["day", "offer_id"])
-    joined = attach_total(joined, unpaid, unpaid_keys).join(shares, ["slot", *share_keys], "left")
+    # what depends on the offer is joined on while it is small, so that the base is dealt out once for both
+    units = attach_total(units, offer_totals, ["day", "offer_id"])
+    joined = attach_total(base.drop("conversion"), units, unpaid_keys).join(shares, ["slot", *share_keys], "left")
     joined = attach_total(joined, place_totals, place).na.fill(
         {"offer_cost_u": 0, "re_real_revenue": 0.0, "rate": 0.0}
     )

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import functools
 import re
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
+from adtally import jobs
 from adtally.operators import filters
-from adtally.plans import rollups
+from adtally.plans import counters, feeds, rates, rollups, traffic
 from testbed import QUERIES
+from testbed.tables import Testbed
 
 SF = "/root/testdata/sf0.001"
 LAZY = [n for n in QUERIES if not n.startswith("stream_") and n not in ("clear_tables",)]
@@ -83,6 +87,51 @@ def test_partition_pruning_and_column_pruning(spark, tmp_path):
     assert "wide" not in re.search(r"ReadSchema: \S+", p).group(0)
 
 
+@pytest.fixture(scope="module")
+def logs(spark, tmp_path_factory):
+    """Logs partitioned by hour bucket, as files."""
+    root = tmp_path_factory.mktemp("logs")
+    tb = Testbed.of(spark, SF)
+
+    def stored(name):
+        df = tb(name)
+        path = str(root / name)
+        if "time_slot" in df.columns:
+            hours = F.col("time_slot").between("2024011500", "2024011511")
+            df.where(hours).coalesce(1).write.partitionBy("time_slot").parquet(path)
+            return spark.read.schema(df.schema).parquet(path)
+        df.write.parquet(path)
+        return spark.read.parquet(path)
+
+    return functools.cache(stored)
+
+
+DAY = "20240115"
+AS_OF = datetime(2024, 1, 15, 11, 10)
+BY_SLOT, BY_TIME = r"PartitionFilters: \[[^\]]*time_slot[^\]]*>=", r"PushedFilters: \[[^\]]*GreaterThanOrEqual\((utctime|install_time|created)"
+BOUNDED = {
+    "capped_offers": (BY_TIME, lambda t: feeds.capped_offers(t("conversion_events"), t("event_caps"), DAY)),
+    "install_feed": (BY_TIME, lambda t: feeds.install_feed(t("conversion_events"), t("offers"), t("event_caps"), AS_OF, cap_day=DAY)),
+    "install_day": (BY_TIME, lambda t: feeds.install_day(t("af_installs"), DAY)),
+    "cap_daily_counts": (BY_TIME, lambda t: counters.cap_daily_counts(t("conversion_events"), t("offers"), DAY, DAY, ranked=False)),
+    "target_pacing": (BY_TIME, lambda t: counters.target_pacing(t("conversion_events"), t("offers"), AS_OF)),
+    "cvr_installs": (BY_TIME, lambda t: rates.cvr_by_hour(t("stream"), t("conversion_events"), DAY, DAY)),
+    "cvr_clicks": (BY_SLOT, lambda t: rates.cvr_by_hour(t("stream"), t("conversion_events"), DAY, DAY)),
+    "realtime_cvr": (BY_SLOT, lambda t: rates.realtime_cvr(*[t(n) for n in ("stream", "routed", "synced", "daily_clicks", "conversion_events")], DAY, DAY)),
+    "click_counters": (BY_SLOT, lambda t: counters.click_counters(t("routed"), first=f"{DAY}00", last=f"{DAY}23")),
+    "recent": (BY_TIME, lambda t: jobs._recent(t("async_clicks"), AS_OF)),
+    "hour_report": (BY_SLOT, lambda t: traffic.traffic_report(*[t(n) for n in jobs.TRAFFIC], first=f"{DAY}10", last=f"{DAY}10")),
+}
+
+
+@pytest.mark.parametrize("name", BOUNDED)
+def test_time_bounds_reach_the_scan(logs, name):
+    wanted, build = BOUNDED[name]
+    found = plan(build(logs))
+    scans = [line for line in found.splitlines() if "FileScan" in line and re.search("conversion_events|stream|af_installs|async_clicks|routed", line)]
+    assert scans and any(re.search(wanted, line) for line in scans), found
+
+
 def test_kind_filter_reaches_the_reader(plans):
     pushed = re.search(r"PushedFilters: \[(.*?)\], ", plans["slot_all_clicks"]).group(1)
     assert "EqualTo(event_type,view)" in pushed
