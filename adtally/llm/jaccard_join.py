@@ -33,6 +33,7 @@ from __future__ import annotations
 import hashlib
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -158,6 +159,7 @@ def prefix_tuples(docs: DataFrame, shingle: int, percent: int, cells, buckets: i
 
     def run(batches):
         count, seen = cells.value, set()
+        press = _press()
         usual = 2 * float(count.mean())  # what unrelated shingles add to a cell
         for batch in (part for whole in batches for part in W.slices(whole, limit=4 * W.SLICE_BYTES)):
             sets = Sets(batch.column("text"), shingle)
@@ -189,23 +191,33 @@ def prefix_tuples(docs: DataFrame, shingle: int, percent: int, cells, buckets: i
                 own = order[edges[b] : edges[b + 1]]
                 used, local = np.unique(doc[own], return_inverse=True)
                 rows.append((
-                    int(b // 2), bool(b % 2), key[used].tobytes(), n[used].astype(np.int32).tobytes(), cuts[used].tobytes(),
-                    token[own].tobytes(), local.astype(np.int32).tobytes(), place[own].tobytes(),
+                    int(b // 2), bool(b % 2), key[used].tobytes(), press(n[used].astype(np.int32)), press(cuts[used]),
+                    token[own].tobytes(), press(local.astype(np.int32)), press(place[own]),
                 ))
             yield pa.RecordBatch.from_pylist([dict(zip(_ARROW_TUPLES.names, r, strict=True)) for r in rows], _ARROW_TUPLES)
 
     return docs.select("text").mapInArrow(run, _TUPLES)
 
 
+_PACKED = ("key", "n", "cuts", "token", "doc", "place")
 _ARROW_TUPLES = pa.schema(
-    [("bucket", pa.int32()), ("salted", pa.bool_())] + [(c, pa.binary()) for c in ("key", "n", "cuts", "token", "doc", "place")]
+    [("bucket", pa.int32()), ("salted", pa.bool_())] + [(c, pa.binary()) for c in _PACKED]
 )
 
 
+def _press():
+    """Compression of columns that repeat; hashes are sent as they are."""
+    coder = zstandard.ZstdCompressor(level=1)
+    return lambda array: coder.compress(np.ascontiguousarray(array).tobytes())
+
+
 class Members:
     """(shingle, document, place) rows of one bucket, sorted by shingle and place."""
 
     def __init__(self, rows: list[dict]):
+        coder = zstandard.ZstdDecompressor()
+        rows = [{c: coder.decompress(r[c]) if c in ("n", "cuts", "doc", "place") else r[c] for c in _PACKED} for r in rows]
+
         def column(name, kind):
             return np.concatenate([np.frombuffer(r[name], kind) for r in rows]) if rows else np.zeros(0, kind)
 
@@ -342,9 +354,17 @@ def verified(docs: DataFrame, pairs: DataFrame, shingle: int, percent: int) -> D
     own = load.select("a", F.col("a").alias("b"), F.explode(F.sequence(F.lit(0), "salts")).alias("salt"))
     wanted = salted.union(own).groupBy("b").agg(F.collect_list(F.struct("a", "salt")).alias("to"))
 
-    def send(batches):
+    def press(batches):
+        coder = zstandard.ZstdCompressor(level=1)
         for batch in (part for whole in batches for part in W.slices(whole)):
-            sets = Sets(batch.column("text"), shingle)
+            offsets, data = W.raw(batch.column("text"))
+            body = [coder.compress(data[a:b].tobytes()) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+            yield _columns(batch.column("doc_id"), pa.array(body, pa.binary()), ["doc_id", "body"])
+
+    def send(batches):
+        coder = zstandard.ZstdDecompressor()
+        for batch in (part for whole in batches for part in _few(whole)):
+            sets = Sets(pa.array([coder.decompress(x.as_buffer()) for x in batch.column("body")], pa.binary()).cast(pa.string()), shingle)
             rows = [
                 (to["a"], to["salt"], doc != to["a"], doc, sets.of(k).tobytes())
                 for k, (doc, targets) in enumerate(zip(batch.column("doc_id").to_pylist(), batch.column("to").to_pylist(), strict=True))
@@ -367,11 +387,16 @@ def verified(docs: DataFrame, pairs: DataFrame, shingle: int, percent: int) -> D
                     found.append((hub, b.as_py()))
             yield _columns(*(pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)), ["a", "b"])
 
-    sent = docs.join(wanted, F.col("doc_id") == F.col("b")).select("doc_id", "text", "to").mapInArrow(send, "a long, salt int, member boolean, b long, own binary")
+    texts = docs.select("doc_id", "text").mapInArrow(press, "doc_id long, body binary")
+    sent = texts.join(wanted, F.col("doc_id") == F.col("b")).select("doc_id", "body", "to").mapInArrow(send, "a long, salt int, member boolean, b long, own binary")
     ready = sent.repartition(F.col("a"), F.col("salt")).sortWithinPartitions("a", "salt", "member")
     return ready.mapInArrow(compare, _PAIR)
 
 
+def _few(batch: pa.RecordBatch, rows: int = 256):
+    return (batch.slice(low, rows) for low in range(0, batch.num_rows, rows))
+
+
 _SENT = pa.schema([("a", pa.int64()), ("salt", pa.int32()), ("member", pa.bool_()), ("b", pa.int64()), ("own", pa.binary())])
 
 
