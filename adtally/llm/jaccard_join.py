@@ -50,7 +50,7 @@ FIRST_HUBS = 4
 FEW_PAIRS = 4
 GROUP_ROWS = 200_000
 PAIRS_PER_TASK = 2_000
-CUTS = 32
+CUTS = 64
 
 
 class Sets:
@@ -178,7 +178,7 @@ def prefix_tuples(docs: DataFrame, shingle: int, percent: int, cells, buckets: i
             use = fresh[doc] & (place < (n - needed(n, percent) + 1)[doc])
             token, doc, place, rare = token[use], doc[use], place[use].astype(np.int32), rare[use]
             key = np.array([_key(d) or 0 for d in digests], np.int64)
-            part = (sets.hashes >> np.uint64(64 - 5)).astype(np.int64)
+            part = (sets.hashes >> np.uint64(64 - 6)).astype(np.int64)
             cuts = np.minimum(np.bincount(sets.owner * CUTS + part, minlength=len(n) * CUTS), 255).reshape(-1, CUTS).astype(np.uint8)
             # a group that may be too large for one task is spread over several
             salts = (np.maximum(rare - usual, 0) // GROUP_ROWS).astype(np.uint64)
@@ -344,9 +344,10 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def verified(docs: DataFrame, pairs: DataFrame, shingle: int, percent: int) -> DataFrame:
+def verified(docs: DataFrame, pairs: DataFrame, shingle: int, percent: int, many: bool = True) -> DataFrame:
     """The ``a, b`` pairs of document ids whose sets are similar; every pair is compared once, on whole sets.
 
+    ``many`` pairs are always shuffled to their texts; few may be broadcast if Spark finds them small enough.
     Rows of one id are one document: it is similar if one of its texts is. Sets travel to the pair's hub ``a``; a hub with many partners is dealt over salts.
     """
     load = pairs.groupBy("a").agg(F.floor(F.count("*") / PAIRS_PER_TASK).cast("int").alias("salts"))
@@ -388,7 +389,7 @@ def verified(docs: DataFrame, pairs: DataFrame, shingle: int, percent: int) -> D
             yield _columns(*(pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)), ["a", "b"])
 
     texts = docs.select("doc_id", "text").mapInArrow(press, "doc_id long, body binary")
-    sent = texts.join(wanted, F.col("doc_id") == F.col("b")).select("doc_id", "body", "to").mapInArrow(send, "a long, salt int, member boolean, b long, own binary")
+    sent = texts.join(wanted.hint("merge") if many else wanted, F.col("doc_id") == F.col("b")).select("doc_id", "body", "to").mapInArrow(send, "a long, salt int, member boolean, b long, own binary")
     ready = sent.repartition(F.col("a"), F.col("salt")).sortWithinPartitions("a", "salt", "member")
     return ready.mapInArrow(compare, _PAIR)
 
@@ -460,7 +461,7 @@ def similar_documents(docs: DataFrame, shingle: int = 5, percent: int = 80) -> D
     pairs = done = stages.write(ids(met.where("token is null").select("a", "b")), "pairs")
     groups = met.where("token is not null").select("token", "place", "n", "key", "cuts", "hub")
     while True:
-        fresh = stages.write(verified(docs, pairs, shingle, percent), "links")
+        fresh = stages.write(verified(docs, pairs, shingle, percent, many=comps is None), "links")
         if comps is None or not fresh.isEmpty():
             stars = fresh if comps is None else fresh.union(comps.select(F.col("node").alias("a"), F.col("component").alias("b")))
             comps = components(stars, stages)
