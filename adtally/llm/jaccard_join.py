@@ -418,7 +418,11 @@ def _next_hubs(groups: DataFrame, comps: DataFrame, stages: Stages, hubs: int, p
     others = going.where(~F.col("hub") & (F.col("c") != F.col("top")))
     chosen = stages.write(others.groupBy("token", salt.alias("salt")).agg(first).select(F.col("token").alias("t"), "h.*"), "hubs")
     h = chosen.select("t", *[F.col(c).alias(f"h_{c}") for c in ("place", "n", "key", "c", "cuts")])
-    met = going.join(h, F.col("token") == F.col("t")).where("c != h_c")
+    low, high = F.least("n", "h_n"), F.greatest("n", "h_n")
+    most = F.least("place", "h_place") + 1 + F.least(F.col("n") - F.col("place"), F.col("h_n") - F.col("h_place")) - 1
+    # the length and positional filters as conditions of the join, the suffix filter after it
+    fits = (100 * low >= percent * high) & (most * (100 + percent) >= percent * (F.col("n") + F.col("h_n")))
+    met = going.join(h, (F.col("token") == F.col("t")) & (F.col("c") != F.col("h_c")) & fits)
 
     def keep(batches):
         for batch in batches:
@@ -458,7 +462,7 @@ def similar_documents(docs: DataFrame, shingle: int = 5, percent: int = 80) -> D
         return once.select(F.col("p.ra").alias("a"), F.col("p.rb").alias("b"))
 
     comps, hubs = None, 4 * FIRST_HUBS
-    pairs = done = stages.write(ids(met.where("token is null").select("a", "b")), "pairs")
+    pairs = done = stages.write(ids(met.where("token is null").select("a", "b").distinct()), "pairs")
     groups = met.where("token is not null").select("token", "place", "n", "key", "cuts", "hub")
     while True:
         fresh = stages.write(verified(docs, pairs, shingle, percent, many=comps is None), "links")
