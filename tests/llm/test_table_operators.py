@@ -124,6 +124,61 @@ def test_licences(spark):
     assert licenses.scan(df.limit(0)).count() == 0
 
 
+def test_licences_over_several_lines(spark):
+    texts = dict(licenses.whole_texts())
+    gpl = "# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n#\n" \
+        "# the Free Software Foundation, either version 3 of the License, or\n# (at your option) any later version."
+    bsd = "Copyright (c) 2020 A. Writer\nAll rights reserved.\n\n" + texts["BSD-3-Clause"]
+    one_by_one = "\n".join("Licensed under the Apache License, Version 2.0.".split())
+    rows = [
+        (1, "gpl/a.py", "#!/usr/bin/env python\n# a.py - sums\n" + gpl + "\n\nprint(1)"), (2, "gpl/b.m4", gpl.replace("#", "dnl")),
+        (3, "gpl/c.py", "print(2)"), (4, "mit/LICENSE", texts["MIT"].replace("<copyright holders>", "A. Writer").replace(". ", ".\n")),
+        (5, "mit/x/y.txt", "nothing"), (6, "bsd/LICENSE.txt", bsd), (7, "bsd/f", "nothing"), (8, "apache/COPYING", texts["Apache-2.0"]), (9, "apache/f", None),
+        (10, "old/COPYING", texts["GPL-2.0"]), (11, "old/f", ""), (12, "w/f", one_by_one), (13, "w/g", "Released under\n" + "word " * 200 + "\nthe MIT License."),
+        (14, "src/g", texts["ISC"]), (15, "isc/LICENCE", texts["ISC"]),
+    ]
+    filler = [(100 + k, f"z/{k}", "the of and under a version\nlicense plate") for k in range(30)]
+    got = {r.doc_id: (r.licence, r.origin, r.declared_in) for r in licenses.scan(spark.createDataFrame(rows + filler, "doc_id long, path string, text string")).collect()}
+    assert {k: v for k, v in got.items() if k < 100} == {
+        1: ("GPL-3.0", "own", None), 2: ("GPL-3.0", "own", None), 3: (None, "none", None), 4: ("MIT", "own", None), 5: ("MIT", "inherited", "mit"),
+        6: ("BSD-3-Clause", "own", None), 7: ("BSD-3-Clause", "inherited", "bsd"), 8: ("Apache-2.0", "own", None), 9: ("Apache-2.0", "inherited", "apache"),
+        10: ("GPL-2.0", "own", None), 11: ("GPL-2.0", "inherited", "old"), 12: ("Apache-2.0", "own", None), 13: (None, "none", None),
+        14: (None, "none", None), 15: ("ISC", "own", None),
+    }
+    assert all(v == (None, "none", None) for k, v in got.items() if k >= 100)
+
+
+def test_runs_against_plain(spark):
+    """Notices cut into lines at random, with words of others around them: the best line or run of every text."""
+    rng = random.Random(6)
+    notices, rows = [text.split() for _, text in licenses.TEMPLATES], []
+    for k in range(60):
+        tokens = rng.choices(["some", "words", "here", "the", "of"], k=rng.randint(0, 12)) + rng.choice(notices) + rng.choices(["other", "and", "version"], k=rng.randint(0, 9))
+        rows.append((k, "a/f", "".join(t + rng.choice([" ", " ", " ", "\n", "\n* ", "\n\n"]) for t in tokens if rng.random() < 0.95)))
+    got = {r.doc_id: (r.licence, r.similarity) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, path string, text string")).collect()}
+    lines = [x for _, _, text in rows for x in text.split("\n")]
+    frequency = Counter(t for x in lines for t in set(licenses.words(x)))
+    model = licenses.Model(licenses.TEMPLATES, len(lines), frequency, 0.8)
+    room = math.ceil(max(sum(bag.values()) for _, bag in model.bags) / 0.64)
+    for k, _, text in rows:
+        parts = [bag for bag in map(licenses.words, text.split("\n")) if bag]
+        units = list(parts)
+        for i in range(len(parts)):
+            for j in range(i + 2, len(parts) + 1):
+                unit = sum(parts[i:j], Counter())
+                units += [unit] if sum(unit.values()) <= room else []
+        best = (0.0, None)
+        for unit in units:
+            size = math.sqrt(sum((n * model.idf.get(t, model.unseen)) ** 2 for t, n in unit.items()))
+            for (name, bag), norm in zip(model.bags, model.norm, strict=True):
+                best = min(best, (-round(sum(unit[t] * n * model.idf[t] ** 2 for t, n in bag.items()) / size / norm, 6), name), key=lambda x: (x[0], x[1] or ""))
+        if best[0] <= -0.8:
+            assert got[k][0] == best[1] and got[k][1] == pytest.approx(-best[0], abs=2e-6)
+        else:
+            assert got[k] == (None, None)
+    assert sum(v[0] is not None for v in got.values()) > 20
+
+
 def test_anchors_lose_no_unit():
     rng = random.Random(2)
     vocabulary = sorted({t for _, text in licenses.TEMPLATES for t in licenses.words(text)})
