@@ -27,6 +27,11 @@ def lines(text: Column) -> Column:
     return F.split(text, "\n")
 
 
+def with_host(pages: DataFrame, url: str = "url", name: str = "host") -> DataFrame:
+    """The pages with the host of their URL as a site: lower case, NULL where the URL has none."""
+    return pages.withColumn(name, F.lower(F.try_parse_url(F.col(url), F.lit("HOST"))))
+
+
 def boilerplate(pages: DataFrame, ratio: float, min_pages: int) -> DataFrame:
     """``site, drop``: hashes of the lines to remove, for sites that have any. ``pages`` holds ``site, text``."""
     hashed = F.transform(F.filter(lines(F.col("text")), lambda x: x != ""), lambda x: F.xxhash64(x))

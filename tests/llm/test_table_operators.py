@@ -55,6 +55,30 @@ def test_lines_against_plain(spark):
     assert line_dedup.line_report(df.limit(0)).count() == 0
 
 
+def test_lines_by_host(spark):
+    """Boilerplate of a small host inside a large source goes by host, where it does not reach the source's ratio."""
+    rows = [(k, f"http://Small.example/{k}", f"Menu\nsmall {k}", "crawl") for k in range(5)]
+    rows += [(100 + k, f"https://big{k % 20}.example:8080/{k}?q=1", f"big {k}", "crawl") for k in range(200)]
+    rows += [(900, "not a url", "Menu", "crawl"), (901, None, None, "crawl")]
+    df = spark.createDataFrame(rows, "doc_id long, url string, text string, source string")
+    by_host = line_dedup.remove_boilerplate(line_dedup.with_host(df), site="host", ratio=0.1)
+    assert by_host.where("_dropped > 0").count() == 5 and by_host.where("host = 'small.example' and text like '%Menu%'").count() == 0
+    assert by_host.where("host is null").count() == 2 and by_host.where("doc_id = 900 and text = 'Menu'").count() == 1
+    assert line_dedup.remove_boilerplate(df, ratio=0.1).where("_dropped > 0").count() == 0
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    found = line_dedup.with_host(pages)
+    want = {re.match(r"https?://([^/:?#]+)", r.url)[1].lower() for r in pages.select("url").collect()}
+    assert {r.host for r in found.select("host").distinct().collect()} == want and len(want) > 1
+    cleaned = line_dedup.remove_boilerplate(found, site="host", text="html").select("url", "host", "html", "_dropped").collect()
+    hosts, counts = Counter(r.host for r in found.collect()), Counter()
+    for r in found.collect():
+        counts.update({(r.host, x) for x in r.html.split("\n") if x})
+    gone = {k for k, n in counts.items() if n >= 3 and n > 0.1 * hosts[k[0]]}
+    assert sorted((r.url, r.html) for r in cleaned) == sorted(
+        (r.url, "\n".join(x for x in r.html.split("\n") if (r.host, x) not in gone)) for r in found.collect()
+    )
+
+
 # --- archives ------------------------------------------------------------------------------
 
 
