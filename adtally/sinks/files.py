@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+
+from adtally.session import materialize
 
 # Settlement file layout.
 FIELD_MARK = "\u0001"
@@ -42,18 +44,31 @@ def export_settlement(df: DataFrame, path: str, lines_per_file: int = 2_000_000)
 def export_manifest(spark: SparkSession, path: str, pattern: str = "*.gz", by_folder: bool = False) -> DataFrame:
     """Name and MD5 of every exported file, computed where the file is read.
 
-    With ``by_folder`` a file goes by the name of its folder, as exports of one file per partition do.
+    With ``by_folder`` a file goes by the name of its folder, and by folder and own name where the
+    folder has several parts.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", by_folder).load(path)
-    return files.select(
-        F.element_at(F.split("path", "/"), -2 if by_folder else -1).alias("file"), F.md5("content").alias("md5")
-    )
-
-
-def export_daily_lines(lines: DataFrame, path: str) -> None:
-    """``day, value`` lines as one sorted text file per day."""
-    dealt = lines.repartition("day").sortWithinPartitions("day", "value")
-    dealt.write.mode("overwrite").partitionBy("day").text(path)
+    name = lambda k: F.element_at(F.split("path", "/"), k)
+    if not by_folder:
+        return files.select(name(-1).alias("file"), F.md5("content").alias("md5"))
+    summed = files.select(name(-2).alias("folder"), name(-1).alias("part"), F.md5("content").alias("md5"))
+    parts = F.count("*").over(Window.partitionBy("folder"))
+    named = summed.withColumn("file", F.when(parts > 1, F.concat_ws("/", "folder", "part")).otherwise(F.col("folder")))
+    return named.select("file", "md5")
+
+
+def export_daily_lines(lines: DataFrame, path: str, lines_per_file: int = 2_000_000) -> None:
+    """``day, value`` lines as sorted text files: one for a day of at most ``lines_per_file`` lines, several
+    for a larger day, which is dealt over tasks by ranges of its lines. A day's parts hold its lines in order of their names."""
+    lines = materialize(lines.select("day", "value"), "daily-lines")
+    counts = lines.groupBy(F.col("day").alias("of")).agg(F.count("*").alias("n"))
+    tasks = counts.agg(F.sum(F.ceil(F.col("n") / lines_per_file))).first()[0] or 1
+    large = counts.where(F.col("n") > lines_per_file).select("of", F.lit(True).alias("large"))
+    # lines of a small day have one key, so they stay together
+    key = F.when(F.col("large"), F.col("value"))
+    dealt = lines.join(F.broadcast(large), F.col("day").eqNullSafe(F.col("of")), "left").repartitionByRange(int(tasks), "day", key)
+    sorted_ = dealt.select("day", "value").sortWithinPartitions("day", "value")
+    sorted_.write.mode("overwrite").option("maxRecordsPerFile", lines_per_file).partitionBy("day").text(path)
 
 
 def manifest_lines(manifest: DataFrame) -> DataFrame:

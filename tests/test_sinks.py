@@ -191,6 +191,21 @@ def test_settlement_bytes(spark, rows, tmp_path):
     assert files.manifest_lines(manifest).first().value.count(",") == 1
 
 
+def test_large_days_are_written_in_bounded_parts(spark, tmp_path):
+    path, days = tmp_path / "daily", {"d1": 400, "d2": 30, "d3": 5, "d4": 130}
+    lines = spark.createDataFrame([(d, f"{d} {k * 7919 % n:04d}") for d, n in days.items() for k in range(n)], "day string, value string")
+    files.export_daily_lines(lines, str(path), lines_per_file=50)
+    want = set()
+    for day, n in days.items():
+        parts = sorted((path / f"day={day}").glob("*.txt"))
+        texts = [p.read_bytes() for p in parts]
+        assert b"".join(texts).decode().splitlines() == sorted(f"{day} {k:04d}" for k in range(n))
+        assert all(x.count(b"\n") <= 50 for x in texts) and (len(parts) == 1) == (n <= 50)
+        want |= {(f"day={day}" + (f"/{p.name}" if len(parts) > 1 else ""), hashlib.md5(x).hexdigest()) for p, x in zip(parts, texts, strict=True)}
+    assert {tuple(r) for r in files.export_manifest(spark, str(path), "*.txt", by_folder=True).collect()} == want
+    assert len({name.split("-")[1] for name, _ in want if name.startswith("day=d1/")}) > 2  # several tasks wrote the largest day
+
+
 def test_csv_and_tsv_have_no_header(rows, tmp_path):
     df = rows("a string, b long", ("x", 1))
     files.export_csv(df, str(tmp_path / "c"))
