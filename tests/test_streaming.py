@@ -12,6 +12,7 @@ from adtally.sinks.tables import create_table
 from adtally.streaming import counters as streams
 from tests.conftest import got
 from tests.test_reports import EVENTS, event
+from testbed.operators import SLICES, _event_stream
 
 CLICKS = "created timestamp, routed_offer string, slot string, click_through string"
 
@@ -112,3 +113,17 @@ def test_trailing_recompute_empties_slots_without_rows(spark, rows, tmp_path):
     streams.recompute_trailing(report, "trailing", "2024010101", "2024010102")
     assert got(spark.table("trailing").select("time_slot", "n")) == [("2024010100", 1), ("2024010102", 4)]
     spark.sql("DROP TABLE trailing")
+
+
+def test_event_slices_arrive_whole_from_many_files(spark, tmp_path):
+    sf, seen = "/root/testdata/sf0.001", []
+
+    def note(batch, _):
+        batch = batch.select(F.col("ts").cast("timestamp").alias("at"), F.input_file_name().alias("file"))
+        seen.append(batch.agg(F.min("at"), F.max("at"), F.count("*"), F.count_distinct("file")).first())
+
+    stream = _event_stream(spark, sf).writeStream.foreachBatch(note).option("checkpointLocation", str(tmp_path / "at"))
+    stream.trigger(availableNow=True).start().awaitTermination()
+    assert len(seen) == SLICES and all(files > 1 for *_, files in seen) and len({files for *_, files in seen}) == 1
+    assert all(a[1] < b[0] for a, b in zip(seen, seen[1:]))
+    assert sum(n for _, _, n, _ in seen) == spark.read.parquet(f"{sf}/events.parquet").count()
