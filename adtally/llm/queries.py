@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adtally.llm import decontaminate, embedding_dedup, jaccard_join, licenses, line_dedup, packing, quality, suffix_dedup, token_counts, warc
+from adtally.llm import decontaminate, embedding_dedup, jaccard_join, language_id, licenses, line_dedup, packing, quality, suffix_dedup, token_counts, warc
 from adtally.llm.common import tuned
 from adtally.session import use_scratch
 
@@ -109,3 +109,8 @@ def op9(documents: DataFrame) -> DataFrame:
 @query("op10_quality_classifier", "documents", "labels")
 def op10(documents: DataFrame, labels: DataFrame) -> DataFrame:
     return quality.graded(documents, labels, max_positive=12_000, max_unlabelled=12_000)
+
+
+@query("op13_language_id", "documents", sql=language_id.language_sql(top=400))
+def op13(documents: DataFrame) -> DataFrame:
+    return language_id.identified(documents, top=400)
