@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adtally.llm import decontaminate, embedding_dedup, jaccard_join, language_id, licenses, line_dedup, packing, periodic, quality, suffix_dedup, token_counts, warc
+from adtally.llm import decontaminate, embedding_dedup, jaccard_join, language_id, licenses, line_dedup, orchard_codes, packing, periodic, quality, suffix_dedup, token_counts, warc
 from adtally.llm.common import tuned
 from adtally.session import use_scratch
 
@@ -111,6 +111,11 @@ def op10(documents: DataFrame, labels: DataFrame) -> DataFrame:
     return quality.graded(documents, labels, max_positive=12_000, max_unlabelled=12_000)
 
 
+@query("op11_orchard_codes", "embeddings", sql=orchard_codes.ORCHARD_SQL)
+def op11(embeddings: DataFrame) -> DataFrame:
+    return orchard_codes.compressed(embeddings, parts=4, entries=256, rounds=4, scale=1024)
+
+
 @query("op12_periodic_runs", "documents", sql=periodic.RUNS_SQL)
 def op12(documents: DataFrame) -> DataFrame:
     return periodic.report(periodic.looped(documents))
