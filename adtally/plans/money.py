@@ -8,9 +8,10 @@ from adtally.functions import rules
 from adtally.functions.numbers import (
     count_where, from_units, half_even, ratio, sum_if, sum_money, to_units, truncated,
 )
-from adtally.functions.slots import compact_day, day_of
+from adtally.functions.slots import DAY, compact_day, day_of
 from adtally.functions.text import slot_or_id
 from adtally.operators.aggs import partition_total, rollup, rollup_known_keys
+from adtally.operators.asof import enrich_asof
 from adtally.operators.filters import between_slots
 from adtally.operators.joins import attach_total, enrich, inner_join, join_defaults
 from adtally.session import materialize
@@ -163,19 +164,23 @@ def profit_rollup(
     """Profit per day, ad type, slot, country, user and network type.
 
     Rows without a user, or whose user or network is unknown, are dropped. The day is in
-    the key, so a backfill over many days is this one job with a wider range.
+    the key, so a backfill over many days is this one job with a wider range. Users or networks with
+    a ``valid_from`` are taken as they were when each day began, others as they are.
     """
     rows = between_slots(allocation, first_day, last_day, "day").where(rules.has_money())
     rows = rows.where(F.col("user_id").isNotNull())
     if hide_dashed_countries:
         rows = rows.where(~F.contains("country", F.lit("-")))
+    versioned = {d: [c for c in d.columns if c == "valid_from"] for d in (users, networks)}
     account = users.select(
-        F.col("id").alias("user_id"), F.col("email").alias("account_email"), F.col("username").alias("user_name")
+        F.col("id").alias("user_id"), F.col("email").alias("account_email"), F.col("username").alias("user_name"), *versioned[users]
     )
-    network = networks.select(F.col("short_name").alias("channel"), "channel_type")
+    network = networks.select(F.col("short_name").alias("channel"), "channel_type", *versioned[networks])
     typed = rows.withColumn("user_id", F.col("user_id").cast("long"))
+    if any(versioned.values()):
+        typed = materialize(typed.withColumn("day_start", F.to_timestamp("day", DAY)), "allocated")
     keys = ["date", "adtype", "slot", "country", "user_id", "channel_type", "user_name", "account_email"]
-    named = enrich(typed, (account, ["user_id"]), (network, ["channel"])).withColumnRenamed("day", "date")
+    named = enrich_asof(typed, "day_start", (account, ["user_id"]), (network, ["channel"])).withColumnRenamed("day", "date")
     return rollup_known_keys(named, keys, revenue=sum_money("revenue"), cost=sum_money("cost"))
 
 

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from adtally.operators.aggs import partition_total
 from adtally.session import materialize
 
 # Settlement file layout.
@@ -52,9 +53,8 @@ def export_manifest(spark: SparkSession, path: str, pattern: str = "*.gz", by_fo
     if not by_folder:
         return files.select(name(-1).alias("file"), F.md5("content").alias("md5"))
     summed = files.select(name(-2).alias("folder"), name(-1).alias("part"), F.md5("content").alias("md5"))
-    parts = F.count("*").over(Window.partitionBy("folder"))
-    named = summed.withColumn("file", F.when(parts > 1, F.concat_ws("/", "folder", "part")).otherwise(F.col("folder")))
-    return named.select("file", "md5")
+    counted = partition_total(summed, ["folder"], {"parts": F.count("*")})
+    return counted.select(F.when(F.col("parts") > 1, F.concat_ws("/", "folder", "part")).otherwise(F.col("folder")).alias("file"), "md5")
 
 
 def export_daily_lines(lines: DataFrame, path: str, lines_per_file: int = 2_000_000) -> None:

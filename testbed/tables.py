@@ -199,6 +199,21 @@ FROM part""",
         ("customer",),
         "SELECT c_custkey AS id, CASE WHEN c_custkey % 3 = 0 THEN '' ELSE CONCAT('K', CAST(c_custkey AS STRING)) END AS payee_code, CONCAT('u', CAST(c_custkey AS STRING), '@example.org') AS email, CASE WHEN c_custkey % 11 = 10 THEN NULL ELSE c_name END AS username FROM customer",
     ),
+    "user_versions": (
+        ("customer",),
+        """
+SELECT c_custkey AS id, TIMESTAMP '2024-01-01 00:00:00' + CAST((c_custkey * 7 + v * 9) % 30 AS INT) * INTERVAL '1' DAY AS valid_from,
+  CONCAT('u', CAST(c_custkey AS STRING), '@v', CAST(v AS STRING), '.example.org') AS email,
+  CASE WHEN (c_custkey + v) % 11 = 10 THEN NULL ELSE CONCAT(c_name, '-', CAST(v AS STRING)) END AS username
+FROM (SELECT *, 0 AS v FROM customer UNION ALL SELECT *, 1 AS v FROM customer UNION ALL SELECT *, 2 AS v FROM customer UNION ALL SELECT *, 3 AS v FROM customer) versions""",
+    ),
+    "network_versions": (
+        ("region",),
+        """
+SELECT CONCAT('ch', CAST(r_regionkey AS STRING)) AS short_name, CASE WHEN v = 2 THEN NULL ELSE CONCAT('A', CAST(r_regionkey * 10 + v AS STRING)) END AS adv_id,
+  TIMESTAMP '2024-01-01 12:00:00' + CAST(r_regionkey * 3 + v * 5 AS INT) * INTERVAL '1' DAY AS valid_from, CAST((r_regionkey + v) % 3 AS STRING) AS channel_type
+FROM (SELECT *, 0 AS v FROM region UNION ALL SELECT *, 1 AS v FROM region UNION ALL SELECT *, 2 AS v FROM region UNION ALL SELECT *, 3 AS v FROM region) versions""",
+    ),
 }
 
 
