@@ -46,25 +46,35 @@ def _partition_keys(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
+def _quoted(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _spec(column: str, value: str) -> str:
-    quoted = value.replace("\\", "\\\\").replace("'", "\\'")
-    return f"PARTITION ({column}='{quoted}')"
+    return f"PARTITION ({column}={_quoted(value)})"
+
+
+def _folders(spark: SparkSession, table: str, column: str) -> list[tuple[str, str]]:
+    """Value of ``column`` and folder of every partition, from one catalog call."""
+    session = spark._jsparkSession.sessionState()
+    name = session.sqlParser().parseTableIdentifier(table)
+    parts = session.catalog().listPartitions(name, spark._jvm.scala.Option.empty())
+    each = [parts.apply(k) for k in range(parts.size())]
+    return [(p.spec().apply(column), p.location().toString()) for p in each]
 
 
 def drop_partitions(spark: SparkSession, table: str, column: str, values: Sequence[str]) -> None:
     """Remove partitions in one statement, and then their files, which an external table would keep."""
-    known = {r.partition.split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
-    doomed = sorted(known & set(values))
+    wanted = set(values)
+    found = [(v, folder) for v, folder in _folders(spark, table, column) if v in wanted]
+    doomed = sorted({v for v, _ in found})
     if not doomed:
         return
-    folders = []
-    for value in doomed:
-        rows = spark.sql(f"DESCRIBE EXTENDED {table} {_spec(column, value)}").where("col_name = 'Location'").collect()
-        # the partition's own folder; the table's is listed, too, and folders of other layouts are left alone
-        folders += [r.data_type for r in rows if r.data_type.rstrip("/").rsplit("/", 1)[-1].startswith(f"{column}=")]
     spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(_spec(column, v) for v in doomed)}")
-    for folder in folders:
-        delete_path(spark, folder)
+    for _, folder in found:
+        # folders of other layouts, registered from elsewhere, are left alone
+        if f"{column}=" in folder:
+            delete_path(spark, folder)
 
 
 def replace_partition(df: DataFrame, table: str, covers: Sequence[str] = ()) -> None:
@@ -88,6 +98,31 @@ def replace_partition(df: DataFrame, table: str, covers: Sequence[str] = ()) ->
             drop_partitions(spark, table, keys[0], [c for c in covers if c not in present])
 
 
+def store_batch(df: DataFrame, table: str, batch: str, slot: str) -> None:
+    """One batch of a stream into a table partitioned by ``day`` and ``batch``; the day is that of the bucket column ``slot``.
+
+    A batch has folders of its own below the days it touches, so it adds as many partitions as days, whatever the number of
+    its windows, and a replayed batch overwrites exactly what it had written.
+    """
+    spark = df.sparkSession
+    named = df.withColumn("day", F.substring(slot, 1, 8)).withColumn("batch", F.lit(batch))
+    with _overwrite_mode(spark, "dynamic"):
+        _conformed(named, table).hint("rebalance", "day").write.insertInto(table, overwrite=True)
+
+
+def compact_batches(spark: SparkSession, table: str, day: str) -> None:
+    """Put the batches of a finished day into one; call it when the stream is past the day.
+
+    The rows are staged first, and one statement replaces all partitions of the day.
+    """
+    whole = spark.table(table)
+    columns = [c for c in whole.columns if c not in ("day", "batch")]
+    with staged(whole.where(F.col("day") == day).select(*columns), "compact") as rows, _overwrite_mode(spark, "static"):
+        rows.hint("rebalance").createOrReplaceTempView("adtally_compact")
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (day={_quoted(day)}, batch) SELECT {', '.join(columns)}, 'compacted' FROM adtally_compact")
+    spark.catalog.dropTempView("adtally_compact")
+
+
 def refresh(df: DataFrame, table: str) -> None:
     """Full replacement: the old rows stay until the new ones are written in full."""
     spark = df.sparkSession

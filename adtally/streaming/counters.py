@@ -16,7 +16,7 @@ from adtally.functions.numbers import count_where, from_units, to_units
 from adtally.functions.slots import DAY, MINUTE_SLOT, SLOT, buckets_between
 from adtally.functions.text import pack
 from adtally.sinks.keyed import upsert_kv
-from adtally.sinks.tables import replace_partition
+from adtally.sinks.tables import replace_partition, store_batch
 
 HOURLY, INSTALL_LOOKBACK, PACING_LOOKBACK, DAILY = "1 hour", "10 minutes", "5 minutes", "1 day"
 
@@ -71,19 +71,25 @@ def daily_clicks(stream: DataFrame, late_by: str = "1 day") -> DataFrame:
     )
 
 
-def run_closed_windows(windows: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
-    """Append mode: each window arrives once, complete, and replaces its partition.
+def run_closed_windows(windows: DataFrame, table: str, checkpoint: str, name: str = "windows") -> StreamingQuery:
+    """Append mode: each window arrives once, complete.
 
-    The table must be partitioned by the window: without that, each batch would replace what
-    earlier batches stored.
+    A table partitioned by day and batch gets every batch in folders of its own (see ``store_batch``; ``name`` tells
+    queries on one table apart); in a table partitioned by the window, each window replaces its partition, which suits hours at
+    most. Other tables are refused: there, each batch would replace what earlier batches stored.
     """
-    keys = [c.name for c in windows.sparkSession.catalog.listColumns(table) if c.isPartition]
-    if not set(keys) & {"time_slot", "minute_slot"}:
-        raise ValueError(f"{table} must be partitioned by the window (time_slot or minute_slot)")
+    keys = {c.name for c in windows.sparkSession.catalog.listColumns(table) if c.isPartition}
+    slots = [c for c in ("time_slot", "minute_slot") if c in windows.columns]
+    if {"day", "batch"} <= keys and slots:
+        store = lambda batch, number: store_batch(batch, table, f"{name}-{number}", slots[0])
+    elif keys & {"time_slot", "minute_slot"}:
+        store = lambda batch, _: replace_partition(batch, table)
+    else:
+        raise ValueError(f"{table} must be partitioned by day and batch, or by the window (time_slot or minute_slot)")
     return (
         windows.writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda batch, _: replace_partition(batch, table))
+        .foreachBatch(store)
         .trigger(availableNow=True)
         .start()
     )

@@ -527,27 +527,34 @@ def _registered(t: Testbed) -> DataFrame:
 
 
 SLICES = 5
-SLICE_FILES = 16
+FILE_BYTES = 64 << 20
 
 
-def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All events as files that arrive one slice after the other, a slice's files per trigger, in time order.
+def _stored_bytes(spark: SparkSession, path: str) -> int:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(at).getLength()
 
-    Every slice has the same number of files, so that no trigger mixes slices: rows of a slice that
-    were read after those of the next would be late.
+
+def _event_stream(spark: SparkSession, sf_dir: str, events: DataFrame | None = None, by: str = "ts", slices: int = SLICES) -> DataFrame:
+    """All events as files that arrive one slice after the other, a slice's files per trigger, in the order of ``by``.
+
+    Every slice has the same number of files, taken from the bytes of the table, so that no trigger mixes slices: rows of a
+    slice that were read after those of the next would be late.
     """
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    low, high = events.agg(F.min(F.col("ts").cast("timestamp")), F.max(F.col("ts").cast("timestamp"))).first()
-    path, step = scratch_path(spark, "arriving"), (high - low) / SLICES
-    at = F.col("ts").cast("timestamp")
+    source = f"{sf_dir}/events.parquet"
+    events = spark.read.parquet(source) if events is None else events
+    at = F.col(by).cast("timestamp")
+    low, high = events.agg(F.min(at), F.max(at)).first()
+    path, step = scratch_path(spark, "arriving"), (high - low) / slices
     inside = [
-        (at >= F.lit(low + k * step)) & (at < F.lit(low + (k + 1) * step)) if k < SLICES - 1 else at >= F.lit(low + k * step)
-        for k in range(SLICES)
+        (at >= F.lit(low + k * step)) & (at < F.lit(low + (k + 1) * step)) if k < slices - 1 else at >= F.lit(low + k * step)
+        for k in range(slices)
     ]
     dealt = events.withColumn("part", F.spark_partition_id())
     parts, *sizes = dealt.agg(F.count_distinct("part"), *[F.count_if(x) for x in inside]).first()
+    n = max(2, -(-_stored_bytes(spark, source) // (slices * FILE_BYTES)))
     # rows are dealt in turn from each input part, so some part with a row for every file leaves no file out
-    n = SLICE_FILES if min(sizes) >= SLICE_FILES * parts else 1
+    n = n if min(sizes) >= n * parts else 1
     for x in inside:
         events.where(x).repartition(n).write.mode("append").parquet(path)
     return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", n).parquet(path)
@@ -557,11 +564,11 @@ def _streamed(t: Testbed) -> Testbed:
     return Testbed(t.spark, t.sf_dir, {"events": _event_stream(t.spark, t.sf_dir)})
 
 
-def _closed_windows(t: Testbed, windows: DataFrame, partition_by: str) -> DataFrame:
-    empty = t.spark.createDataFrame([], windows.schema)
-    table = _table(t, empty, (partition_by,))
+def _closed_windows(t: Testbed, windows: DataFrame) -> DataFrame:
+    stored = windows.withColumn("day", F.lit("")).withColumn("batch", F.lit(""))
+    table = _table(t, t.spark.createDataFrame([], stored.schema), ("day", "batch"))
     streams.run_closed_windows(windows, table, scratch_path(t.spark, "stream")).awaitTermination()
-    return t.spark.table(table)
+    return t.spark.table(table).select(*windows.columns)
 
 
 def _bucket(minutes: int) -> str:
@@ -582,19 +589,19 @@ query(
     f"""SELECT time_slot, offer_id, country, channel, {big("SUM(CASE WHEN event_type = '1' THEN 1 ELSE 0 END)")} AS install,
   {big("SUM(CASE WHEN event_type = '2' THEN 1 ELSE 0 END)")} AS conv, {money('payout')} AS revenue, {money('cost')} AS cost
 FROM conversion_events WHERE {_closed(60, '2 HOUR')} GROUP BY 1, 2, 3, 4""",
-)(lambda t: _closed_windows(t, streams.hourly_conversions(_streamed(t)("conversion_events")), "time_slot"))
+)(lambda t: _closed_windows(t, streams.hourly_conversions(_streamed(t)("conversion_events"))))
 query(
     "stream_install_windows",
     ("conversion_events",),
     f"""SELECT strftime({_bucket(10)}, '%Y%m%d%H%M') AS minute_slot, offer_id, af_siteid, COUNT(*) AS install FROM conversion_events
 WHERE {_closed(10, '10 MINUTE', "event_type = '1'")} GROUP BY 1, 2, 3""",
-)(lambda t: _closed_windows(t, streams.install_windows(_streamed(t)("conversion_events")), "minute_slot"))
+)(lambda t: _closed_windows(t, streams.install_windows(_streamed(t)("conversion_events"))))
 query(
     "stream_pacing_windows",
     ("conversion_events",),
     f"""SELECT strftime({_bucket(5)}, '%Y%m%d%H%M') AS minute_slot, channel, offer_id, COUNT(*) AS conv FROM conversion_events
 WHERE {_closed(5, '5 MINUTE', "event_type <> '1' AND adtype NOT IN ('19', '38')")} GROUP BY 1, 2, 3""",
-)(lambda t: _closed_windows(t, streams.pacing_windows(_streamed(t)("conversion_events")), "minute_slot"))
+)(lambda t: _closed_windows(t, streams.pacing_windows(_streamed(t)("conversion_events"))))
 
 
 @query(

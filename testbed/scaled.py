@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from adtally.functions import rules, slots
 from adtally.functions.numbers import count_where, from_units, to_units
 from adtally.operators import asof, bitmaps, panes, skew
 from adtally.plans import money as money_plans
 from adtally.session import materialize, scratch_path
+from adtally.streaming import corrections
+from adtally.streaming.counters import run_closed_windows
+from adtally.streaming.look_backs import pane_stream, run_look_backs, stored_look_backs
+from testbed.operators import _event_stream, _streamed, _table
 from testbed.registry import big, money, query, sum_units
 from testbed.reports import _OWNED, ALLOC_TABLES, DAY, _allocation
 from testbed.tables import Testbed
@@ -129,6 +134,74 @@ def _look_backs(t: Testbed) -> DataFrame:
     return panes.as_of(panes.look_backs(sums, keys, LOOK_BACKS))
 
 
+_CLOSED = f"(SELECT date_trunc('milliseconds', MAX(utctime)) - INTERVAL 5 MINUTE FROM conversion_events WHERE {_PACED})"
+
+
+@query(
+    "stream_look_backs",
+    ("conversion_events",),
+    f""", closed AS (SELECT MAX(time_bucket(INTERVAL 1 MINUTE, utctime)) AS minute FROM conversion_events
+  WHERE {_PACED} AND time_bucket(INTERVAL 1 MINUTE, utctime) + INTERVAL 1 MINUTE <= {_CLOSED})
+{_look_back_sql("pane <= (SELECT minute FROM closed) AND as_of <= (SELECT minute FROM closed) + INTERVAL 1 MINUTE")}""",
+)
+def _stream_look_backs(t: Testbed) -> DataFrame:
+    """The same from a stream in several batches, up to the last closed minute."""
+    keys = ["channel", "offer_id"]
+    events = paced(_streamed(t)("conversion_events"))
+    closed = pane_stream(events, "utctime", keys, "5 minutes", conv=F.count("*"), payout_units=F.sum(to_units("payout")))
+    path = scratch_path(t.spark, "look-backs")
+    run_look_backs(closed, keys, LOOK_BACKS, path, scratch_path(t.spark, "stream")).awaitTermination()
+    return stored_look_backs(closed, keys, path)
+
+
+# --- late corrections -------------------------------------------------------------------------
+
+LATE_HOURS, HORIZON_HOURS, GRACE_MINUTES, ARRIVALS = 240, 264, 10, 8
+
+
+def shuffled_stream(t: Testbed) -> Testbed:
+    """The events as files that arrive in several batches, every seventh event ten days late, after its hour has been sent."""
+    events = t.spark.read.parquet(f"{t.sf_dir}/events.parquet")
+    arrival = F.col("ts") + F.make_dt_interval(hours=F.when(F.col("event_id") % 7 == 3, F.lit(LATE_HOURS)).otherwise(F.lit(0)))
+    stream = _event_stream(t.spark, t.sf_dir, events.withColumn("arrival", arrival), "arrival", ARRIVALS)
+    return Testbed(t.spark, t.sf_dir, {"events": stream.drop("arrival")})
+
+
+def run_corrections(t: Testbed, stream: DataFrame) -> tuple[DataFrame, StreamingQuery]:
+    """The terms that a stream of conversions sends, in a table of batches."""
+    sums = {
+        "install": (F.col("event_type") == rules.INSTALL).cast("long"), "conv": (F.col("event_type") != rules.INSTALL).cast("long"),
+        "payout_units": to_units("payout"),
+    }
+    terms = corrections.hourly_corrections(stream, "utctime", ["channel"], GRACE_MINUTES, HORIZON_HOURS, salts=2, **sums)
+    terms = terms.withColumn("time_slot", slots.slot_of("hour"))
+    stored = terms.withColumn("day", F.lit("")).withColumn("batch", F.lit(""))
+    table = _table(t, t.spark.createDataFrame([], stored.schema), ("day", "batch"))
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = t.spark.conf.get(provider)
+    t.spark.conf.set(provider, corrections.ROCKSDB)
+    try:
+        run = run_closed_windows(terms, table, scratch_path(t.spark, "stream"))
+        run.awaitTermination()
+    finally:
+        t.spark.conf.set(provider, before)
+    return t.spark.table(table), run
+
+
+@query(
+    "stream_corrections",
+    ("conversion_events",),
+    f"""SELECT channel, date_trunc('hour', utctime) AS hour, {big("SUM(CASE WHEN event_type = '1' THEN 1 ELSE 0 END)")} AS install,
+  {big("SUM(CASE WHEN event_type <> '1' THEN 1 ELSE 0 END)")} AS conv, {sum_units('payout')} AS payout_units
+FROM conversion_events WHERE date_trunc('hour', utctime) + INTERVAL {60 + GRACE_MINUTES} MINUTE
+  <= (SELECT date_trunc('milliseconds', MAX(utctime)) FROM conversion_events) GROUP BY 1, 2""",
+)
+def _corrections(t: Testbed) -> DataFrame:
+    """First sums and corrections of a stream with late events add up to the batch report of all ended hours."""
+    terms, _ = run_corrections(t, shuffled_stream(t)("conversion_events"))
+    return corrections.summed(terms, ["channel"], ["install", "conv", "payout_units"])
+
+
 # --- distinct counts from stored bitmaps -----------------------------------------------------
 
 
