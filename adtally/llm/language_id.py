@@ -102,22 +102,6 @@ def _runs(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarra
     return keys[at], np.add.reduceat(counts, at)
 
 
-def windows(data: np.ndarray, limit: int = WINDOW) -> Iterator[np.ndarray]:
-    """One text in pieces of about ``limit`` bytes that end at a separator; a longer word is one piece."""
-    low = 0
-    while low < len(data):
-        high = min(low + limit, len(data))
-        if high < len(data):
-            gaps = np.flatnonzero(~_LETTER[data[low:high]])
-            while not len(gaps) and high < len(data):
-                high = min(2 * high - low, len(data))
-                gaps = np.flatnonzero(~_LETTER[data[low:high]])
-            if high < len(data):
-                high = low + int(gaps[-1]) + 1
-        yield data[low:high]
-        low = high
-
-
 def counted(batch: pa.RecordBatch, text: str = "text") -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """``first row, rows, keys, counts`` for runs of whole rows; keys are ``row - first row << 24 | n-gram`` in order."""
     offsets, data = W.raw(batch.column(text))
@@ -130,7 +114,7 @@ def counted(batch: pa.RecordBatch, text: str = "text") -> Iterator[tuple[int, in
             yield low, high - low, *_runs(grams(own, offsets[low : high + 1] - offsets[low]))
         else:  # one long text
             keys, counts = np.zeros(0, np.uint32), np.zeros(0, np.int64)
-            for piece in windows(own):
+            for piece in W.windows(own, _LETTER, WINDOW):
                 k, c = _runs(grams(piece, np.array([0, len(piece)])))
                 keys, counts = _runs(np.concatenate([keys, k]), np.concatenate([counts, c]))
             yield low, 1, keys, counts

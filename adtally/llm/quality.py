@@ -12,6 +12,9 @@ positives among the trusted rows when those hold both classes; otherwise it is e
 from the scores of a first model, as the least ratio of unlabelled to positive tail shares.
 Scoring reads every text once and shuffles nothing.
 
+Texts are looked at in slices of whole rows of about a megabyte, a longer one in windows; a task needs about 25 bytes for each
+byte of a slice, and 16 for each distinct word of a longer text.
+
 Defined cases: a NULL text scores as an empty one; an id that is NULL is not held out; a
 document marked both good and bad is not a trusted positive; repeated documents score alike;
 without any trusted positive every score is the prior, 0.5.
@@ -30,6 +33,7 @@ from pyspark.sql import types as T
 from adtally.llm import words as W
 
 FEATURES = 24
+WINDOW = 1 << 20
 _UPPER, _LOWER, _DIGIT, _SPACE, _BREAK, _HIGH, _STOP, _BAR, _MARK, _SIGN = range(10)
 _CLASS = np.full(256, _SIGN, np.uint8)
 _CLASS[65:91], _CLASS[97:123], _CLASS[48:58], _CLASS[128:] = _UPPER, _LOWER, _DIGIT, _HIGH
@@ -38,55 +42,92 @@ _CLASS[[44, 46]], _CLASS[[124]], _CLASS[[33, 63]] = _STOP, _BAR, _MARK
 
 
 def _per_text(values: np.ndarray, first: np.ndarray) -> np.ndarray:
-    return np.diff(np.concatenate([[0], np.cumsum(values)])[first])
+    total = np.zeros(len(values) + 1, np.int64)
+    np.cumsum(values, out=total[1:])
+    return np.diff(total[first])
 
 
-def features(column: pa.Array) -> np.ndarray:
-    """One row of ``FEATURES`` numbers per text."""
-    offsets, data = W.raw(column)
-    n = len(offsets) - 1
-    size = np.diff(offsets)
+def _distinct(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order]
+    at = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return keys[at], np.add.reduceat(counts, at) if len(at) else counts
+
+
+def _sums(offsets: np.ndarray, data: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Additive counts of each text, and its words' hashes with the text of each.
+
+    ``before`` holds the hashes of up to two words that precede a window of one text.
+    """
     kind = _CLASS[data]
-    text = np.repeat(np.arange(n), size)
-    mix = np.bincount(text * 10 + kind, minlength=10 * n).reshape(n, 10).astype(float)
     starts, ends, first = W.spans(data, offsets, W.SPACED)
-    n_words = np.diff(first)
-    words, lines, chars = np.maximum(n_words, 1), mix[:, _BREAK] + 1, np.maximum(size, 1)
-    length = (ends - starts).astype(float)
-    mean = _per_text(length, first) / words
-    spread = np.sqrt(np.maximum(_per_text(length**2, first) / words - mean**2, 0))
+    running = np.zeros(len(data) + 1, np.int32)
 
-    def inside(mask):
-        total = np.concatenate([[0], np.cumsum(mask)])
+    def count(mask: np.ndarray) -> np.ndarray:
+        np.cumsum(mask, out=running[1:], dtype=np.int32)
+        return running
+
+    mix = [np.diff(count(kind == k)[offsets]) for k in range(10)]
+
+    def inside(mask: np.ndarray) -> np.ndarray:
+        total = count(mask)
         return total[ends] - total[starts]
 
+    length = ends - starts
     signs = inside((kind == _SIGN) | (kind == _MARK) | (kind == _BAR))
     capitals = inside(kind == _UPPER)
     small = inside((kind == _LOWER) | (kind == _HIGH))
     owner = W.owners(first)
-    h = W.hash_words(data, starts, ends)
-    again = np.zeros(len(h), bool)
-    again[1:] = (h[1:] == h[:-1]) & (owner[1:] == owner[:-1])
-    again2 = np.zeros(len(h), bool)
-    again2[2:] = (h[2:] == h[:-2]) & (owner[2:] == owner[:-2])
-    keyed = W.mixed(h ^ (owner.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
-    _, where, times = np.unique(keyed, return_index=True, return_counts=True)
-    distinct = np.bincount(owner[where], minlength=n)
-    most = np.zeros(n)
-    np.maximum.at(most, owner[where], times)
+    h = np.concatenate([before, W.hash_words(data, starts, ends)])
+    of = np.concatenate([np.zeros(len(before), np.int64), owner])
+
+    def again(back: int) -> np.ndarray:
+        same = np.zeros(len(h), bool)
+        same[back:] = (h[back:] == h[:-back]) & (of[back:] == of[:-back])
+        return same[len(before) :]
+
+    per_word = [length, length**2, signs >= 2, signs >= 1, (capitals >= 2) & (small == 0), again(1), again(2)]
+    return np.stack([*mix, np.diff(first), *(_per_text(v, first) for v in per_word)], axis=1), h[len(before) :], owner
+
+
+def _row(sums: np.ndarray, size: np.ndarray, distinct: np.ndarray, most: np.ndarray) -> np.ndarray:
+    mix, n_words = sums[:, :10].astype(float), sums[:, 10]
+    total, squares, signs2, signs1, shouted, again, again2 = sums[:, 11:].T.astype(float)
+    words, lines, chars = np.maximum(n_words, 1), mix[:, _BREAK] + 1, np.maximum(size, 1)
+    mean = total / words
+    spread = np.sqrt(np.maximum(squares / words - mean**2, 0))
     log = np.log1p
     out = np.stack([
         log(size), log(n_words), mean, spread, log(chars / lines), log(words / lines),
-        *(np.sqrt(mix[:, [k]].sum(axis=1) / chars) for k in range(10)),
-        np.sqrt(_per_text(signs >= 2, first) / words), np.sqrt(_per_text(signs >= 1, first) / words),
-        np.sqrt(_per_text((capitals >= 2) & (small == 0), first) / words),
-        np.sqrt(_per_text(again, first) / words), np.sqrt(_per_text(again2, first) / words),
+        *(np.sqrt(mix[:, k] / chars) for k in range(10)),
+        np.sqrt(signs2 / words), np.sqrt(signs1 / words), np.sqrt(shouted / words), np.sqrt(again / words), np.sqrt(again2 / words),
         distinct / words, np.sqrt(most / words), log(words) - log(distinct),
     ], axis=1)
     out[n_words == 0, 2:] = 0
     return out
 
 
+def features(column: pa.Array) -> np.ndarray:
+    """One row of ``FEATURES`` numbers per text. A text longer than a window is walked in windows that end at white
+    space, whose counts are added."""
+    offsets, data = W.raw(column)
+    n, nothing = len(offsets) - 1, np.zeros(0, np.uint64)
+    if n == 1 and len(data) > WINDOW:
+        sums, keys, counts, before = 0, nothing, np.zeros(0, np.int64), nothing
+        for piece in W.windows(data, W.SPACED, WINDOW):
+            own, h, _ = _sums(np.array([0, len(piece)]), piece, before)
+            sums = sums + own
+            keys, counts = _distinct(np.concatenate([keys, h]), np.concatenate([counts, np.ones(len(h), np.int64)]))
+            before = np.concatenate([before, h])[-2:]
+        return _row(sums, np.array([len(data)]), np.array([len(keys)]), np.array([counts.max(initial=0)], float))
+    sums, h, owner = _sums(offsets, data, nothing)
+    keyed = W.mixed(h ^ (owner.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
+    _, where, times = np.unique(keyed, return_index=True, return_counts=True)
+    most = np.zeros(n)
+    np.maximum.at(most, owner[where], times)
+    return _row(sums, np.diff(offsets), np.bincount(owner[where], minlength=n), most)
+
+
 @dataclass
 class Network:
     """Standardised features, one hidden layer."""
@@ -189,7 +230,7 @@ def train(docs: DataFrame, labels: DataFrame, max_positive: int = 12_000, max_un
     sample = marked.select("text", F.coalesce("positive", F.lit(False)).alias("positive"), F.coalesce(other, F.lit(False)).alias("other"))
 
     def featurise(batches):
-        for batch in (part for whole in batches for part in W.slices(whole)):
+        for batch in (part for whole in batches for part in W.slices(whole, limit=WINDOW)):
             x = pa.array(list(features(batch.column("text"))), pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([x, batch.column("positive"), batch.column("other")], ["x", "positive", "other"])
 
@@ -210,7 +251,7 @@ def score(docs: DataFrame, network: Network, name: str = "score") -> DataFrame:
     at = docs.columns.index("text")
 
     def run(batches):
-        for batch in (part for whole in batches for part in W.slices(whole)):
+        for batch in (part for whole in batches for part in W.slices(whole, limit=WINDOW)):
             score = model.value.score(features(batch.column(at)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], [*batch.schema.names, name])
 

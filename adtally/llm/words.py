@@ -57,6 +57,22 @@ def slices(batch: pa.RecordBatch, text: str = "text", limit: int = SLICE_BYTES)
         low = high
 
 
+def windows(data: np.ndarray, inside: np.ndarray, limit: int) -> Iterator[np.ndarray]:
+    """One text in pieces of about ``limit`` bytes that end at a byte which is not ``inside`` a word; a longer word is one piece."""
+    low = 0
+    while low < len(data):
+        high = min(low + limit, len(data))
+        if high < len(data):
+            gaps = np.flatnonzero(~inside[data[low:high]])
+            while not len(gaps) and high < len(data):
+                high = min(2 * high - low, len(data))
+                gaps = np.flatnonzero(~inside[data[low:high]])
+            if high < len(data):
+                high = low + int(gaps[-1]) + 1
+        yield data[low:high]
+        low = high
+
+
 def spans(data: np.ndarray, offsets: np.ndarray, wordlike: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of words, and for each document the number of words before it (one more entry at the end)."""
     inside = np.zeros(len(data) + 2, dtype=bool)

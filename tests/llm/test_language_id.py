@@ -13,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from adtally.llm import language_id
+from adtally.llm import words as W
 from tests.conftest import got
 
 SCHEMA = "doc_id long, text string, lang string, gram int, n long, rank int, score double, lang_pred string"  # with columns whose names clash
@@ -91,10 +92,9 @@ def test_windows_of_a_long_text_add_up(monkeypatch):
 
     whole = count()
     monkeypatch.setattr(language_id, "WINDOW", 700)
-    monkeypatch.setattr(language_id.windows, "__defaults__", (700,))
     assert count() == whole
     assert sum(c for (row, _), c in whole.items() if row == 1) == sum(plain_grams(text).values())
-    assert [len(p) for p in language_id.windows(np.frombuffer(b"ab cd " + b"y" * 2000, np.uint8))][0] == 6
+    assert [len(p) for p in W.windows(np.frombuffer(b"ab cd " + b"y" * 2000 + b" z", np.uint8), language_id._LETTER, 700)] == [6, 2001, 1]
 
 
 def test_more_rows_than_fit_a_key(spark):
