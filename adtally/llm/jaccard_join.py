@@ -4,16 +4,18 @@ A document's set holds the hashes of its shingles. Sets are compared in one glob
 shingles, rare ones first. Two sets reach a Jaccard similarity of ``percent`` only if their
 prefixes, the first ``n - ceil(t n) + 1`` shingles, share one, so documents meet on prefix
 shingles alone. Pairs that meet pass a length filter, a positional filter (how much overlap
-the two places still allow) and a suffix filter (how much the sizes of eight parts of both
-sets allow) and are then verified once, on whole sets.
+the two places still allow) and a suffix filter (how much the sizes of the parts of both
+sets by hash allow) and are then verified once, on whole sets.
 
 * Order: document frequencies are summed over all documents in a table with a cell per shingle hash
   modulo its size. Shingles are ordered by (cell count, hash). Any total order gives the same
   pairs; the table has at most 2 ** 24 cells (64 MB) whatever the input, so it can be broadcast.
 * Equal sets are one class from the start; only the classes are joined.
 * The classes that share a shingle are filtered pair by pair in memory if they are at most ``PAIRED``.
-  If what passes is in proportion to their number, those pairs are verified. In a group that is
-  larger, or as dense as near copies are, every class meets a few hubs first, those that have the shingle earliest; components follow from the
+  If what passes is in proportion to their number, those pairs are kept. A group as dense as near copies are is looked at once more with whole
+  sketches (a part for each member of a set, so that the suffix filter is as sharp for long sets as for short ones): members with few
+  partners leave it with all their pairs. Pairs from all groups are made distinct, pass the sketches, and are verified.
+* In what is left of a dense group, and in groups larger than that, every class meets a few hubs first, those that have the shingle earliest; components follow from the
   links found, and only groups that still hold several components get new hubs, four times as many in
   each round, until all members of a group are connected or each has been a hub. So a
   group of near copies costs a few comparisons per member, and no link between two
@@ -50,7 +52,10 @@ FIRST_HUBS = 4
 FEW_PAIRS = 4
 GROUP_ROWS = 200_000
 PAIRS_PER_TASK = 2_000
-CUTS = 64
+CUTS = 32
+SPREAD = 64
+LONE_PAIRS = 64
+LEAST_PARTS = 256
 
 
 class Sets:
@@ -80,6 +85,15 @@ class Sets:
     def of(self, k: int) -> np.ndarray:
         return self.hashes[self.begin[k] : self.begin[k + 1]]
 
+    def sketch(self, k: int) -> bytes | None:
+        """Sizes of the set's parts by hash, at least a part for each member; as many parts as bytes, a power of two."""
+        n = int(self.sizes[k])
+        if not n:
+            return None
+        level = max(LEAST_PARTS.bit_length() - 1, (n - 1).bit_length())
+        sizes = np.bincount((self.of(k) >> np.uint64(64 - level)).astype(np.int64), minlength=1 << level)
+        return np.minimum(sizes, 255).astype(np.uint8).tobytes()
+
     def digest(self, k: int) -> bytes | None:
         """128 bits that stand for the set."""
         return hashlib.blake2b(self.of(k).tobytes(), digest_size=16).digest() if self.sizes[k] else None
@@ -108,18 +122,18 @@ def described(docs: DataFrame, shingle: int, size: int) -> DataFrame:
             digests = [sets.digest(k) for k in range(n)]
             yield _columns(
                 batch.column("doc_id"), pa.array(sets.sizes), pa.array(digests, pa.binary()), pa.array([_key(d) for d in digests], pa.int64()),
-                nothing, pa.nulls(n, pa.binary()), _DESCRIBED,
+                pa.array([sets.sketch(k) for k in range(n)], pa.binary()), nothing, pa.nulls(n, pa.binary()), _DESCRIBED,
             )
         parts = [cells[k * step : (k + 1) * step].tobytes() for k in range(PARTS)]
         yield _columns(
-            pa.nulls(PARTS, pa.int64()), pa.nulls(PARTS, pa.int64()), pa.nulls(PARTS, pa.binary()), pa.nulls(PARTS, pa.int64()),
+            pa.nulls(PARTS, pa.int64()), pa.nulls(PARTS, pa.int64()), pa.nulls(PARTS, pa.binary()), pa.nulls(PARTS, pa.int64()), pa.nulls(PARTS, pa.binary()),
             pa.array(range(PARTS), pa.int32()), pa.array(parts, pa.binary()), _DESCRIBED,
         )
 
-    return docs.mapInArrow(run, "doc_id long, n long, digest binary, key long, part int, cells binary")
+    return docs.mapInArrow(run, "doc_id long, n long, digest binary, key long, sketch binary, part int, cells binary")
 
 
-_DESCRIBED = ["doc_id", "n", "digest", "key", "part", "cells"]
+_DESCRIBED = ["doc_id", "n", "digest", "key", "sketch", "part", "cells"]
 
 
 def _key(digest: bytes | None) -> int | None:
@@ -178,7 +192,7 @@ def prefix_tuples(docs: DataFrame, shingle: int, percent: int, cells, buckets: i
             use = fresh[doc] & (place < (n - needed(n, percent) + 1)[doc])
             token, doc, place, rare = token[use], doc[use], place[use].astype(np.int32), rare[use]
             key = np.array([_key(d) or 0 for d in digests], np.int64)
-            part = (sets.hashes >> np.uint64(64 - 6)).astype(np.int64)
+            part = (sets.hashes >> np.uint64(65 - CUTS.bit_length())).astype(np.int64)
             cuts = np.minimum(np.bincount(sets.owner * CUTS + part, minlength=len(n) * CUTS), 255).reshape(-1, CUTS).astype(np.uint8)
             # a group that may be too large for one task is spread over several
             salts = (np.maximum(rare - usual, 0) // GROUP_ROWS).astype(np.uint64)
@@ -239,21 +253,64 @@ class Members:
         self.single = (token[~shared], place[~shared], doc[~shared])
 
 
-def similar_enough(na, nb, pa_, pb, cuts_a, cuts_b, percent: int) -> np.ndarray:
-    """Length, positional and suffix filters: could these pairs still be similar?"""
+def near_enough(na, nb, pa_, pb, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Length and positional filters: could these pairs still be similar? And the overlap that they need."""
     low, high = np.minimum(na, nb), np.maximum(na, nb)
     least = -(-percent * (na + nb) // (100 + percent))
     most = np.minimum(pa_, pb) + 1 + np.minimum(na - pa_ - 1, nb - pb - 1)
-    good = (100 * low >= percent * high) & (most >= least)
-    # both sets in parts by hash: what they can share in each (parts of 255 and more bound nothing)
+    return (100 * low >= percent * high) & (most >= least), least
+
+
+def similar_enough(na, nb, pa_, pb, cuts_a, cuts_b, percent: int) -> np.ndarray:
+    """The suffix filter with it: both sets in a few parts by hash, and what they can share in each."""
+    good, least = near_enough(na, nb, pa_, pb, percent)
+    # parts of 255 and more bound nothing
     at = np.flatnonzero(good)
     share = np.minimum(cuts_a[at], cuts_b[at])
     good[at] = (share.sum(axis=1, dtype=np.int64) >= least[at]) | (share == 255).any(axis=1)
     return good
 
 
-def _pairs(m: Members, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs of rows that pass the filters, which rows belong to groups with more such pairs than these, and the rows' ranks."""
+class Sketches:
+    """The suffix filter with parts in proportion to a set's size. A finer sketch is added up to compare it with a coarser one."""
+
+    def __init__(self, sketches: list[bytes]):
+        self.level = np.array([len(x).bit_length() - 1 for x in sketches], np.int64)
+        self.rows: dict[int, np.ndarray] = {}
+        self.place = {}
+        for level in sorted(set(self.level.tolist()), reverse=True):
+            own = np.flatnonzero(self.level == level)
+            table = np.frombuffer(b"".join(sketches[k] for k in own), np.uint8).reshape(len(own), 1 << level).astype(np.int32)
+            table[table == 255] = 1 << 20  # 255 or more, which bounds nothing
+            finer = self.rows.get(level + 1)
+            if finer is not None:  # sets within the length bound are a level apart at most
+                above = self.place[level + 1]
+                own, table = np.concatenate([own, above]), np.concatenate([table, finer.reshape(len(finer), -1, 2).sum(axis=2, dtype=np.int32)])
+            self.rows[level], self.place[level] = table, own
+        self.at = {level: dict(zip(own.tolist(), range(len(own)), strict=True)) for level, own in self.place.items()}
+        for level, own in self.place.items():
+            index = np.full(len(sketches), -1, np.int64)
+            index[own] = np.arange(len(own))
+            self.at[level] = index
+
+    def share(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The most that each pair of sets can have in common; pairs more than a level apart are not bounded."""
+        out = np.full(len(a), np.iinfo(np.int64).max)
+        level = np.minimum(self.level[a], self.level[b])
+        for k in np.unique(level).tolist():
+            own = np.flatnonzero(level == k)
+            x, y = self.at[k][a[own]], self.at[k][b[own]]
+            known = (x >= 0) & (y >= 0)
+            own, x, y = own[known], x[known], y[known]
+            step = max(1, (8 << 20) >> (k + 2))
+            for low in range(0, len(own), step):
+                part = slice(low, low + step)
+                out[own[part]] = np.minimum(self.rows[k][x[part]], self.rows[k][y[part]]).sum(axis=1)
+        return out
+
+
+def _pairs(m: Members, percent: int) -> tuple[np.ndarray, ...]:
+    """Pairs of rows that pass the filters, which rows belong to groups with more such pairs than these, the rows' ranks and the sizes of their groups."""
     edges = np.flatnonzero(np.concatenate([[True], m.token[1:] != m.token[:-1], [True]])) if len(m.token) else np.zeros(1, np.int64)
     size = np.diff(edges)
     rank = np.arange(len(m.token)) - np.repeat(edges[:-1], size)
@@ -287,7 +344,7 @@ def _pairs(m: Members, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray
     for hub in range(SMALL - 1):
         later = np.flatnonzero((rank > hub) & (np.repeat(size <= SMALL, size) | dense & (hub < FIRST_HUBS)))
         passing(later - rank[later] + hub, later)
-    return np.concatenate(left), np.concatenate(right), dense, rank
+    return np.concatenate(left), np.concatenate(right), dense, rank, np.repeat(size, size)
 
 
 def _unique_pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -296,11 +353,74 @@ def _unique_pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return pairs[:, np.append(True, (pairs[:, 1:] != pairs[:, :-1]).any(axis=0))] if len(a) else pairs
 
 
+def _apart(n, place, sketches: Sketches, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of a dense group, in order of place: all pairs of the members that have few partners in it, and which members those are.
+
+    Members that pass with a hub, or with several of a few members spread over the group, are copies at once. Each other member is held
+    against the whole group and stays apart if few pass. The copies that are left meet in rounds, without the others.
+    """
+    every = np.arange(len(n))
+
+    def passing(a, b):
+        good, least = near_enough(n[a], n[b], place[a], place[b], percent)
+        at = np.flatnonzero(good & (a != b))
+        at = at[sketches.share(a[at], b[at]) >= least[at]]
+        return a[at], b[at]
+
+    copies = every < FIRST_HUBS
+    for others, least in ((every[:FIRST_HUBS], 1), (np.unique(np.linspace(0, len(n) - 1, SPREAD).astype(np.int64)), 2)):
+        a, _ = passing(np.repeat(every, len(others)), np.tile(others, len(n)))
+        copies = copies | (np.bincount(a, minlength=len(n)) >= least)
+    lone, found = every[~copies], []
+    step = max(1, TRIED_AT_ONCE // len(n))
+    for low in range(0, len(lone), step):
+        part = lone[low : low + step]
+        found.append(passing(np.repeat(part, len(n)), np.tile(every, len(part))))
+    a, b = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (every[:0], every[:0])
+    apart = ~copies & (np.bincount(a, minlength=len(n)) <= LONE_PAIRS)
+    return a[apart[a]], b[apart[a]], apart
+
+
+def parted(groups: DataFrame, percent: int) -> DataFrame:
+    """Groups of at most ``PAIRED`` members (``token, place, n, key, cuts``, with whole sketches as cuts) without the members
+    that have few partners, whose pairs come out as ``a, b``."""
+
+    def run(batches):
+        open_, at = [], None
+        for batch in batches:
+            for row in zip(*(batch.column(c).to_pylist() for c in ("token", "place", "n", "key", "cuts")), strict=True):
+                if row[0] != at and open_:
+                    yield from group(open_)
+                    open_ = []
+                at = row[0]
+                open_.append(row)
+        if open_:
+            yield from group(open_)
+
+    def group(rows):
+        token, place, n, key = (np.array([r[k] for r in rows], np.int64) for k in range(4))
+        a, b, apart = _apart(n, place, Sketches([r[4] for r in rows]), percent)
+        pairs = _unique_pairs(np.minimum(key[a], key[b]), np.maximum(key[a], key[b]))
+        yield _columns(pa.array(pairs[0]), pa.array(pairs[1]), *(pa.nulls(pairs.shape[1], t) for t in _REST), _FOUND)
+        left = np.flatnonzero(~apart)
+        cuts = pa.array([rows[k][4] for k in left], pa.binary())
+        hub = pa.array(left < FIRST_HUBS)
+        yield _columns(
+            pa.nulls(len(left), pa.int64()), pa.nulls(len(left), pa.int64()), pa.array(token[left]), pa.array(place[left]), pa.array(n[left]),
+            pa.array(key[left]), cuts, hub, _FOUND,
+        )
+
+    dealt = groups.select("token", "place", "n", "key", "cuts").repartition("token").sortWithinPartitions("token", "place", "n", "key")
+    return dealt.mapInArrow(run, _MET)
+
+
 _PAIR = "a long, b long"
+_MET = "a long, b long, token long, place long, n long, key long, cuts binary, hub boolean"
 
 
 def candidates(tuples: DataFrame, buckets: int, percent: int) -> DataFrame:
-    """``a, b`` pairs (``token`` NULL) and rows of large groups (``token, place, n, key, cuts``) for later rounds."""
+    """``a, b`` pairs (``token`` NULL) and rows of dense groups (``token, place, n, key, hub``) for later rounds, ``large`` where the
+    group has more than ``PAIRED`` members."""
 
     def run(batches):
         open_, at = [], None
@@ -316,27 +436,45 @@ def candidates(tuples: DataFrame, buckets: int, percent: int) -> DataFrame:
 
     def bucket(rows, salted):
         m = Members(rows)
-        a, b, big, rank = _pairs(m, percent)
+        a, b, big, rank, size = _pairs(m, percent)
         if salted:  # part of a group: pairs come in later rounds
             a, b = a[:0], b[:0]
             token, place, doc = (np.concatenate(x) for x in zip((m.token, m.place, m.doc), m.single, strict=True))
-            hub = np.zeros(len(token), bool)
+            hub, large = np.zeros(len(token), bool), np.ones(len(token), bool)
         else:
-            token, place, doc, hub = m.token[big], m.place[big], m.doc[big], rank[big] < FIRST_HUBS
+            token, place, doc, hub, large = m.token[big], m.place[big], m.doc[big], rank[big] < FIRST_HUBS, size[big] > PAIRED
         pairs = _unique_pairs(m.key[m.doc[a]], m.key[m.doc[b]])
-        yield _columns(pa.array(pairs[0]), pa.array(pairs[1]), *(pa.nulls(pairs.shape[1], t) for t in _REST), _FOUND)
+        yield _columns(pa.array(pairs[0]), pa.array(pairs[1]), *(pa.nulls(pairs.shape[1], t) for t in _OPEN_REST), _OPEN)
         yield _columns(
             pa.nulls(len(token), pa.int64()), pa.nulls(len(token), pa.int64()), pa.array(token.view(np.int64)), pa.array(place),
-            pa.array(m.n[doc]), pa.array(m.key[doc]), pa.array([x.tobytes() for x in m.cuts[doc]], pa.binary()), pa.array(hub), _FOUND,
+            pa.array(m.n[doc]), pa.array(m.key[doc]), pa.array(hub), pa.array(large), _OPEN,
         )
 
     # the rows of one bucket are packed and of bounded size; sorting brings them together
     dealt = tuples.repartitionById(buckets, "bucket").sortWithinPartitions("bucket", "salted")
-    return dealt.mapInArrow(run, "a long, b long, token long, place long, n long, key long, cuts binary, hub boolean")
+    return dealt.mapInArrow(run, "a long, b long, token long, place long, n long, key long, hub boolean, large boolean")
 
 
 _REST = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.bool_()]
 _FOUND = ["a", "b", "token", "place", "n", "key", "cuts", "hub"]
+_OPEN_REST = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_()]
+_OPEN = ["a", "b", "token", "place", "n", "key", "hub", "large"]
+
+
+def sketched(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The ``a, b`` pairs of keys whose sketches allow the overlap they need."""
+
+    def run(batches):
+        for batch in batches:
+            na, nb = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("na", "nb"))
+            both = Sketches([*batch.column("ca").to_pylist(), *batch.column("cb").to_pylist()])
+            at = np.arange(len(na))
+            good = both.share(at, at + len(na)) >= -(-percent * (na + nb) // (100 + percent))
+            yield _columns(batch.column("a").filter(pa.array(good)), batch.column("b").filter(pa.array(good)), ["a", "b"])
+
+    one, two = (sketches.select(F.col("key").alias(f"k{x}"), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"c{x}")) for x in "ab")
+    known = pairs.join(one, F.col("a") == F.col("ka")).join(two, F.col("b") == F.col("kb")).select("a", "b", "na", "nb", "ca", "cb")
+    return known.mapInArrow(run, _PAIR)
 
 
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -401,8 +539,8 @@ def _few(batch: pa.RecordBatch, rows: int = 256):
 _SENT = pa.schema([("a", pa.int64()), ("salt", pa.int32()), ("member", pa.bool_()), ("b", pa.int64()), ("own", pa.binary())])
 
 
-def _next_hubs(groups: DataFrame, comps: DataFrame, stages: Stages, hubs: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(pairs, groups that go on): new hubs of each large group that still holds several components.
+def _next_hubs(groups: DataFrame, comps: DataFrame, stages: Stages, hubs: int, percent: int) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
+    """(pairs, groups that go on, tables that both read): new hubs of each large group that still holds several components.
 
     Of two members in different components at least one is outside the group's largest, so only such members become
     hubs; a group is done when all of them have been.
@@ -427,14 +565,15 @@ def _next_hubs(groups: DataFrame, comps: DataFrame, stages: Stages, hubs: int, p
     def keep(batches):
         for batch in batches:
             v = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("place", "n", "key", "h_place", "h_n", "h_key")}
-            cuts = [np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, CUTS) for c in ("cuts", "h_cuts")]
-            good = similar_enough(v["n"], v["h_n"], v["place"], v["h_place"], *cuts, percent)
+            good, least = near_enough(v["n"], v["h_n"], v["place"], v["h_place"], percent)
+            at = np.arange(len(good))
+            good &= Sketches([*batch.column("cuts").to_pylist(), *batch.column("h_cuts").to_pylist()]).share(at, at + len(at)) >= least
             yield _columns(pa.array(v["h_key"][good]), pa.array(v["key"][good]), ["a", "b"])
 
     pairs = met.select("place", "n", "key", "cuts", "h_place", "h_n", "h_key", "h_cuts").mapInArrow(keep, _PAIR).distinct()
     marks = chosen.select(F.col("t").alias("ht"), F.col("key").alias("hk"))
     rest = going.join(marks, (F.col("token") == F.col("ht")) & (F.col("key") == F.col("hk")), "left")
-    return pairs, rest.select(*[F.col(c) for c in known.columns if c != "hub"], (F.col("hub") | F.col("hk").isNotNull()).alias("hub"))
+    return pairs, rest.select(*[F.col(c) for c in known.columns if c != "hub"], (F.col("hub") | F.col("hk").isNotNull()).alias("hub")), [known, chosen]
 
 
 def similar_documents(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -445,6 +584,7 @@ def similar_documents(docs: DataFrame, shingle: int = 5, percent: int = 80) -> D
     size = cells_for(docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0])
     rows = stages.write(described(docs, shingle, size), "described")
     cells = spark.sparkContext.broadcast(frequencies(rows, size))
+    sketches = rows.where("digest is not null").groupBy("key").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     rows = rows.where("part is null").select("doc_id", "n", "digest", "key")
     shingles = rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     # a class: documents with the same set, under the least id
@@ -462,8 +602,16 @@ def similar_documents(docs: DataFrame, shingle: int = 5, percent: int = 80) -> D
         return once.select(F.col("p.ra").alias("a"), F.col("p.rb").alias("b"))
 
     comps, hubs = None, 4 * FIRST_HUBS
-    pairs = done = stages.write(ids(met.where("token is null").select("a", "b").distinct()), "pairs")
-    groups = met.where("token is not null").select("token", "place", "n", "key", "cuts", "hub")
+    sketches = stages.write(sketches, "sketches")
+    cells.destroy()
+    whole = met.where("token is not null").join(sketches.select(F.col("key").alias("k"), F.col("sketch").alias("cuts")), F.col("key") == F.col("k")).drop("k")
+    large = whole.where("large").select(*[F.lit(None).cast("long").alias(c) for c in ("a", "b")], "token", "place", "n", "key", "cuts", "hub")
+    opened = stages.write(parted(whole.where("not large"), percent).unionAll(large), "opened")
+    direct = met.where("token is null").select("a", "b").union(opened.where("token is null").select("a", "b"))
+    once = direct.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = done = stages.write(ids(sketched(once, sketches, percent)), "pairs")
+    stages.drop(met)
+    groups = opened.where("token is not null").select("token", "place", "n", "key", "cuts", "hub")
     while True:
         fresh = stages.write(verified(docs, pairs, shingle, percent, many=comps is None), "links")
         if comps is None or not fresh.isEmpty():
@@ -472,13 +620,14 @@ def similar_documents(docs: DataFrame, shingle: int = 5, percent: int = 80) -> D
         reps = named.join(comps, F.col("rep") == F.col("node"), "left").select(
             F.col("key").alias("node"), F.coalesce("component", "rep").alias("component")
         )
-        found, groups = _next_hubs(groups, reps, stages, hubs, percent)
-        groups = stages.write(groups, "groups")
+        found, rest, read = _next_hubs(groups, reps, stages, hubs, percent)
+        before, groups = groups, stages.write(rest, "groups")
         if groups.isEmpty():
             break
         known = done.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
         new = ids(found)
         pairs = stages.write(new.join(known, (F.least("a", "b") == F.col("x")) & (F.greatest("a", "b") == F.col("y")), "left_anti"), "pairs")
+        stages.drop(before, fresh, *read)
         done, hubs = done.union(pairs), 4 * hubs
     found = rows.join(classes.select(F.col("digest").alias("d"), "rep"), F.col("digest") == F.col("d"), "left")
     found = found.join(comps, F.col("rep") == F.col("node"), "left")
