@@ -62,3 +62,14 @@ def tasks_for(n_bytes: int, per_task: int = 32 << 20) -> int:
 def only(df: DataFrame, names: Iterable[str]) -> DataFrame:
     """The named columns; extra columns of an input, whatever they are called, end here."""
     return df.select(*[df[n] for n in names])
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores behind it as make it new to the frame."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out

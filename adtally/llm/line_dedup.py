@@ -2,7 +2,7 @@
 
 A line is boilerplate of its site if the share of the site's pages that contain it exceeds
 ``ratio`` and at least ``min_pages`` pages contain it. Such lines are removed from every page
-of the site. Lines are compared exactly, between line breaks; empty lines are neither counted
+of the site. Lines are what lies between line breaks, compared by a 64-bit hash; empty lines are neither counted
 nor removed.
 
 Pages per (site, line) are counted with a partial aggregate in the scan stage, so a line that
@@ -12,7 +12,8 @@ site; texts are filtered against it in place and never exploded again. The join
 arrays is a broadcast while they are small and a shuffle with skew splitting beyond that.
 
 Defined cases: a NULL site is a site of its own; a NULL text has no lines and stays NULL; a
-line repeated on a page counts once and all its places go; repeated pages each count.
+line repeated on a page counts once and all its places go; repeated pages each count; columns
+may have any names, also those used inside.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adtally.llm.common import Stages
+from adtally.llm.common import Stages, free_names
 
 
 def lines(text: Column) -> Column:
@@ -45,23 +46,24 @@ def boilerplate(pages: DataFrame, ratio: float, min_pages: int) -> DataFrame:
 
 
 def remove_boilerplate(
-    docs: DataFrame, site: str = "source", text: str = "text", ratio: float = 0.1, min_pages: int = 3
+    docs: DataFrame, site: str = "source", text: str = "text", ratio: float = 0.1, min_pages: int = 3,
+    counts: tuple[str, str] = ("_lines", "_dropped"),
 ) -> DataFrame:
-    """The rows with their columns, the boilerplate gone from ``text``, plus ``_lines`` and ``_dropped`` counts."""
+    """The rows with their columns, the boilerplate gone from ``text``, plus the numbers of lines and of dropped lines under
+    the names ``counts``; columns of the input with those two names give way to them."""
     stages = Stages(docs.sparkSession, "lines")
+    own, drop, left = free_names(docs, "_site", "_drop", "_kept")
     found = boilerplate(docs.select(docs[site].alias("site"), docs[text].alias("text")), ratio, min_pages)
-    found = stages.write(found.select(F.col("site").alias("_site"), F.col("drop").alias("_drop")), "boilerplate")
-    joined = docs.join(found, docs[site].eqNullSafe(found["_site"]), "left")
+    found = stages.write(found.select(F.col("site").alias(own), F.col("drop").alias(drop)), "boilerplate")
+    joined = docs.join(found, docs[site].eqNullSafe(found[own]), "left")
     parts = lines(F.col(text))
-    kept = F.filter(parts, lambda x: ~F.array_contains(F.col("_drop"), F.xxhash64(x)) | (x == ""))
-    has = F.col("_drop").isNotNull() & F.col(text).isNotNull()
+    kept = F.filter(parts, lambda x: ~F.array_contains(F.col(drop), F.xxhash64(x)) | (x == ""))
+    has = F.col(drop).isNotNull() & F.col(text).isNotNull()
     # one filtered array, read by both columns
-    joined = joined.withColumn("_kept", F.when(has, kept))
+    joined = joined.withColumn(left, F.when(has, kept))
     n = F.when(F.col(text).isNull(), F.lit(0)).otherwise(F.size(parts)).cast("long")
-    return joined.select(
-        *[F.when(has, F.array_join("_kept", "\n")).otherwise(F.col(text)).alias(c) if c == text else docs[c] for c in docs.columns],
-        n.alias("_lines"), F.when(has, n - F.size("_kept")).otherwise(F.lit(0)).cast("long").alias("_dropped"),
-    )
+    cleaned = [F.when(has, F.array_join(left, "\n")).otherwise(F.col(text)).alias(c) if c == text else F.col(c) for c in docs.columns if c not in counts]
+    return joined.select(*cleaned, n.alias(counts[0]), F.when(has, n - F.size(left)).otherwise(F.lit(0)).cast("long").alias(counts[1]))
 
 
 def line_report(docs: DataFrame, **how) -> DataFrame:

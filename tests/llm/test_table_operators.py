@@ -326,3 +326,14 @@ def test_query(spark, duck, name):
         assert difference(df, duck, ORACLES[name]) is None
     else:
         assert df.count() > 0
+
+
+@pytest.mark.parametrize("clash", ["_site", "_drop", "_kept", "_lines", "_dropped", "_DROP", "site", "line", "n", "pages", "of"])
+def test_line_dedup_with_clashing_columns(spark, clash):
+    docs = spark.createDataFrame([(k, f"menu\nown {k}", "a", f"x{k}") for k in range(9)], f"doc_id long, text string, source string, `{clash}` string")
+    out = line_dedup.remove_boilerplate(docs, ratio=0.3, min_pages=3).orderBy("doc_id").collect()
+    assert [(r.text, r["_lines"], r["_dropped"]) for r in out] == [(f"own {k}", 2, 1) for k in range(9)]
+    if clash not in ("_lines", "_dropped"):
+        assert [r[clash] for r in out] == [f"x{k}" for k in range(9)]
+    kept = line_dedup.remove_boilerplate(docs, ratio=0.3, min_pages=3, counts=("a", "b"))
+    assert kept.columns == [*docs.columns, "a", "b"] and sorted(r[clash] for r in kept.collect()) == [f"x{k}" for k in range(9)]
