@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adtally.llm import decontaminate, jaccard_join, line_dedup, packing, quality
-from adtally.llm.common import Stages, tuned
+from adtally.llm.common import Stages, free_names, tuned
 from adtally.llm.queries import word_tokenizer
 
 
@@ -27,8 +27,9 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Boilerplate lines of each source go; every document stays, and ``n_chars`` follows its text."""
     tuned(spark)
-    cleaned = line_dedup.remove_boilerplate(docs, site="source", ratio=0.1, min_pages=3)
-    n_chars = F.when(F.col("_dropped") > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    counts = tuple(free_names(docs, "_lines", "_dropped"))
+    cleaned = line_dedup.remove_boilerplate(docs, site="source", ratio=0.1, min_pages=3, counts=counts)
+    n_chars = F.when(F.col(counts[1]) > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
     return cleaned.withColumn("n_chars", n_chars).select(*docs.columns)
 
 
