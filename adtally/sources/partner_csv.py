@@ -42,7 +42,12 @@ def read_partner_csv(spark: SparkSession, path: str, any_line_naming_country: bo
     Lines are read as text because the files quote without escaping and vary in width;
     the text source splits large files across tasks.
     """
-    lines = spark.read.text(path).where(~is_header(F.col("value"), any_line_naming_country))
+    return parse_lines(spark.read.text(path), any_line_naming_country)
+
+
+def parse_lines(lines: DataFrame, any_line_naming_country: bool = False) -> DataFrame:
+    """The report rows of a ``value`` column of partner lines."""
+    lines = lines.where(~is_header(F.col("value"), any_line_naming_country))
     fields = lines.select(F.split(F.replace("value", F.lit('"'), F.lit("")), ",", -1).alias("f"))
     wide = fields.where(F.size("f") >= MIN_FIELDS)
     text = {name: F.col("f")[i] for name, i in POSITIONS.items()}

@@ -10,6 +10,7 @@ from adtally.functions.numbers import count_where, from_units, to_units
 from adtally.operators import asof, bitmaps, panes, skew
 from adtally.plans import money as money_plans
 from adtally.session import materialize, scratch_path
+from adtally.sources import documents, ledger, partner_csv
 from adtally.streaming import corrections
 from adtally.streaming.counters import run_closed_windows
 from adtally.streaming.look_backs import pane_stream, run_look_backs, stored_look_backs
@@ -239,3 +240,67 @@ def distinct_spans(hourly: DataFrame) -> DataFrame:
     }
     named = [df.select(F.lit(span).alias("span"), "channel", "upto", "offers") for span, df in parts.items()]
     return named[0].unionAll(named[1]).unionAll(named[2])
+
+
+# --- documents without a fixed schema ----------------------------------------------------------
+
+CONTRACT_FIELDS = [
+    documents.Field("code", "$.code", "string", required=True), documents.Field("currency", "$.data.currency", "string"),
+    documents.Field("amount", "$.data.amount", "double"),
+]
+_DOCS = """, docs AS (SELECT id, text, json_valid(text) AS ok, CASE WHEN json_valid(text) THEN text END AS j FROM contract_texts),
+told AS (SELECT *, j->>'$.code' AS code, j->>'$.data.currency' AS currency, TRY_CAST(j->>'$.data.amount' AS DOUBLE) AS amount,
+  CASE WHEN NOT ok THEN 'unreadable' ELSE NULLIF(CONCAT_WS('; ',
+    CASE WHEN j->>'$.data.amount' IS NOT NULL AND TRY_CAST(j->>'$.data.amount' AS DOUBLE) IS NULL THEN 'drifted: amount' END,
+    CASE WHEN j->>'$.code' IS NULL THEN 'missing: code' END), '') END AS reason FROM docs)"""
+CAP_FIELDS = [documents.Field("pub_status", "$.pub_status", "long", required=True), documents.Field("cap_daily", "$.cap_daily", "long", required=True)]
+_CAPS = """, texts AS (SELECT offer_id, REPLACE(REPLACE(traffic, CHR(39), CHR(34)), 'None', 'null') AS text FROM offers),
+listed AS (SELECT offer_id, text, json_valid(text) AS ok, CASE WHEN json_valid(text) THEN text::JSON END AS j FROM texts),
+entries AS (SELECT offer_id, unnest(range(CAST(json_array_length(j) AS BIGINT))) AS entry, unnest(CAST(j AS JSON[])) AS e FROM listed WHERE ok),
+told AS (SELECT offer_id, CAST(entry AS INTEGER) AS entry, CAST(e->>'$.pub_status' AS BIGINT) AS pub_status, CAST(e->>'$.cap_daily' AS BIGINT) AS cap_daily,
+  CASE WHEN e->>'$.cap_daily' IS NULL THEN 'missing: cap_daily' END AS reason FROM entries)"""
+
+
+def contract_documents(t: Testbed) -> tuple[DataFrame, DataFrame]:
+    return documents.read_documents(t("contract_texts"), "text", CONTRACT_FIELDS)
+
+
+def cap_entries(t: Testbed) -> tuple[DataFrame, DataFrame]:
+    texts = t("offers").select("offer_id", documents.literal_json(F.col("traffic")).alias("text"))
+    return documents.read_entries(texts, "text", "$", CAP_FIELDS)
+
+
+query("contract_documents", ("contract_texts",), f"{_DOCS} SELECT id, code, currency, amount FROM told WHERE reason IS NULL")(lambda t: contract_documents(t)[0])
+query("contract_documents_rejected", ("contract_texts",), f"{_DOCS} SELECT id, text, reason FROM told WHERE reason IS NOT NULL")(lambda t: contract_documents(t)[1])
+query("cap_entries", ("offers",), f"{_CAPS} SELECT offer_id, entry, pub_status, cap_daily FROM told WHERE reason IS NULL")(lambda t: cap_entries(t)[0])
+query(
+    "cap_entries_rejected",
+    ("offers",),
+    f"""{_CAPS} SELECT offer_id, entry, reason FROM told WHERE reason IS NOT NULL
+UNION ALL SELECT offer_id, NULL, 'unreadable' FROM listed WHERE NOT ok""",
+)(lambda t: cap_entries(t)[1].drop("text"))
+
+# --- ledger of input files -----------------------------------------------------------------------
+
+
+@query(
+    "ledger_loads",
+    ("partner_lines",),
+    """SELECT CASE WHEN iso_day <= '2024-01-10' THEN 'first' WHEN iso_day <= '2024-01-20' THEN 'second' ELSE 'third' END AS load,
+  iso_day AS date, COUNT(*) AS lines, CAST(SUM(cnt) AS BIGINT) AS click FROM partner_lines WHERE event_id % 10 <> 0 GROUP BY 1, 2""",
+)
+def _ledger(t: Testbed) -> DataFrame:
+    """Four runs over a folder to which files are added three times; each file is taken once."""
+    root = scratch_path(t.spark, "ledger")
+    lines = t("partner_lines").select("value", "iso_day")
+    bounds = [("first", "", "2024-01-10"), ("second", "2024-01-10", "2024-01-20"), ("third", "2024-01-20", "9999")]
+    for load, low, high in bounds:
+        days = lines.where((F.col("iso_day") > low) & (F.col("iso_day") <= high)).hint("rebalance", "iso_day")
+        days.withColumn("load", F.lit(load)).write.mode("append").partitionBy("load", "iso_day").text(f"{root}/in")
+        for name in (load, f"{load} again"):
+            ledger.load_new(
+                t.spark, lambda path: partner_csv.parse_lines(t.spark.read.option("recursiveFileLookup", True).text(path)), f"{root}/in", f"{root}/rows",
+                f"{root}/files", pattern="*.txt", load=name,
+            )
+    rows = ledger.loaded(t.spark, f"{root}/rows", f"{root}/files", "date string, click long")
+    return rows.groupBy("load", "date").agg(F.count("*").alias("lines"), F.sum("click").alias("click"))

@@ -199,6 +199,19 @@ FROM part""",
         ("customer",),
         "SELECT c_custkey AS id, CASE WHEN c_custkey % 3 = 0 THEN '' ELSE CONCAT('K', CAST(c_custkey AS STRING)) END AS payee_code, CONCAT('u', CAST(c_custkey AS STRING), '@example.org') AS email, CASE WHEN c_custkey % 11 = 10 THEN NULL ELSE c_name END AS username FROM customer",
     ),
+    "contract_texts": (
+        ("customer",),
+        """
+SELECT c_custkey AS id, REPLACE(REPLACE(REPLACE(CASE c_custkey % 10
+    WHEN 5 THEN CONCAT('<~code~: ~K', CAST(c_custkey AS STRING), '~, ~data~: ')
+    WHEN 6 THEN CONCAT('<~code~: ~K', CAST(c_custkey AS STRING), '~, ~data~: <~amount~: ~on request~, ~currency~: ~USD~>>')
+    WHEN 7 THEN CONCAT('<~data~: <~amount~: ', CAST(c_custkey AS STRING), '.5, ~currency~: ~USD~>>')
+    WHEN 8 THEN CONCAT('<~code~: ~K', CAST(c_custkey AS STRING), '~, ~data~: <~currency~: null>, ~extra~: [1, 2]>')
+    WHEN 9 THEN CONCAT('<~data~: <~amount~: [1], ~currency~: ~CNY~>>')
+    ELSE CONCAT('<~code~: ~K', CAST(c_custkey AS STRING), '~, ~data~: <~amount~: ', CAST(c_custkey AS STRING), '.25, ~currency~: ~CNY~>>') END,
+  '~', CHR(34)), '<', CHR(123)), '>', CHR(125)) AS text
+FROM customer""",
+    ),
     "user_versions": (
         ("customer",),
         """
