@@ -33,6 +33,8 @@ rows of their own; a NULL id takes part and shows its class's least id, if there
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -86,11 +88,11 @@ class Sets:
         return self.hashes[self.begin[k] : self.begin[k + 1]]
 
     def sketch(self, k: int) -> bytes | None:
-        """Sizes of the set's parts by hash, at least a part for each member; as many parts as bytes, a power of two."""
+        """Sizes of the set's parts by hash, at least a part for every two members; as many parts as bytes, a power of two."""
         n = int(self.sizes[k])
         if not n:
             return None
-        level = max(LEAST_PARTS.bit_length() - 1, (n - 1).bit_length())
+        level = max(LEAST_PARTS.bit_length() - 1, (n - 1).bit_length() - 1)
         sizes = np.bincount((self.of(k) >> np.uint64(64 - level)).astype(np.int64), minlength=1 << level)
         return np.minimum(sizes, 255).astype(np.uint8).tobytes()
 
@@ -114,7 +116,7 @@ def described(docs: DataFrame, shingle: int, size: int) -> DataFrame:
     step = size // PARTS
 
     def run(batches):
-        cells = np.zeros(size, np.uint32)
+        cells, press = np.zeros(size, np.uint32), _press()
         for batch in (part for whole in batches for part in W.slices(whole)):
             sets = Sets(batch.column("text"), shingle)
             cells += np.bincount(sets.hashes & np.uint64(size - 1), minlength=size).astype(np.uint32)
@@ -122,7 +124,7 @@ def described(docs: DataFrame, shingle: int, size: int) -> DataFrame:
             digests = [sets.digest(k) for k in range(n)]
             yield _columns(
                 batch.column("doc_id"), pa.array(sets.sizes), pa.array(digests, pa.binary()), pa.array([_key(d) for d in digests], pa.int64()),
-                pa.array([sets.sketch(k) for k in range(n)], pa.binary()), nothing, pa.nulls(n, pa.binary()), _DESCRIBED,
+                pa.array([sets.sizes[k] and press(np.frombuffer(sets.sketch(k), np.uint8)) or None for k in range(n)], pa.binary()), nothing, pa.nulls(n, pa.binary()), _DESCRIBED,
             )
         parts = [cells[k * step : (k + 1) * step].tobytes() for k in range(PARTS)]
         yield _columns(
@@ -272,9 +274,12 @@ def similar_enough(na, nb, pa_, pb, cuts_a, cuts_b, percent: int) -> np.ndarray:
 
 
 class Sketches:
-    """The suffix filter with parts in proportion to a set's size. A finer sketch is added up to compare it with a coarser one."""
+    """The suffix filter with parts in proportion to a set's size, from compressed sketches. A finer sketch is added up to
+    compare it with a coarser one."""
 
     def __init__(self, sketches: list[bytes]):
+        coder = zstandard.ZstdDecompressor()
+        sketches = [coder.decompress(x) for x in sketches]
         self.level = np.array([len(x).bit_length() - 1 for x in sketches], np.int64)
         self.rows: dict[int, np.ndarray] = {}
         self.place = {}
@@ -287,7 +292,7 @@ class Sketches:
                 above = self.place[level + 1]
                 own, table = np.concatenate([own, above]), np.concatenate([table, finer.reshape(len(finer), -1, 2).sum(axis=2, dtype=np.int32)])
             self.rows[level], self.place[level] = table, own
-        self.at = {level: dict(zip(own.tolist(), range(len(own)), strict=True)) for level, own in self.place.items()}
+        self.at = {}
         for level, own in self.place.items():
             index = np.full(len(sketches), -1, np.int64)
             index[own] = np.arange(len(own))
@@ -309,7 +314,7 @@ class Sketches:
         return out
 
 
-def _pairs(m: Members, percent: int) -> tuple[np.ndarray, ...]:
+def _pairs(m: Members, percent: int, paired: int) -> tuple[np.ndarray, ...]:
     """Pairs of rows that pass the filters, which rows belong to groups with more such pairs than these, the rows' ranks and the sizes of their groups."""
     edges = np.flatnonzero(np.concatenate([[True], m.token[1:] != m.token[:-1], [True]])) if len(m.token) else np.zeros(1, np.int64)
     size = np.diff(edges)
@@ -323,7 +328,7 @@ def _pairs(m: Members, percent: int) -> tuple[np.ndarray, ...]:
         left.append(a[good])
         right.append(b[good])
 
-    for k in np.flatnonzero((size > SMALL) & (size <= PAIRED)):
+    for k in np.flatnonzero((size > SMALL) & (size <= paired)):
         own = np.arange(edges[k], edges[k + 1])
         # rows are tried in order of size, against those within the length bound, until there are too many pairs
         own = own[np.argsort(m.n[m.doc[own]], kind="stable")]
@@ -403,22 +408,69 @@ def parted(groups: DataFrame, percent: int) -> DataFrame:
         pairs = _unique_pairs(np.minimum(key[a], key[b]), np.maximum(key[a], key[b]))
         yield _columns(pa.array(pairs[0]), pa.array(pairs[1]), *(pa.nulls(pairs.shape[1], t) for t in _REST), _FOUND)
         left = np.flatnonzero(~apart)
-        cuts = pa.array([rows[k][4] for k in left], pa.binary())
-        hub = pa.array(left < FIRST_HUBS)
-        yield _columns(
-            pa.nulls(len(left), pa.int64()), pa.nulls(len(left), pa.int64()), pa.array(token[left]), pa.array(place[left]), pa.array(n[left]),
-            pa.array(key[left]), cuts, hub, _FOUND,
-        )
+        yield _members(token[left], place[left], n[left], key[left], left < FIRST_HUBS)
+
+    return _by_token(groups.select("token", "place", "n", "key", "cuts"), run)
+
+
+def _members(token, place, n, key, hub) -> pa.RecordBatch:
+    nothing = pa.nulls(len(key), pa.int64())
+    return _columns(nothing, nothing, *(pa.array(x) for x in (token, place, n, key, hub)), _FOUND)
+
+
+def _by_token(rows: DataFrame, run) -> DataFrame:
+    """Groups of bounded size, whole and in order of place, handed to ``run``."""
+    return rows.repartition("token").sortWithinPartitions("token", "place", "n", "key").mapInArrow(run, _MET)
+
+
+def hub_pairs(groups: DataFrame, percent: int, hubs: int) -> DataFrame:
+    """Up to ``hubs`` new hubs of each group (``token, place, n, key, hub, c, top, cuts``) and the pairs of each with
+    members of other components that pass the filters; the members come out again with their hubs marked.
+
+    Hubs are members outside the group's largest component ``top``, spread by a hash of their keys.
+    """
+
+    def run(batches):
+        names = ("token", "place", "n", "key", "hub", "c", "top", "cuts")
+        open_, at = [], None
+        for batch in batches:
+            for row in zip(*(batch.column(x).to_pylist() for x in names), strict=True):
+                if row[0] != at and open_:
+                    yield from group(open_)
+                    open_ = []
+                at = row[0]
+                open_.append(row)
+        if open_:
+            yield from group(open_)
 
-    dealt = groups.select("token", "place", "n", "key", "cuts").repartition("token").sortWithinPartitions("token", "place", "n", "key")
-    return dealt.mapInArrow(run, _MET)
+    def group(rows):
+        token, place, n, key, hub, c, top = (np.array([r[k] for r in rows]) for k in range(7))
+        fresh = np.flatnonzero(~hub & (c != top))
+        _, first = np.unique(W.mixed(key[fresh].view(np.uint64) * np.uint64(2 * hubs + 1)) % np.uint64(hubs), return_index=True)
+        chosen, every = fresh[first], np.arange(len(rows))
+        sketches, found = Sketches([r[7] for r in rows]), []
+        step = max(1, TRIED_AT_ONCE // len(rows))
+        for low in range(0, len(chosen), step):
+            part = chosen[low : low + step]
+            a, b = np.repeat(part, len(rows)), np.tile(every, len(part))
+            good, least = near_enough(n[a], n[b], place[a], place[b], percent)
+            at = np.flatnonzero(good & (c[a] != c[b]))
+            at = at[sketches.share(a[at], b[at]) >= least[at]]
+            found.append((key[a[at]], key[b[at]]))
+        a, b = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (key[:0], key[:0])
+        pairs = _unique_pairs(a, b)
+        yield _columns(pa.array(pairs[0]), pa.array(pairs[1]), *(pa.nulls(pairs.shape[1], t) for t in _REST), _FOUND)
+        hub[chosen] = True
+        yield _members(token, place, n, key, hub)
+
+    return _by_token(groups.select("token", "place", "n", "key", "hub", "c", "top", "cuts"), run)
 
 
 _PAIR = "a long, b long"
-_MET = "a long, b long, token long, place long, n long, key long, cuts binary, hub boolean"
+_MET = "a long, b long, token long, place long, n long, key long, hub boolean"
 
 
-def candidates(tuples: DataFrame, buckets: int, percent: int) -> DataFrame:
+def candidates(tuples: DataFrame, buckets: int, percent: int, paired: int = PAIRED) -> DataFrame:
     """``a, b`` pairs (``token`` NULL) and rows of dense groups (``token, place, n, key, hub``) for later rounds, ``large`` where the
     group has more than ``PAIRED`` members."""
 
@@ -436,13 +488,13 @@ def candidates(tuples: DataFrame, buckets: int, percent: int) -> DataFrame:
 
     def bucket(rows, salted):
         m = Members(rows)
-        a, b, big, rank, size = _pairs(m, percent)
+        a, b, big, rank, size = _pairs(m, percent, paired)
         if salted:  # part of a group: pairs come in later rounds
             a, b = a[:0], b[:0]
             token, place, doc = (np.concatenate(x) for x in zip((m.token, m.place, m.doc), m.single, strict=True))
             hub, large = np.zeros(len(token), bool), np.ones(len(token), bool)
         else:
-            token, place, doc, hub, large = m.token[big], m.place[big], m.doc[big], rank[big] < FIRST_HUBS, size[big] > PAIRED
+            token, place, doc, hub, large = m.token[big], m.place[big], m.doc[big], rank[big] < FIRST_HUBS, size[big] > paired
         pairs = _unique_pairs(m.key[m.doc[a]], m.key[m.doc[b]])
         yield _columns(pa.array(pairs[0]), pa.array(pairs[1]), *(pa.nulls(pairs.shape[1], t) for t in _OPEN_REST), _OPEN)
         yield _columns(
@@ -455,8 +507,8 @@ def candidates(tuples: DataFrame, buckets: int, percent: int) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long, token long, place long, n long, key long, hub boolean, large boolean")
 
 
-_REST = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.bool_()]
-_FOUND = ["a", "b", "token", "place", "n", "key", "cuts", "hub"]
+_REST = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
+_FOUND = ["a", "b", "token", "place", "n", "key", "hub"]
 _OPEN_REST = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_()]
 _OPEN = ["a", "b", "token", "place", "n", "key", "hub", "large"]
 
@@ -539,45 +591,39 @@ def _few(batch: pa.RecordBatch, rows: int = 256):
 _SENT = pa.schema([("a", pa.int64()), ("salt", pa.int32()), ("member", pa.bool_()), ("b", pa.int64()), ("own", pa.binary())])
 
 
-def _next_hubs(groups: DataFrame, comps: DataFrame, stages: Stages, hubs: int, percent: int) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
-    """(pairs, groups that go on, tables that both read): new hubs of each large group that still holds several components.
+def _alive(groups: DataFrame, comps: DataFrame) -> DataFrame:
+    """The groups that still have a member which was no hub outside their largest component, with components ``c`` and that one's, ``top``.
 
-    Of two members in different components at least one is outside the group's largest, so only such members become
-    hubs; a group is done when all of them have been.
+    Of two members in different components at least one is outside the largest, so a group is done when all of those have been hubs.
     """
-    known = groups.drop("c").join(comps, F.col("key") == F.col("node"), "left").select(*groups.drop("c").columns, F.coalesce("component", "key").alias("c"))
-    known = stages.write(known, "groups")
+    known = groups.join(comps, F.col("key") == F.col("node"), "left").select(*groups.columns, F.coalesce("component", "key").alias("c"))
     parts = known.groupBy("token", "c").agg(F.count("*").alias("n"), F.sum((~F.col("hub")).cast("long")).alias("left"))
     tops = parts.groupBy("token").agg(F.max(F.struct("n", "c", "left")).alias("top"), F.sum("left").alias("left"))
     alive = tops.where(F.col("left") > F.col("top.left")).select(F.col("token").alias("t"), F.col("top.c").alias("top"))
-    going = known.join(alive, F.col("token") == F.col("t")).drop("t")
+    return known.join(alive, F.col("token") == F.col("t")).drop("t")
+
+
+def _large_hubs(going: DataFrame, sketches: DataFrame, stages: Stages, hubs: int, percent: int) -> DataFrame:
+    """``hub_pairs`` for groups that may not fit a task: hubs and members meet in a join, which splits hot groups."""
     salt = F.pmod(F.xxhash64("key", F.lit(hubs)), F.lit(hubs))
-    first = F.min(F.struct("place", "n", "key", "c", "cuts")).alias("h")
+    first = F.min(F.struct("place", "n", "key", "c")).alias("h")
     others = going.where(~F.col("hub") & (F.col("c") != F.col("top")))
     chosen = stages.write(others.groupBy("token", salt.alias("salt")).agg(first).select(F.col("token").alias("t"), "h.*"), "hubs")
-    h = chosen.select("t", *[F.col(c).alias(f"h_{c}") for c in ("place", "n", "key", "c", "cuts")])
+    h = chosen.select("t", *[F.col(c).alias(f"h_{c}") for c in ("place", "n", "key", "c")])
     low, high = F.least("n", "h_n"), F.greatest("n", "h_n")
     most = F.least("place", "h_place") + 1 + F.least(F.col("n") - F.col("place"), F.col("h_n") - F.col("h_place")) - 1
-    # the length and positional filters as conditions of the join, the suffix filter after it
     fits = (100 * low >= percent * high) & (most * (100 + percent) >= percent * (F.col("n") + F.col("h_n")))
     met = going.join(h, (F.col("token") == F.col("t")) & (F.col("c") != F.col("h_c")) & fits)
-
-    def keep(batches):
-        for batch in batches:
-            v = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("place", "n", "key", "h_place", "h_n", "h_key")}
-            good, least = near_enough(v["n"], v["h_n"], v["place"], v["h_place"], percent)
-            at = np.arange(len(good))
-            good &= Sketches([*batch.column("cuts").to_pylist(), *batch.column("h_cuts").to_pylist()]).share(at, at + len(at)) >= least
-            yield _columns(pa.array(v["h_key"][good]), pa.array(v["key"][good]), ["a", "b"])
-
-    pairs = met.select("place", "n", "key", "cuts", "h_place", "h_n", "h_key", "h_cuts").mapInArrow(keep, _PAIR).distinct()
+    pairs = sketched(met.select(F.col("h_key").alias("a"), F.col("key").alias("b")).distinct(), sketches, percent)
     marks = chosen.select(F.col("t").alias("ht"), F.col("key").alias("hk"))
     rest = going.join(marks, (F.col("token") == F.col("ht")) & (F.col("key") == F.col("hk")), "left")
-    return pairs, rest.select(*[F.col(c) for c in known.columns if c != "hub"], (F.col("hub") | F.col("hk").isNotNull()).alias("hub")), [known, chosen]
+    kept = rest.select("token", "place", "n", "key", (F.col("hub") | F.col("hk").isNotNull()).alias("hub"))
+    blank = [F.lit(None).cast("long").alias(c) for c in ("a", "b")]
+    return kept.select(*blank, *kept.columns).unionByName(pairs, allowMissingColumns=True)
 
 
-def similar_documents(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` per row of ``doc_id, text``."""
+def similar_documents(docs: DataFrame, shingle: int = 5, percent: int = 80, paired: int = PAIRED) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` per row of ``doc_id, text``; groups of more than ``paired`` members are joined, not held in memory."""
     spark = docs.sparkSession
     stages = Stages(spark, "jaccard")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -592,7 +638,7 @@ def similar_documents(docs: DataFrame, shingle: int = 5, percent: int = 80) -> D
     classes = stages.write(classes, "classes")
     named = classes.where("rep is not null").select("key", "rep")
     buckets = max(tasks_for(shingles * 4, 8 << 20), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    met = stages.write(candidates(prefix_tuples(docs, shingle, percent, cells, buckets), buckets, percent), "met")
+    met = stages.write(candidates(prefix_tuples(docs, shingle, percent, cells, buckets), buckets, percent, paired), "met")
 
     def ids(pairs: DataFrame) -> DataFrame:
         """Pairs of keys as pairs of document ids; a pair found from both sides stays once."""
@@ -604,14 +650,19 @@ def similar_documents(docs: DataFrame, shingle: int = 5, percent: int = 80) -> D
     comps, hubs = None, 4 * FIRST_HUBS
     sketches = stages.write(sketches, "sketches")
     cells.destroy()
-    whole = met.where("token is not null").join(sketches.select(F.col("key").alias("k"), F.col("sketch").alias("cuts")), F.col("key") == F.col("k")).drop("k")
-    large = whole.where("large").select(*[F.lit(None).cast("long").alias(c) for c in ("a", "b")], "token", "place", "n", "key", "cuts", "hub")
-    opened = stages.write(parted(whole.where("not large"), percent).unionAll(large), "opened")
+    cuts = sketches.select(F.col("key").alias("k"), F.col("sketch").alias("cuts"))
+
+    def with_cuts(members: DataFrame) -> DataFrame:
+        return members.join(cuts, F.col("key") == F.col("k")).drop("k")
+
+    members = met.where("token is not null")
+    opened = stages.write(parted(with_cuts(members.where("not large").select("token", "place", "n", "key")), percent), "opened")
+    large = stages.write(members.where("large").select("token", "place", "n", "key", "hub"), "large")
     direct = met.where("token is null").select("a", "b").union(opened.where("token is null").select("a", "b"))
     once = direct.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     pairs = done = stages.write(ids(sketched(once, sketches, percent)), "pairs")
     stages.drop(met)
-    groups = opened.where("token is not null").select("token", "place", "n", "key", "cuts", "hub")
+    groups = [opened.where("token is not null").select("token", "place", "n", "key", "hub"), *([] if large.isEmpty() else [large])]
     while True:
         fresh = stages.write(verified(docs, pairs, shingle, percent, many=comps is None), "links")
         if comps is None or not fresh.isEmpty():
@@ -620,14 +671,18 @@ def similar_documents(docs: DataFrame, shingle: int = 5, percent: int = 80) -> D
         reps = named.join(comps, F.col("rep") == F.col("node"), "left").select(
             F.col("key").alias("node"), F.coalesce("component", "rep").alias("component")
         )
-        found, rest, read = _next_hubs(groups, reps, stages, hubs, percent)
-        before, groups = groups, stages.write(rest, "groups")
-        if groups.isEmpty():
+        rounds = [stages.write(hub_pairs(with_cuts(_alive(groups[0], reps)), percent, hubs), "groups")]
+        if len(groups) > 1:
+            rounds.append(stages.write(_large_hubs(stages.write(_alive(groups[1], reps), "going"), sketches, stages, hubs, percent), "groups"))
+        if all(r.where("token is not null").isEmpty() for r in rounds):
             break
+        before = [*groups, fresh]
+        groups = [r.where("token is not null").select("token", "place", "n", "key", "hub") for r in rounds]
+        found = reduce(DataFrame.unionAll, [r.where("token is null").select("a", "b") for r in rounds])
         known = done.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
-        new = ids(found)
+        new = ids(found.distinct())
         pairs = stages.write(new.join(known, (F.least("a", "b") == F.col("x")) & (F.greatest("a", "b") == F.col("y")), "left_anti"), "pairs")
-        stages.drop(before, fresh, *read)
+        stages.drop(*before)
         done, hubs = done.union(pairs), 4 * hubs
     found = rows.join(classes.select(F.col("digest").alias("d"), "rep"), F.col("digest") == F.col("d"), "left")
     found = found.join(comps, F.col("rep") == F.col("node"), "left")

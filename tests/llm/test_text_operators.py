@@ -64,6 +64,46 @@ def test_jaccard_large_group_of_near_copies(spark):
     assert got == {i: c for i, (_, c) in jaccard_components(docs).items()}
 
 
+@pytest.mark.parametrize("paired", [16, 4096])
+def test_jaccard_dense_groups_with_lone_members(spark, paired):
+    """Clusters of near copies, and texts with which they share a passage only: in memory, and as groups too large for that."""
+    rng = random.Random(13)
+    passage = prose(rng, 30)
+    docs = []
+    for _ in range(3):
+        base = prose(rng, 70).split()
+        for _ in range(40):
+            copy = list(base)
+            for _ in range(rng.randint(0, 4)):
+                copy[rng.randrange(70)] = f"x{rng.randrange(999)}"
+            docs.append(passage + " " + " ".join(copy))
+    docs += [f"{passage} {prose(rng, rng.randint(1, 20))}" for _ in range(40)]
+    docs = list(enumerate(docs))
+    got = jaccard_join.similar_documents(frame(spark, docs), paired=paired).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == jaccard_components(docs)
+
+
+def test_sketches_bound_the_overlap():
+    """Never below the true overlap, for sets of one size class and of neighbouring ones."""
+    rng = np.random.default_rng(3)
+    sets, hashes = [], rng.integers(0, 2**64, 6000, dtype=np.uint64)
+    for n in (1, 5, 200, 256, 300, 500, 520, 700, 1000, 1030, 2000, 3000):
+        sets.append(np.sort(rng.choice(hashes, n, replace=False)))
+    shell = jaccard_join.Sets.__new__(jaccard_join.Sets)
+    shell.hashes, shell.begin = np.concatenate(sets), np.cumsum([0, *map(len, sets)])
+    shell.sizes = np.diff(shell.begin)
+    press = jaccard_join._press()
+    sketches = jaccard_join.Sketches([press(np.frombuffer(shell.sketch(k), np.uint8)) for k in range(len(sets))])
+    a, b = np.array([(i, j) for i in range(len(sets)) for j in range(len(sets))]).T
+    true = np.array([len(np.intersect1d(sets[i], sets[j])) for i, j in zip(a, b, strict=True)])
+    share = sketches.share(a, b)
+    assert (share >= true).all()
+    same = a == b
+    assert (share[same] == true[same]).all()
+    near = (np.maximum(shell.sizes[a], shell.sizes[b]) * 0.8 <= np.minimum(shell.sizes[a], shell.sizes[b])) & ~same & (shell.sizes[a] > 100)
+    assert (share[near] < 0.8 * shell.sizes[a][near]).all()
+
+
 def test_jaccard_repeated_ids_and_null_ids(spark):
     rng = random.Random(4)
     a, b = prose(rng, 50), prose(rng, 50)
