@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from adtally.functions import rules, slots
+from adtally.functions import rules, slots, text
 from adtally.functions.numbers import count_where, from_units, to_units
-from adtally.operators import asof, bitmaps, panes, skew
-from adtally.plans import money as money_plans
+from adtally.operators import apportion, asof, bitmaps, panes, skew
+from adtally.operators.joins import attach_total
+from adtally.plans import counters, money as money_plans, rollups
 from adtally.session import materialize, scratch_path
+from adtally.sinks import buckets, checksums, files, keyed
 from adtally.sources import documents, ledger, partner_csv
 from adtally.streaming import corrections
 from adtally.streaming.counters import run_closed_windows
 from adtally.streaming.look_backs import pane_stream, run_look_backs, stored_look_backs
-from testbed.operators import _event_stream, _streamed, _table
+from testbed.operators import _COUNTS, _event_stream, _streamed, _table
 from testbed.registry import big, money, query, sum_units
 from testbed.reports import _OWNED, ALLOC_TABLES, DAY, _allocation
 from testbed.tables import Testbed
@@ -304,3 +306,133 @@ def _ledger(t: Testbed) -> DataFrame:
             )
     rows = ledger.loaded(t.spark, f"{root}/rows", f"{root}/files", "date string, click long")
     return rows.groupBy("load", "date").agg(F.count("*").alias("lines"), F.sum("click").alias("click"))
+
+# --- shares that add up ------------------------------------------------------------------------
+
+
+def _apportioned(keys: str, measure: str, units: str, order: str, name: str) -> str:
+    """Largest remainders over ``parts``."""
+    return f""", whole AS (SELECT *, SUM({measure}) OVER (PARTITION BY {keys}) AS total, CAST({units} AS HUGEINT) AS units FROM parts),
+cut AS (SELECT *, CAST({measure} AS HUGEINT) * units // NULLIF(total, 0) AS quota, CAST({measure} AS HUGEINT) * units % NULLIF(total, 0) AS remainder FROM whole),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY remainder DESC, {order}) AS place, SUM(quota) OVER (PARTITION BY {keys}) AS given FROM cut)
+SELECT * EXCLUDE (total, units, quota, remainder, place, given), CAST(quota + CASE WHEN place <= units - given THEN 1 ELSE 0 END AS BIGINT) AS {name} FROM ranked"""
+
+
+@query(
+    "apportioned_shares",
+    ("clicks",),
+    ", parts AS (SELECT channel, offer, country, slot, CAST(SUM(count) AS BIGINT) AS clicks FROM clicks GROUP BY ALL)"
+    + _apportioned("channel", "clicks", "10000", "offer NULLS FIRST, country NULLS FIRST, slot NULLS FIRST", "share"),
+)
+def _shares(t: Testbed) -> DataFrame:
+    """Clicks as ten-thousandths of their channel's; every channel's add up to 10,000."""
+    parts = t("clicks").groupBy("channel", "offer", "country", "slot").agg(F.sum("count").cast("long").alias("clicks"))
+    return apportion.apportion(parts, ["channel"], "clicks", [F.col("offer"), F.col("country"), F.col("slot")])
+
+
+@query(
+    "apportioned_revenue",
+    ("conversion_events",),
+    f""", paid AS (SELECT {DAY} AS day, channel, country, offer_pkg, {sum_units('payout')} AS units_paid FROM conversion_events GROUP BY 1, 2, 3, 4),
+parts AS (SELECT *, SUM(units_paid) OVER (PARTITION BY day, channel) // 100000 AS amount FROM paid),
+shared AS (WITH nothing AS (SELECT 1)
+{_apportioned('day, channel', 'units_paid', 'amount', 'country NULLS FIRST, offer_pkg NULLS FIRST', 'revenue')})
+SELECT * EXCLUDE (units_paid, amount) FROM shared""",
+)
+def _shared_revenue(t: Testbed) -> DataFrame:
+    """The truncated amount of a channel's day, in ten-thousandths, over countries and packages without losing any."""
+    parts = rollup_paid(t("conversion_events"))
+    owed = parts.groupBy("day", "channel").agg(F.expr("sum(units_paid) div 100000").alias("amount"))
+    met = attach_total(parts, owed, ["day", "channel"])
+    shared = apportion.apportion(met, ["day", "channel"], "units_paid", [F.col("country"), F.col("offer_pkg")], F.col("amount"), "revenue")
+    return shared.drop("units_paid", "amount")
+
+
+def rollup_paid(events: DataFrame) -> DataFrame:
+    keys = [slots.day_of("time_slot").alias("day"), "channel", "country", "offer_pkg"]
+    return events.groupBy(*keys).agg(F.sum(to_units("payout")).alias("units_paid"))
+
+
+# --- one checksum for many parts -----------------------------------------------------------------
+
+PART_LINES = 40
+_BYTE_TABLE = (
+    "list_transform(range(256), lambda b: list_reduce(list_concat([b], [0, 0, 0, 0, 0, 0, 0, 0]), "
+    "lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END))"
+)
+
+
+@query(
+    "export_checksums",
+    ("impressions",),
+    f""", lines AS (SELECT {DAY} AS day, time_slot || ',' || slot || ',' || country || ',' || CAST(CAST(SUM(count) AS BIGINT) AS VARCHAR) AS line
+  FROM impressions WHERE visible = '0' GROUP BY time_slot, slot, country),
+days AS (SELECT day, COUNT(*) AS n, string_agg(line, CHR(10) ORDER BY line) || CHR(10) AS body FROM lines GROUP BY day),
+table_of AS (SELECT {_BYTE_TABLE} AS t),
+summed AS (SELECT day, n, body, list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(body, ''), lambda c: ascii(c)::BIGINT)),
+  lambda x, y: xor(x >> 8, t[(xor(x, y) & 255) + 1])) AS x FROM days, table_of)
+SELECT 'day=' || day AS file, lpad(lower(printf('%x', xor(x, 4294967295))), 8, '0') AS crc32, CAST(strlen(body) AS BIGINT) AS n_bytes FROM summed""",
+)
+def _checksums(t: Testbed) -> DataFrame:
+    """CRC-32 of every day's lines, written in parts of at most 40 lines."""
+    return checksums.export_checksums(t.spark, exported_lines(t, PART_LINES)).drop("parts")
+
+
+def exported_lines(t: Testbed, lines_per_file: int) -> str:
+    path = scratch_path(t.spark, "daily-parts")
+    line = F.concat_ws(",", "time_slot", "slot", "country", F.col("c").cast("string"))
+    lines = rollups.slot_all_clicks(t("impressions")).select(slots.day_of("time_slot").alias("day"), line.alias("value"))
+    files.export_daily_lines(lines, path, lines_per_file)
+    return path
+
+
+# --- snapshots in buckets --------------------------------------------------------------------------
+
+BUCKETS = 16
+
+
+def day_part(key: str = "key") -> Column:
+    """The day that a counter's key begins with; counters of one day share a bucket."""
+    return F.substring_index(key, "_", 1)
+
+
+def counter_buckets(t: Testbed) -> tuple[str, DataFrame]:
+    """A snapshot with 0 for every key, and the counters of all days."""
+    path = scratch_path(t.spark, "kv-buckets")
+    every = t("routed").select(text.pack(slots.day_of("time_slot"), "routed_offer", "slot").alias("key")).distinct()
+    buckets.create_buckets(every.withColumn("value", F.lit("0")), path, BUCKETS, [day_part()])
+    counts = counters.click_counters(t("routed"), slots=None)
+    return path, keyed.snapshot_kv(counts, F.col("value"), "day", F.col("key"))
+
+
+@query(
+    "bucketed_upsert",
+    ("routed",),
+    f""", fresh AS ({_COUNTS}), old AS (SELECT DISTINCT {DAY} || '_' || routed_offer || '_' || slot AS key FROM routed)
+SELECT old.key, COALESCE(fresh.value, '0') AS value FROM old LEFT JOIN fresh ON old.key = fresh.key""",
+)
+def _bucketed(t: Testbed) -> DataFrame:
+    """All counters, then those of the last day again, which rewrites one bucket."""
+    path, fresh = counter_buckets(t)
+    fresh = materialize(fresh, "fresh")
+    buckets.upsert_buckets(fresh, path, ["key"], [day_part()])
+    last = fresh.agg(F.max(day_part())).first()[0]
+    buckets.upsert_buckets(fresh.where(day_part() == last), path, ["key"], [day_part()])
+    return buckets.read_buckets(t.spark, path, fresh.schema).drop(buckets.BUCKET)
+
+
+@query(
+    "bucketed_update",
+    ("routed",),
+    f""", fresh AS ({_COUNTS}), old AS (SELECT DISTINCT {DAY} || '_' || routed_offer || '_' || slot AS key FROM routed)
+SELECT old.key, CASE WHEN old.key < (SELECT MAX(SUBSTRING(key, 1, 8)) FROM fresh) THEN COALESCE(fresh.value, '0') ELSE '0' END AS value
+FROM old LEFT JOIN fresh ON old.key = fresh.key""",
+)
+def _bucketed_update(t: Testbed) -> DataFrame:
+    """Stored counters take the values of all days but the last; keys that are not stored stay out."""
+    path, fresh = counter_buckets(t)
+    last = fresh.agg(F.max(day_part())).first()[0]
+    unknown = fresh.select(F.concat("key", F.lit("_unknown")).alias("key"), "value")
+    source = fresh.where(day_part() < last).unionByName(unknown)
+    buckets.update_buckets_from(source, path, ["key"], ["value"], [day_part()], fresh.schema)
+    return buckets.read_buckets(t.spark, path, fresh.schema).drop(buckets.BUCKET)

@@ -44,9 +44,9 @@ def test_nested_loop_joins_only_with_one_row(plans):
 
 
 def test_no_window_over_all_rows(plans):
-    """Windows are partitioned, and cut per task before the shuffle, or their groups are buckets of time."""
+    """Windows are partitioned, and cut per task before the shuffle, or their groups are buckets: of time, or ranges of rows."""
     windowed = {n: p for n, p in plans.items() if re.search(r"\bWindow \[", p)}
-    carried = {"profit_backfill_asof", "conversions_asof", "look_back_minutes"}
+    carried = {"profit_backfill_asof", "conversions_asof", "look_back_minutes", "apportioned_shares", "apportioned_revenue", "export_checksums"}
     for n, p in windowed.items():
         if n in carried:
             assert all("_bucket#" in line for line in p.splitlines() if re.search(r"\bWindow \[", line)), n
