@@ -305,3 +305,32 @@ def clean(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
     """The documents that no benchmark window occurs in, with all their columns."""
     packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc_id"), docs["text"].alias("text"))
     return find_benchmark_windows(packed, benchmark, **how).where(F.size("hits") == 0).select("doc_id.*")
+
+
+WINDOW_SQL = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {words} AS w FROM documents),
+i AS (SELECT item_id, {words} AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, len(v) AS size, array_to_string(v, ' ') AS body FROM (
+    SELECT item_id, unnest(list_transform(range(1, greatest(len(w) - {window} + 1, 1) + 1), lambda k: w[k:k + {window} - 1])) AS v FROM i WHERE len(w) > 0
+  )
+),
+places AS (
+  SELECT r, size, unnest(range(1, len(w) - size + 2)) AS k, w FROM d, (SELECT DISTINCT size FROM windows) sizes WHERE len(w) >= size
+),
+met AS (SELECT p.r, p.k, p.size, o.item_id FROM (SELECT r, k, size, array_to_string(w[k:k + size - 1], ' ') AS body FROM places) p JOIN windows o USING (size, body)),
+hit AS (SELECT r, COUNT(DISTINCT n) AS n_hit FROM (SELECT r, unnest(range(k, k + size)) AS n FROM (SELECT DISTINCT r, k, size FROM met)) GROUP BY r),
+found AS (
+  SELECT r, COUNT(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+  FROM (SELECT DISTINCT r, item_id FROM met WHERE item_id IS NOT NULL) GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, COALESCE(n_hit, 0) AS n_hit, COALESCE(n_items, 0) AS n_items,
+  sha256(COALESCE(ids, '')) AS items_sha256, COALESCE(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN found USING (r)
+"""
+_WORDS_SQL = """regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"""
+
+
+def window_sql(window: int) -> str:
+    """The digest columns of ``contamination`` from ``documents`` and ``benchmark``; every window of a text is joined with every item's."""
+    return WINDOW_SQL.format(words=_WORDS_SQL, window=window)

@@ -64,7 +64,7 @@ def op3(documents: DataFrame) -> DataFrame:
     return jaccard_join.similar_documents(documents, shingle=5, percent=80)
 
 
-@query("op4_benchmark_decontamination", "documents", "benchmark")
+@query("op4_benchmark_decontamination", "documents", "benchmark", sql=decontaminate.window_sql(window=10))
 def op4(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     return decontaminate.contamination(documents, benchmark, window=10, shingle=3)
 

@@ -198,6 +198,23 @@ def leak_case():
     return docs + [(300, None), (301, ""), (302, "... --"), (5, docs[5][1])], items
 
 
+@pytest.mark.parametrize("window", [3, 10])
+def test_window_sql_equals_the_plain_version(window):
+    import duckdb
+    import pandas as pd
+
+    docs, items = leak_case()
+    con = duckdb.connect()
+    documents = pd.DataFrame(docs, columns=["doc_id", "text"])
+    benchmark = pd.DataFrame(items, columns=["item_id", "text"]).astype({"item_id": "Int64"})
+    con.register("d", documents)
+    con.register("b", benchmark)
+    con.execute("CREATE TABLE documents AS SELECT doc_id::BIGINT AS doc_id, text FROM d")
+    con.execute("CREATE TABLE benchmark AS SELECT item_id::BIGINT AS item_id, text FROM b")
+    assert sorted(con.execute(decontaminate.window_sql(window)).fetchall()) == sorted(contamination(docs, items, window))
+
+
+
 @pytest.mark.parametrize("block_bytes", [1 << 20, 300])
 def test_contamination(spark, block_bytes):
     docs, items = leak_case()
