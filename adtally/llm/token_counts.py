@@ -12,8 +12,10 @@ starts with, the segment is encoded together with the one before; otherwise each
 encoded alone. Changes of leaves are added up along the path to the root.
 
 Edits are routed to segments through cells of fixed length, so many edits of one document spread
-over its segments. Texts travel compressed, once; each is followed by its touched segments in
-order, and they pass by as a stream: a task holds one text and one run of joined segments at a time.
+over its segments. Texts of edited documents travel compressed, once; each is followed by its touched segments in
+order, and they pass by as a stream: a task holds one text and one run of joined segments at a time. Other
+texts stay where they are: documents are looked up in a bit table of edited ones, of 8 MB at most, which lets a few others through.
+Leaves and nodes of an earlier run may be passed in, so that only edited documents are encoded at all.
 
 Defined cases: a NULL text is empty; ``start`` and ``length`` are clipped to the text, NULL
 values and edits of unknown documents change nothing, a NULL replacement deletes; of overlapping
@@ -40,6 +42,7 @@ SEGMENT = 1024
 FAN = 16
 _GAP = re.compile("[ \t\n\r]")
 KEY = ["doc_id", "copy"]
+MARKS = 1 << 26  # bits of the table of edited documents, 2,048 bitmaps of 4 KB
 
 
 def cut(text: str, size: int = SEGMENT) -> list[int]:
@@ -78,8 +81,23 @@ def segments(docs: DataFrame, tokenizer: str, size: int = SEGMENT) -> DataFrame:
     return _keyed(docs).mapInArrow(run, "doc_id long, copy long, seg long, start long, length long, n_tokens long")
 
 
-def packed_texts(docs: DataFrame) -> DataFrame:
-    """``doc_id, copy, body``: the texts, compressed for the way to their edits."""
+def edited_texts(docs: DataFrame, touched: DataFrame) -> DataFrame:
+    """``doc_id, copy, text`` of the documents with touched segments, and of few others whose bit they share; no text is shuffled.
+
+    The table is broadcast whatever the number of edits, as it has ``MARKS`` bits at most.
+    """
+    mark = F.pmod(F.xxhash64(*KEY), F.lit(MARKS)) + 1
+    bits = F.bitmap_construct_agg(F.bitmap_bit_position("mark")).alias("bits")
+    table = touched.select(mark.alias("mark")).groupBy(F.bitmap_bucket_number("mark").alias("block")).agg(bits)
+    marked = _keyed(docs).withColumn("mark", mark)
+    place = F.bitmap_bit_position("mark")
+    byte = F.conv(F.hex(F.substring("bits", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    met = marked.join(F.broadcast(table), F.bitmap_bucket_number("mark") == F.col("block"))
+    return met.where(F.getbit(byte, (place % 8).cast("int")) == 1).select(*KEY, "text")
+
+
+def packed_texts(texts: DataFrame) -> DataFrame:
+    """``doc_id, copy, body`` of ``doc_id, copy, text``: the texts, compressed for the way to their edits."""
 
     def run(batches):
         press = zstandard.ZstdCompressor(level=1)
@@ -87,7 +105,7 @@ def packed_texts(docs: DataFrame) -> DataFrame:
             body = [press.compress(text.encode()) for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("copy"), pa.array(body, pa.binary())], ["doc_id", "copy", "body"])
 
-    return _keyed(docs).mapInArrow(run, "doc_id long, copy long, body binary")
+    return texts.mapInArrow(run, "doc_id long, copy long, body binary")
 
 
 def build(docs: DataFrame, tokenizer: str, stages: Stages) -> tuple[DataFrame, DataFrame]:
@@ -213,7 +231,7 @@ def apply_edits(docs: DataFrame, leaves: DataFrame, nodes: DataFrame, edits: Dat
     """(changed leaves, updated nodes). ``edits`` holds ``doc_id, edit_id, start, length, replacement``."""
     touched = stages.write(_touched(edits, leaves), "touched")
     kind = "array<struct<low: long, high: long, edit_id: string, replacement: string>>"
-    both = packed_texts(docs).select(*KEY, F.lit(-1).cast("long").alias("seg"), "body", F.lit(None).cast(kind).alias("edits"), F.lit(False).alias("broken")).union(
+    both = packed_texts(edited_texts(docs, touched)).select(*KEY, F.lit(-1).cast("long").alias("seg"), "body", F.lit(None).cast(kind).alias("edits"), F.lit(False).alias("broken")).union(
         touched.select(*KEY, "seg", F.lit(None).cast("binary"), "edits", "broken")
     )
     merged = both.repartition(*KEY).sortWithinPartitions(*KEY, "seg")
@@ -228,10 +246,13 @@ def apply_edits(docs: DataFrame, leaves: DataFrame, nodes: DataFrame, edits: Dat
     return changed, updated.select(*KEY, "level", "node", (F.col("n_tokens") + F.coalesce("delta", F.lit(0))).alias("n_tokens"))
 
 
-def counted_with_edits(docs: DataFrame, edits: DataFrame, tokenizer: str) -> DataFrame:
-    """One row per document: tokens before and after its edits, and how much was encoded again."""
+def counted_with_edits(docs: DataFrame, edits: DataFrame, tokenizer: str, stored: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    """One row per document: tokens before and after its edits, and how much was encoded again.
+
+    ``stored`` are leaves and nodes that ``build`` made of the same documents.
+    """
     stages = Stages(docs.sparkSession, "tokens")
-    leaves, nodes = build(docs, tokenizer, stages)
+    leaves, nodes = stored or build(docs, tokenizer, stages)
     changed, updated = apply_edits(docs, leaves, nodes, edits, tokenizer, stages)
     top = levels(leaves) - 1
     after = updated.where(F.col("level") == top).select(F.col("doc_id").alias("d"), F.col("copy").alias("c"), F.col("n_tokens").alias("tokens_after"))

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from adtally.llm import token_counts
@@ -80,6 +81,30 @@ def test_nodes_are_sums_and_only_touched_segments_are_encoded(spark):
     assert updated.where("level = 2").count() == 1
 
 
+def test_only_edited_texts_travel(spark):
+    """With edits on one document in a hundred, that share of the texts is packed, and stored counts need no other text."""
+    d = spark.range(2000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text of "), F.repeat(F.concat("id", F.lit(" words ")), 300)).alias("text"))
+    e = d.where("doc_id % 100 = 7").selectExpr("doc_id", "1 AS edit_id", "5 AS start", "3 AS length", "'new' AS replacement")
+    stages = Stages(spark, "test")
+    stored = token_counts.build(d, word_tokenizer(), stages)
+    touched = token_counts._touched(e, stored[0])
+    texts = token_counts.edited_texts(d, touched)
+    ids = {r.doc_id for r in texts.select("doc_id").collect()}
+    assert {k for k in range(2000) if k % 100 == 7} <= ids and len(ids) < 30
+    found = texts._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in found and "SortMergeJoin" not in found
+    want = sorted(map(tuple, token_counts.counted_with_edits(d, e, word_tokenizer()).collect()))
+    assert sorted(map(tuple, token_counts.counted_with_edits(d, e, word_tokenizer(), stored).collect())) == want
+    assert sum(r[5] for r in want) == 20
+
+
+def test_a_full_bit_table_still_finds_all(spark, monkeypatch):
+    monkeypatch.setattr(token_counts, "MARKS", 3)
+    d = spark.range(50).selectExpr("id AS doc_id", "concat('some text ', id) AS text")
+    e = d.selectExpr("doc_id", "1 AS edit_id", "0 AS start", "4 AS length", "cast(null AS string) AS replacement")
+    assert {r.edits for r in token_counts.counted_with_edits(d, e, word_tokenizer()).collect()} == {1}
+
+
 def test_empty_tables(spark):
     d = spark.createDataFrame([], "doc_id long, text string")
     e = spark.createDataFrame([], "doc_id long, edit_id int, start int, length int, replacement string")
