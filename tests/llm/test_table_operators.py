@@ -248,6 +248,19 @@ def test_embeddings(spark, width, threshold):
     assert embedding_dedup.near_duplicates(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("width", [3, 300])
+def test_axes_are_those_of_the_whole_covariance(spark, width):
+    rng = np.random.default_rng(width)
+    x = rng.normal(size=(700, width)) * np.arange(1, width + 1)
+    axes = embedding_dedup.principal_axes(spark.createDataFrame([(r.tolist(),) for r in x], "v array<double>").repartition(5), width)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    found = axes.T @ (unit.T @ unit) @ axes
+    assert np.allclose(axes.T @ axes, np.eye(width)) and np.allclose(found, np.diag(np.diag(found)), atol=1e-9)
+    assert (np.diff(np.diag(found)) < 1e-9).all()
+    nothing = embedding_dedup.principal_axes(spark.createDataFrame([], "v array<double>"), width)
+    assert nothing.shape == (width, width)
+
+
 def test_tiles_and_blocks_miss_no_pair():
     rng = np.random.default_rng(8)
     centres = rng.normal(size=(40, 16))
