@@ -98,3 +98,41 @@ def best_fit(lengths, capacity):
         else:
             rooms[best] -= n
     return sorted(rooms)
+
+
+def quality_features(text):
+    """The classifier's 24 numbers, counted byte by byte and word by word."""
+    body = (text or "").encode()
+
+    def kind(c):
+        if 65 <= c <= 90:
+            return "upper"
+        if 97 <= c <= 122:
+            return "lower"
+        if 48 <= c <= 57:
+            return "digit"
+        if c in b"\t\x0b\x0c\r ":
+            return "space"
+        named = {10: "break", ord(","): "stop", ord("."): "stop", ord("|"): "bar", ord("!"): "mark", ord("?"): "mark"}
+        return named.get(c, "high" if c >= 128 else "sign")
+
+    words = [w for w in re.split(rb"[\x20\x09-\x0D]+", body) if w]
+    if not words:
+        return [math.log1p(len(body)), *[0.0] * 23]
+    share = lambda k: math.sqrt(sum(kind(c) == k for c in body) / len(body))
+    lines, n = body.count(b"\n") + 1, len(words)
+    lengths = [len(w) for w in words]
+    mean = sum(lengths) / n
+    signs = [sum(kind(c) in ("sign", "mark", "bar") for c in w) for w in words]
+    shouted = [sum(kind(c) == "upper" for c in w) >= 2 and not any(kind(c) in ("lower", "high") for c in w) for w in words]
+    low = [w.lower() for w in words]
+    again = [sum(a == b for a, b in zip(low, low[k:], strict=False)) for k in (1, 2)]
+    times = [low.count(w) for w in set(low)]
+    return [
+        math.log1p(len(body)), math.log1p(n), mean, math.sqrt(max(sum(x * x for x in lengths) / n - mean * mean, 0)),
+        math.log1p(len(body) / lines), math.log1p(n / lines),
+        *[share(k) for k in ("upper", "lower", "digit", "space", "break", "high", "stop", "bar", "mark", "sign")],
+        math.sqrt(sum(x >= 2 for x in signs) / n), math.sqrt(sum(x >= 1 for x in signs) / n), math.sqrt(sum(shouted) / n),
+        *[math.sqrt(x / n) for x in again],
+        len(times) / n, math.sqrt(max(times) / n), math.log1p(n) - math.log1p(len(times)),
+    ]

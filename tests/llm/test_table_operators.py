@@ -14,7 +14,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pytest
-from plain import least_reachable
+from plain import least_reachable, quality_features
 
 from adtally.llm import embedding_dedup, licenses, line_dedup, quality, warc
 from adtally.llm.queries import ORACLES, QUERIES
@@ -287,6 +287,29 @@ def test_tiles_and_blocks_miss_no_pair():
 # --- quality -------------------------------------------------------------------------------
 
 
+def quality_texts(seed):
+    rng = random.Random(seed)
+    parts = ["Word", "WORD", "word", "a", "é", "ÉÉ", "!!", "#$", "|", "12", "a,b.", "x?y!", "\x00\x01", "OK9", "--"]
+    gaps = [" ", " ", "  ", "\n", "\r\n", "\t", "\x0b"]
+    texts = ["".join(rng.choice(parts) + rng.choice(gaps) for _ in range(rng.choice([0, 1, 2, 30, 300]))) for _ in range(60)]
+    return texts + [None, "", " \n ", "one", "one one ONE two one"]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_quality_features_equal_the_plain_version(seed):
+    texts = quality_texts(seed)
+    want = np.array([quality_features(t) for t in texts])
+    assert np.allclose(quality.features(pa.array(texts, pa.string())), want, atol=1e-9)
+    assert np.allclose(quality.features(pa.array([None, *texts], pa.string()).slice(1)), want, atol=1e-9)
+
+
+@pytest.mark.parametrize("window", [5, 64, 1000])
+def test_quality_features_of_windows_equal_the_plain_version(monkeypatch, window):
+    monkeypatch.setattr(quality, "WINDOW", window)
+    for text in quality_texts(3):
+        assert np.allclose(quality.features(pa.array([text], pa.string())), [quality_features(text)], atol=1e-9)
+
+
 def test_quality_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.01"
     scores = {r.doc_id: r for r in QUERIES["op10_quality_classifier"](spark, sf).collect()}
