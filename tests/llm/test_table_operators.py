@@ -310,6 +310,40 @@ def test_quality_features_of_windows_equal_the_plain_version(monkeypatch, window
         assert np.allclose(quality.features(pa.array([text], pa.string())), [quality_features(text)], atol=1e-9)
 
 
+@pytest.mark.parametrize("side", [True, False])
+def test_quality_step_follows_the_risk(side):
+    """One row of each kind is one first step, which goes by the rate against each derivative's sign; on the other side of the
+    switch the derivatives are those of the negative part, undone."""
+    rng, prior, found = np.random.default_rng(9), 0.9, False
+    for _ in range(20):
+        positive, unlabelled = rng.normal(size=(1, quality.FEATURES)), rng.normal(size=(1, quality.FEATURES))
+        before, after = (quality.fit(positive, unlabelled, prior, hidden=3, epochs=k) for k in (0, 1))
+
+        def negative_part(net):
+            zp, zu = float(net.logits(positive)[0]), float(net.logits(unlabelled)[0])
+            return math.log1p(math.exp(zu)) - prior * math.log1p(math.exp(zp)), prior * math.log1p(math.exp(-zp))
+
+        if (negative_part(before)[0] >= 0) != side:
+            continue
+        found = True
+
+        def risk():
+            negative, positive_part = negative_part(before)
+            return positive_part + negative if side else -negative
+
+        for k, (old, new) in enumerate(zip(before.weights, after.weights, strict=True)):
+            for at in np.ndindex(old.shape):
+                here, width = old[at], 1e-5
+                old[at] = here + width
+                up = risk()
+                old[at] = here - width
+                slope = (up - risk()) / (2 * width) + 1e-5 * here * (k != 3)
+                old[at] = here
+                if abs(slope) > 1e-5:
+                    assert math.isclose((here - new[at]) / 5.1e-3, math.copysign(1, slope), rel_tol=1e-2), (k, at)
+    assert found
+
+
 def test_quality_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.01"
     scores = {r.doc_id: r for r in QUERIES["op10_quality_classifier"](spark, sf).collect()}
