@@ -3,17 +3,18 @@
 A document's set holds the hashes of its shingles. Sets are compared in one global order of
 shingles, rare ones first. Two sets reach a Jaccard similarity of ``percent`` only if their
 prefixes, the first ``n - ceil(t n) + 1`` shingles, share one, so documents meet on prefix
-shingles alone. Pairs that meet pass a length filter, a positional filter (how much overlap
-the two places still allow) and a suffix filter (how much the sizes of the parts of both
-sets by hash allow) and are then verified once, on whole sets.
+shingles alone. Pairs that meet pass a length filter and a positional filter (how much overlap
+the two places still allow), then, once from all shingles, a suffix filter (how much the sizes of
+the parts of both sets by hash allow, from sketches that are joined to the pairs) and are verified
+once, on whole sets. So what a document sends with each prefix shingle is its key and its size.
 
 * Order: document frequencies are summed over all documents in a table with a cell per shingle hash
   modulo its size. Shingles are ordered by (cell count, hash). Any total order gives the same
   pairs; the table has at most 2 ** 24 cells (64 MB) whatever the input, so it can be broadcast.
 * Equal sets are one class from the start; only the classes are joined.
 * The classes that share a shingle are filtered pair by pair in memory if they are at most ``PAIRED``.
-  If what passes is in proportion to their number, those pairs are kept. A group as dense as near copies are is looked at once more with whole
-  sketches (a part for each member of a set, so that the suffix filter is as sharp for long sets as for short ones): members with few
+  If what passes is in proportion to their number, those pairs are kept. A group as dense as near copies are is looked at once more with
+  sketches (parts in proportion to the set, so that the suffix filter is as sharp for long sets as for short ones): members with few
   partners leave it with all their pairs. Pairs from all groups are made distinct, pass the sketches, and are verified.
 * In what is left of a dense group, and in groups larger than that, every class meets a few hubs first, those that have the shingle earliest; components follow from the
   links found, and only groups that still hold several components get new hubs, four times as many in
@@ -23,7 +24,8 @@ sets by hash allow) and are then verified once, on whole sets.
 * Groups too large for one task are dealt over several by (shingle, salt) and take part from the
   second step on. Hubs with many partners are salted in the verification, too.
 
-Texts are shuffled once per round, and only of classes that have a candidate; sets once, to their hubs.
+Texts are shuffled once per round, and only of classes that have a candidate: a bitmap of their hashed ids, of at most 16 MB,
+leaves all but a few of the others where they are. Sets travel once, to their hubs. Partial document frequencies are sent compressed.
 
 Defined cases: NULL, empty and wordless texts have no shingles and link with nothing, not even
 each other; fewer words than a shingle make one shingle of all words; repeated ids are
@@ -54,10 +56,11 @@ FIRST_HUBS = 4
 FEW_PAIRS = 4
 GROUP_ROWS = 200_000
 PAIRS_PER_TASK = 2_000
-CUTS = 32
 SPREAD = 64
 LONE_PAIRS = 64
 LEAST_PARTS = 256
+TOKEN_BYTES = 6
+SEEN_BITS = (15, 27)
 
 
 class Sets:
@@ -126,7 +129,7 @@ def described(docs: DataFrame, shingle: int, size: int) -> DataFrame:
                 batch.column("doc_id"), pa.array(sets.sizes), pa.array(digests, pa.binary()), pa.array([_key(d) for d in digests], pa.int64()),
                 pa.array([sets.sizes[k] and press(np.frombuffer(sets.sketch(k), np.uint8)) or None for k in range(n)], pa.binary()), nothing, pa.nulls(n, pa.binary()), _DESCRIBED,
             )
-        parts = [cells[k * step : (k + 1) * step].tobytes() for k in range(PARTS)]
+        parts = [press(planes(cells[k * step : (k + 1) * step])) for k in range(PARTS)]
         yield _columns(
             pa.nulls(PARTS, pa.int64()), pa.nulls(PARTS, pa.int64()), pa.nulls(PARTS, pa.binary()), pa.nulls(PARTS, pa.int64()), pa.nulls(PARTS, pa.binary()),
             pa.array(range(PARTS), pa.int32()), pa.array(parts, pa.binary()), _DESCRIBED,
@@ -147,14 +150,24 @@ def _columns(*values) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(list(values[:-1]), values[-1])
 
 
+def planes(counts: np.ndarray) -> np.ndarray:
+    """32-bit counts with their lowest bytes first, then the second ones and so on: small counts compress to a few bits."""
+    return counts.astype("<u4").view(np.uint8).reshape(-1, 4).T
+
+
+def from_planes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
 def frequencies(rows: DataFrame, size: int) -> np.ndarray:
     """The summed table of ``size`` numbers."""
 
     def add(batches):
         sums: dict[int, np.ndarray] = {}
+        coder = zstandard.ZstdDecompressor()
         for batch in batches:
             for part, cells in zip(batch.column("part").to_pylist(), batch.column("cells"), strict=True):
-                values = np.frombuffer(cells.as_buffer(), np.uint32).astype(np.int64)
+                values = from_planes(coder.decompress(cells.as_buffer())).astype(np.int64)
                 sums[part] = sums[part] + values if part in sums else values
         parts = sorted(sums)
         yield _columns(pa.array(parts, pa.int32()), pa.array([sums[p].tobytes() for p in parts], pa.binary()), ["part", "cells"])
@@ -167,7 +180,7 @@ def frequencies(rows: DataFrame, size: int) -> np.ndarray:
     return np.minimum(out, np.iinfo(np.uint32).max).astype(np.uint32)
 
 
-_TUPLES = "bucket int, salted boolean, key binary, n binary, cuts binary, token binary, doc binary, place binary"
+_TUPLES = "bucket int, salted boolean, key binary, n binary, token binary, doc binary, place binary"
 
 
 def prefix_tuples(docs: DataFrame, shingle: int, percent: int, cells, buckets: int) -> DataFrame:
@@ -189,13 +202,11 @@ def prefix_tuples(docs: DataFrame, shingle: int, percent: int, cells, buckets: i
                     seen.add(digest)
             rarity = count[sets.hashes & np.uint64(len(count) - 1)]
             order = np.argsort((sets.owner.astype(np.int64) << 32) | rarity, kind="stable")
-            token, doc, rare = sets.hashes[order], sets.owner[order], rarity[order]
+            token, doc, rare = sets.hashes[order] >> np.uint64(8 * (8 - TOKEN_BYTES)), sets.owner[order], rarity[order]
             place = np.arange(len(token)) - sets.begin[doc]
             use = fresh[doc] & (place < (n - needed(n, percent) + 1)[doc])
             token, doc, place, rare = token[use], doc[use], place[use].astype(np.int32), rare[use]
             key = np.array([_key(d) or 0 for d in digests], np.int64)
-            part = (sets.hashes >> np.uint64(65 - CUTS.bit_length())).astype(np.int64)
-            cuts = np.minimum(np.bincount(sets.owner * CUTS + part, minlength=len(n) * CUTS), 255).reshape(-1, CUTS).astype(np.uint8)
             # a group that may be too large for one task is spread over several
             salts = (np.maximum(rare - usual, 0) // GROUP_ROWS).astype(np.uint64)
             salt = np.where(salts > 0, key[doc].astype(np.uint64) % (salts + np.uint64(1)), np.uint64(0))
@@ -207,15 +218,15 @@ def prefix_tuples(docs: DataFrame, shingle: int, percent: int, cells, buckets: i
                 own = order[edges[b] : edges[b + 1]]
                 used, local = np.unique(doc[own], return_inverse=True)
                 rows.append((
-                    int(b // 2), bool(b % 2), key[used].tobytes(), press(n[used].astype(np.int32)), press(cuts[used]),
-                    token[own].tobytes(), press(local.astype(np.int32)), press(place[own]),
+                    int(b // 2), bool(b % 2), key[used].tobytes(), press(n[used].astype(np.int32)),
+                    packed(token[own]), press(local.astype(np.int32)), press(place[own]),
                 ))
             yield pa.RecordBatch.from_pylist([dict(zip(_ARROW_TUPLES.names, r, strict=True)) for r in rows], _ARROW_TUPLES)
 
     return docs.select("text").mapInArrow(run, _TUPLES)
 
 
-_PACKED = ("key", "n", "cuts", "token", "doc", "place")
+_PACKED = ("key", "n", "token", "doc", "place")
 _ARROW_TUPLES = pa.schema(
     [("bucket", pa.int32()), ("salted", pa.bool_())] + [(c, pa.binary()) for c in _PACKED]
 )
@@ -227,21 +238,32 @@ def _press():
     return lambda array: coder.compress(np.ascontiguousarray(array).tobytes())
 
 
+def packed(tokens: np.ndarray) -> bytes:
+    """The low ``TOKEN_BYTES`` bytes of each number."""
+    return tokens.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :TOKEN_BYTES].tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    low = np.frombuffer(data, np.uint8).reshape(-1, TOKEN_BYTES)
+    out = np.zeros((len(low), 8), np.uint8)
+    out[:, :TOKEN_BYTES] = low
+    return out.view("<u8").ravel()
+
+
 class Members:
     """(shingle, document, place) rows of one bucket, sorted by shingle and place."""
 
     def __init__(self, rows: list[dict]):
         coder = zstandard.ZstdDecompressor()
-        rows = [{c: coder.decompress(r[c]) if c in ("n", "cuts", "doc", "place") else r[c] for c in _PACKED} for r in rows]
+        rows = [{c: coder.decompress(r[c]) if c in ("n", "doc", "place") else r[c] for c in _PACKED} for r in rows]
 
         def column(name, kind):
             return np.concatenate([np.frombuffer(r[name], kind) for r in rows]) if rows else np.zeros(0, kind)
 
         shift = np.cumsum([0, *(len(r["key"]) // 8 for r in rows)])
         self.key, self.n = column("key", np.int64), column("n", np.int32).astype(np.int64)
-        self.cuts = column("cuts", np.uint8).reshape(-1, CUTS)
         doc = column("doc", np.int32).astype(np.int64) + np.repeat(shift[:-1], [len(r["doc"]) // 4 for r in rows])
-        token, place = column("token", np.uint64), column("place", np.int32).astype(np.int64)
+        token, place = unpacked(b"".join(r["token"] for r in rows)), column("place", np.int32).astype(np.int64)
         # rows of equal sets from other tasks go; then shingles that one set alone has
         order = np.lexsort((self.key[doc], place, token))
         token, place, doc = token[order], place[order], doc[order]
@@ -263,16 +285,6 @@ def near_enough(na, nb, pa_, pb, percent: int) -> tuple[np.ndarray, np.ndarray]:
     return (100 * low >= percent * high) & (most >= least), least
 
 
-def similar_enough(na, nb, pa_, pb, cuts_a, cuts_b, percent: int) -> np.ndarray:
-    """The suffix filter with it: both sets in a few parts by hash, and what they can share in each."""
-    good, least = near_enough(na, nb, pa_, pb, percent)
-    # parts of 255 and more bound nothing
-    at = np.flatnonzero(good)
-    share = np.minimum(cuts_a[at], cuts_b[at])
-    good[at] = (share.sum(axis=1, dtype=np.int64) >= least[at]) | (share == 255).any(axis=1)
-    return good
-
-
 class Sketches:
     """The suffix filter with parts in proportion to a set's size, from compressed sketches. A finer sketch is added up to
     compare it with a coarser one."""
@@ -324,7 +336,7 @@ def _pairs(m: Members, percent: int, paired: int) -> tuple[np.ndarray, ...]:
 
     def passing(a, b):
         da, db = m.doc[a], m.doc[b]
-        good = similar_enough(m.n[da], m.n[db], m.place[a], m.place[b], m.cuts[da], m.cuts[db], percent)
+        good, _ = near_enough(m.n[da], m.n[db], m.place[a], m.place[b], percent)
         left.append(a[good])
         right.append(b[good])
 
@@ -534,6 +546,40 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
+def marked(pairs: DataFrame) -> np.ndarray:
+    """A bitmap with the hashes of all ids in ``a, b`` pairs: at least 16 bits for each id, up to 2 ** 27 bits (16 MB).
+
+    An id whose bit is not set is in no pair; the others are looked up by a join.
+    """
+    bits = 1 << min(max((32 * pairs.count()).bit_length(), SEEN_BITS[0]), SEEN_BITS[1])
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).select((F.pmod(F.xxhash64(F.col("id").cast("long")), F.lit(bits)) + 1).alias("cell"))
+    # positions are numbered from 1, and so are the buckets of 4096 bytes
+    maps = ids.groupBy(F.bitmap_bucket_number("cell").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("cell")).alias("bits"))
+    out = np.zeros(bits >> 3, np.uint8)
+    for row in maps.collect():
+        own = np.frombuffer(row.bits, np.uint8)
+        out[(row.bucket - 1) * len(own) :][: len(own)] = own
+    return out
+
+
+def wanted_texts(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``doc_id, body``: compressed texts of the documents in ``a, b`` pairs, and of few others."""
+    seen = docs.sparkSession.sparkContext.broadcast(marked(pairs))
+    cell = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(8 * len(seen.value)))
+
+    def press(batches):
+        coder = zstandard.ZstdCompressor(level=1)
+        for whole in batches:
+            at = whole.column("cell").to_numpy()
+            marks = (seen.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1
+            for batch in W.slices(whole.filter(pa.array(marks == 1))):
+                offsets, data = W.raw(batch.column("text"))
+                body = [coder.compress(data[a:b].tobytes()) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+                yield _columns(batch.column("doc_id"), pa.array(body, pa.binary()), ["doc_id", "body"])
+
+    return docs.select("doc_id", "text", cell.alias("cell")).mapInArrow(press, "doc_id long, body binary")
+
+
 def verified(docs: DataFrame, pairs: DataFrame, shingle: int, percent: int, many: bool = True) -> DataFrame:
     """The ``a, b`` pairs of document ids whose sets are similar; every pair is compared once, on whole sets.
 
@@ -545,13 +591,6 @@ def verified(docs: DataFrame, pairs: DataFrame, shingle: int, percent: int, many
     own = load.select("a", F.col("a").alias("b"), F.explode(F.sequence(F.lit(0), "salts")).alias("salt"))
     wanted = salted.union(own).groupBy("b").agg(F.collect_list(F.struct("a", "salt")).alias("to"))
 
-    def press(batches):
-        coder = zstandard.ZstdCompressor(level=1)
-        for batch in (part for whole in batches for part in W.slices(whole)):
-            offsets, data = W.raw(batch.column("text"))
-            body = [coder.compress(data[a:b].tobytes()) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-            yield _columns(batch.column("doc_id"), pa.array(body, pa.binary()), ["doc_id", "body"])
-
     def send(batches):
         coder = zstandard.ZstdDecompressor()
         for batch in (part for whole in batches for part in _few(whole)):
@@ -578,8 +617,7 @@ def verified(docs: DataFrame, pairs: DataFrame, shingle: int, percent: int, many
                     found.append((hub, b.as_py()))
             yield _columns(*(pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)), ["a", "b"])
 
-    texts = docs.select("doc_id", "text").mapInArrow(press, "doc_id long, body binary")
-    sent = texts.join(wanted.hint("merge") if many else wanted, F.col("doc_id") == F.col("b")).select("doc_id", "body", "to").mapInArrow(send, "a long, salt int, member boolean, b long, own binary")
+    sent = wanted_texts(docs, pairs).join(wanted.hint("merge") if many else wanted, F.col("doc_id") == F.col("b")).select("doc_id", "body", "to").mapInArrow(send, "a long, salt int, member boolean, b long, own binary")
     ready = sent.repartition(F.col("a"), F.col("salt")).sortWithinPartitions("a", "salt", "member")
     return ready.mapInArrow(compare, _PAIR)
 

@@ -7,6 +7,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from plain import benchmark_words, best_fit, contamination, jaccard_components, repeats
 from tokenizers import Tokenizer
@@ -104,6 +105,68 @@ def test_sketches_bound_the_overlap():
     assert (share[near] < 0.8 * shell.sizes[a][near]).all()
 
 
+def test_partial_frequencies_are_exact_and_small(spark):
+    """A task's part of the frequency table takes room for what its texts have, not for every cell."""
+    rng, size = random.Random(21), 1 << 16
+    docs = [(i, prose(rng, 60)) for i in range(40)] + [(40, None), (41, "the " * 400)]
+    docs += [(42 + i, docs[0][1]) for i in range(300)]  # counts above a byte
+    rows = jaccard_join.described(frame(spark, docs), 5, size).where("part is not null").localCheckpoint()
+    hashes = jaccard_join.Sets(pa.array([t for _, t in docs], pa.string()), 5).hashes
+    want = np.bincount((hashes & np.uint64(size - 1)).astype(np.int64), minlength=size)
+    assert want.max() > 300
+    assert (jaccard_join.frequencies(rows, size) == want).all()
+    per_task = sum(len(r.cells) for r in rows.collect()) / (rows.count() / jaccard_join.PARTS)
+    assert per_task < size // 4
+
+
+def test_planes_keep_large_counts():
+    counts = np.array([0, 1, 255, 256, 65535, 65536, 2**32 - 1], np.uint32)
+    assert (jaccard_join.from_planes(jaccard_join.planes(counts).tobytes()) == counts).all()
+
+
+def test_prefix_tuples_carry_little(spark):
+    """With as many buckets as prefix shingles, a shingle takes its hash, its document's key and little more."""
+    rng = random.Random(22)
+    docs = [(i, " ".join(f"w{rng.randrange(10**9)}" for _ in range(104))) for i in range(300)]
+    cells = spark.sparkContext.broadcast(np.ones(1 << 16, np.uint32))
+    rows = jaccard_join.prefix_tuples(frame(spark, docs).coalesce(1), 5, 80, cells, 64).collect()
+    tokens = 300 * 21  # of 100 shingles each
+    sent = sum(len(v) for r in rows for v in r if isinstance(v, (bytes, bytearray)))
+    assert sent < 20 * tokens
+    members = [jaccard_join.Members([r.asDict()]) for r in rows]
+    assert sum(len(m.token) + len(m.single[0]) for m in members) == tokens
+
+
+def test_tokens_packed():
+    tokens = np.array([0, 1, 255, 2**16, 2**48 - 1], np.uint64)
+    data = jaccard_join.packed(tokens)
+    assert len(data) == 6 * len(tokens)
+    assert (jaccard_join.unpacked(data) == tokens).all()
+
+
+def test_marked_ids(spark):
+    """Every id of a pair is marked, and few of the others are."""
+    ids = [0, -1, 5, 2**62, *range(1000, 3000)]
+    pairs = spark.createDataFrame([(a, a + 1) for a in ids], "a long, b long")
+    bits = jaccard_join.marked(pairs)
+    asked = spark.createDataFrame([(i,) for i in [*ids, *range(10**6, 10**6 + 4000)]], "id long")
+    cells = [r[0] for r in asked.selectExpr(f"pmod(xxhash64(id), {8 * len(bits)})").collect()]
+    hit = [bool(bits[c >> 3] >> (c & 7) & 1) for c in cells]
+    assert all(hit[: len(ids)])
+    assert sum(hit[len(ids) :]) < 400
+    assert not jaccard_join.marked(pairs.limit(0)).any()
+
+
+def test_verified_leaves_other_texts_behind(spark):
+    rng = random.Random(23)
+    text = prose(rng, 60)
+    docs = [(1, text), (2, text + " end"), (3, prose(rng, 60)), (None, text)] + [(i, prose(rng, 40)) for i in range(10, 210)]
+    pairs = spark.createDataFrame([(1, 2), (1, 3)], "a long, b long")
+    done = jaccard_join.verified(frame(spark, docs), pairs, 5, 80)
+    assert [tuple(r) for r in done.collect()] == [(1, 2)]
+    assert jaccard_join.wanted_texts(frame(spark, docs), pairs).count() < 30
+
+
 def test_jaccard_repeated_ids_and_null_ids(spark):
     rng = random.Random(4)
     a, b = prose(rng, 50), prose(rng, 50)
