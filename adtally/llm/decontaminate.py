@@ -5,7 +5,7 @@ A window is a set of ``shingle``-word shingles, and since it must be contained w
 prefix is one shingle: the one that is rarest in the corpus. A first pass over the documents
 counts the items' shingles. The second joins document shingles with the windows' prefix
 shingles, drops places where the window would leave the document (positional and length
-bound) and verifies the rest word by word.
+bound) and verifies the rest word by word. Texts are looked at in slices of whole rows of about a megabyte.
 
 Documents are never shuffled: items are the small side. They are joined in blocks of at most
 ``block_bytes`` of text, each of which is broadcast; a larger benchmark takes more blocks.
@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 from adtally.llm import words as W
 
 FILTER_BITS = 20
+SLICE = 1 << 20
 PAIRS_AT_ONCE = 1 << 20
 
 
@@ -219,7 +220,7 @@ def _counted(docs: DataFrame, tokens: list[Tokens]) -> dict[tuple[int, int], int
     def count(batches):
         sums = [np.zeros(len(t.hashes), np.int64) for t in shared.value]
         for batch in batches:
-            for part in W.slices(batch):
+            for part in W.slices(batch, limit=SLICE):
                 offsets, data = W.raw(part.column("text"))
                 starts, ends, first = W.spans(data, offsets, W.ALNUM)
                 words = W.hash_words(data, starts, ends)
@@ -263,7 +264,7 @@ def _marker(index, fresh: bool):
     def mark(batches):
         matcher = Matcher(*index.value)
         for batch in batches:
-            for part in W.slices(batch):
+            for part in W.slices(batch, limit=SLICE):
                 n_words, runs, items = matcher.hits(part.column("text"))
                 if not fresh:
                     runs = [_union(a, b) for a, b in zip(runs, part.column("hits").to_pylist(), strict=True)]

@@ -580,10 +580,11 @@ def wanted_texts(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", cell.alias("cell")).mapInArrow(press, "doc_id long, body binary")
 
 
-def verified(docs: DataFrame, pairs: DataFrame, shingle: int, percent: int, many: bool = True) -> DataFrame:
+def verified(docs: DataFrame, pairs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """The ``a, b`` pairs of document ids whose sets are similar; every pair is compared once, on whole sets.
 
-    ``many`` pairs are always shuffled to their texts; few may be broadcast if Spark finds them small enough.
+    Pairs are always shuffled to their texts: with few of them broadcast, a task would run one Python worker for texts and another
+    for sets, and an executor goes on with as many workers as it once had at a time, each with its memory.
     Rows of one id are one document: it is similar if one of its texts is. Sets travel to the pair's hub ``a``; a hub with many partners is dealt over salts.
     """
     load = pairs.groupBy("a").agg(F.floor(F.count("*") / PAIRS_PER_TASK).cast("int").alias("salts"))
@@ -617,7 +618,7 @@ def verified(docs: DataFrame, pairs: DataFrame, shingle: int, percent: int, many
                     found.append((hub, b.as_py()))
             yield _columns(*(pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)), ["a", "b"])
 
-    sent = wanted_texts(docs, pairs).join(wanted.hint("merge") if many else wanted, F.col("doc_id") == F.col("b")).select("doc_id", "body", "to").mapInArrow(send, "a long, salt int, member boolean, b long, own binary")
+    sent = wanted_texts(docs, pairs).join(wanted.hint("merge"), F.col("doc_id") == F.col("b")).select("doc_id", "body", "to").mapInArrow(send, "a long, salt int, member boolean, b long, own binary")
     ready = sent.repartition(F.col("a"), F.col("salt")).sortWithinPartitions("a", "salt", "member")
     return ready.mapInArrow(compare, _PAIR)
 
@@ -702,7 +703,7 @@ def similar_documents(docs: DataFrame, shingle: int = 5, percent: int = 80, pair
     stages.drop(met)
     groups = [opened.where("token is not null").select("token", "place", "n", "key", "hub"), *([] if large.isEmpty() else [large])]
     while True:
-        fresh = stages.write(verified(docs, pairs, shingle, percent, many=comps is None), "links")
+        fresh = stages.write(verified(docs, pairs, shingle, percent), "links")
         if comps is None or not fresh.isEmpty():
             stars = fresh if comps is None else fresh.union(comps.select(F.col("node").alias("a"), F.col("component").alias("b")))
             comps = components(stars, stages)

@@ -5,7 +5,8 @@ decreasing does with all pieces follows from the histogram of lengths: pieces of
 alike, and so are bins with the same room left. The plan is made on that histogram, longest
 first, with a segment tree over the remaining capacities that finds the tightest open bin in
 logarithmic time; bins are kept as ranges of numbers, so the plan's size does not depend on the
-number of documents. The histogram is the only thing the driver sees.
+number of documents. The histogram is the only thing the driver sees. Texts are encoded in slices
+of whole rows of about a megabyte.
 
 Pieces get a rank within their length: their rank in the task that encoded them (kept with the
 written pieces) plus the counts of earlier tasks. Rank and plan give bin and offset.
@@ -31,6 +32,7 @@ from adtally.llm import words as W
 from adtally.llm.common import Stages
 from adtally.llm.tokens import WordTokenizer
 
+SLICE = 1 << 20
 PIECE = T.StructType(
     [T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()), T.StructField("length", T.LongType()),
      T.StructField("ids_crc32", T.LongType()), T.StructField("task", T.IntegerType()), T.StructField("rank", T.LongType())]
@@ -47,7 +49,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int =
     def cut(batches):
         tokens = WordTokenizer.of(tokenizer)
         task, seen, end = TaskContext.get().partitionId(), defaultdict(int), np.array([end_id], np.uint32)
-        for batch in (part for whole in batches for part in W.slices(whole)):
+        for batch in (part for whole in batches for part in W.slices(whole, limit=SLICE)):
             rows, runs = [], []
             for k, ids in enumerate(tokens.ids(batch.column("text"))):
                 ids = np.concatenate([ids, end])

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 import zlib
 from collections import defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -167,6 +169,42 @@ def test_verified_leaves_other_texts_behind(spark):
     assert jaccard_join.wanted_texts(frame(spark, docs), pairs).count() < 30
 
 
+def python_workers(plan):
+    """The most Python workers that a task of a plan has at a time, and those of its last stage."""
+    name = plan.nodeName()
+    if name.startswith("AdaptiveSparkPlan"):
+        return python_workers(plan.executedPlan())
+    if "QueryStage" in name:
+        return python_workers(plan.plan())[0], 0
+    below = [python_workers(plan.children().apply(k)) for k in range(plan.children().size())]
+    own = 0 if "Exchange" in name else sum(o for _, o in below) + (name == "MapInArrow")
+    return max([own, *(m for m, _ in below)]), own
+
+
+def test_jaccard_tasks_have_one_python_worker(spark, monkeypatch):
+    """In the first round of links and in later ones, which have few pairs, however much Spark is willing to broadcast."""
+    rng, rounds, verified = random.Random(13), [], jaccard_join.verified
+
+    def watched(*args, **how):
+        out = verified(*args, **how)
+        rounds.append(python_workers(out._jdf.queryExecution().executedPlan())[0])
+        return out
+
+    monkeypatch.setattr(jaccard_join, "verified", watched)
+    passage, base = prose(rng, 30), prose(rng, 70).split()
+    docs = [f"{passage} {' '.join(base[:k] + [f'x{k}'] + base[k + 1 :])}" for k in range(40)]
+    docs = list(enumerate([*docs, *(f"{passage} {prose(rng, rng.randint(1, 20))}" for _ in range(40))]))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1g")
+    try:
+        got = jaccard_join.similar_documents(frame(spark, docs), paired=16).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == jaccard_components(docs)
+    assert len(rounds) > 1
+    assert set(rounds) == {1}
+
+
 def test_jaccard_repeated_ids_and_null_ids(spark):
     rng = random.Random(4)
     a, b = prose(rng, 50), prose(rng, 50)
@@ -343,5 +381,35 @@ def test_plan_is_best_fit_decreasing():
         assert sorted(rooms.values()) == best_fit(lengths, capacity)
 
 
+def most_traced(run, column):
+    """MB that a task's function held at most over one batch of these texts, besides its input."""
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(column))), column], ["doc_id", "text"])
+    tracemalloc.start()
+    try:
+        n = sum(out.num_rows for out in run(iter([batch])))
+        return n, tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_memory_of_a_task_follows_the_slice_not_the_batch(spark, monkeypatch):
+    rng = random.Random(31)
+    texts = [prose(rng, 300) for _ in range(200)]
+    column = pa.array([texts[k % 200] for k in range(3200)])  # 8 MB
+    windows = decontaminate.item_windows([(1, texts[0][:200]), (2, prose(rng, 30))], 10, 3)
+    index = SimpleNamespace(value=(windows, decontaminate.prefixes(windows, decontaminate.all_tokens(windows), {})))
+    n, mb = most_traced(decontaminate._marker(index, True), column)
+    assert n == 3200
+    assert mb < 20
+
+    made = []
+    monkeypatch.setattr(packing, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    docs = SimpleNamespace(select=lambda *_: docs, schema=frame(spark, []).schema, mapInArrow=lambda run, _: made.append(run))
+    packing.pieces(docs, word_tokenizer())
+    n, mb = most_traced(made[0], column)
+    assert n == 3200
+    assert mb < 20
+
+
 def test_packing_nothing(spark):
     assert packing.pack(frame(spark, []), word_tokenizer()).count() == 0
