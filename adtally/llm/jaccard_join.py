@@ -18,7 +18,7 @@ once, on whole sets. So what a document sends with each prefix shingle is its ke
   partners leave it with all their pairs. Pairs from all groups are made distinct, pass the sketches, and are verified.
 * In what is left of a dense group, and in groups larger than that, every class meets a few hubs first, those that have the shingle earliest; components follow from the
   links found, and only groups that still hold several components get new hubs, four times as many in
-  each round, until all members of a group are connected or each has been a hub. So a
+  each round and more where few pairs pass, until all members of a group are connected or each has been a hub. So a
   group of near copies costs a few comparisons per member, and no link between two
   components is missed. Members of one component need no further comparison.
 * Groups too large for one task are dealt over several by (shingle, salt) and take part from the
@@ -399,54 +399,36 @@ def _apart(n, place, sketches: Sketches, percent: int) -> tuple[np.ndarray, np.n
 
 
 def parted(groups: DataFrame, percent: int) -> DataFrame:
-    """Groups of at most ``PAIRED`` members (``token, place, n, key, cuts``, with whole sketches as cuts) without the members
-    that have few partners, whose pairs come out as ``a, b``."""
-
-    def run(batches):
-        open_, at = [], None
-        for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("token", "place", "n", "key", "cuts")), strict=True):
-                if row[0] != at and open_:
-                    yield from group(open_)
-                    open_ = []
-                at = row[0]
-                open_.append(row)
-        if open_:
-            yield from group(open_)
+    """Groups of at most ``PAIRED`` members (``token, place, n, key, rep, hub, cuts``, with whole sketches as cuts) without the members
+    that have few partners, whose pairs come out as ``a, b``. Hubs are those that met the others before."""
 
     def group(rows):
-        token, place, n, key = (np.array([r[k] for r in rows], np.int64) for k in range(4))
-        a, b, apart = _apart(n, place, Sketches([r[4] for r in rows]), percent)
-        pairs = _unique_pairs(np.minimum(key[a], key[b]), np.maximum(key[a], key[b]))
-        yield _columns(pa.array(pairs[0]), pa.array(pairs[1]), *(pa.nulls(pairs.shape[1], t) for t in _REST), _FOUND)
+        token, place, n, key, rep, hub = (np.array([r[k] for r in rows]) for k in range(6))
+        cuts = [r[6] for r in rows]
+        a, b, apart = _apart(n, place, Sketches(cuts), percent)
+        yield _found(_unique_pairs(np.minimum(rep[a], rep[b]), np.maximum(rep[a], rep[b])))
         left = np.flatnonzero(~apart)
-        yield _members(token[left], place[left], n[left], key[left], left < FIRST_HUBS)
+        yield _members(token[left], place[left], n[left], key[left], rep[left], hub[left], [cuts[k] for k in left])
 
-    return _by_token(groups.select("token", "place", "n", "key", "cuts"), run)
+    return _by_token(groups.select("token", "place", "n", "key", "rep", "hub", "cuts"), group)
 
 
-def _members(token, place, n, key, hub) -> pa.RecordBatch:
-    nothing = pa.nulls(len(key), pa.int64())
-    return _columns(nothing, nothing, *(pa.array(x) for x in (token, place, n, key, hub)), _FOUND)
-
+def _found(pairs: np.ndarray) -> pa.RecordBatch:
+    return _columns(pa.array(pairs[0]), pa.array(pairs[1]), *(pa.nulls(pairs.shape[1], t) for t in _REST), _FOUND)
 
-def _by_token(rows: DataFrame, run) -> DataFrame:
-    """Groups of bounded size, whole and in order of place, handed to ``run``."""
-    return rows.repartition("token").sortWithinPartitions("token", "place", "n", "key").mapInArrow(run, _MET)
 
+def _members(token, place, n, key, rep, hub, cuts: list[bytes]) -> pa.RecordBatch:
+    nothing = pa.nulls(len(key), pa.int64())
+    return _columns(nothing, nothing, *(pa.array(x) for x in (token, place, n, key, rep, hub)), pa.array(cuts, pa.binary()), _FOUND)
 
-def hub_pairs(groups: DataFrame, percent: int, hubs: int) -> DataFrame:
-    """Up to ``hubs`` new hubs of each group (``token, place, n, key, hub, c, top, cuts``) and the pairs of each with
-    members of other components that pass the filters; the members come out again with their hubs marked.
 
-    Hubs are members outside the group's largest component ``top``, spread by a hash of their keys.
-    """
+def _by_token(rows: DataFrame, group) -> DataFrame:
+    """Groups of bounded size, each whole and in order of place, handed to ``group`` as a list of rows."""
 
     def run(batches):
-        names = ("token", "place", "n", "key", "hub", "c", "top", "cuts")
         open_, at = [], None
         for batch in batches:
-            for row in zip(*(batch.column(x).to_pylist() for x in names), strict=True):
+            for row in zip(*(column.to_pylist() for column in batch.columns), strict=True):
                 if row[0] != at and open_:
                     yield from group(open_)
                     open_ = []
@@ -455,31 +437,50 @@ def hub_pairs(groups: DataFrame, percent: int, hubs: int) -> DataFrame:
         if open_:
             yield from group(open_)
 
+    return rows.repartition("token").sortWithinPartitions("token", "place", "n", "key").mapInArrow(run, _MET)
+
+
+def hub_pairs(groups: DataFrame, percent: int, hubs: int) -> DataFrame:
+    """Up to ``hubs`` new hubs of each group (``token, place, n, key, rep, hub, c, cuts``, with components as ``c``) and the pairs of
+    each with members of other components that pass the filters. More become hubs while what passes is in proportion to the group.
+
+    Hubs are members outside the group's largest component, spread by a hash of their keys. Of two members in different components
+    at least one is outside the largest, so a group is done when all of those have been hubs. The members of the other groups
+    come out again with their hubs marked.
+    """
+
     def group(rows):
-        token, place, n, key, hub, c, top = (np.array([r[k] for r in rows]) for k in range(7))
-        fresh = np.flatnonzero(~hub & (c != top))
-        _, first = np.unique(W.mixed(key[fresh].view(np.uint64) * np.uint64(2 * hubs + 1)) % np.uint64(hubs), return_index=True)
-        chosen, every = fresh[first], np.arange(len(rows))
-        sketches, found = Sketches([r[7] for r in rows]), []
-        step = max(1, TRIED_AT_ONCE // len(rows))
-        for low in range(0, len(chosen), step):
-            part = chosen[low : low + step]
+        token, place, n, key, rep, hub, c = (np.array([r[k] for r in rows]) for k in range(7))
+        kinds, inverse = np.unique(c, return_inverse=True)
+        outside = c != kinds[np.argmax(np.bincount(inverse))]
+        fresh = np.flatnonzero(~hub & outside)
+        if not len(fresh):
+            return
+        cuts, every = [r[7] for r in rows], np.arange(len(rows))
+        sketches, found = Sketches(cuts), []
+        spread = W.mixed(key[fresh].view(np.uint64) * np.uint64(2 * hubs + 1))
+        fresh = fresh[np.argsort(spread, kind="stable")]
+        step, most, low, passed = max(1, TRIED_AT_ONCE // len(rows)), hubs, 0, 0
+        while low < min(most, len(fresh)):
+            part = fresh[low : min(low + step, most)]
             a, b = np.repeat(part, len(rows)), np.tile(every, len(part))
             good, least = near_enough(n[a], n[b], place[a], place[b], percent)
             at = np.flatnonzero(good & (c[a] != c[b]))
             at = at[sketches.share(a[at], b[at]) >= least[at]]
-            found.append((key[a[at]], key[b[at]]))
-        a, b = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (key[:0], key[:0])
-        pairs = _unique_pairs(a, b)
-        yield _columns(pa.array(pairs[0]), pa.array(pairs[1]), *(pa.nulls(pairs.shape[1], t) for t in _REST), _FOUND)
-        hub[chosen] = True
-        yield _members(token, place, n, key, hub)
+            found.append((rep[a[at]], rep[b[at]]))
+            low, passed = low + len(part), passed + len(at)
+            if low == most and passed <= FEW_PAIRS * len(rows):
+                most = 2 * most
+        yield _found(_unique_pairs(*(np.concatenate(x) for x in zip(*found, strict=True))))
+        hub[fresh[:low]] = True
+        if (~hub & outside).any():
+            yield _members(token, place, n, key, rep, hub, cuts)
 
-    return _by_token(groups.select("token", "place", "n", "key", "hub", "c", "top", "cuts"), run)
+    return _by_token(groups.select("token", "place", "n", "key", "rep", "hub", "c", "cuts"), group)
 
 
 _PAIR = "a long, b long"
-_MET = "a long, b long, token long, place long, n long, key long, hub boolean"
+_MET = "a long, b long, token long, place long, n long, key long, rep long, hub boolean, cuts binary"
 
 
 def candidates(tuples: DataFrame, buckets: int, percent: int, paired: int = PAIRED) -> DataFrame:
@@ -519,28 +520,39 @@ def candidates(tuples: DataFrame, buckets: int, percent: int, paired: int = PAIR
     return dealt.mapInArrow(run, "a long, b long, token long, place long, n long, key long, hub boolean, large boolean")
 
 
-_REST = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
-_FOUND = ["a", "b", "token", "place", "n", "key", "hub"]
+_REST = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()]
+_FOUND = ["a", "b", "token", "place", "n", "key", "rep", "hub", "cuts"]
 _OPEN_REST = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_()]
 _OPEN = ["a", "b", "token", "place", "n", "key", "hub", "large"]
 
 
-def sketched(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """The ``a, b`` pairs of keys whose sketches allow the overlap they need."""
+def sketched(pairs: DataFrame, named: DataFrame, percent: int) -> DataFrame:
+    """The ``a, b`` pairs of keys whose sketches allow the overlap they need, as pairs of document ids."""
 
     def run(batches):
         for batch in batches:
             na, nb = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("na", "nb"))
             both = Sketches([*batch.column("ca").to_pylist(), *batch.column("cb").to_pylist()])
             at = np.arange(len(na))
-            good = both.share(at, at + len(na)) >= -(-percent * (na + nb) // (100 + percent))
-            yield _columns(batch.column("a").filter(pa.array(good)), batch.column("b").filter(pa.array(good)), ["a", "b"])
+            good = pa.array(both.share(at, at + len(na)) >= -(-percent * (na + nb) // (100 + percent)))
+            yield _columns(batch.column("ra").filter(good), batch.column("rb").filter(good), ["a", "b"])
 
-    one, two = (sketches.select(F.col("key").alias(f"k{x}"), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"c{x}")) for x in "ab")
-    known = pairs.join(one, F.col("a") == F.col("ka")).join(two, F.col("b") == F.col("kb")).select("a", "b", "na", "nb", "ca", "cb")
+    one, two = (named.select(*[F.col(c).alias(f"{c[0]}{x}") for c in ("key", "n", "rep")], F.col("sketch").alias(f"c{x}")) for x in "ab")
+    known = pairs.join(one, F.col("a") == F.col("ka")).join(two, F.col("b") == F.col("kb")).select("ra", "rb", "na", "nb", "ca", "cb")
     return known.mapInArrow(run, _PAIR)
 
 
+def unmet(pairs: DataFrame, done: DataFrame | None = None) -> DataFrame:
+    """The ``a, b`` pairs of two ids that ``done`` has neither way round; a pair found from both sides stays once."""
+
+    def sided(found: DataFrame, old: bool) -> DataFrame:
+        return found.where("a != b").select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"), "a", F.lit(old).alias("old"))
+
+    both = sided(pairs, False) if done is None else sided(pairs, False).union(sided(done, True))
+    once = both.groupBy("x", "y").agg(F.min("a").alias("a"), F.max("old").alias("old")).where("not old")
+    return once.select("a", F.when(F.col("a") == F.col("x"), F.col("y")).otherwise(F.col("x")).alias("b"))
+
+
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     both = len(np.intersect1d(a, b, assume_unique=True))
     return 100 * both >= percent * (len(a) + len(b) - both)
@@ -630,19 +642,19 @@ def _few(batch: pa.RecordBatch, rows: int = 256):
 _SENT = pa.schema([("a", pa.int64()), ("salt", pa.int32()), ("member", pa.bool_()), ("b", pa.int64()), ("own", pa.binary())])
 
 
-def _alive(groups: DataFrame, comps: DataFrame) -> DataFrame:
-    """The groups that still have a member which was no hub outside their largest component, with components ``c`` and that one's, ``top``.
+def _with_components(groups: DataFrame, comps: DataFrame) -> DataFrame:
+    return groups.join(comps, F.col("rep") == F.col("node"), "left").select(*groups.columns, F.coalesce("component", "rep").alias("c"))
 
-    Of two members in different components at least one is outside the largest, so a group is done when all of those have been hubs.
-    """
-    known = groups.join(comps, F.col("key") == F.col("node"), "left").select(*groups.columns, F.coalesce("component", "key").alias("c"))
+
+def _alive(known: DataFrame) -> DataFrame:
+    """Of groups with components ``c``, those that still have a member which was no hub outside their largest component, with that one as ``top``."""
     parts = known.groupBy("token", "c").agg(F.count("*").alias("n"), F.sum((~F.col("hub")).cast("long")).alias("left"))
     tops = parts.groupBy("token").agg(F.max(F.struct("n", "c", "left")).alias("top"), F.sum("left").alias("left"))
     alive = tops.where(F.col("left") > F.col("top.left")).select(F.col("token").alias("t"), F.col("top.c").alias("top"))
     return known.join(alive, F.col("token") == F.col("t")).drop("t")
 
 
-def _large_hubs(going: DataFrame, sketches: DataFrame, stages: Stages, hubs: int, percent: int) -> DataFrame:
+def _large_hubs(going: DataFrame, named: DataFrame, stages: Stages, hubs: int, percent: int) -> DataFrame:
     """``hub_pairs`` for groups that may not fit a task: hubs and members meet in a join, which splits hot groups."""
     salt = F.pmod(F.xxhash64("key", F.lit(hubs)), F.lit(hubs))
     first = F.min(F.struct("place", "n", "key", "c")).alias("h")
@@ -653,10 +665,10 @@ def _large_hubs(going: DataFrame, sketches: DataFrame, stages: Stages, hubs: int
     most = F.least("place", "h_place") + 1 + F.least(F.col("n") - F.col("place"), F.col("h_n") - F.col("h_place")) - 1
     fits = (100 * low >= percent * high) & (most * (100 + percent) >= percent * (F.col("n") + F.col("h_n")))
     met = going.join(h, (F.col("token") == F.col("t")) & (F.col("c") != F.col("h_c")) & fits)
-    pairs = sketched(met.select(F.col("h_key").alias("a"), F.col("key").alias("b")).distinct(), sketches, percent)
+    pairs = sketched(met.select(F.col("h_key").alias("a"), F.col("key").alias("b")).distinct(), named, percent)
     marks = chosen.select(F.col("t").alias("ht"), F.col("key").alias("hk"))
     rest = going.join(marks, (F.col("token") == F.col("ht")) & (F.col("key") == F.col("hk")), "left")
-    kept = rest.select("token", "place", "n", "key", (F.col("hub") | F.col("hk").isNotNull()).alias("hub"))
+    kept = rest.select("token", "place", "n", "key", "rep", (F.col("hub") | F.col("hk").isNotNull()).alias("hub"))
     blank = [F.lit(None).cast("long").alias(c) for c in ("a", "b")]
     return kept.select(*blank, *kept.columns).unionByName(pairs, allowMissingColumns=True)
 
@@ -669,58 +681,46 @@ def similar_documents(docs: DataFrame, shingle: int = 5, percent: int = 80, pair
     size = cells_for(docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0])
     rows = stages.write(described(docs, shingle, size), "described")
     cells = spark.sparkContext.broadcast(frequencies(rows, size))
-    sketches = rows.where("digest is not null").groupBy("key").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
-    rows = rows.where("part is null").select("doc_id", "n", "digest", "key")
+    sets = rows.where("digest is not null")
+    rows = rows.where("part is null").select("doc_id", "n", "digest")
     shingles = rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     # a class: documents with the same set, under the least id
-    classes = rows.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("key").alias("key"))
+    classes = sets.groupBy("digest").agg(F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("key", "n", "sketch")])
     classes = stages.write(classes, "classes")
-    named = classes.where("rep is not null").select("key", "rep")
+    named = classes.where("rep is not null").select("key", "rep", "n", "sketch")
     buckets = max(tasks_for(shingles * 4, 8 << 20), int(spark.conf.get("spark.sql.shuffle.partitions")))
     met = stages.write(candidates(prefix_tuples(docs, shingle, percent, cells, buckets), buckets, percent, paired), "met")
-
-    def ids(pairs: DataFrame) -> DataFrame:
-        """Pairs of keys as pairs of document ids; a pair found from both sides stays once."""
-        a, b = named.select(F.col("key").alias("ka"), F.col("rep").alias("ra")), named.select(F.col("key").alias("kb"), F.col("rep").alias("rb"))
-        both = pairs.join(a, F.col("a") == F.col("ka")).join(b, F.col("b") == F.col("kb")).where("ra != rb")
-        once = both.groupBy(F.least("ra", "rb"), F.greatest("ra", "rb")).agg(F.min(F.struct("ra", "rb")).alias("p"))
-        return once.select(F.col("p.ra").alias("a"), F.col("p.rb").alias("b"))
-
-    comps, hubs = None, 4 * FIRST_HUBS
-    sketches = stages.write(sketches, "sketches")
     cells.destroy()
-    cuts = sketches.select(F.col("key").alias("k"), F.col("sketch").alias("cuts"))
-
-    def with_cuts(members: DataFrame) -> DataFrame:
-        return members.join(cuts, F.col("key") == F.col("k")).drop("k")
 
-    members = met.where("token is not null")
-    opened = stages.write(parted(with_cuts(members.where("not large").select("token", "place", "n", "key")), percent), "opened")
-    large = stages.write(members.where("large").select("token", "place", "n", "key", "hub"), "large")
-    direct = met.where("token is null").select("a", "b").union(opened.where("token is null").select("a", "b"))
-    once = direct.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    pairs = done = stages.write(ids(sketched(once, sketches, percent)), "pairs")
+    members = met.where("token is not null").join(named.select(F.col("key").alias("k"), "rep", F.col("sketch").alias("cuts")), F.col("key") == F.col("k"))
+    opened = stages.write(parted(members.where("not large"), percent), "opened")
+    large = members.where("large").select("token", "place", "n", "key", "rep", "hub")
+    large = None if met.where("large").isEmpty() else stages.write(large, "large")
+    once = met.where("token is null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = done = stages.write(unmet(sketched(once, named, percent).union(opened.where("token is null").select("a", "b"))), "pairs")
     stages.drop(met)
-    groups = [opened.where("token is not null").select("token", "place", "n", "key", "hub"), *([] if large.isEmpty() else [large])]
+    opened = opened.where("token is not null")
+    comps, hubs, small = None, 4 * FIRST_HUBS, None if opened.isEmpty() else opened.drop("a", "b")
     while True:
         fresh = stages.write(verified(docs, pairs, shingle, percent), "links")
         if comps is None or not fresh.isEmpty():
             stars = fresh if comps is None else fresh.union(comps.select(F.col("node").alias("a"), F.col("component").alias("b")))
             comps = components(stars, stages)
-        reps = named.join(comps, F.col("rep") == F.col("node"), "left").select(
-            F.col("key").alias("node"), F.coalesce("component", "rep").alias("component")
-        )
-        rounds = [stages.write(hub_pairs(with_cuts(_alive(groups[0], reps)), percent, hubs), "groups")]
-        if len(groups) > 1:
-            rounds.append(stages.write(_large_hubs(stages.write(_alive(groups[1], reps), "going"), sketches, stages, hubs, percent), "groups"))
-        if all(r.where("token is not null").isEmpty() for r in rounds):
+        before, found = [t for t in (small, large) if t is not None], []
+        if small is not None:
+            small = stages.write(hub_pairs(_with_components(small, comps), percent, hubs), "groups")
+            found.append(small.where("token is null").select("a", "b"))
+            members = small.where("token is not null").drop("a", "b")
+            small = None if members.isEmpty() else members
+        if large is not None:
+            going = stages.write(_alive(_with_components(large, comps)), "going")
+            large = None if going.isEmpty() else stages.write(_large_hubs(going, named, stages, hubs, percent), "groups")
+        if large is not None:
+            found.append(large.where("token is null").select("a", "b"))
+            large = large.where("token is not null").drop("a", "b")
+        if not found:
             break
-        before = [*groups, fresh]
-        groups = [r.where("token is not null").select("token", "place", "n", "key", "hub") for r in rounds]
-        found = reduce(DataFrame.unionAll, [r.where("token is null").select("a", "b") for r in rounds])
-        known = done.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
-        new = ids(found.distinct())
-        pairs = stages.write(new.join(known, (F.least("a", "b") == F.col("x")) & (F.greatest("a", "b") == F.col("y")), "left_anti"), "pairs")
+        pairs = stages.write(unmet(reduce(DataFrame.unionAll, found), done), "pairs")
         stages.drop(*before)
         done, hubs = done.union(pairs), 4 * hubs
     found = rows.join(classes.select(F.col("digest").alias("d"), "rep"), F.col("digest") == F.col("d"), "left")

@@ -15,6 +15,8 @@ from plain import benchmark_words, best_fit, contamination, jaccard_components,
 from tokenizers import Tokenizer
 
 from adtally.llm import decontaminate, jaccard_join, packing, suffix_dedup
+from adtally.llm.common import Stages
+from adtally.llm.components import components
 from adtally.llm.queries import word_tokenizer
 
 DOC = "doc_id long, text string, source string, start long, item_id long"  # with columns whose names clash
@@ -205,6 +207,84 @@ def test_jaccard_tasks_have_one_python_worker(spark, monkeypatch):
     assert set(rounds) == {1}
 
 
+def near_group(seed: int, members: int, changed: int, copies: int):
+    """Rows of one group as ``hub_pairs`` takes them: sets that differ in ``changed`` of 200 hashes from a common one, after ``copies`` that are one component."""
+    rng = np.random.default_rng(seed)
+    base, sets = rng.integers(0, 2**64, 200, dtype=np.uint64), []
+    for k in range(members):
+        n = 2 if k < copies else changed
+        sets.append(np.sort(np.concatenate([rng.permutation(base)[n:], rng.integers(0, 2**64, n, dtype=np.uint64)])))
+    shell = jaccard_join.Sets.__new__(jaccard_join.Sets)
+    shell.hashes, shell.begin = np.concatenate(sets), np.cumsum([0, *map(len, sets)])
+    shell.sizes = np.diff(shell.begin)
+    cuts = [jaccard_join._press()(np.frombuffer(shell.sketch(k), np.uint8)) for k in range(members)]
+    rows = [(7, 0, 200, 1000 + k, k, k < 4, 0 if k < copies else k, cuts[k]) for k in range(members)]
+    return rows, jaccard_join.Sketches(cuts)
+
+
+HUB_ROWS = "token long, place long, n long, key long, rep long, hub boolean, c long, cuts binary"
+
+
+def test_hubs_of_a_group_with_few_pairs_take_one_round(spark):
+    """A group's members without partners are all hubs at once, in one round with every pair that passes."""
+    rows, sketches = near_group(31, 140, 60, copies=40)
+    out = jaccard_join.hub_pairs(spark.createDataFrame(rows, HUB_ROWS), 80, 16).collect()
+    a, b = np.array([(i, j) for i in range(140) for j in range(140) if max(i, j) >= 40 and i != j]).T
+    passing = sketches.share(a, b) >= -(-80 * 400 // 180)
+    want = {tuple(sorted(p)) for p in zip(a[passing].tolist(), b[passing].tolist(), strict=True)}
+    assert {tuple(sorted((r.a, r.b))) for r in out if r.token is None} == want
+    assert not [r for r in out if r.token is not None]
+
+
+def test_hubs_of_a_group_with_many_pairs_take_turns(spark):
+    """Copies that are not yet connected meet few hubs, as links between them are still to come."""
+    rows, _ = near_group(32, 140, 3, copies=40)
+    out = jaccard_join.hub_pairs(spark.createDataFrame(rows, HUB_ROWS), 80, 8).collect()
+    members = [r for r in out if r.token is not None]
+    assert sorted(r.rep for r in members) == list(range(140))
+    assert all(bytes(r.cuts) == bytes(rows[r.rep][7]) for r in members)
+    hubs = {r.rep for r in members if r.hub and r.rep >= 40}
+    assert 0 < len(hubs) <= 8
+    assert {r.a for r in out if r.token is None} == hubs
+
+
+def test_hubs_are_those_that_met_the_group(spark):
+    """Members at one place come in another order by size than by key, and some are gone; neither makes a hub."""
+    rows, _ = near_group(34, 60, 3, copies=60)
+    rows = [(*r[:2], 240 - r[4], *r[3:5], 10 <= r[4] < 13, r[7]) for r in rows]
+    out = jaccard_join.parted(spark.createDataFrame(rows, HUB_ROWS.replace("c long, ", "")), 80).collect()
+    assert {r.rep for r in out if r.hub} == {10, 11, 12}
+    assert sorted(r.rep for r in out if r.token is not None) == list(range(60))
+
+
+def test_unmet_pairs(spark):
+    def pairs(*rows):
+        return spark.createDataFrame(rows, "a long, b long")
+
+    big = 2**63 - 1
+    found = pairs((1, 2), (2, 1), (5, 3), (5, 3), (4, 4), (6, 7), (9, 8), (-big, big))
+    assert sorted(map(tuple, jaccard_join.unmet(found).collect())) == [(-big, big), (1, 2), (5, 3), (6, 7), (9, 8)]
+    assert sorted(map(tuple, jaccard_join.unmet(found, pairs((7, 6), (9, 8), (0, 1))).collect())) == [(-big, big), (1, 2), (5, 3)]
+
+
+@pytest.mark.parametrize("shape", ["none", "star", "chain", "random"])
+def test_components_end_with_stars(spark, shape):
+    """A star needs no round more to tell that it is one."""
+    rng = random.Random(33)
+    edges = {
+        "none": [(3, 3)], "star": [(1, k) for k in range(2, 30)] + [(9, 1)], "chain": [(k + 1, k) for k in range(40)],
+        "random": [(rng.randrange(300), rng.randrange(300)) for _ in range(220)],
+    }[shape]
+    least = {n: n for e in edges for n in e}
+    for _ in least:
+        for a, b in edges:
+            least[a] = least[b] = min(least[a], least[b])
+    stages = Stages(spark, "components")
+    got = components(spark.createDataFrame(edges, "a long, b long"), stages).collect()
+    assert sorted(map(tuple, got)) == sorted((n, c) for n, c in least.items() if n != c)
+    assert stages.count <= {"none": 0, "star": 2}.get(shape, 12)
+
+
 def test_jaccard_repeated_ids_and_null_ids(spark):
     rng = random.Random(4)
     a, b = prose(rng, 50), prose(rng, 50)
