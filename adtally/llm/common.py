@@ -39,9 +39,9 @@ class Stages:
         self.count += 1
         return f"{self.folder}/{self.count}-{name}"
 
-    def write(self, df: DataFrame, name: str) -> DataFrame:
+    def write(self, df: DataFrame, name: str, **options) -> DataFrame:
         path = self.path(name)
-        df.write.option("compression", "zstd").parquet(path)
+        df.write.options(compression="zstd", **options).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *tables: DataFrame) -> None:

@@ -284,6 +284,56 @@ def test_tiles_and_blocks_miss_no_pair():
     assert sorted(zip(i, j, strict=True)) == sorted(map(tuple, want))
 
 
+def stored_bytes(spark):
+    """Bytes of shuffles and of written tables."""
+    folders = [str(d) for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    shuffled = sum(f.stat().st_size for d in folders for f in Path(d).rglob("shuffle_*.data"))
+    shared = Path(spark.conf.get("spark.checkpoint.dir")).rglob("embeddings-*/**/*.parquet")
+    return shuffled + sum(f.stat().st_size for f in shared)
+
+
+def test_embeddings_are_not_copied_to_the_tiles_they_meet(spark, monkeypatch):
+    """Vectors without structure meet every tile; what is shuffled and written stays in proportion to the input."""
+    monkeypatch.setattr(embedding_dedup, "BLOCK", 64)
+    monkeypatch.setattr(embedding_dedup, "HELD", 1 << 18, raising=False)  # 1,024 vectors a round
+    rng = np.random.default_rng(64)
+    x = rng.normal(size=(2500, 64))
+    x = np.concatenate([x, x[:300] + rng.normal(size=(300, 64)) * 0.2, x[2400] + rng.normal(size=(1200, 64)) * 0.1, x[:100], x[:50] * 2]).astype(np.float32)
+    ids = rng.permutation(len(x))
+    df = spark.createDataFrame([(int(i), r.tolist()) for i, r in zip(ids, x, strict=True)], "vec_id long, embedding array<float>").repartition(6)
+    write, stored = embedding_dedup.Stages.write, [stored_bytes(spark)]
+
+    def watched(*args, **options):
+        table = write(*args, **options)
+        stored.append(stored_bytes(spark))  # before Spark drops shuffles that are no longer referred to
+        return table
+
+    monkeypatch.setattr(embedding_dedup.Stages, "write", watched)
+    found = sorted(map(tuple, embedding_dedup.near_duplicates(df).collect()))
+    assert max(stored) - stored[0] < 8 * x.nbytes
+
+    unit = x / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
+    close = unit @ unit.T >= 0.9
+    component = ids.copy()
+    while (least := np.where(close, component, len(ids)).min(axis=1)).tolist() != component.tolist():
+        component = least
+    want = zip(ids.tolist(), (close.sum(axis=1) - 1).tolist(), component.tolist(), (ids == component).tolist(), strict=True)
+    assert found == sorted(want)
+
+
+def test_rounds_hold_every_tile():
+    rounds = embedding_dedup._rounds({7: 3, 0: 4, 2: 25, 1: 6, 5: 10}, 10)
+    assert rounds == [([0, 1], 0, 1), ([2], 0, 3), ([2], 1, 3), ([2], 2, 3), ([5], 0, 1), ([7], 0, 1)]
+
+
+@pytest.mark.parametrize("tiles", [1, 2, 4, 16])
+def test_of_two_tiles_one_looks(tiles):
+    t = np.arange(tiles)
+    looks = embedding_dedup._meet(t[:, None], t[None, :], tiles)
+    assert looks.diagonal().all() and (looks ^ looks.T == ~np.eye(tiles, dtype=bool)).all()
+    assert np.ptp(looks.sum(axis=1)) <= 1
+
+
 # --- quality -------------------------------------------------------------------------------
 
 
