@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,6 +51,21 @@ class Stages:
                 delete_path(self.spark, folder)
 
 
+@contextmanager
+def short_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files go with the action that made them, not when the driver happens to collect its garbage.
+
+    For steps that read written tables only, as no later action can take up an earlier one's shuffle.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def whole_text(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
