@@ -284,6 +284,17 @@ def test_tiles_and_blocks_miss_no_pair():
     assert sorted(zip(i, j, strict=True)) == sorted(map(tuple, want))
 
 
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_embeddings_of_one_kind_of_row(spark, kind):
+    def found(*rows):
+        out = embedding_dedup.near_duplicates(spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>")).collect()
+        return sorted(map(tuple, out), key=str)
+
+    unusable = found((3, None), (1, []), (None, [0.0]), (2, [None, 1.0]), (4, [math.inf, 1.0]))
+    assert unusable == [(1, 0, 1, True), (2, 0, 2, True), (3, 0, 3, True), (4, 0, 4, True), (None, 0, None, False)]
+    assert found((5, [0.0, 1.0]), (4, [-0.0, 1.0]), (None, [0.0, 1.0])) == [(4, 2, 4, True), (5, 2, 4, False), (None, 2, 4, False)]
+
+
 def stored_bytes(spark):
     """Bytes of shuffles and of written tables."""
     folders = [str(d) for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
